@@ -37,19 +37,23 @@ def as_of_col(as_of=None) -> Column:
     return F.to_date(as_col(as_of))
 
 
+def _column(c) -> Column:
+    return F.col(c) if isinstance(c, str) else as_col(c)
+
+
 def mdy(c) -> Column:
-    """O-24: date/timestamp -> 'MM-dd-yyyy'."""
-    return F.date_format(as_col(c), REQUEST_DATE_FORMAT)
+    """O-24: date/timestamp column (or name) -> 'MM-dd-yyyy'."""
+    return F.date_format(_column(c), REQUEST_DATE_FORMAT)
 
 
 def compact_day(c) -> Column:
-    """O-24: date/timestamp -> 'MMddyyyy' (landing names)."""
-    return F.date_format(as_col(c), LANDING_DATE_FORMAT)
+    """O-24: date/timestamp column (or name) -> 'MMddyyyy' (landing names)."""
+    return F.date_format(_column(c), LANDING_DATE_FORMAT)
 
 
 def parse_mdy(c) -> Column:
-    """'MM-dd-yyyy' text -> date (null when it does not parse)."""
-    return F.try_to_date(as_col(c), REQUEST_DATE_FORMAT)
+    """'MM-dd-yyyy' text column (or name) -> date (null when it does not parse)."""
+    return F.try_to_date(_column(c), REQUEST_DATE_FORMAT)
 
 
 def previous_day(as_of=None) -> Column:

@@ -69,17 +69,20 @@ class HttpTransport:
     def __repr__(self):  # keep the token out of logs and plans
         return f"HttpTransport(timeout={self.timeout})"
 
+    def _scrub(self, text: str) -> str:
+        return text.replace(self._token, "***") if self._token else text
+
     def __call__(self, request: dict):
         url = request["url"].replace(TOKEN_SLOT, self._token or "")
-        req = urllib.request.Request(url, headers=self.headers, method="GET")
         try:
+            req = urllib.request.Request(url, headers=self.headers, method="GET")
             with urllib.request.urlopen(req, timeout=self.timeout) as resp:
                 status = resp.status
                 data = resp.read()
         except urllib.error.HTTPError as e:
             return e.code, None, f"HTTP {e.code}"
         except (urllib.error.URLError, OSError, ValueError) as e:
-            return None, None, f"{type(e).__name__}: {e}"
+            return None, None, self._scrub(f"{type(e).__name__}: {e}")
         if status != 200:
             return status, None, f"HTTP {status}"
         return status, data.decode("utf-8", errors="replace"), None
