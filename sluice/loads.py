@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from sluice.operators.jsonapi import API_REQUIRED, API_SCHEMA, parse_json, project_api_result
 from sluice.operators.xml import explode_records, parse_documents
-from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, feed_columns, table_name_of
+from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, UnknownFeed, feed_columns, table_name_of
 from sluice.sinks.tables import append_path, append_table
 
 RUN_LOG_SCHEMA = T.StructType([
@@ -72,7 +72,10 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
     """
     run_id = run_id or uuid.uuid4().hex
     started = _now()
-    cols = feed_columns(endpoint)
+    try:
+        cols = feed_columns(endpoint)
+    except UnknownFeed:
+        return _failed_log(payloads, endpoint, run_id, feed_ordinal, started, "ERROR: unknown feed")
     if table is None and path is None:
         table = table_name_of(endpoint)
     mine = payloads.where(F.col("endpoint") == endpoint) if "endpoint" in payloads.columns else payloads
@@ -118,6 +121,17 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
     return log
 
 
+def _failed_log(payloads: DataFrame, endpoint: str, run_id: str, feed_ordinal: int | None,
+                started: _dt.datetime, message: str) -> DataFrame:
+    mine = payloads.where(F.col("endpoint") == endpoint) if "endpoint" in payloads.columns else payloads
+    return mine.select(
+        F.lit(run_id).alias("run_id"), F.lit(feed_ordinal).cast("int").alias("feed_ordinal"),
+        _col_or(mine, "request_id", None, "string").alias("request_id"), F.lit(endpoint).alias("endpoint"),
+        _col_or(mine, "mlsSid", None, "bigint").alias("mlsSid"), F.lit(FAILED).alias("status"),
+        F.lit(0).cast("bigint").alias("rows"), F.lit(message).alias("message"),
+        F.lit(started).alias("started_at"), F.lit(_now()).alias("finished_at"))
+
+
 def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str] | None = None, *,
                tables: dict[str, str] | None = None, paths: dict[str, str] | None = None,
                fmt: str | None = None, row_tags: dict[str, Sequence[str]] | None = None,
@@ -191,3 +205,48 @@ def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None =
     finally:
         parsed.unpersist()
     return status, message, log
+
+
+def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None = None,
+              from_date: str | None = None, to_date: str | None = None, as_of=None,
+              transport, landing_path: str, feeds: DataFrame | None = None,
+              sources: DataFrame | None = None, tables: dict[str, str] | None = None,
+              paths: dict[str, str] | None = None, fmt: str | None = None,
+              row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
+              run_id: str | None = None, quarantine_path: str | None = None,
+              log_table: str | None = None) -> DataFrame:
+    """The all-feed job: plan -> fetch on executors -> land -> load each feed.
+
+    Returns the run log (one row per request, plus one failed row per asked
+    feed that the catalog does not know).  With ``log_table`` the log is
+    also appended there.
+    """
+    from sluice.plans.catalog import feed_catalog, source_ids
+    from sluice.plans.requests import plan_requests, unknown_requests
+    from sluice.sources.fetch import fetch_payloads
+    from sluice.sources.landing import land_payloads, read_landed
+
+    run_id = run_id or uuid.uuid4().hex
+    started = _now()
+    wanted = list(endpoints or FEED_ORDER)
+    feeds = feeds if feeds is not None else feed_catalog(spark)
+    sources = sources if sources is not None else source_ids(spark)
+    requests = plan_requests(feeds, sources, env=env, endpoints=wanted, from_date=from_date,
+                             to_date=to_date, as_of=as_of)
+    land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id), landing_path)
+    landed = read_landed(spark, landing_path, run_id=run_id)
+    known = [e for e in wanted if e in FEED_ORDER]
+    log = load_feeds(spark, landed, known,
+                     tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
+                     quarantine_path=quarantine_path) if known else None
+    asked = spark.createDataFrame([(env, e, i) for i, e in enumerate(wanted)],
+                                  "env string, endpoint string, feed_ordinal int")
+    missing = unknown_requests(asked, feeds).select(
+        F.lit(run_id).alias("run_id"), "feed_ordinal", F.lit(None).cast("string").alias("request_id"),
+        "endpoint", F.lit(None).cast("bigint").alias("mlsSid"), F.lit(FAILED).alias("status"),
+        F.lit(0).cast("bigint").alias("rows"), F.lit("ERROR: unknown feed").alias("message"),
+        F.lit(started).alias("started_at"), F.lit(_now()).alias("finished_at"))
+    out = missing if log is None else log.unionByName(missing)
+    if log_table:
+        append_table(out, log_table)
+    return out

@@ -1,0 +1,22 @@
+"""Broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a configuration table (feeds catalog, id list) may have and still be
+# broadcast; a few MB at most.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check is ``limit(max_rows + 1).count()``: it stops reading once the
+    bound is exceeded, so it is cheap for small frames and bounded for big
+    ones.  Beyond the bound the join stays a shuffle join (with AQE skew
+    handling), never an unchecked broadcast.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

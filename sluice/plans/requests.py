@@ -2,8 +2,10 @@
 
 feeds (catalog, bounded) x source ids x one date window, optionally
 repeated ``passes`` times.  The expansion is an equi-join on ``env``
-against the broadcast catalog, so the large side (source ids) is never
-shuffled and no cross join appears in the plan.
+against the catalog, which is broadcast after a row-count check (a few
+environments x feeds), so the source ids are never shuffled on a key with
+two values.  A catalog beyond the bound falls back to a shuffle join.  No
+cross join appears in the plan.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import as_of_col, default_window
 from sluice.functions.names import fill_template, landing_name, table_name
+from sluice.operators.broadcast import broadcast_if_small
 
 TOKEN_SLOT = "{1}"
 
@@ -43,8 +46,7 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
         sources = sources.dropDuplicates(["env", "mlsSid"])
     frm, to = default_window(from_date, to_date, as_of)
     run_day = as_of_col(as_of)
-    # The catalog holds at most (#environments x #feeds) rows: a proven bound.
-    req = sources.join(F.broadcast(feeds), "env")
+    req = sources.join(broadcast_if_small(feeds), "env")
     if passes > 1:
         req = req.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(int(passes)))))
     else:
@@ -67,7 +69,7 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
 
 def unknown_requests(wanted: DataFrame, feeds: DataFrame) -> DataFrame:
     """O-07 misses: requested (env, endpoint) pairs absent from the catalog."""
-    return wanted.join(F.broadcast(feeds.select("env", "endpoint")), ["env", "endpoint"], "left_anti")
+    return wanted.join(broadcast_if_small(feeds.select("env", "endpoint")), ["env", "endpoint"], "left_anti")
 
 
 PLAN_SQL = """
@@ -92,4 +94,4 @@ def plan_requests_sql(spark: SparkSession, feeds: DataFrame, sources: DataFrame,
     return spark.sql(PLAN_SQL, args={
         "env": env, "endpoint": endpoint, "fromDate": from_date or "", "toDate": to_date or "",
         "asOf": as_of or _dt.date.today().isoformat(),
-    }, feeds=feeds, sources=sources)
+    }, feeds=broadcast_if_small(feeds), sources=sources)

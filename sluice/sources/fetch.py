@@ -20,6 +20,7 @@ FETCH_INPUT = ["request_id", "feed_ordinal", "endpoint", "mlsSid", "fromDate", "
                "landing_name", "load_date"]
 
 PAYLOAD_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()),
     T.StructField("request_id", T.StringType()),
     T.StructField("feed_ordinal", T.IntegerType()),
     T.StructField("endpoint", T.StringType()),
@@ -38,7 +39,7 @@ PAYLOAD_SCHEMA = T.StructType([
 _OUT_CHUNK = 16
 
 
-def _fetcher(transport):
+def _fetcher(transport, run_id):
     import pandas as pd
 
     names = [f.name for f in PAYLOAD_SCHEMA.fields]
@@ -52,7 +53,7 @@ def _fetcher(transport):
                 except Exception as e:  # transport bugs must not kill the task
                     status, body, error = None, None, f"{type(e).__name__}: {e}"
                 out.append({
-                    "request_id": req["request_id"], "feed_ordinal": req["feed_ordinal"],
+                    "run_id": run_id, "request_id": req["request_id"], "feed_ordinal": req["feed_ordinal"],
                     "endpoint": req["endpoint"], "mlsSid": req["mlsSid"],
                     "fromDate": req["fromDate"], "toDate": req["toDate"],
                     "landing_name": req["landing_name"],
@@ -76,9 +77,10 @@ def _frame(pd, rows, names):
     return df
 
 
-def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = None) -> DataFrame:
+def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = None,
+                   run_id: str | None = None) -> DataFrame:
     """One payload row per request, fetched by ``transport`` inside tasks."""
     reqs = requests.select(*FETCH_INPUT)
     if concurrency:
         reqs = reqs.repartition(int(concurrency), "request_id")
-    return reqs.mapInPandas(_fetcher(transport), PAYLOAD_SCHEMA)
+    return reqs.mapInPandas(_fetcher(transport, run_id), PAYLOAD_SCHEMA)

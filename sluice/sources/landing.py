@@ -21,15 +21,19 @@ LANDING_PARTITIONS = ["endpoint", "load_date"]
 
 def land_payloads(payloads: DataFrame, path: str) -> None:
     """Append payload rows to the landing table at ``path``."""
-    cols = [f.name for f in PAYLOAD_SCHEMA.fields]
-    (payloads.select(*[F.col(c).cast(PAYLOAD_SCHEMA[c].dataType) for c in cols])
-             .write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(path))
+    have = set(payloads.columns)
+    cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in PAYLOAD_SCHEMA.fields]
+    payloads.select(*cols).write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(path)
 
 
 def read_landed(spark: SparkSession, path: str, endpoint: str | None = None,
-                load_date=None) -> DataFrame:
-    """Landed payloads; ``endpoint`` / ``load_date`` prune partitions."""
+                load_date=None, run_id: str | None = None) -> DataFrame:
+    """Landed payloads; ``endpoint`` / ``load_date`` prune partitions,
+    ``run_id`` keeps one run's payloads (pushed to the parquet reader)."""
     df = spark.read.schema(PAYLOAD_SCHEMA).parquet(path)
+    if run_id is not None:
+        df = df.where(F.col("run_id") == run_id)
     if endpoint is not None:
         df = df.where(F.col("endpoint") == endpoint)
     if load_date is not None:

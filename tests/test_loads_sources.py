@@ -98,3 +98,23 @@ def test_http_transport_never_stores_token(spark):
     assert all("{1}" in r.url and "SECRET" not in r.url for r in reqs.collect())
     status, body, err = t({"url": "notaurl{1}", "landing_name": "x", "endpoint": "e"})
     assert status is None and body is None and "ValueError" in err and "SECRET" not in err
+
+
+def test_run_feeds_end_to_end(spark, scratch):
+    from sluice.loads import feed_summary, run_feeds
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat",
+                         endpoints=["agents-all-1.0", "office-2.0"], as_of="2022-06-17")
+    drop = scratch("drop")
+    have = reqs.where(~((F.col("endpoint") == "office-2.0") & (F.col("mlsSid") == 36))).select(
+        "endpoint", "landing_name",
+        F.format_string("<r><row><mlsSid>%d</mlsSid><agentId>x</agentId><officeId>o</officeId></row></r>",
+                        "mlsSid").alias("body"))
+    export_documents(have, drop).count()
+    paths = {"agents-all-1.0": scratch("a"), "office-2.0": scratch("o")}
+    log = run_feeds(spark, env="uat", endpoints=["agents-all-1.0", "office-2.0", "nope-1.0"],
+                    as_of="2022-06-17", transport=FileTransport(drop), landing_path=scratch("landing"),
+                    paths=paths)
+    s = {r.endpoint: (r.result, r.rows) for r in feed_summary(log).collect()}
+    assert s == {"agents-all-1.0": ("success", 7), "office-2.0": ("ERROR: 1 of 7 requests failed", 6),
+                 "nope-1.0": ("ERROR: 1 of 1 requests failed", 0)}
+    assert spark.read.parquet(paths["office-2.0"]).count() == 6
