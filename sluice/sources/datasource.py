@@ -1,0 +1,91 @@
+"""O-01 / O-02 as a Python Data Source: ``spark.read.format("sluice_payloads")``.
+
+The request plan is first written as a parquet table (it is then durable
+and replayable).  The driver only lists that table's files and row
+groups -- one input partition per row group -- and each partition fetches
+its requests inside an executor task with the transport bound to the
+source class (so the token never appears in options or plans).
+
+    requests.write.parquet(plan_path)
+    spark.dataSource.register(payload_source(HttpTransport(token=...)))
+    payloads = spark.read.format("sluice_payloads").option("requests", plan_path).load()
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from sluice.sources.fetch import FETCH_INPUT, PAYLOAD_SCHEMA
+
+
+class RequestSlice(InputPartition):
+    """One row group of one file of the request table."""
+
+    def __init__(self, path: str, row_group: int):
+        super().__init__((path, row_group))
+        self.path = path
+        self.row_group = row_group
+
+
+def _list_slices(root: str) -> list[RequestSlice]:
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    from sluice.sources.transport import _filesystem
+    filesystem, base = _filesystem(root)
+    infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=True))
+    out = []
+    for info in sorted(infos, key=lambda i: i.path):
+        name = info.path.rsplit("/", 1)[-1]
+        if info.type != pafs.FileType.File or not name.endswith(".parquet") or name.startswith(("_", ".")):
+            continue
+        with filesystem.open_input_file(info.path) as f:
+            n = pq.ParquetFile(f).metadata.num_row_groups
+        out.extend(RequestSlice(info.path, g) for g in range(n))
+    return out
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, options: dict, transport):
+        self.root = options["requests"]
+        self.run_id = options.get("run_id")
+        self.transport = transport
+
+    def partitions(self):
+        return _list_slices(self.root)
+
+    def read(self, partition: RequestSlice):
+        import pyarrow.parquet as pq
+
+        from sluice.sources.transport import _filesystem
+        filesystem, _ = _filesystem(self.root)
+        with filesystem.open_input_file(partition.path) as f:
+            table = pq.ParquetFile(f).read_row_group(partition.row_group, columns=FETCH_INPUT)
+        for req in table.to_pylist():
+            try:
+                status, body, error = self.transport(req)
+            except Exception as e:  # a transport bug fails the request, not the task
+                status, body, error = None, None, f"{type(e).__name__}: {e}"
+            yield (self.run_id, req["request_id"], req["feed_ordinal"], req["endpoint"], req["mlsSid"],
+                   req["fromDate"], req["toDate"], req["landing_name"], status, error, body,
+                   _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), req["load_date"])
+
+
+def payload_source(transport, name: str = "sluice_payloads") -> type[DataSource]:
+    """A DataSource class bound to ``transport``; register it with
+    ``spark.dataSource.register``."""
+
+    class PayloadSource(DataSource):
+        @classmethod
+        def name(cls):
+            return name
+
+        def schema(self):
+            return PAYLOAD_SCHEMA
+
+        def reader(self, schema):
+            return _Reader(self.options, transport)
+
+    return PayloadSource

@@ -17,6 +17,9 @@ from sluice.sources.fetch import PAYLOAD_SCHEMA
 from sluice.sources.transport import _filesystem
 
 LANDING_PARTITIONS = ["endpoint", "load_date"]
+# Small row groups bound the parquet reader's batch (it never spans row
+# groups), so a batch of large documents cannot grow to 4096 bodies.
+LANDING_ROW_GROUP_BYTES = 64 * 1024 * 1024
 
 
 def land_payloads(payloads: DataFrame, path: str) -> None:
@@ -24,7 +27,8 @@ def land_payloads(payloads: DataFrame, path: str) -> None:
     have = set(payloads.columns)
     cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in PAYLOAD_SCHEMA.fields]
-    payloads.select(*cols).write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(path)
+    (payloads.select(*cols).write.mode("append").partitionBy(*LANDING_PARTITIONS)
+             .option("parquet.block.size", LANDING_ROW_GROUP_BYTES).parquet(path))
 
 
 def read_landed(spark: SparkSession, path: str, endpoint: str | None = None,

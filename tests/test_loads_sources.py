@@ -118,3 +118,22 @@ def test_run_feeds_end_to_end(spark, scratch):
     assert s == {"agents-all-1.0": ("success", 7), "office-2.0": ("ERROR: 1 of 7 requests failed", 6),
                  "nope-1.0": ("ERROR: 1 of 1 requests failed", 0)}
     assert spark.read.parquet(paths["office-2.0"]).count() == 6
+
+
+def test_python_data_source_fetch(spark, scratch):
+    from sluice.sources.datasource import payload_source
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", endpoints=["agents-all-1.0"],
+                         as_of="2022-06-17")
+    drop = scratch("drop")
+    export_documents(reqs.where(F.col("mlsSid") != 36).select(
+        "endpoint", "landing_name", F.format_string("<r><row><agentId>%d</agentId></row></r>", "mlsSid")
+        .alias("body")), drop).count()
+    plan_path = scratch("plan")
+    reqs.repartition(3).write.parquet(plan_path)
+    spark.dataSource.register(payload_source(FileTransport(drop)))
+    payloads = spark.read.format("sluice_payloads").option("requests", plan_path).option("run_id", "r1").load()
+    assert payloads.rdd.getNumPartitions() == 3
+    got = {r.mlsSid: (r.http_status, r.run_id) for r in payloads.collect()}
+    assert got[36] == (404, "r1") and sum(v == (200, "r1") for v in got.values()) == 6
+    log = load_feed(spark, payloads, "agents-all-1.0", path=scratch("t"))
+    assert sorted(r.status for r in log.collect()).count("success") == 6
