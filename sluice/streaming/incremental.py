@@ -31,14 +31,29 @@ BATCH_COLUMN = "batch_id"
 def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, table_path: str,
                      checkpoint: str, *, quarantine_path: str | None = None,
                      row_tags: Sequence[str] | None = None,
-                     max_files_per_trigger: int | None = None) -> int:
-    """Run one availableNow pass; returns the number of micro-batches run."""
+                     max_files_per_trigger: int | None = None, files: bool = False,
+                     glob: str = "*.xml") -> int:
+    """Run one availableNow pass; returns the number of micro-batches run.
+
+    ``landing_path`` is the landing table (parquet, see ``sources.landing``),
+    or with ``files=True`` a folder where each document is its own file
+    (read whole; the file name becomes the request id).
+    """
     cols = feed_columns(endpoint)
     tags = row_tags or DEFAULT_ROW_TAGS
-    reader = spark.readStream.schema(PAYLOAD_SCHEMA)
+    if files:
+        reader = (spark.readStream.format("text").option("wholetext", True)
+                  .option("pathGlobFilter", glob))
+    else:
+        reader = spark.readStream.schema(PAYLOAD_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    src = reader.parquet(landing_path).where(F.col("endpoint") == endpoint)
+    if files:
+        src = reader.load(landing_path).select(
+            F.col("_metadata.file_name").alias("request_id"),
+            F.lit(None).cast("bigint").alias("mlsSid"), F.col("value").alias("body"))
+    else:
+        src = reader.parquet(landing_path).where(F.col("endpoint") == endpoint)
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -137,3 +137,16 @@ def test_python_data_source_fetch(spark, scratch):
     assert got[36] == (404, "r1") and sum(v == (200, "r1") for v in got.values()) == 6
     log = load_feed(spark, payloads, "agents-all-1.0", path=scratch("t"))
     assert sorted(r.status for r in log.collect()).count("success") == 6
+
+
+def test_missing_table_format_is_a_failed_load(spark):
+    p = _payloads(spark, [("r1", "agents-all-1.0", 7, None, GOOD)])
+    log = load_feed(spark, p, "agents-all-1.0", table="sluice_delta_" + os.urandom(3).hex(), fmt="delta")
+    r = log.first()
+    assert r.status == "failed" and r.message.startswith("ERROR: write:") and r.rows == 0
+
+
+def test_unknown_feed_is_a_failed_row(spark):
+    p = _payloads(spark, [("r1", "nope-1.0", 7, None, GOOD)])
+    r = load_feed(spark, p, "nope-1.0").first()
+    assert (r.request_id, r.status, r.message) == ("r1", "failed", "ERROR: unknown feed")

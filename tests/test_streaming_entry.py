@@ -62,3 +62,22 @@ def test_against_duckdb(spark, name):
     theirs = sorted(tuple(str(dict(zip(names, r))[c]) for c in cols) for r in cur.fetchall())
     assert len(mine) == len(theirs)
     assert mine == theirs
+
+
+def test_incremental_from_file_drops(spark, scratch):
+    drop = scratch("drop").replace("file:", "")
+    import os
+    os.makedirs(drop)
+    out, ckpt = scratch("out"), scratch("ckpt")
+    for i in (1, 2):
+        with open(f"{drop}/a{i}.xml", "w") as f:
+            f.write(doc(i))
+    assert incremental_load(spark, drop, "agents-all-1.0", out, ckpt, files=True) == 1
+    with open(f"{drop}/a3.xml", "w") as f:
+        f.write('<?xml version="1.0" encoding="UTF-8"?>\n' + doc(3))
+    with open(f"{drop}/ignored.txt", "w") as f:
+        f.write(doc(9))
+    incremental_load(spark, drop, "agents-all-1.0", out, ckpt, files=True)
+    incremental_load(spark, drop, "agents-all-1.0", out, ckpt, files=True)
+    got = sorted(r.agentId for r in read_incremental(spark, out, "agents-all-1.0").collect())
+    assert got == ["a1", "a2", "a3"]
