@@ -64,18 +64,29 @@ def filter_dates(df: DataFrame, column: str, from_date: str | None, to_date: str
 
 
 def cap_records_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column | str] | Column | str,
-                        n: int, rank_column: str | None = None) -> DataFrame:
+                        n: int, rank_column: str | None = None, salt_buckets: int = 64) -> DataFrame:
     """O-23 across payloads: at most ``n`` rows per key, first by ``order``.
 
+    For ``n`` up to spark.sql.optimizer.windowGroupLimitThreshold,
     ``row_number() <= n`` lets Spark plan a partial WindowGroupLimit before
-    the shuffle (for ``n`` up to spark.sql.optimizer.windowGroupLimitThreshold),
-    so a hot key sends at most ``n`` rows per map task instead of all of them.
+    the shuffle, so a hot key sends at most ``n`` rows per map task.  Larger
+    caps run in two phases: the first ``n`` per (key, salt) over
+    ``salt_buckets`` salts, then the first ``n`` per key over those
+    candidates -- a hot key is split into ``salt_buckets`` sorts and the
+    final sort sees at most ``salt_buckets * n`` rows.
     Within one payload use ``parse_documents(max_records=n)``, which is a
     slice of the parsed array and needs no shuffle.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, (str, Column)) else list(order)
-    w = Window.partitionBy(*keys).orderBy(*order)
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     rn = rank_column or "_rn"
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > threshold:
+        salt = F.pmod(F.xxhash64(*order_cols), F.lit(int(salt_buckets)))
+        pre = Window.partitionBy(*keys, "_salt").orderBy(*order_cols)
+        df = (df.withColumn("_salt", salt).withColumn(rn, F.row_number().over(pre))
+                .where(F.col(rn) <= int(n)).drop("_salt", rn))
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
     out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= int(n))
     return out if rank_column else out.drop(rn)

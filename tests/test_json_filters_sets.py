@@ -87,3 +87,15 @@ def test_sets(spark):
     assert out.columns == ["id", "s", "extra"]
     assert sorted(((r.id, r.s, r.extra) for r in out.collect()), key=lambda t: t[1]) == \
         [(1, "x", None), (None, "z", 3.0)]
+
+
+def test_cap_above_threshold_uses_salted_phases(spark):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        rows = [(k, i) for k in range(3) for i in range(10)] + [(9, i) for i in range(300)]
+        df = spark.createDataFrame(rows, "k int, v int")
+        capped = FL.cap_records_per_key(df, "k", "v", 5, salt_buckets=4)
+        want = sorted((k, v) for k in (0, 1, 2, 9) for v in range(5))
+        assert sorted(tuple(r) for r in capped.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
