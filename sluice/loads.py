@@ -64,11 +64,14 @@ def _write(records: DataFrame, table: str | None, path: str | None, fmt: str | N
 def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table: str | None = None,
               path: str | None = None, fmt: str | None = None, row_tags: Sequence[str] | None = None,
               max_records: int | None = None, run_id: str | None = None,
-              feed_ordinal: int | None = None, quarantine_path: str | None = None) -> DataFrame:
+              feed_ordinal: int | None = None, quarantine_path: str | None = None,
+              log_path: str | None = None) -> DataFrame:
     """O-31: load one feed's payloads; returns its run-log rows (materialised).
 
     ``table`` defaults to the feed id without '-' and '.'.  ``payloads``
-    may hold several feeds; only ``endpoint``'s rows are read.
+    may hold several feeds; only ``endpoint``'s rows are read.  With
+    ``log_path`` the run log is appended there and read back (lineage cut by
+    the written table); otherwise it is cached.
     """
     run_id = run_id or uuid.uuid4().hex
     started = _now()
@@ -113,14 +116,29 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
             message.alias("message"),
             F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
         )
-        # Small (one row per request) and cut from the parse lineage, so the
-        # cached documents can be released.
-        log = log.checkpoint(eager=True)
+        log = _materialise(spark, log, log_path, run_id, endpoint)
     finally:
         parsed.unpersist()
     return log
 
 
+def _materialise(spark: SparkSession, log: DataFrame, log_path: str | None,
+                 run_id: str | None = None, endpoint: str | None = None) -> DataFrame:
+    """Make the (small) run log independent of the cached parse.
+
+    Appended to ``log_path`` and read back when given; else cached and
+    counted: if its blocks are lost it is recomputed from the landed
+    payloads, which stay on durable storage.
+    """
+    if log_path:
+        append_path(log, log_path)
+        out = spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path).where(F.col("run_id") == run_id)
+        return out.where(F.col("endpoint") == endpoint) if endpoint else out
+    log = log.persist(StorageLevel.MEMORY_AND_DISK)
+    log.count()
+    return log
+
+
 def _failed_log(payloads: DataFrame, endpoint: str, run_id: str, feed_ordinal: int | None,
                 started: _dt.datetime, message: str) -> DataFrame:
     mine = payloads.where(F.col("endpoint") == endpoint) if "endpoint" in payloads.columns else payloads
@@ -135,7 +153,8 @@ def _failed_log(payloads: DataFrame, endpoint: str, run_id: str, feed_ordinal: i
 def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str] | None = None, *,
                tables: dict[str, str] | None = None, paths: dict[str, str] | None = None,
                fmt: str | None = None, row_tags: dict[str, Sequence[str]] | None = None,
-               run_id: str | None = None, quarantine_path: str | None = None) -> DataFrame:
+               run_id: str | None = None, quarantine_path: str | None = None,
+               log_path: str | None = None) -> DataFrame:
     """O-32 / O-33: every feed's load, each isolated; run log in feed order."""
     run_id = run_id or uuid.uuid4().hex
     logs = []
@@ -144,7 +163,7 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             spark, payloads, endpoint, table=(tables or {}).get(endpoint),
             path=(paths or {}).get(endpoint), fmt=fmt,
             row_tags=(row_tags or {}).get(endpoint), run_id=run_id, feed_ordinal=ordinal,
-            quarantine_path=quarantine_path))
+            quarantine_path=quarantine_path, log_path=log_path))
     out = logs[0]
     for more in logs[1:]:
         out = out.unionByName(more)
@@ -201,7 +220,8 @@ def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None =
             F.when(problem.isNotNull(), F.concat(F.lit("ERROR: "), problem))
              .otherwise(F.lit("" if status == SUCCESS else f"ERROR: {message}")).alias("message"),
             F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
-        ).checkpoint(eager=True)
+        )
+        log = _materialise(spark, log, None)
     finally:
         parsed.unpersist()
     return status, message, log

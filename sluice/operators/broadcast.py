@@ -10,13 +10,28 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 100_000
 
 
+def exact_row_count(df: DataFrame) -> int | None:
+    """Row count from the optimizer's statistics when they are exact
+    (local relations built from driver data), else None."""
+    try:
+        opt = df._jdf.queryExecution().optimizedPlan()
+        if opt.getClass().getSimpleName() != "LocalRelation":
+            return None
+        rc = opt.stats().rowCount()
+        return int(rc.get().toString()) if rc.isDefined() else None
+    except Exception:  # no JVM plan access (e.g. Spark Connect): fall back to counting
+        return None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so it is cheap for small frames and bounded for big
-    ones.  Beyond the bound the join stays a shuffle join (with AQE skew
-    handling), never an unchecked broadcast.
+    Local relations carry an exact row count; anything else is checked with
+    ``limit(max_rows + 1).count()``, which stops reading once the bound is
+    exceeded.  Beyond the bound the join stays a shuffle join (with AQE
+    skew handling), never an unchecked broadcast.
     """
-    n = df.limit(max_rows + 1).count()
+    n = exact_row_count(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

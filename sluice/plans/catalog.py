@@ -135,7 +135,7 @@ def feed_catalog(spark: SparkSession, base_urls: dict[str, dict[str, str]] | Non
             tags = list((row_tags or {}).get(endpoint, DEFAULT_ROW_TAGS))
             rows.append((env, endpoint, ordinal, base, FEED_URL_TEMPLATES[endpoint], tags,
                          table_name_of(endpoint)))
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return _local(spark, rows, CATALOG_SCHEMA)
 
 
 CATALOG_SCHEMA = T.StructType([
@@ -152,10 +152,27 @@ CATALOG_SCHEMA = T.StructType([
 def source_ids(spark: SparkSession, ids: dict[str, list[int]] | None = None) -> DataFrame:
     """(env, mlsSid, id_ordinal) rows; duplicates are kept (one request each)."""
     rows = [(env, int(i), n) for env, lst in (ids or SOURCE_IDS).items() for n, i in enumerate(lst)]
-    return spark.createDataFrame(rows, "env string, mlsSid bigint, id_ordinal int")
+    return _local(spark, rows, T.StructType([T.StructField("env", T.StringType(), False),
+                                             T.StructField("mlsSid", T.LongType(), False),
+                                             T.StructField("id_ordinal", T.IntegerType(), False)]))
 
 
 def schema_rows(spark: SparkSession) -> DataFrame:
     """(endpoint, ordinal, column) listing of the registry, for inspection."""
     rows = [(e, i, c) for e in FEED_ORDER for i, c in enumerate(FEED_COLUMNS[e])]
-    return spark.createDataFrame(rows, "endpoint string, ordinal int, column string")
+    return _local(spark, rows, T.StructType([T.StructField("endpoint", T.StringType(), False),
+                                             T.StructField("ordinal", T.IntegerType(), False),
+                                             T.StructField("column", T.StringType(), False)]))
+
+
+def _local(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Driver configuration as a local relation: Spark then knows its exact
+    size (so broadcast decisions need no extra job)."""
+    import pandas as pd
+    pdf = pd.DataFrame(rows, columns=schema.fieldNames())
+    for f in schema.fields:
+        if isinstance(f.dataType, T.IntegerType):
+            pdf[f.name] = pdf[f.name].astype("int32")
+        elif isinstance(f.dataType, T.LongType):
+            pdf[f.name] = pdf[f.name].astype("int64")
+    return spark.createDataFrame(pdf, schema)

@@ -465,6 +465,33 @@ def q_incremental_load(spark, d):
     return read_incremental(spark, out, LISTINGS)
 
 
+def q_all_feeds_run(spark, d):
+    """O-01/O-06..O-08/O-30..O-34/O-36 end to end: every feed x every 'dev'
+    supplier id is planned, fetched from dropped files, landed and loaded;
+    suppliers with a negative balance have no file (404).  One summary row
+    per feed, in run order."""
+    from sluice.loads import feed_summary, run_feeds
+    s = table(spark, d, "supplier")
+    sources = s.where(F.col("s_nationkey") < 13).select(F.lit("dev").alias("env"), F.col("s_suppkey").alias("mlsSid"))
+    reqs = plan_requests(feed_catalog(spark), sources, env="dev", from_date="06-16-2022", as_of=AS_OF)
+    drop = scratch_path(spark, "drop")
+    present = reqs.join(s.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("mlsSid"),
+                                                                "s_name", "s_nationkey"), "mlsSid")
+    # Each feed's first four declared columns carry the supplier's fields.
+    second = F.coalesce(*[F.when(F.col("endpoint") == e, F.lit(feed_columns(e)[1])) for e in FEED_ORDER])
+    third = F.coalesce(*[F.when(F.col("endpoint") == e, F.lit(feed_columns(e)[2])) for e in FEED_ORDER])
+    body = F.format_string("<r><row><mlsSid>%d</mlsSid><%s>%s</%s><%s>%d</%s></row></r>",
+                           F.col("mlsSid"), second, F.col("s_name"), second, third, F.col("s_nationkey"), third)
+    export_documents(present.select("endpoint", "landing_name", body.alias("body")), drop) \
+        .agg(F.sum("bytes")).collect()
+    root = scratch_path(spark, "feeds")
+    paths = {e: f"{root}/{e}" for e in FEED_ORDER}
+    log = run_feeds(spark, env="dev", from_date="06-16-2022", as_of=AS_OF, transport=FileTransport(drop),
+                    sources=sources, landing_path=scratch_path(spark, "landing"), paths=paths,
+                    concurrency=spark.sparkContext.defaultParallelism)
+    return feed_summary(log).select("feed_ordinal", "endpoint", "requests", "failed_requests", "rows", "result")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_listings30": q_feed_listings30,
     "xml_roundtrip_orders": q_xml_roundtrip_orders,
@@ -497,6 +524,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_load_rows": q_feed_load_rows,
     "json_load_log": q_json_load_log,
     "incremental_load": q_incremental_load,
+    "all_feeds_run": q_all_feeds_run,
 }
 
 
@@ -604,4 +632,13 @@ ORACLE_SQL: dict[str, str] = {
     "json_load_log": (f"SELECT 'success' AS run_status, * EXCLUDE (c_custkey) FROM ({_API_SQL}) "
                       f"UNION ALL SELECT 'success' AS run_status, * EXCLUDE (c_custkey) FROM ({_API_SQL})"),
     "incremental_load": listing_oracle(),
+    "all_feeds_run": ("SELECT f.feed_ordinal, f.endpoint, count(*) AS requests, "
+                      "sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) AS failed_requests, "
+                      "sum(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END) AS rows, "
+                      "CASE WHEN sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) = 0 THEN 'success' "
+                      "ELSE printf('ERROR: %d of %d requests failed', "
+                      "sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END), count(*)) END AS result "
+                      "FROM supplier JOIN (VALUES " + ", ".join(f"({i}, '{e}')" for i, e in enumerate(FEED_ORDER))
+                      + ") AS f(feed_ordinal, endpoint) ON true WHERE s_nationkey < 13 "
+                      "GROUP BY f.feed_ordinal, f.endpoint"),
 }

@@ -150,3 +150,13 @@ def test_unknown_feed_is_a_failed_row(spark):
     p = _payloads(spark, [("r1", "nope-1.0", 7, None, GOOD)])
     r = load_feed(spark, p, "nope-1.0").first()
     assert (r.request_id, r.status, r.message) == ("r1", "failed", "ERROR: unknown feed")
+
+
+def test_run_log_written_and_read_back(spark, scratch):
+    p = _payloads(spark, [("a", "agents-all-1.0", 7, None, GOOD), ("b", "office-2.0", 7, None, BAD)])
+    logs = scratch("log")
+    paths = {"agents-all-1.0": scratch("a"), "office-2.0": scratch("o")}
+    log = load_feeds(spark, p, ["office-2.0", "agents-all-1.0"], paths=paths, log_path=logs, run_id="run-1")
+    assert sorted((r.endpoint, r.status) for r in log.collect()) == [("agents-all-1.0", "success"),
+                                                                      ("office-2.0", "failed")]
+    assert spark.read.parquet(logs).where("run_id = 'run-1'").count() == 2
