@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Let the request source skip requests excluded by a filter (no fetch).
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -52,12 +54,23 @@ def shared_dir(spark: SparkSession) -> str:
     and registered as the checkpoint dir, so ``DataFrame.checkpoint`` and
     sluice's scratch tables land in the same place.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        sc = None
+    d = sc.getCheckpointDir() if sc is not None else None
     if not d:
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            d = None
+    if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-ckpt-"))
+        local = tempfile.mkdtemp(prefix="sluice-ckpt-")
+        if sc is None:
+            return local
+        sc.setCheckpointDir(local)
         d = sc.getCheckpointDir()
     return d.rstrip("/")
 

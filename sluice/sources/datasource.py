@@ -7,15 +7,21 @@ its requests inside an executor task with the transport bound to the
 source class (so the token never appears in options or plans).
 
     requests.write.parquet(plan_path)
-    spark.dataSource.register(payload_source(HttpTransport(token=...)))
-    payloads = spark.read.format("sluice_payloads").option("requests", plan_path).load()
+    payloads = read_payloads(spark, plan_path, HttpTransport(token=...))
+    payloads.where("endpoint = 'listings-3.0'")   # other requests are never fetched
+
+Equality and IN predicates on ``endpoint``, ``mlsSid`` and ``request_id``
+are pushed into the reader (``pushFilters``) when the session enables
+Python filter pushdown: the requests they exclude are skipped before any
+network call.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from sluice.sources.fetch import FETCH_INPUT, PAYLOAD_SCHEMA
 
@@ -47,15 +53,22 @@ def _list_slices(root: str) -> list[RequestSlice]:
     return out
 
 
+PUSHABLE = {"endpoint", "mlsSid", "request_id"}
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, transport):
         self.root = options["requests"]
         self.run_id = options.get("run_id")
         self.transport = transport
+        self.allowed: dict[str, set] = {}
 
     def partitions(self):
         return _list_slices(self.root)
 
+    def _wanted(self, req: dict) -> bool:
+        return all(req[c] in vals for c, vals in self.allowed.items())
+
     def read(self, partition: RequestSlice):
         import pyarrow.parquet as pq
 
@@ -64,6 +77,8 @@ class _Reader(DataSourceReader):
         with filesystem.open_input_file(partition.path) as f:
             table = pq.ParquetFile(f).read_row_group(partition.row_group, columns=FETCH_INPUT)
         for req in table.to_pylist():
+            if self.allowed and not self._wanted(req):
+                continue
             try:
                 status, body, error = self.transport(req)
             except Exception as e:  # a transport bug fails the request, not the task
@@ -73,6 +88,20 @@ class _Reader(DataSourceReader):
                    _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), req["load_date"])
 
 
+class _PushdownReader(_Reader):
+    def pushFilters(self, filters):
+        for f in filters:
+            col = f.attribute[0] if len(f.attribute) == 1 else None
+            if isinstance(f, EqualTo) and col in PUSHABLE:
+                vals = {f.value}
+            elif isinstance(f, In) and col in PUSHABLE:
+                vals = set(f.value)
+            else:
+                yield f
+                continue
+            self.allowed[col] = self.allowed.get(col, vals) & vals
+
+
 def payload_source(transport, name: str = "sluice_payloads") -> type[DataSource]:
     """A DataSource class bound to ``transport``; register it with
     ``spark.dataSource.register``."""
@@ -86,6 +115,20 @@ def payload_source(transport, name: str = "sluice_payloads") -> type[DataSource]
             return PAYLOAD_SCHEMA
 
         def reader(self, schema):
+            if str(self.options.get("pushdown", "false")).lower() == "true":
+                return _PushdownReader(self.options, transport)
             return _Reader(self.options, transport)
 
     return PayloadSource
+
+
+def read_payloads(spark: SparkSession, requests_path: str, transport, run_id: str | None = None,
+                  name: str = "sluice_payloads") -> DataFrame:
+    """Register the source for ``transport`` and read the request table at
+    ``requests_path`` through it (filters pushed when the session allows)."""
+    spark.dataSource.register(payload_source(transport, name))
+    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
+    reader = spark.read.format(name).option("requests", requests_path).option("pushdown", str(pushdown).lower())
+    if run_id:
+        reader = reader.option("run_id", run_id)
+    return reader.load()

@@ -160,3 +160,24 @@ def test_run_log_written_and_read_back(spark, scratch):
     assert sorted((r.endpoint, r.status) for r in log.collect()) == [("agents-all-1.0", "success"),
                                                                       ("office-2.0", "failed")]
     assert spark.read.parquet(logs).where("run_id = 'run-1'").count() == 2
+
+
+def test_data_source_pushdown_skips_fetches(spark, scratch):
+    from sluice.sources.datasource import read_payloads
+
+    calls = scratch("calls").replace("file:", "")
+    os.makedirs(calls)
+
+    class Counting(FileTransport):
+        def __call__(self, request):
+            with open(f"{calls}/{request['request_id'].replace(':', '_')}", "w") as f:
+                f.write("x")
+            return super().__call__(request)
+
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", as_of="2022-06-17")
+    plan_path = scratch("plan")
+    reqs.repartition(2).write.parquet(plan_path)
+    payloads = read_payloads(spark, plan_path, Counting(scratch("empty")), name="sluice_counting")
+    got = payloads.where((F.col("endpoint") == "office-2.0") & F.col("mlsSid").isin(14, 36, 99)).collect()
+    assert sorted(r.mlsSid for r in got) == [14, 36]
+    assert len(os.listdir(calls)) == 2
