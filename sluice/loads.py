@@ -92,20 +92,22 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
     try:
         write_error = _write(explode_records(parsed, cols), table, path, fmt)
         finished = _now()
+        quarantine_note = ""
         if quarantine_path:
             bad = (parsed.where(~F.col("fetched") | F.col("malformed"))
                          .select(F.lit(run_id).alias("run_id"), F.lit(endpoint).alias("endpoint"),
                                  "request_id", "mlsSid",
                                  F.when(~F.col("fetched"), F.lit("fetch failed"))
                                   .otherwise(F.lit("malformed document")).alias("reason")))
-            append_path(bad, quarantine_path)
+            q_error = _write(bad, None, quarantine_path, "parquet")
+            quarantine_note = f" (quarantine not written: {q_error})" if q_error else ""
         status = (F.when(F.lit(write_error is not None), F.lit(FAILED))
                    .when(~F.col("fetched") | F.col("malformed"), F.lit(FAILED))
                    .otherwise(F.lit(SUCCESS)))
         message = (F.when(F.lit(write_error is not None), F.lit(f"ERROR: write: {write_error}"))
                     .when(~F.col("fetched"),
                           F.concat(F.lit("ERROR: fetch: "), F.coalesce(F.col("error"), F.lit("no payload"))))
-                    .when(F.col("malformed"), F.lit("ERROR: malformed document"))
+                    .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note))
                     .otherwise(F.lit("")))
         log = parsed.select(
             F.lit(run_id).alias("run_id"),

@@ -24,6 +24,9 @@ CASES = [
     ("leading zeros", "<r><row><a>007</a><b>1e5</b></row></r>", [(N, "007", "1e5")]),
     ("text null", "<r><row><a>null</a></row></r>", [(N, "null", N)]),
     ("no rows", "<r/>", []),
+    ("not a direct child", "<r><row><x><a>1</a></x><b>2</b></row></r>", [(N, N, "2")]),
+    ("declaration", "<?xml version='1.0' encoding='UTF-8'?>\n<r><row><a>1</a></row></r>", [(N, "1", N)]),
+    ("unicode", "<r><row><a>日本 – ü</a></row></r>", [(N, "日本 – ü", N)]),
     # Documented difference: markup inside a declared leaf comes back as its
     # raw inner text instead of the text before the first child.
     ("default xmlns", "<r xmlns='u'><row><a>1</a></row></r>", [(N, "1", N)]),
