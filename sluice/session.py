@@ -78,3 +78,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never reused location under the shared folder."""
     return f"{shared_dir(spark)}/sluice/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the session (shuffle partitions when no context is reachable)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -19,18 +19,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.dates import mdy, default_window
+from sluice.functions.dates import default_window
 from sluice.functions.names import landing_name, table_name
 from sluice.loads import load_feed, load_json_api
 from sluice.operators import filters as FL
 from sluice.operators.jsonapi import API_SCHEMA, infer_json_schema, parse_json, project_api_result
 from sluice.operators.sets import concat_by_name, union_all
-from sluice.operators.xml import (build_documents, explode_records, parse_documents, parse_records,
+from sluice.operators.xml import (build_documents, parse_documents, parse_records,
                                   parse_tagged_records, quarantine)
 from sluice.plans.catalog import (FEED_ORDER, FEED_URL_TEMPLATES, example_base_url, feed_catalog,
                                   feed_columns)
 from sluice.plans.requests import plan_requests
-from sluice.session import scratch_path
+from sluice.session import default_parallelism, scratch_path
 from sluice.sinks.tables import append_table
 from sluice.sources.fetch import fetch_payloads
 from sluice.sources.landing import export_documents, land_payloads, read_landed
@@ -396,7 +396,7 @@ def q_raw_landing(spark, d):
         F.col("doc").alias("mlsSid"), F.lit("").alias("fromDate"), F.lit("").alias("toDate"),
         F.lit("file").alias("url"), "landing_name", F.to_date(F.lit(AS_OF)).alias("load_date"))
     landing = scratch_path(spark, "landing")
-    land_payloads(fetch_payloads(requests, FileTransport(drop), concurrency=spark.sparkContext.defaultParallelism),
+    land_payloads(fetch_payloads(requests, FileTransport(drop), concurrency=default_parallelism(spark)),
                   landing)
     payloads = read_landed(spark, landing, endpoint="orders-1.0", load_date=AS_OF)
     parsed = parse_documents(payloads, o.columns, keep=["mlsSid", "http_status"])
@@ -488,7 +488,7 @@ def q_all_feeds_run(spark, d):
     paths = {e: f"{root}/{e}" for e in FEED_ORDER}
     log = run_feeds(spark, env="dev", from_date="06-16-2022", as_of=AS_OF, transport=FileTransport(drop),
                     sources=sources, landing_path=scratch_path(spark, "landing"), paths=paths,
-                    concurrency=spark.sparkContext.defaultParallelism)
+                    concurrency=default_parallelism(spark))
     return feed_summary(log).select("feed_ordinal", "endpoint", "requests", "failed_requests", "rows", "result")
 
 
