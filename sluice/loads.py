@@ -65,13 +65,15 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
               path: str | None = None, fmt: str | None = None, row_tags: Sequence[str] | None = None,
               max_records: int | None = None, run_id: str | None = None,
               feed_ordinal: int | None = None, quarantine_path: str | None = None,
-              log_path: str | None = None) -> DataFrame:
+              log_path: str | None = None, check_tags: bool = False) -> DataFrame:
     """O-31: load one feed's payloads; returns its run-log rows (materialised).
 
     ``table`` defaults to the feed id without '-' and '.'.  ``payloads``
     may hold several feeds; only ``endpoint``'s rows are read.  With
     ``log_path`` the run log is appended there and read back (lineage cut by
-    the written table); otherwise it is cached.
+    the written table); otherwise it is cached.  ``check_tags`` counts
+    children of the root that no configured row tag matched and reports
+    them in the message (an extra XPath pass over well-formed documents).
     """
     run_id = run_id or uuid.uuid4().hex
     started = _now()
@@ -88,7 +90,8 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
                       _col_or(mine, "error", None, "string").alias("error"),
                       F.col("body"))
     parsed = parse_documents(src, cols, row_tags or DEFAULT_ROW_TAGS, keep=keep,
-                             max_records=max_records).persist(StorageLevel.MEMORY_AND_DISK)
+                             max_records=max_records, check_tags=check_tags) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_error = _write(explode_records(parsed, cols), table, path, fmt)
         finished = _now()
@@ -107,8 +110,11 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
         message = (F.when(F.lit(write_error is not None), F.lit(f"ERROR: write: {write_error}"))
                     .when(~F.col("fetched"),
                           F.concat(F.lit("ERROR: fetch: "), F.coalesce(F.col("error"), F.lit("no payload"))))
-                    .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note))
-                    .otherwise(F.lit("")))
+                    .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note)))
+        if check_tags:
+            message = message.when(F.col("untagged") > 0, F.format_string(
+                "WARNING: %d records under unconfigured row tags", F.col("untagged")))
+        message = message.otherwise(F.lit(""))
         log = parsed.select(
             F.lit(run_id).alias("run_id"),
             F.lit(feed_ordinal).cast("int").alias("feed_ordinal"),

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="sluice-tests", shuffle_partitions=8)
+    # Tests only: a private warehouse, so catalog tables do not land in the working directory.
+    warehouse = tempfile.mkdtemp(prefix="sluice-warehouse-")
+    s = build_session("local[4]", app="sluice-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

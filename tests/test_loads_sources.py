@@ -181,3 +181,27 @@ def test_data_source_pushdown_skips_fetches(spark, scratch):
     got = payloads.where((F.col("endpoint") == "office-2.0") & F.col("mlsSid").isin(14, 36, 99)).collect()
     assert sorted(r.mlsSid for r in got) == [14, 36]
     assert len(os.listdir(calls)) == 2
+
+
+def test_unconfigured_tags_are_reported(spark, scratch):
+    doc = "<r><row><agentId>1</agentId></row><agent><agentId>2</agentId></agent></r>"
+    p = _payloads(spark, [("r1", "agents-all-1.0", 7, None, doc)])
+    r = load_feed(spark, p, "agents-all-1.0", path=scratch("t"), check_tags=True).first()
+    assert (r.status, r.rows, r.message) == ("success", 1, "WARNING: 1 records under unconfigured row tags")
+    r2 = load_feed(spark, p, "agents-all-1.0", path=scratch("t"), check_tags=True,
+                   row_tags=["row", "agent"]).first()
+    assert (r2.rows, r2.message) == (2, "")
+
+
+def test_cli_file_run(spark, scratch, capsys):
+    from sluice.cli import main
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", endpoints=["agents-all-1.0"],
+                         as_of="2022-06-17")
+    drop = scratch("drop")
+    export_documents(reqs.select("endpoint", "landing_name",
+                                 F.format_string("<r><row><agentId>%d</agentId></row></r>", "mlsSid")
+                                 .alias("body")), drop).count()
+    code = main(["--env", "uat", "--endpoint", "agents-all-1.0", "--as-of", "2022-06-17",
+                 "--landing", scratch("landing"), "--transport", "file", "--root", drop])
+    assert code == 0
+    assert "agents-all-1.0\tsuccess\trows=7" in capsys.readouterr().out
