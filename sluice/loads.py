@@ -256,13 +256,15 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
 
     run_id = run_id or uuid.uuid4().hex
     started = _now()
+    # One run date for the plan and for reading the landing partitions back.
+    as_of = str(as_of) if as_of is not None else started.date().isoformat()
     wanted = list(endpoints or FEED_ORDER)
     feeds = feeds if feeds is not None else feed_catalog(spark)
     sources = sources if sources is not None else source_ids(spark)
     requests = plan_requests(feeds, sources, env=env, endpoints=wanted, from_date=from_date,
                              to_date=to_date, as_of=as_of)
     land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id), landing_path)
-    landed = read_landed(spark, landing_path, run_id=run_id)
+    landed = read_landed(spark, landing_path, load_date=as_of, run_id=run_id)
     known = [e for e in wanted if e in FEED_ORDER]
     log = load_feeds(spark, landed, known,
                      tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,

@@ -10,6 +10,8 @@ document are read with ``read_landed_files``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +33,32 @@ def land_payloads(payloads: DataFrame, path: str) -> None:
              .option("parquet.block.size", LANDING_ROW_GROUP_BYTES).parquet(path))
 
 
+_PLAIN = re.compile(r"^[A-Za-z0-9._-]+$")
+
+
+def partition_path(path: str, endpoint: str | None = None, load_date=None) -> str:
+    """Directory (or glob) holding the given partitions, so Spark lists only
+    those files instead of the whole landing history."""
+    e = "*" if endpoint is None else str(endpoint)
+    d = "*" if load_date is None else str(load_date)
+    if (endpoint is None and load_date is None) or not (_PLAIN.match(e) or e == "*") \
+            or not (_PLAIN.match(d) or d == "*"):
+        return path
+    return f"{path}/endpoint={e}/load_date={d}"
+
+
 def read_landed(spark: SparkSession, path: str, endpoint: str | None = None,
                 load_date=None, run_id: str | None = None) -> DataFrame:
-    """Landed payloads; ``endpoint`` / ``load_date`` prune partitions,
-    ``run_id`` keeps one run's payloads (pushed to the parquet reader)."""
-    df = spark.read.schema(PAYLOAD_SCHEMA).parquet(path)
+    """Landed payloads; ``endpoint`` / ``load_date`` select partition
+    directories (only they are listed), ``run_id`` keeps one run's payloads
+    (pushed to the parquet reader)."""
+    where = partition_path(path, endpoint, load_date)
+    try:
+        df = spark.read.schema(PAYLOAD_SCHEMA).option("basePath", path).parquet(where)
+    except Exception as e:  # nothing landed for these partitions yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        df = spark.createDataFrame([], PAYLOAD_SCHEMA)
     if run_id is not None:
         df = df.where(F.col("run_id") == run_id)
     if endpoint is not None:

@@ -45,7 +45,10 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
         reader = (spark.readStream.format("text").option("wholetext", True)
                   .option("pathGlobFilter", glob))
     else:
-        reader = spark.readStream.schema(PAYLOAD_SCHEMA)
+        # Only this feed's subtree of the landing table is listed per trigger;
+        # its endpoint is then a constant, not a partition column.
+        reader = spark.readStream.schema(
+            T.StructType([f for f in PAYLOAD_SCHEMA.fields if f.name != "endpoint"]))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if files:
@@ -53,7 +56,9 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
             F.col("_metadata.file_name").alias("request_id"),
             F.lit(None).cast("bigint").alias("mlsSid"), F.col("value").alias("body"))
     else:
-        src = reader.parquet(landing_path).where(F.col("endpoint") == endpoint)
+        feed_dir = f"{landing_path.rstrip('/')}/endpoint={endpoint}"
+        _ensure_dir(feed_dir)
+        src = reader.parquet(feed_dir).withColumn("endpoint", F.lit(endpoint))
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -81,6 +86,12 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     return len(seen)
 
 
+def _ensure_dir(path: str) -> None:
+    from sluice.sources.transport import _filesystem
+    filesystem, local = _filesystem(path)
+    filesystem.create_dir(local, recursive=True)
+
+
 def read_incremental(spark: SparkSession, table_path: str, endpoint: str,
                      with_batch: bool = False) -> DataFrame:
     """The incrementally loaded table (declared schema)."""

@@ -43,3 +43,22 @@ def test_landing_scan_reads_only_needed_columns(spark, scratch):
     df = read_landed(spark, landing, endpoint="listings-3.0").select("body")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<body:string>" in plan
+
+
+def test_landing_reads_list_only_selected_partitions(spark, scratch):
+    import datetime as dt
+
+    from sluice.sources.landing import partition_path
+    rows = [("r1", "a-1.0", "<r/>", dt.date(2022, 6, 17)), ("r2", "b-1.0", "<r/>", dt.date(2022, 6, 17)),
+            ("r3", "a-1.0", "<r/>", dt.date(2022, 6, 18))]
+    landing = scratch("landing")
+    land_payloads(spark.createDataFrame(rows, "request_id string, endpoint string, body string, load_date date"),
+                  landing)
+    one = read_landed(spark, landing, endpoint="a-1.0", load_date="2022-06-17")
+    assert [(r.request_id, r.endpoint) for r in one.collect()] == [("r1", "a-1.0")]
+    files = one.inputFiles()
+    assert files and all("endpoint=a-1.0/load_date=2022-06-17/" in f for f in files)
+    day = read_landed(spark, landing, load_date="2022-06-17")
+    assert sorted(r.request_id for r in day.collect()) == ["r1", "r2"]
+    assert read_landed(spark, landing, endpoint="zzz-1.0").count() == 0
+    assert partition_path("/x", "we:ird", None) == "/x"
