@@ -266,6 +266,14 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
     land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id), landing_path)
     landed = read_landed(spark, landing_path, load_date=as_of, run_id=run_id)
     known = [e for e in wanted if e in FEED_ORDER]
+    # Per-feed settings come from the catalog (configuration, bounded by
+    # #environments x #feeds) unless given explicitly.
+    config = {r.endpoint: r for r in feeds.where(F.col("env") == env)
+              .select("endpoint", "row_tags", "table_name").collect()}
+    if row_tags is None:
+        row_tags = {e: list(c.row_tags) for e, c in config.items() if c.row_tags}
+    if tables is None and paths is None:
+        tables = {e: c.table_name for e, c in config.items()}
     log = load_feeds(spark, landed, known,
                      tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
                      quarantine_path=quarantine_path) if known else None

@@ -205,3 +205,19 @@ def test_cli_file_run(spark, scratch, capsys):
                  "--landing", scratch("landing"), "--transport", "file", "--root", drop])
     assert code == 0
     assert "agents-all-1.0\tsuccess\trows=7" in capsys.readouterr().out
+
+
+def test_run_feeds_uses_catalog_row_tags(spark, scratch):
+    from sluice.loads import run_feeds
+    cat = feed_catalog(spark, row_tags={"agents-all-1.0": ["agent"]})
+    reqs = plan_requests(cat, source_ids(spark), env="uat", endpoints=["agents-all-1.0"], as_of="2022-06-17")
+    drop = scratch("drop")
+    export_documents(reqs.select("endpoint", "landing_name",
+                                 F.format_string("<r><agent><agentId>%d</agentId></agent></r>", "mlsSid")
+                                 .alias("body")), drop).count()
+    out = scratch("t")
+    log = run_feeds(spark, env="uat", endpoints=["agents-all-1.0"], as_of="2022-06-17", feeds=cat,
+                    transport=FileTransport(drop), landing_path=scratch("landing"),
+                    paths={"agents-all-1.0": out})
+    assert sum(r.rows for r in log.collect()) == 7
+    assert spark.read.parquet(out).count() == 7
