@@ -42,7 +42,7 @@ def _q(name: str) -> str:
 def document_schema(columns: Sequence[str], row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> str:
     """DDL of a whole document: one array of records per row tag, plus the
     corrupt-record column."""
-    rec = "struct<" + ", ".join(f"{_q(c)}: array<string>" for c in columns) + ">"
+    rec = _rec_ddl(columns)
     return ", ".join(f"{_q(t)} array<{rec}>" for t in row_tags) + f", {BAD} string"
 
 
