@@ -35,8 +35,10 @@ PAYLOAD_SCHEMA = T.StructType([
     T.StructField("load_date", T.DateType()),
 ])
 
-# Rows handed back to Spark per Arrow batch: bodies can be large.
-_OUT_CHUNK = 16
+# Rows / body bytes handed back to Spark per Arrow batch: bodies can be large,
+# so a batch is closed at whichever bound is reached first.
+_OUT_ROWS = 16
+_OUT_BYTES = 64 * 1024 * 1024
 
 
 def _fetcher(transport, run_id):
@@ -46,7 +48,7 @@ def _fetcher(transport, run_id):
 
     def run(batches):
         for pdf in batches:
-            out = []
+            out, size = [], 0
             for req in pdf.to_dict("records"):
                 try:
                     status, body, error = transport(req)
@@ -61,9 +63,10 @@ def _fetcher(transport, run_id):
                     "fetched_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                     "load_date": req["load_date"],
                 })
-                if len(out) >= _OUT_CHUNK:
+                size += len(body) if body else 0
+                if len(out) >= _OUT_ROWS or size >= _OUT_BYTES:
                     yield _frame(pd, out, names)
-                    out = []
+                    out, size = [], 0
             if out:
                 yield _frame(pd, out, names)
     return run
