@@ -77,7 +77,8 @@ class HttpTransport:
         try:
             req = urllib.request.Request(url, headers=self.headers, method="GET")
             with urllib.request.urlopen(req, timeout=self.timeout) as resp:
-                status = resp.status
+                # Non-HTTP schemes (file:, data:) have no status: a read is a success.
+                status = getattr(resp, "status", None) or 200
                 data = resp.read()
         except urllib.error.HTTPError as e:
             return e.code, None, f"HTTP {e.code}"

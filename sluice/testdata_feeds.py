@@ -373,11 +373,12 @@ def q_table_names(spark, d):
 def q_append_twice(spark, d):
     """O-28/O-29: two appends to one table; re-running a range duplicates it."""
     o = table(spark, d, "orders")
-    recs = parse_records(row_documents(o, "o_orderkey"), o.columns)
+    recs = parse_records(row_documents(o, "o_orderkey"), o.columns).persist()
     name = f"sluice_append_{uuid.uuid4().hex[:10]}"
     path = scratch_path(spark, "append")
     append_table(recs, name, fmt="parquet", path=path)
     append_table(recs, name, fmt="parquet", path=path)
+    recs.unpersist()
     spark.catalog.refreshTable(name)
     return cast_back(spark.table(name), o)
 

@@ -221,3 +221,12 @@ def test_run_feeds_uses_catalog_row_tags(spark, scratch):
                     paths={"agents-all-1.0": out})
     assert sum(r.rows for r in log.collect()) == 7
     assert spark.read.parquet(out).count() == 7
+
+
+def test_http_transport_success_path(spark):
+    import base64
+    doc = "<r><row><agentId>1</agentId></row></r>"
+    url = "data:text/xml;base64," + base64.b64encode(doc.encode()).decode() + "{1}"
+    t = HttpTransport(token="", timeout=5)
+    status, body, err = t({"url": url, "landing_name": "x", "endpoint": "e"})
+    assert (status, body, err) == (200, doc, None)
