@@ -67,6 +67,24 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
     )
 
 
+def plan_api_requests(spark: SparkSession, url: str, passes: int = 2, endpoint: str = "api",
+                      as_of=None) -> DataFrame:
+    """O-02: one API URL fetched ``passes`` times (each call may answer with a
+    different sample).  Same columns as ``plan_requests``."""
+    base = spark.range(1).select(F.lit(url).alias("url"))
+    run_day = as_of_col(as_of)
+    return (base.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(int(passes)))))
+                .select(F.concat_ws(":", F.lit(endpoint), F.col("pass").cast("string")).alias("request_id"),
+                        F.lit(0).alias("feed_ordinal"), F.lit(0).alias("id_ordinal"), "pass",
+                        F.lit(None).cast("string").alias("env"), F.lit(endpoint).alias("endpoint"),
+                        F.lit(None).cast("bigint").alias("mlsSid"), F.lit(None).cast("string").alias("fromDate"),
+                        F.lit(None).cast("string").alias("toDate"), "url",
+                        F.concat(F.lit(endpoint + "."), F.col("pass").cast("string"), F.lit(".json"))
+                        .alias("landing_name"),
+                        table_name(F.lit(endpoint)).alias("table_name"),
+                        F.array().cast("array<string>").alias("row_tags"), run_day.alias("load_date")))
+
+
 def unknown_requests(wanted: DataFrame, feeds: DataFrame) -> DataFrame:
     """O-07 misses: requested (env, endpoint) pairs absent from the catalog."""
     return wanted.join(broadcast_if_small(feeds.select("env", "endpoint")), ["env", "endpoint"], "left_anti")

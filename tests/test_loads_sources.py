@@ -230,3 +230,18 @@ def test_http_transport_success_path(spark):
     t = HttpTransport(token="", timeout=5)
     status, body, err = t({"url": url, "landing_name": "x", "endpoint": "e"})
     assert (status, body, err) == (200, doc, None)
+
+
+def test_json_api_job_fetches_twice(spark, scratch):
+    import base64
+    from sluice.plans.requests import plan_api_requests
+    ok = '{"status": 200, "result": {"country": "c", "european_electoral_region": "e", "latitude": 1.5, ' \
+         '"longitude": 2.0, "parliamentary_constituency": "p", "region": "r"}}'
+    url = "data:application/json;base64," + base64.b64encode(ok.encode()).decode()
+    reqs = plan_api_requests(spark, url, passes=2, as_of="2022-06-17")
+    payloads = fetch_payloads(reqs, HttpTransport(timeout=5))
+    path = scratch("api")
+    status, message, log = load_json_api(spark, payloads, path=path)
+    assert status == "success" and [r.status for r in log.collect()] == ["success", "success"]
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 2 and {(r.country, r.latitude) for r in rows} == {("c", "1.5")}
