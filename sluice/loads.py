@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.jsonapi import API_REQUIRED, API_SCHEMA, parse_json, project_api_result
-from sluice.operators.xml import explode_records, parse_documents
+from sluice.operators.xml import document_status, explode_records, parse_documents
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, UnknownFeed, feed_columns, table_name_of
 from sluice.sinks.tables import append_path, append_table
 
@@ -61,6 +61,28 @@ def _write(records: DataFrame, table: str | None, path: str | None, fmt: str | N
         return f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
 
 
+_PYTHON_NODES = ("MapInPandas", "MapInArrow", "InPandas", "EvalPython", "PythonUDF")
+
+
+def replayable(df: DataFrame) -> bool:
+    """True when reading ``df`` twice gives the same rows without side
+    effects: no Python-evaluated node and no Python data source in the plan
+    (a fetch would run again).  Landed payloads (file scans) are replayable."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if any(k in plan.toString() for k in _PYTHON_NODES):
+            return False
+        leaves = plan.collectLeaves()
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            if leaf.getClass().getSimpleName() == "DataSourceV2Relation" and \
+                    "python" in leaf.table().getClass().getName().lower():
+                return False
+        return True
+    except Exception:  # plan not inspectable: assume the worst
+        return False
+
+
 def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table: str | None = None,
               path: str | None = None, fmt: str | None = None, row_tags: Sequence[str] | None = None,
               max_records: int | None = None, run_id: str | None = None,
@@ -89,50 +111,58 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
                       _col_or(mine, "mlsSid", None, "bigint").alias("mlsSid"),
                       _col_or(mine, "error", None, "string").alias("error"),
                       F.col("body"))
-    parsed = parse_documents(src, cols, row_tags or DEFAULT_ROW_TAGS, keep=keep,
-                             max_records=max_records, check_tags=check_tags) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_error = _write(explode_records(parsed, cols), table, path, fmt)
-        finished = _now()
-        quarantine_note = ""
-        if quarantine_path:
-            bad = (parsed.where(~F.col("fetched") | F.col("malformed"))
-                         .select(F.lit(run_id).alias("run_id"), F.lit(endpoint).alias("endpoint"),
-                                 "request_id", "mlsSid",
-                                 F.when(~F.col("fetched"), F.lit("fetch failed"))
-                                  .otherwise(F.lit("malformed document")).alias("reason")))
-            q_error = _write(bad, None, quarantine_path, "parquet")
-            quarantine_note = f" (quarantine not written: {q_error})" if q_error else ""
-        status = (F.when(F.lit(write_error is not None), F.lit(FAILED))
-                   .when(~F.col("fetched") | F.col("malformed"), F.lit(FAILED))
-                   .otherwise(F.lit(SUCCESS)))
-        message = (F.when(F.lit(write_error is not None), F.lit(f"ERROR: write: {write_error}"))
-                    .when(~F.col("fetched"),
-                          F.concat(F.lit("ERROR: fetch: "), F.coalesce(F.col("error"), F.lit("no payload"))))
-                    .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note)))
-        if check_tags:
-            message = message.when(F.col("untagged") > 0, F.format_string(
-                "WARNING: %d records under unconfigured row tags", F.col("untagged")))
-        message = message.otherwise(F.lit(""))
-        log = parsed.select(
-            F.lit(run_id).alias("run_id"),
-            F.lit(feed_ordinal).cast("int").alias("feed_ordinal"),
-            "request_id", F.lit(endpoint).alias("endpoint"), "mlsSid",
-            status.alias("status"),
-            F.when(status == SUCCESS, F.col("n_records")).otherwise(F.lit(0)).cast("bigint").alias("rows"),
-            message.alias("message"),
-            F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
-        )
-        log = _materialise(spark, log, log_path, run_id, endpoint)
-    finally:
-        parsed.unpersist()
+    tags = list(row_tags or DEFAULT_ROW_TAGS)
+    # Records from the full parse; the run log from a light status pass over
+    # the same (immutable, landed) bodies -- cheaper than caching the parse.
+    # Payloads straight from a fetch are not re-readable: keep their raw
+    # bodies (not the parse) for the second pass.
+    cached = None if replayable(src) else src.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        src = cached
+    records = explode_records(parse_documents(src, cols, tags, keep=[], max_records=max_records), cols)
+    write_error = _write(records, table, path, fmt)
+    finished = _now()
+    status_rows = document_status(src, tags, keep=keep, max_records=max_records,
+                                  check_tags=check_tags, probe=cols[0])
+    quarantine_note = ""
+    if quarantine_path:
+        bad = (status_rows.where(~F.col("fetched") | F.col("malformed"))
+                          .select(F.lit(run_id).alias("run_id"), F.lit(endpoint).alias("endpoint"),
+                                  "request_id", "mlsSid",
+                                  F.when(~F.col("fetched"), F.lit("fetch failed"))
+                                   .otherwise(F.lit("malformed document")).alias("reason")))
+        q_error = _write(bad, None, quarantine_path, "parquet")
+        quarantine_note = f" (quarantine not written: {q_error})" if q_error else ""
+    status = (F.when(F.lit(write_error is not None), F.lit(FAILED))
+               .when(~F.col("fetched") | F.col("malformed"), F.lit(FAILED))
+               .otherwise(F.lit(SUCCESS)))
+    message = (F.when(F.lit(write_error is not None), F.lit(f"ERROR: write: {write_error}"))
+                .when(~F.col("fetched"),
+                      F.concat(F.lit("ERROR: fetch: "), F.coalesce(F.col("error"), F.lit("no payload"))))
+                .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note)))
+    if check_tags:
+        message = message.when(F.col("untagged") > 0, F.format_string(
+            "WARNING: %d records under unconfigured row tags", F.col("untagged")))
+    message = message.otherwise(F.lit(""))
+    log = status_rows.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(feed_ordinal).cast("int").alias("feed_ordinal"),
+        "request_id", F.lit(endpoint).alias("endpoint"), "mlsSid",
+        status.alias("status"),
+        F.when(status == SUCCESS, F.col("n_records")).otherwise(F.lit(0)).cast("bigint").alias("rows"),
+        message.alias("message"),
+        F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
+    )
+    log = _materialise(spark, log, log_path, run_id, endpoint)
+    if cached is not None:
+        cached.unpersist()
     return log
 
 
 def _materialise(spark: SparkSession, log: DataFrame, log_path: str | None,
                  run_id: str | None = None, endpoint: str | None = None) -> DataFrame:
-    """Make the (small) run log independent of the cached parse.
+    """Fix the (small) run log once: its timestamps and statuses describe
+    this run, so it must not be re-derived later.
 
     Appended to ``log_path`` and read back when given; else cached and
     counted: if its blocks are lost it is recomputed from the landed

@@ -4,7 +4,7 @@ The landing table is a file stream source; its checkpoint remembers which
 files were processed, so ``trigger(availableNow=True)`` parses only what
 arrived since the last run and then stops (a scheduled daily increment).
 
-Each micro-batch is parsed once and written to ``<table>/batch_id=<n>``
+Each micro-batch's records are written to ``<table>/batch_id=<n>``
 with overwrite: if a batch is replayed after a failure, it replaces its own
 output instead of appending it twice, so the table holds every record
 exactly once.  Malformed payloads go to ``<quarantine>/batch_id=<n>`` the
@@ -15,12 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.xml import explode_records, parse_documents
+from sluice.operators.xml import document_status, explode_records, parse_documents
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
 from sluice.sources.fetch import PAYLOAD_SCHEMA
 from sluice.sources.landing import LANDING_PARTITIONS
@@ -62,20 +61,19 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_documents(batch, cols, tags, keep=["request_id", "mlsSid"]) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            (explode_records(parsed, cols).write.mode("overwrite")
-                .parquet(f"{table_path}/{BATCH_COLUMN}={batch_id}"))
-            if quarantine_path:
-                (parsed.where(~F.col("fetched") | F.col("malformed"))
-                       .select("request_id", "mlsSid",
-                               F.when(~F.col("fetched"), F.lit("fetch failed"))
-                                .otherwise(F.lit("malformed document")).alias("reason"))
-                       .write.mode("overwrite")
-                       .parquet(f"{quarantine_path}/{BATCH_COLUMN}={batch_id}"))
-        finally:
-            parsed.unpersist()
+        # A micro-batch reads a fixed list of files, so the records (full
+        # parse) and the quarantine (light status pass) read it separately
+        # instead of caching the parsed documents.
+        (explode_records(parse_documents(batch, cols, tags, keep=[]), cols)
+            .write.mode("overwrite").parquet(f"{table_path}/{BATCH_COLUMN}={batch_id}"))
+        if quarantine_path:
+            status = document_status(batch, tags, keep=["request_id", "mlsSid"], probe=cols[0])
+            (status.where(~F.col("fetched") | F.col("malformed"))
+                   .select("request_id", "mlsSid",
+                           F.when(~F.col("fetched"), F.lit("fetch failed"))
+                            .otherwise(F.lit("malformed document")).alias("reason"))
+                   .write.mode("overwrite")
+                   .parquet(f"{quarantine_path}/{BATCH_COLUMN}={batch_id}"))
         seen.append(batch_id)
 
     query = (src.writeStream.foreachBatch(write_batch)

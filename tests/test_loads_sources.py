@@ -245,3 +245,33 @@ def test_json_api_job_fetches_twice(spark, scratch):
     assert status == "success" and [r.status for r in log.collect()] == ["success", "success"]
     rows = spark.read.parquet(path).collect()
     assert len(rows) == 2 and {(r.country, r.latitude) for r in rows} == {("c", "1.5")}
+
+
+def test_replayable_detection(spark, scratch):
+    from sluice.loads import replayable
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", as_of="2022-06-17")
+    assert not replayable(fetch_payloads(reqs, FileTransport(scratch("x"))))
+    landing = scratch("landing")
+    land_payloads(fetch_payloads(reqs, FileTransport(scratch("x"))), landing)
+    assert replayable(read_landed(spark, landing))
+
+
+def test_live_fetch_loaded_directly_fetches_once(spark, scratch):
+    calls = scratch("calls").replace("file:", "")
+    os.makedirs(calls)
+
+    class Counting(FileTransport):
+        def __call__(self, request):
+            with open(f"{calls}/{os.urandom(6).hex()}", "w") as f:
+                f.write(request["request_id"])
+            return super().__call__(request)
+
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", endpoints=["agents-all-1.0"],
+                         as_of="2022-06-17")
+    drop = scratch("drop")
+    export_documents(reqs.select("endpoint", "landing_name",
+                                 F.format_string("<r><row><agentId>%d</agentId></row></r>", "mlsSid")
+                                 .alias("body")), drop).count()
+    log = load_feed(spark, fetch_payloads(reqs, Counting(drop)), "agents-all-1.0", path=scratch("t"))
+    assert sum(r.rows for r in log.collect()) == 7
+    assert len(os.listdir(calls)) == 7
