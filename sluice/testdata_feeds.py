@@ -425,17 +425,25 @@ def _agent_payloads(spark, d):
                          F.when(F.col("has_high"), F.lit("HTTP 503")).alias("error"), body.alias("body"))
 
 
+def _landed_agent_payloads(spark, d):
+    """The agents-all-1.0 payloads landed first, then read back: the load
+    reads the landing table, as in production."""
+    landing = scratch_path(spark, "landing")
+    land_payloads(_agent_payloads(spark, d).withColumn("load_date", F.to_date(F.lit(AS_OF))), landing)
+    return read_landed(spark, landing, endpoint=AGENTS_ALL, load_date=AS_OF)
+
+
 def q_feed_load_log(spark, d):
     """O-31..O-34/O-36: one feed load; run log per request (time columns left out)."""
     path = scratch_path(spark, "feed")
-    log = load_feed(spark, _agent_payloads(spark, d), AGENTS_ALL, path=path)
+    log = load_feed(spark, _landed_agent_payloads(spark, d), AGENTS_ALL, path=path)
     return log.select("request_id", "endpoint", "status", "rows", "message")
 
 
 def q_feed_load_rows(spark, d):
     """O-31/O-28: what the feed load appended (the agents-all-1.0 table)."""
     path = scratch_path(spark, "feed")
-    load_feed(spark, _agent_payloads(spark, d), AGENTS_ALL, path=path)
+    load_feed(spark, _landed_agent_payloads(spark, d), AGENTS_ALL, path=path)
     return spark.read.parquet(path)
 
 
