@@ -43,12 +43,18 @@ def parse_json(payloads: DataFrame, schema: str | T.StructType = API_SCHEMA, *,
     fetched = F.col("_body").isNotNull()
     malformed = fetched & (F.col(f"_j.{BAD}").isNotNull() | F.col("_j").isNull())
     missing: Column = F.array().cast("array<string>")
-    for path, keys in (required or {}).items():
-        obj = F.col("_body") if path == "$" else F.get_json_object(F.col("_body"), path)
-        have = F.coalesce(F.json_object_keys(obj), F.array().cast("array<string>"))
-        miss = F.filter(F.array(*[F.lit(k) for k in keys]), lambda k: ~F.array_contains(have, k))
-        prefix = "" if path == "$" else path.removeprefix("$.") + "."
-        missing = F.concat(missing, F.transform(miss, lambda k: F.concat(F.lit(prefix), k)))
+    if required:
+        # Key presence from maps of raw values: the body is scanned once more
+        # as a map (top level), nested objects only as their own substrings.
+        top = F.from_json(F.col("_body"), "map<string,string>")
+        for path, keys in required.items():
+            obj = top
+            for seg in [p for p in path.removeprefix("$").split(".") if p]:
+                obj = F.from_json(obj[seg], "map<string,string>")
+            have = F.coalesce(F.map_keys(obj), F.array().cast("array<string>"))
+            miss = F.filter(F.array(*[F.lit(k) for k in keys]), lambda k: ~F.array_contains(have, k))
+            prefix = "" if path == "$" else path.removeprefix("$.") + "."
+            missing = F.concat(missing, F.transform(miss, lambda k: F.concat(F.lit(prefix), k)))
     out = payloads.select(*keep, F.col(body).alias("_body")).select(*keep, "_body", j.alias("_j"))
     return out.select(*keep, F.col("_j").dropFields(BAD).alias("j"), fetched.alias("fetched"),
                       malformed.alias("malformed"),
