@@ -30,13 +30,15 @@ BATCH_COLUMN = "batch_id"
 def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, table_path: str,
                      checkpoint: str, *, quarantine_path: str | None = None,
                      row_tags: Sequence[str] | None = None,
-                     max_files_per_trigger: int | None = None, files: bool = False,
+                     max_files_per_trigger: int | None = 1000, files: bool = False,
                      glob: str = "*.xml") -> int:
     """Run one availableNow pass; returns the number of micro-batches run.
 
     ``landing_path`` is the landing table (parquet, see ``sources.landing``),
     or with ``files=True`` a folder where each document is its own file
-    (read whole; the file name becomes the request id).
+    (read whole; the file name becomes the request id).  A backlog is worked
+    off in micro-batches of at most ``max_files_per_trigger`` files, each
+    committed on its own.
     """
     cols = feed_columns(endpoint)
     tags = row_tags or DEFAULT_ROW_TAGS

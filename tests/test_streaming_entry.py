@@ -81,3 +81,11 @@ def test_incremental_from_file_drops(spark, scratch):
     incremental_load(spark, drop, "agents-all-1.0", out, ckpt, files=True)
     got = sorted(r.agentId for r in read_incremental(spark, out, "agents-all-1.0").collect())
     assert got == ["a1", "a2", "a3"]
+
+
+def test_backlog_in_bounded_batches(spark, scratch):
+    landing, out, ckpt = scratch("landing"), scratch("out"), scratch("ckpt")
+    for i in range(3):
+        land_payloads(_landed(spark, [(10 + i, doc(10 + i))]).coalesce(1), landing)
+    assert incremental_load(spark, landing, "agents-all-1.0", out, ckpt, max_files_per_trigger=1) == 3
+    assert read_incremental(spark, out, "agents-all-1.0").count() == 3
