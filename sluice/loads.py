@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from sluice.operators.jsonapi import API_REQUIRED, API_SCHEMA, parse_json, project_api_result
 from sluice.operators.xml import document_status, explode_records, parse_documents
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, UnknownFeed, feed_columns, table_name_of
+from sluice.session import default_parallelism
 from sluice.sinks.tables import append_path, append_table
 
 RUN_LOG_SCHEMA = T.StructType([
@@ -293,6 +294,9 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
     sources = sources if sources is not None else source_ids(spark)
     requests = plan_requests(feeds, sources, env=env, endpoints=wanted, from_date=from_date,
                              to_date=to_date, as_of=as_of)
+    # Requests in flight = tasks; by default one per task slot (bound it to
+    # what the feed server accepts with ``concurrency``).
+    concurrency = concurrency or default_parallelism(spark)
     land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id), landing_path)
     landed = read_landed(spark, landing_path, load_date=as_of, run_id=run_id)
     known = [e for e in wanted if e in FEED_ORDER]
