@@ -34,3 +34,11 @@ def fill_template(template, slots: dict[int, Column]) -> Column:
     for n, value in sorted(slots.items()):
         out = F.replace(out, F.lit("{%d}" % n), F.coalesce(as_col(value).cast("string"), F.lit("")))
     return out
+
+
+def xml_text(c) -> Column:
+    """Text escaped for an XML element body ('&', '<', '>')."""
+    out = as_col(c) if not isinstance(c, str) else F.col(c)
+    for ch, ent in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(ch), F.lit(ent))
+    return out

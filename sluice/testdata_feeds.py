@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.dates import default_window
-from sluice.functions.names import landing_name, table_name
+from sluice.functions.names import landing_name, table_name, xml_text
 from sluice.loads import load_feed, load_json_api
 from sluice.operators import filters as FL
 from sluice.operators.jsonapi import API_SCHEMA, infer_json_schema, parse_json, project_api_result
@@ -486,11 +486,11 @@ def q_all_feeds_run(spark, d):
     drop = scratch_path(spark, "drop")
     present = reqs.join(s.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("mlsSid"),
                                                                 "s_name", "s_nationkey"), "mlsSid")
-    # Each feed's first four declared columns carry the supplier's fields.
+    # Each feed's first three declared columns carry the supplier's fields.
     second = F.coalesce(*[F.when(F.col("endpoint") == e, F.lit(feed_columns(e)[1])) for e in FEED_ORDER])
     third = F.coalesce(*[F.when(F.col("endpoint") == e, F.lit(feed_columns(e)[2])) for e in FEED_ORDER])
     body = F.format_string("<r><row><mlsSid>%d</mlsSid><%s>%s</%s><%s>%d</%s></row></r>",
-                           F.col("mlsSid"), second, F.col("s_name"), second, third, F.col("s_nationkey"), third)
+                           F.col("mlsSid"), second, xml_text("s_name"), second, third, F.col("s_nationkey"), third)
     export_documents(present.select("endpoint", "landing_name", body.alias("body")), drop) \
         .agg(F.sum("bytes")).collect()
     root = scratch_path(spark, "feeds")
