@@ -31,14 +31,15 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
                      checkpoint: str, *, quarantine_path: str | None = None,
                      row_tags: Sequence[str] | None = None,
                      max_files_per_trigger: int | None = 1000, files: bool = False,
-                     glob: str = "*.xml") -> int:
+                     glob: str = "*.xml", every: str | None = None):
     """Run one availableNow pass; returns the number of micro-batches run.
 
     ``landing_path`` is the landing table (parquet, see ``sources.landing``),
     or with ``files=True`` a folder where each document is its own file
     (read whole; the file name becomes the request id).  A backlog is worked
     off in micro-batches of at most ``max_files_per_trigger`` files, each
-    committed on its own.
+    committed on its own.  With ``every`` (e.g. ``"5 minutes"``) the query
+    keeps running on a processing-time trigger and is returned instead.
     """
     cols = feed_columns(endpoint)
     tags = row_tags or DEFAULT_ROW_TAGS
@@ -78,10 +79,10 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
                    .parquet(f"{quarantine_path}/{BATCH_COLUMN}={batch_id}"))
         seen.append(batch_id)
 
-    query = (src.writeStream.foreachBatch(write_batch)
-                .option("checkpointLocation", checkpoint)
-                .trigger(availableNow=True)
-                .start())
+    writer = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    if every:
+        return writer.trigger(processingTime=every).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return len(seen)
 

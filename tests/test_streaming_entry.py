@@ -89,3 +89,16 @@ def test_backlog_in_bounded_batches(spark, scratch):
         land_payloads(_landed(spark, [(10 + i, doc(10 + i))]).coalesce(1), landing)
     assert incremental_load(spark, landing, "agents-all-1.0", out, ckpt, max_files_per_trigger=1) == 3
     assert read_incremental(spark, out, "agents-all-1.0").count() == 3
+
+
+def test_always_on_incremental(spark, scratch):
+    landing, out, ckpt = scratch("landing"), scratch("out"), scratch("ckpt")
+    land_payloads(_landed(spark, [(21, doc(21))]), landing)
+    q = incremental_load(spark, landing, "agents-all-1.0", out, ckpt, every="1 second")
+    try:
+        q.processAllAvailable()
+        land_payloads(_landed(spark, [(22, doc(22))]), landing)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.agentId for r in read_incremental(spark, out, "agents-all-1.0").collect()) == ["a21", "a22"]
