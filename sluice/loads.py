@@ -1,12 +1,13 @@
 """Feed loads and the run log (O-31 .. O-36).
 
-A load is: landed payloads of one feed -> parse (once) -> records appended
-to the feed's table -> one run-log row per request.  Failures are data:
-a failed fetch, a malformed document or a failed write marks the affected
+A load is: landed payloads of a feed -> full parse -> records appended to
+the feed's table -> one run-log row per request.  Failures are data: a
+failed fetch, a malformed document or a failed write marks the affected
 requests ``failed`` with an ``ERROR: ...`` message, and the other requests
-and feeds go on.  An all-feed run is one load per configured feed over the
-same landed payloads (partition pruning reads each feed's part once);
-Spark runs the parsing in parallel inside each load.
+and feeds go on.  An all-feed run writes each feed's records in its own
+job over the same landed payloads (partition pruning reads each feed's
+part), and takes the run log of all feeds from one light status pass;
+Spark runs the parsing in parallel inside each job.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 from sluice.operators.jsonapi import API_REQUIRED, API_SCHEMA, parse_json, project_api_result
 from sluice.operators.xml import document_status, explode_records, parse_documents
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, UnknownFeed, feed_columns, table_name_of
+from sluice.operators.broadcast import broadcast_if_small
 from sluice.session import default_parallelism
 from sluice.sinks.tables import append_path, append_table
 
@@ -98,70 +100,112 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
     children of the root that no configured row tag matched and reports
     them in the message (an extra XPath pass over well-formed documents).
     """
+    return load_feeds(spark, payloads, [endpoint],
+                      tables={endpoint: table} if table else None,
+                      paths={endpoint: path} if path else None, fmt=fmt,
+                      row_tags={endpoint: row_tags} if row_tags else None, max_records=max_records,
+                      run_id=run_id, feed_ordinals={endpoint: feed_ordinal},
+                      quarantine_path=quarantine_path, log_path=log_path, check_tags=check_tags)
+
+
+def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str] | None = None, *,
+               tables: dict[str, str] | None = None, paths: dict[str, str] | None = None,
+               fmt: str | None = None, row_tags: dict[str, Sequence[str]] | None = None,
+               max_records: int | None = None, run_id: str | None = None,
+               feed_ordinals: dict[str, int | None] | None = None,
+               quarantine_path: str | None = None, log_path: str | None = None,
+               check_tags: bool = False) -> DataFrame:
+    """O-31..O-33: load every feed's payloads, each isolated; one run log.
+
+    Per feed, the records come from the full parse of its payloads and are
+    appended to its table (one job per feed: each feed has its own table).
+    The run log of all feeds then comes from a single light status pass
+    (``xml.document_status``) over the same payloads -- no parsed document
+    is cached.  Payloads that are not replayable (a live fetch) have their
+    raw bodies cached so that no request is fetched twice.
+    """
     run_id = run_id or uuid.uuid4().hex
     started = _now()
-    try:
-        cols = feed_columns(endpoint)
-    except UnknownFeed:
-        return _failed_log(payloads, endpoint, run_id, feed_ordinal, started, "ERROR: unknown feed")
-    if table is None and path is None:
-        table = table_name_of(endpoint)
-    mine = payloads.where(F.col("endpoint") == endpoint) if "endpoint" in payloads.columns else payloads
-    keep = ["request_id", "mlsSid", "error"]
-    src = mine.select(_col_or(mine, "request_id", None, "string").alias("request_id"),
-                      _col_or(mine, "mlsSid", None, "bigint").alias("mlsSid"),
-                      _col_or(mine, "error", None, "string").alias("error"),
-                      F.col("body"))
-    tags = list(row_tags or DEFAULT_ROW_TAGS)
-    # Records from the full parse; the run log from a light status pass over
-    # the same (immutable, landed) bodies -- cheaper than caching the parse.
-    # Payloads straight from a fetch are not re-readable: keep their raw
-    # bodies (not the parse) for the second pass.
+    endpoints = list(endpoints or FEED_ORDER)
+    if "endpoint" not in payloads.columns:
+        if len(endpoints) != 1:
+            raise ValueError("payloads without an endpoint column can feed one endpoint only")
+        payloads = payloads.withColumn("endpoint", F.lit(endpoints[0]))
+    src = payloads.select(_col_or(payloads, "request_id", None, "string").alias("request_id"),
+                          _col_or(payloads, "mlsSid", None, "bigint").alias("mlsSid"),
+                          _col_or(payloads, "error", None, "string").alias("error"),
+                          F.col("endpoint").cast("string").alias("endpoint"), F.col("body"))
     cached = None if replayable(src) else src.persist(StorageLevel.MEMORY_AND_DISK)
     if cached is not None:
         src = cached
-    records = explode_records(parse_documents(src, cols, tags, keep=[], max_records=max_records), cols)
-    write_error = _write(records, table, path, fmt)
-    finished = _now()
-    status_rows = document_status(src, tags, keep=keep, max_records=max_records,
-                                  check_tags=check_tags, probe=cols[0])
-    quarantine_note = ""
-    if quarantine_path:
-        bad = (status_rows.where(~F.col("fetched") | F.col("malformed"))
-                          .select(F.lit(run_id).alias("run_id"), F.lit(endpoint).alias("endpoint"),
-                                  "request_id", "mlsSid",
-                                  F.when(~F.col("fetched"), F.lit("fetch failed"))
-                                   .otherwise(F.lit("malformed document")).alias("reason")))
-        q_error = _write(bad, None, quarantine_path, "parquet")
-        quarantine_note = f" (quarantine not written: {q_error})" if q_error else ""
-    status = (F.when(F.lit(write_error is not None), F.lit(FAILED))
-               .when(~F.col("fetched") | F.col("malformed"), F.lit(FAILED))
-               .otherwise(F.lit(SUCCESS)))
-    message = (F.when(F.lit(write_error is not None), F.lit(f"ERROR: write: {write_error}"))
-                .when(~F.col("fetched"),
-                      F.concat(F.lit("ERROR: fetch: "), F.coalesce(F.col("error"), F.lit("no payload"))))
-                .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note)))
-    if check_tags:
-        message = message.when(F.col("untagged") > 0, F.format_string(
-            "WARNING: %d records under unconfigured row tags", F.col("untagged")))
-    message = message.otherwise(F.lit(""))
-    log = status_rows.select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(feed_ordinal).cast("int").alias("feed_ordinal"),
-        "request_id", F.lit(endpoint).alias("endpoint"), "mlsSid",
-        status.alias("status"),
-        F.when(status == SUCCESS, F.col("n_records")).otherwise(F.lit(0)).cast("bigint").alias("rows"),
-        message.alias("message"),
-        F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
-    )
-    log = _materialise(spark, log, log_path, run_id, endpoint)
+    feeds, unknown, groups = [], [], {}
+    for n, endpoint in enumerate(endpoints):
+        ordinal = (feed_ordinals or {}).get(endpoint, n)
+        try:
+            cols = feed_columns(endpoint)
+        except UnknownFeed:
+            unknown.append((endpoint, ordinal))
+            continue
+        tags = tuple((row_tags or {}).get(endpoint) or DEFAULT_ROW_TAGS)
+        table = (tables or {}).get(endpoint)
+        path = (paths or {}).get(endpoint)
+        if table is None and path is None:
+            table = table_name_of(endpoint)
+        mine = src.where(F.col("endpoint") == endpoint)
+        records = explode_records(parse_documents(mine, cols, tags, keep=[], max_records=max_records), cols)
+        error = _write(records, table, path, fmt)
+        feeds.append((endpoint, ordinal, error, _now()))
+        groups.setdefault((tags, cols[0]), []).append(endpoint)
+    parts = []
+    if feeds:
+        # One status pass for all feeds: a union of scans, one per row-tag set.
+        status = None
+        for (tags, probe), members in groups.items():
+            part = document_status(src.where(F.col("endpoint").isin(members)), list(tags),
+                                   keep=["request_id", "mlsSid", "error", "endpoint"],
+                                   max_records=max_records, check_tags=check_tags, probe=probe)
+            if not check_tags:
+                part = part.withColumn("untagged", F.lit(0))
+            status = part if status is None else status.unionByName(part)
+        info = spark.createDataFrame(
+            [(e, o, err, fin) for e, o, err, fin in feeds],
+            "endpoint string, feed_ordinal int, write_error string, finished_at timestamp")
+        status = status.join(broadcast_if_small(info), "endpoint")
+        quarantine_note = ""
+        if quarantine_path:
+            bad = (status.where(~F.col("fetched") | F.col("malformed"))
+                         .select(F.lit(run_id).alias("run_id"), "endpoint", "request_id", "mlsSid",
+                                 F.when(~F.col("fetched"), F.lit("fetch failed"))
+                                  .otherwise(F.lit("malformed document")).alias("reason")))
+            q_error = _write(bad, None, quarantine_path, "parquet")
+            quarantine_note = f" (quarantine not written: {q_error})" if q_error else ""
+        failed = F.col("write_error").isNotNull() | ~F.col("fetched") | F.col("malformed")
+        message = (F.when(F.col("write_error").isNotNull(), F.concat(F.lit("ERROR: write: "), "write_error"))
+                    .when(~F.col("fetched"),
+                          F.concat(F.lit("ERROR: fetch: "), F.coalesce(F.col("error"), F.lit("no payload"))))
+                    .when(F.col("malformed"), F.lit("ERROR: malformed document" + quarantine_note))
+                    .when(F.col("untagged") > 0, F.format_string(
+                        "WARNING: %d records under unconfigured row tags", F.col("untagged")))
+                    .otherwise(F.lit("")))
+        parts.append(status.select(
+            F.lit(run_id).alias("run_id"), F.col("feed_ordinal").cast("int").alias("feed_ordinal"),
+            "request_id", "endpoint", "mlsSid",
+            F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCESS)).alias("status"),
+            F.when(failed, F.lit(0)).otherwise(F.col("n_records")).cast("bigint").alias("rows"),
+            message.alias("message"), F.lit(started).alias("started_at"), "finished_at"))
+    for endpoint, ordinal in unknown:
+        parts.append(_failed_log(src, endpoint, run_id, ordinal, started, "ERROR: unknown feed"))
+    log = parts[0]
+    for more in parts[1:]:
+        log = log.unionByName(more)
+    log = _materialise(spark, log, log_path, run_id)
     if cached is not None:
         cached.unpersist()
     return log
 
 
 def _materialise(spark: SparkSession, log: DataFrame, log_path: str | None,
-                 run_id: str | None = None, endpoint: str | None = None) -> DataFrame:
+                 run_id: str | None = None) -> DataFrame:
     """Fix the (small) run log once: its timestamps and statuses describe
     this run, so it must not be re-derived later.
 
@@ -171,8 +215,7 @@ def _materialise(spark: SparkSession, log: DataFrame, log_path: str | None,
     """
     if log_path:
         append_path(log, log_path)
-        out = spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path).where(F.col("run_id") == run_id)
-        return out.where(F.col("endpoint") == endpoint) if endpoint else out
+        return spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path).where(F.col("run_id") == run_id)
     log = log.persist(StorageLevel.MEMORY_AND_DISK)
     log.count()
     return log
@@ -189,26 +232,6 @@ def _failed_log(payloads: DataFrame, endpoint: str, run_id: str, feed_ordinal: i
         F.lit(started).alias("started_at"), F.lit(_now()).alias("finished_at"))
 
 
-def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str] | None = None, *,
-               tables: dict[str, str] | None = None, paths: dict[str, str] | None = None,
-               fmt: str | None = None, row_tags: dict[str, Sequence[str]] | None = None,
-               run_id: str | None = None, quarantine_path: str | None = None,
-               log_path: str | None = None) -> DataFrame:
-    """O-32 / O-33: every feed's load, each isolated; run log in feed order."""
-    run_id = run_id or uuid.uuid4().hex
-    logs = []
-    for ordinal, endpoint in enumerate(endpoints or FEED_ORDER):
-        logs.append(load_feed(
-            spark, payloads, endpoint, table=(tables or {}).get(endpoint),
-            path=(paths or {}).get(endpoint), fmt=fmt,
-            row_tags=(row_tags or {}).get(endpoint), run_id=run_id, feed_ordinal=ordinal,
-            quarantine_path=quarantine_path, log_path=log_path))
-    out = logs[0]
-    for more in logs[1:]:
-        out = out.unionByName(more)
-    return out
-
-
 def feed_summary(run_log: DataFrame) -> DataFrame:
     """One row per feed in run order: 'success' or 'ERROR: <n> of <m> requests failed'."""
     failed = F.sum(F.when(F.col("status") == FAILED, 1).otherwise(0))
