@@ -131,7 +131,10 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
         if len(endpoints) != 1:
             raise ValueError("payloads without an endpoint column can feed one endpoint only")
         payloads = payloads.withColumn("endpoint", F.lit(endpoints[0]))
+    # Parts of one split document share the request id; the log adds them up.
+    split = "part" in payloads.columns
     src = payloads.select(_col_or(payloads, "request_id", None, "string").alias("request_id"),
+                          _col_or(payloads, "part", 0, "int").alias("part"),
                           _col_or(payloads, "mlsSid", None, "bigint").alias("mlsSid"),
                           _col_or(payloads, "error", None, "string").alias("error"),
                           F.col("endpoint").cast("string").alias("endpoint"), F.col("body"))
@@ -167,6 +170,11 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             if not check_tags:
                 part = part.withColumn("untagged", F.lit(0))
             status = part if status is None else status.unionByName(part)
+        if split:
+            # a request's parts: at most (document size / split size) rows each
+            status = (status.groupBy("request_id", "mlsSid", "error", "endpoint")
+                            .agg(F.max("fetched").alias("fetched"), F.max("malformed").alias("malformed"),
+                                 F.sum("n_records").alias("n_records"), F.sum("untagged").alias("untagged")))
         info = spark.createDataFrame(
             [(e, o, err, fin) for e, o, err, fin in feeds],
             "endpoint string, feed_ordinal int, write_error string, finished_at timestamp")
@@ -194,7 +202,8 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             F.when(failed, F.lit(0)).otherwise(F.col("n_records")).cast("bigint").alias("rows"),
             message.alias("message"), F.lit(started).alias("started_at"), "finished_at"))
     for endpoint, ordinal in unknown:
-        parts.append(_failed_log(src, endpoint, run_id, ordinal, started, "ERROR: unknown feed"))
+        parts.append(_failed_log(src.where(F.col("part") == 0), endpoint, run_id, ordinal, started,
+                                 "ERROR: unknown feed"))
     log = parts[0]
     for more in parts[1:]:
         log = log.unionByName(more)

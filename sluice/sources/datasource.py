@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from sluice.sources.fetch import FETCH_INPUT, PAYLOAD_SCHEMA
+from sluice.sources.split import DEFAULT_SPLIT_BYTES, split_document
 
 
 class RequestSlice(InputPartition):
@@ -60,6 +61,8 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict, transport):
         self.root = options["requests"]
         self.run_id = options.get("run_id")
+        split = options.get("split_bytes", str(DEFAULT_SPLIT_BYTES))
+        self.split_bytes = int(split) if split and int(split) > 0 else None
         self.transport = transport
         self.allowed: dict[str, set] = {}
 
@@ -83,9 +86,12 @@ class _Reader(DataSourceReader):
                 status, body, error = self.transport(req)
             except Exception as e:  # a transport bug fails the request, not the task
                 status, body, error = None, None, f"{type(e).__name__}: {e}"
-            yield (self.run_id, req["request_id"], req["feed_ordinal"], req["endpoint"], req["mlsSid"],
-                   req["fromDate"], req["toDate"], req["landing_name"], status, error, body,
-                   _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), req["load_date"])
+            parts = split_document(body, self.split_bytes) if body and self.split_bytes else None
+            fetched_at = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            for n, text in enumerate(parts or [body]):
+                yield (self.run_id, req["request_id"], n, req["feed_ordinal"], req["endpoint"], req["mlsSid"],
+                       req["fromDate"], req["toDate"], req["landing_name"], status, error, text,
+                       fetched_at, req["load_date"])
 
 
 class _PushdownReader(_Reader):

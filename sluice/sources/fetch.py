@@ -16,12 +16,15 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sluice.sources.split import DEFAULT_SPLIT_BYTES, split_rows
+
 FETCH_INPUT = ["request_id", "feed_ordinal", "endpoint", "mlsSid", "fromDate", "toDate", "url",
                "landing_name", "load_date"]
 
 PAYLOAD_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("request_id", T.StringType()),
+    T.StructField("part", T.IntegerType()),
     T.StructField("feed_ordinal", T.IntegerType()),
     T.StructField("endpoint", T.StringType()),
     T.StructField("mlsSid", T.LongType()),
@@ -41,7 +44,7 @@ _OUT_ROWS = 16
 _OUT_BYTES = 64 * 1024 * 1024
 
 
-def _fetcher(transport, run_id):
+def _fetcher(transport, run_id, split_bytes):
     import pandas as pd
 
     names = [f.name for f in PAYLOAD_SCHEMA.fields]
@@ -54,15 +57,16 @@ def _fetcher(transport, run_id):
                     status, body, error = transport(req)
                 except Exception as e:  # transport bugs must not kill the task
                     status, body, error = None, None, f"{type(e).__name__}: {e}"
-                out.append({
-                    "run_id": run_id, "request_id": req["request_id"], "feed_ordinal": req["feed_ordinal"],
-                    "endpoint": req["endpoint"], "mlsSid": req["mlsSid"],
+                row = {
+                    "run_id": run_id, "request_id": req["request_id"], "part": 0,
+                    "feed_ordinal": req["feed_ordinal"], "endpoint": req["endpoint"], "mlsSid": req["mlsSid"],
                     "fromDate": req["fromDate"], "toDate": req["toDate"],
                     "landing_name": req["landing_name"],
                     "http_status": status, "error": error, "body": body,
                     "fetched_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                     "load_date": req["load_date"],
-                })
+                }
+                out.extend(split_rows([row], split_bytes) if split_bytes and body else [row])
                 size += len(body) if body else 0
                 if len(out) >= _OUT_ROWS or size >= _OUT_BYTES:
                     yield _frame(pd, out, names)
@@ -75,15 +79,21 @@ def _fetcher(transport, run_id):
 def _frame(pd, rows, names):
     df = pd.DataFrame(rows, columns=names)
     df["http_status"] = df["http_status"].astype("Int32")
+    df["part"] = df["part"].astype("Int32")
     df["feed_ordinal"] = df["feed_ordinal"].astype("Int32")
     df["mlsSid"] = df["mlsSid"].astype("Int64")
     return df
 
 
 def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = None,
-                   run_id: str | None = None) -> DataFrame:
-    """One payload row per request, fetched by ``transport`` inside tasks."""
+                   run_id: str | None = None, split_bytes: int | None = DEFAULT_SPLIT_BYTES) -> DataFrame:
+    """One payload row per request, fetched by ``transport`` inside tasks.
+
+    A body above ``split_bytes`` is split at record boundaries into parts
+    (``part`` 0, 1, ...) so that its parse spreads over several tasks
+    (``sources.split``); None keeps every body whole.
+    """
     reqs = requests.select(*FETCH_INPUT)
     if concurrency:
         reqs = reqs.repartition(int(concurrency), "request_id")
-    return reqs.mapInPandas(_fetcher(transport, run_id), PAYLOAD_SCHEMA)
+    return reqs.mapInPandas(_fetcher(transport, run_id, split_bytes), PAYLOAD_SCHEMA)
