@@ -27,6 +27,8 @@ DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
 def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES) -> list[str] | None:
     """Slices of ``body`` of about ``max_bytes`` each, or None to keep it whole
     (small, malformed, or fewer than two records)."""
+    if len(body) * 4 <= max_bytes:        # at most 4 bytes per character: surely small
+        return None
     data = body.encode("utf-8")
     if len(data) <= max_bytes:
         return None
