@@ -34,6 +34,7 @@ from sluice.session import default_parallelism, scratch_path
 from sluice.sinks.tables import append_table
 from sluice.sources.fetch import fetch_payloads
 from sluice.sources.landing import export_documents, land_payloads, read_landed
+from sluice.sources.split import split_documents
 from sluice.sources.transport import FileTransport
 from sluice.streaming.incremental import incremental_load, read_incremental
 
@@ -145,6 +146,15 @@ def q_xml_roundtrip_lineitem(spark, d):
     return _roundtrip(spark, d, "lineitem", None)
 
 
+def q_xml_split_lineitem(spark, d):
+    """Hot-source documents: lineitem in documents of 4096 records, split at
+    record boundaries into ~256 KB parts, parsed part by part."""
+    src = table(spark, d, "lineitem")
+    docs = row_documents(src, None, rows=4096)
+    parts = split_documents(docs.select("doc", "body"), max_bytes=256 * 1024)
+    return cast_back(parse_records(parts, src.columns), src)
+
+
 def q_xml_documents_text(spark, d):
     """Whole texts (up to ~130k chars) through XML escaping and back."""
     return _roundtrip(spark, d, "documents", "doc_id")
@@ -505,6 +515,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_listings30": q_feed_listings30,
     "xml_roundtrip_orders": q_xml_roundtrip_orders,
     "xml_roundtrip_lineitem": q_xml_roundtrip_lineitem,
+    "xml_split_lineitem": q_xml_split_lineitem,
     "xml_documents_text": q_xml_documents_text,
     "xml_missing_fields": q_xml_missing_fields,
     "xml_bad_payloads": q_xml_bad_payloads,
@@ -579,6 +590,7 @@ ORACLE_SQL: dict[str, str] = {
     "feed_listings30": listing_oracle(),
     "xml_roundtrip_orders": "SELECT * FROM orders",
     "xml_roundtrip_lineitem": "SELECT * FROM lineitem",
+    "xml_split_lineitem": "SELECT * FROM lineitem",
     "xml_documents_text": "SELECT doc_id, NULLIF(text, '') AS text, lang, source, n_chars FROM documents",
     "xml_missing_fields": ("SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_name END AS c_name, c_nationkey, "
                            "c_acctbal, c_mktsegment FROM customer"),
