@@ -98,3 +98,14 @@ def test_declared_schema_even_when_empty(spark):
     df = spark.createDataFrame([("1", "x")], "agentId string, extra string")
     out = to_declared(df, "agents-all-1.0")
     assert out.columns[:2] == ["mlsSid", "agentId"] and out.first().agentId == "1"
+
+
+def test_external_entities_are_never_resolved(spark, tmp_path):
+    secret = tmp_path / "secret.txt"
+    secret.write_text("TOPSECRET")
+    doc = (f'<?xml version="1.0"?><!DOCTYPE r [<!ENTITY x SYSTEM "file://{secret}">]>'
+           '<r><row><a>&x;</a></row></r>')
+    df = spark.createDataFrame([(1, doc)], "id int, body string")
+    assert parse_records(df, COLS).count() == 0        # documents with a DTD are rejected whole
+    q = quarantine(parse_documents(df, COLS, keep=["id"]), keep=["id"])
+    assert _rows(q) == [(1, "malformed document")]
