@@ -94,3 +94,10 @@ def test_date_functions(spark):
                   table_name(F.col("e")).alias("n"), landing_name(F.col("e"), F.lit(5), F.col("d")).alias("l")).first()
     assert tuple(r) == ("06-17-2022", "06172022", "06-16-2022", "06-17-2022", "listings30",
                         "listings-3.0.5.06172022.xml")
+
+
+def test_schema_rows_listing(spark):
+    rows = C.schema_rows(spark)
+    assert rows.count() == sum(len(C.feed_columns(e)) for e in C.FEED_ORDER) == 161
+    first = rows.where("ordinal = 0").select("column").distinct().collect()
+    assert [r.column for r in first] == ["mlsSid"]
