@@ -134,7 +134,7 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
     # Parts of one split document share the request id; the log adds them up.
     split = "part" in payloads.columns
     src = payloads.select(_col_or(payloads, "request_id", None, "string").alias("request_id"),
-                          _col_or(payloads, "part", 0, "int").alias("part"),
+                          F.coalesce(_col_or(payloads, "part", 0, "int"), F.lit(0)).alias("part"),
                           _col_or(payloads, "mlsSid", None, "bigint").alias("mlsSid"),
                           _col_or(payloads, "error", None, "string").alias("error"),
                           F.col("endpoint").cast("string").alias("endpoint"), F.col("body"))

@@ -27,7 +27,8 @@ LANDING_ROW_GROUP_BYTES = 64 * 1024 * 1024
 def land_payloads(payloads: DataFrame, path: str) -> None:
     """Append payload rows to the landing table at ``path``."""
     have = set(payloads.columns)
-    cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+    defaults = {"part": 0}   # an unsplit payload is part 0 of its request
+    cols = [(F.col(f.name) if f.name in have else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name)
             for f in PAYLOAD_SCHEMA.fields]
     (payloads.select(*cols).write.mode("append").partitionBy(*LANDING_PARTITIONS)
              .option("parquet.block.size", LANDING_ROW_GROUP_BYTES).parquet(path))

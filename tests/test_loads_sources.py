@@ -275,3 +275,15 @@ def test_live_fetch_loaded_directly_fetches_once(spark, scratch):
     log = load_feed(spark, fetch_payloads(reqs, Counting(drop)), "agents-all-1.0", path=scratch("t"))
     assert sum(r.rows for r in log.collect()) == 7
     assert len(os.listdir(calls)) == 7
+
+
+def test_unknown_feed_rows_from_landed_payloads(spark, scratch):
+    import datetime as dt
+    landing = scratch("landing")
+    land_payloads(spark.createDataFrame([("r1", "nope-1.0", GOOD, dt.date(2022, 6, 17))],
+                                        "request_id string, endpoint string, body string, load_date date"),
+                  landing)
+    landed = read_landed(spark, landing)
+    assert [r.part for r in landed.collect()] == [0]
+    r = load_feed(spark, landed, "nope-1.0").first()
+    assert (r.request_id, r.message) == ("r1", "ERROR: unknown feed")
