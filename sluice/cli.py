@@ -35,6 +35,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--concurrency", type=int, default=None)
     ap.add_argument("--log-table", default=None)
     ap.add_argument("--quarantine", default=None)
+    ap.add_argument("--check-tags", action="store_true",
+                    help="report records under row tags the catalog does not configure")
+    ap.add_argument("--split-bytes", type=int, default=None,
+                    help="split fetched documents above this size (default 64 MB; 0 keeps them whole)")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -46,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
     log = run_feeds(spark, env=args.env, endpoints=endpoints, from_date=args.from_date,
                     to_date=args.to_date, as_of=args.as_of, transport=transport,
                     landing_path=args.landing, concurrency=args.concurrency,
-                    quarantine_path=args.quarantine, log_table=args.log_table)
+                    quarantine_path=args.quarantine, log_table=args.log_table,
+                    check_tags=args.check_tags, split_bytes=args.split_bytes)
     summary = feed_summary(log).collect()
     for r in summary:
         print(f"{r.endpoint}\t{r.result}\trows={r.rows}\t{r.elapsed_sec:.1f}s")

@@ -305,7 +305,8 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
               paths: dict[str, str] | None = None, fmt: str | None = None,
               row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
               run_id: str | None = None, quarantine_path: str | None = None,
-              log_table: str | None = None) -> DataFrame:
+              log_table: str | None = None, check_tags: bool = False,
+              split_bytes: int | None = None) -> DataFrame:
     """The all-feed job: plan -> fetch on executors -> land -> load each feed.
 
     Returns the run log (one row per request, plus one failed row per asked
@@ -316,6 +317,7 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
     from sluice.plans.requests import plan_requests, unknown_requests
     from sluice.sources.fetch import fetch_payloads
     from sluice.sources.landing import land_payloads, read_landed
+    from sluice.sources.split import DEFAULT_SPLIT_BYTES
 
     run_id = run_id or uuid.uuid4().hex
     started = _now()
@@ -329,7 +331,9 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
     # Requests in flight = tasks; by default one per task slot (bound it to
     # what the feed server accepts with ``concurrency``).
     concurrency = concurrency or default_parallelism(spark)
-    land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id), landing_path)
+    split = DEFAULT_SPLIT_BYTES if split_bytes is None else (split_bytes or None)
+    land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id,
+                                 split_bytes=split), landing_path)
     landed = read_landed(spark, landing_path, load_date=as_of, run_id=run_id)
     known = [e for e in wanted if e in FEED_ORDER]
     # Per-feed settings come from the catalog (configuration, bounded by
@@ -342,7 +346,7 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
         tables = {e: c.table_name for e, c in config.items()}
     log = load_feeds(spark, landed, known,
                      tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
-                     quarantine_path=quarantine_path) if known else None
+                     quarantine_path=quarantine_path, check_tags=check_tags) if known else None
     asked = spark.createDataFrame([(env, e, i) for i, e in enumerate(wanted)],
                                   "env string, endpoint string, feed_ordinal int")
     missing = unknown_requests(asked, feeds).select(
