@@ -102,3 +102,19 @@ def test_always_on_incremental(spark, scratch):
     finally:
         q.stop()
     assert sorted(r.agentId for r in read_incremental(spark, out, "agents-all-1.0").collect()) == ["a21", "a22"]
+
+
+def test_replayed_batch_does_not_duplicate(spark, scratch, tmp_path):
+    landing, out, ckpt = scratch("landing"), scratch("out"), scratch("ckpt")
+    land_payloads(_landed(spark, [(31, doc(31)), (32, doc(32)), (33, "<r><row>")]), landing)
+    blocker = tmp_path / "not-a-dir"
+    blocker.write_text("x")                      # a file: the quarantine write under it fails
+    with pytest.raises(Exception):
+        incremental_load(spark, landing, "agents-all-1.0", out, ckpt, quarantine_path=str(blocker / "q"))
+    # the failed batch had already written its records; the rerun replays it
+    assert read_incremental(spark, out, "agents-all-1.0").count() == 2
+    good_q = scratch("q")
+    assert incremental_load(spark, landing, "agents-all-1.0", out, ckpt, quarantine_path=good_q) == 1
+    got = sorted(r.agentId for r in read_incremental(spark, out, "agents-all-1.0").collect())
+    assert got == ["a31", "a32"]
+    assert spark.read.parquet(good_q).count() == 1
