@@ -654,8 +654,8 @@ ORACLE_SQL: dict[str, str] = {
                       f"UNION ALL SELECT 'success' AS run_status, * EXCLUDE (c_custkey) FROM ({_API_SQL})"),
     "incremental_load": listing_oracle(),
     "all_feeds_run": ("SELECT f.feed_ordinal, f.endpoint, count(*) AS requests, "
-                      "sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) AS failed_requests, "
-                      "sum(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END) AS rows, "
+                      "CAST(sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed_requests, "
+                      "CAST(sum(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END) AS BIGINT) AS rows, "
                       "CASE WHEN sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) = 0 THEN 'success' "
                       "ELSE printf('ERROR: %d of %d requests failed', "
                       "sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END), count(*)) END AS result "
