@@ -90,7 +90,8 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
               path: str | None = None, fmt: str | None = None, row_tags: Sequence[str] | None = None,
               max_records: int | None = None, run_id: str | None = None,
               feed_ordinal: int | None = None, quarantine_path: str | None = None,
-              log_path: str | None = None, check_tags: bool = False) -> DataFrame:
+              log_path: str | None = None, check_tags: bool = False,
+              payloads_replayable: bool | None = None) -> DataFrame:
     """O-31: load one feed's payloads; returns its run-log rows (materialised).
 
     ``table`` defaults to the feed id without '-' and '.'.  ``payloads``
@@ -105,7 +106,8 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
                       paths={endpoint: path} if path else None, fmt=fmt,
                       row_tags={endpoint: row_tags} if row_tags else None, max_records=max_records,
                       run_id=run_id, feed_ordinals={endpoint: feed_ordinal},
-                      quarantine_path=quarantine_path, log_path=log_path, check_tags=check_tags)
+                      quarantine_path=quarantine_path, log_path=log_path, check_tags=check_tags,
+                      payloads_replayable=payloads_replayable)
 
 
 def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str] | None = None, *,
@@ -114,7 +116,7 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
                max_records: int | None = None, run_id: str | None = None,
                feed_ordinals: dict[str, int | None] | None = None,
                quarantine_path: str | None = None, log_path: str | None = None,
-               check_tags: bool = False) -> DataFrame:
+               check_tags: bool = False, payloads_replayable: bool | None = None) -> DataFrame:
     """O-31..O-33: load every feed's payloads, each isolated; one run log.
 
     Per feed, the records come from the full parse of its payloads and are
@@ -122,7 +124,9 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
     The run log of all feeds then comes from a single light status pass
     (``xml.document_status``) over the same payloads -- no parsed document
     is cached.  Payloads that are not replayable (a live fetch) have their
-    raw bodies cached so that no request is fetched twice.
+    raw bodies cached so that no request is fetched twice;
+    ``payloads_replayable`` states it (landed payloads are), else the plan
+    is inspected.
     """
     run_id = run_id or uuid.uuid4().hex
     started = _now()
@@ -138,7 +142,8 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
                           _col_or(payloads, "mlsSid", None, "bigint").alias("mlsSid"),
                           _col_or(payloads, "error", None, "string").alias("error"),
                           F.col("endpoint").cast("string").alias("endpoint"), F.col("body"))
-    cached = None if replayable(src) else src.persist(StorageLevel.MEMORY_AND_DISK)
+    again = replayable(src) if payloads_replayable is None else payloads_replayable
+    cached = None if again else src.persist(StorageLevel.MEMORY_AND_DISK)
     if cached is not None:
         src = cached
     feeds, unknown, groups = [], [], {}
@@ -344,7 +349,7 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
         row_tags = {e: list(c.row_tags) for e, c in config.items() if c.row_tags}
     if tables is None and paths is None:
         tables = {e: c.table_name for e, c in config.items()}
-    log = load_feeds(spark, landed, known,
+    log = load_feeds(spark, landed, known, payloads_replayable=True,
                      tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
                      quarantine_path=quarantine_path, check_tags=check_tags) if known else None
     asked = spark.createDataFrame([(env, e, i) for i, e in enumerate(wanted)],
