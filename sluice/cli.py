@@ -4,18 +4,24 @@
         --from-date 06-16-2022 --to-date 06-17-2022 \\
         --landing <shared path> [--transport http|file --root <dir>]
 
-``--endpoint All`` runs every configured feed.  The access token is read
-from the environment variable named by ``--token-env`` on the driver and
-travels only inside the transport object.
+``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
+file with the real hosts and record tags::
+
+    {"base_urls": {"dev": {"listings-3.0": "https://..."}},
+     "row_tags": {"listings-3.0": ["listing"]}}
+
+The access token is read from the environment variable named by
+``--token-env`` on the driver and travels only inside the transport object.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 import os
 
 from sluice.loads import feed_summary, run_feeds
-from sluice.plans.catalog import FEED_ORDER
+from sluice.plans.catalog import FEED_ORDER, feed_catalog
 from sluice.session import build_session
 from sluice.sources.transport import FileTransport, HttpTransport
 
@@ -35,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--concurrency", type=int, default=None)
     ap.add_argument("--log-table", default=None)
     ap.add_argument("--quarantine", default=None)
+    ap.add_argument("--catalog", default=None, help="JSON file: base_urls by env/feed, row_tags by feed")
     ap.add_argument("--check-tags", action="store_true",
                     help="report records under row tags the catalog does not configure")
     ap.add_argument("--split-bytes", type=int, default=None,
@@ -47,7 +54,12 @@ def main(argv: list[str] | None = None) -> int:
     else:
         transport = HttpTransport(token=os.environ.get(args.token_env), timeout=args.timeout)
     endpoints = FEED_ORDER if args.endpoint == "All" else [args.endpoint]
-    log = run_feeds(spark, env=args.env, endpoints=endpoints, from_date=args.from_date,
+    config = {}
+    if args.catalog:
+        with open(args.catalog) as f:
+            config = json.load(f)
+    feeds = feed_catalog(spark, base_urls=config.get("base_urls"), row_tags=config.get("row_tags"))
+    log = run_feeds(spark, env=args.env, endpoints=endpoints, from_date=args.from_date, feeds=feeds,
                     to_date=args.to_date, as_of=args.as_of, transport=transport,
                     landing_path=args.landing, concurrency=args.concurrency,
                     quarantine_path=args.quarantine, log_table=args.log_table,

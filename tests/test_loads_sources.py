@@ -205,6 +205,14 @@ def test_cli_file_run(spark, scratch, capsys):
                  "--landing", scratch("landing"), "--transport", "file", "--root", drop])
     assert code == 0
     assert "agents-all-1.0\tsuccess\trows=7" in capsys.readouterr().out
+    # a catalog file with other record tags: the same documents now hold no records
+    cfg = scratch("cfg").replace("file:", "") + ".json"
+    with open(cfg, "w") as f:
+        f.write('{"row_tags": {"agents-all-1.0": ["agent"]}}')
+    code = main(["--env", "uat", "--endpoint", "agents-all-1.0", "--as-of", "2022-06-17", "--catalog", cfg,
+                 "--landing", scratch("landing"), "--transport", "file", "--root", drop])
+    assert code == 0
+    assert "agents-all-1.0\tsuccess\trows=0" in capsys.readouterr().out
 
 
 def test_run_feeds_uses_catalog_row_tags(spark, scratch):
