@@ -4,7 +4,8 @@
         --from-date 06-16-2022 --to-date 06-17-2022 \\
         --landing <shared path> [--transport http|file --root <dir>]
 
-``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
+``python -m sluice.cli api --url ... --table ...`` runs the JSON API job
+instead.  ``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
 file with the real hosts and record tags::
 
     {"base_urls": {"dev": {"listings-3.0": "https://..."}},
@@ -26,7 +27,36 @@ from sluice.session import build_session
 from sluice.sources.transport import FileTransport, HttpTransport
 
 
+def api_main(argv: list[str]) -> int:
+    """``sluice api``: one API URL fetched ``--passes`` times, projected, appended once (O-35)."""
+    from sluice.loads import load_json_api
+    from sluice.plans.requests import plan_api_requests
+    from sluice.sources.fetch import fetch_payloads
+
+    ap = argparse.ArgumentParser(prog="sluice api")
+    ap.add_argument("--url", required=True, help="API URL; '{1}' marks where the token goes")
+    ap.add_argument("--table", default=None)
+    ap.add_argument("--path", default=None)
+    ap.add_argument("--format", default=None)
+    ap.add_argument("--passes", type=int, default=2)
+    ap.add_argument("--token-env", default="SLUICE_API_TOKEN")
+    ap.add_argument("--timeout", type=float, default=600.0)
+    args = ap.parse_args(argv)
+    if not args.table and not args.path:
+        ap.error("one of --table / --path is required")
+    spark = build_session()
+    transport = HttpTransport(token=os.environ.get(args.token_env), timeout=args.timeout)
+    payloads = fetch_payloads(plan_api_requests(spark, args.url, passes=args.passes), transport)
+    status, message, _log = load_json_api(spark, payloads, args.table, path=args.path, fmt=args.format)
+    print(f"{status}\t{message}")
+    return 0 if status == "success" else 1
+
+
 def main(argv: list[str] | None = None) -> int:
+    import sys
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv[:1] == ["api"]:
+        return api_main(argv[1:])
     ap = argparse.ArgumentParser(prog="sluice")
     ap.add_argument("--env", required=True)
     ap.add_argument("--endpoint", default="All")

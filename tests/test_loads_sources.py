@@ -295,3 +295,15 @@ def test_unknown_feed_rows_from_landed_payloads(spark, scratch):
     assert [r.part for r in landed.collect()] == [0]
     r = load_feed(spark, landed, "nope-1.0").first()
     assert (r.request_id, r.message) == ("r1", "ERROR: unknown feed")
+
+
+def test_cli_api_job(spark, scratch, capsys):
+    import base64
+    from sluice.cli import main
+    ok = '{"status": 200, "result": {"country": "c", "european_electoral_region": "e", "latitude": 1.5, ' \
+         '"longitude": 2.0, "parliamentary_constituency": "p", "region": "r"}}'
+    url = "data:application/json;base64," + base64.b64encode(ok.encode()).decode()
+    path = scratch("api")
+    assert main(["api", "--url", url, "--path", path]) == 0
+    assert capsys.readouterr().out.startswith("success\t")
+    assert spark.read.parquet(path).count() == 2
