@@ -92,6 +92,9 @@ def infer_json_schema(payloads: DataFrame, body: str = "body") -> T.StructType:
     ddl = (row["s"] if row else None) or "OBJECT<>"
     # Variant objects print as OBJECT<...>; the DDL parser wants STRUCT<...>.
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)
+    # Fractional numbers: DOUBLE, as JSON schema inference types them
+    # (variant keeps them as exact decimals).
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*[1-9]\d*\)", "DOUBLE", ddl)
     dtype = T.DataType.fromDDL(ddl)
     if not isinstance(dtype, T.StructType):
         raise ValueError(f"JSON payloads are not objects: {ddl}")

@@ -43,6 +43,9 @@ def test_inferred_schema(spark):
     assert {f.name for f in schema.fields} == {"k", "s", "n"}
     got = parse_json(df, schema).select("j.k", "j.n.a").collect()
     assert sorted((r.k, r.a) for r in got) == [(1, None), (2, 1.5)]
+    # same types as JSON schema inference: integers bigint, fractions double
+    assert schema["k"].dataType.simpleString() == "bigint"
+    assert schema["n"].dataType["a"].dataType.simpleString() == "double"
 
 
 def test_status_and_search_filters(spark):
