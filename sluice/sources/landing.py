@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.fetch import PAYLOAD_SCHEMA
-from sluice.sources.transport import _filesystem
+from sluice.sources.transport import _filesystem, safe_file_name
 
 LANDING_PARTITIONS = ["endpoint", "load_date"]
 # Small row groups bound the parquet reader's batch (it never spans row
@@ -93,7 +93,7 @@ def _writer(root: str):
                     made.add(d)
                 data = body.encode("utf-8")
                 # Same name -> same bytes: a retried task rewrites the same file.
-                with filesystem.open_output_stream(f"{d}/{name}") as f:
+                with filesystem.open_output_stream(f"{d}/{safe_file_name(name)}") as f:
                     f.write(data)
                 out.append((endpoint, name, len(data)))
             yield pd.DataFrame(out, columns=["endpoint", "landing_name", "bytes"])
@@ -102,6 +102,7 @@ def _writer(root: str):
 
 def export_documents(payloads: DataFrame, root: str) -> DataFrame:
     """Write each payload body as its own file ``<root>/<endpoint>/<landing_name>``
+    (the name made safe with ``transport.safe_file_name``)
     (what a file-drop feed delivers).  Lazy: returns (endpoint, landing_name,
     bytes) and writes when that frame is evaluated."""
     return (payloads.where(F.col("body").isNotNull())

@@ -10,10 +10,18 @@ is never written to the request plan, the payloads or the logs.
 
 from __future__ import annotations
 
+import re
 import urllib.error
 import urllib.request
 
 TOKEN_SLOT = "{1}"
+_UNSAFE = re.compile(r"[^A-Za-z0-9._-]")
+
+
+def safe_file_name(name: str) -> str:
+    """Landing file name readable through Hadoop paths: characters other than
+    letters, digits, '.', '_' and '-' (':' and '/' above all) become '_'."""
+    return _UNSAFE.sub("_", name)
 
 
 def _local(path: str) -> str:
@@ -46,7 +54,7 @@ class FileTransport:
         from pyarrow import fs as pafs
         filesystem, base = _filesystem(self.root)
         parts = [base, request["endpoint"]] if self.by_endpoint else [base]
-        path = "/".join([*parts, request["landing_name"]])
+        path = "/".join([*parts, safe_file_name(request["landing_name"])])
         try:
             info = filesystem.get_file_info(path)
             if info.type != pafs.FileType.File:

@@ -23,17 +23,18 @@ from sluice.functions.dates import default_window
 from sluice.functions.names import landing_name, table_name, xml_text
 from sluice.loads import load_feed, load_json_api
 from sluice.operators import filters as FL
-from sluice.operators.jsonapi import API_SCHEMA, infer_json_schema, parse_json, project_api_result
+from sluice.operators.jsonapi import (API_SCHEMA, infer_json_schema, parse_json, project_api_result,
+                                      read_json_files)
 from sluice.operators.sets import concat_by_name, union_all
 from sluice.operators.xml import (build_documents, parse_documents, parse_records,
                                   parse_tagged_records, quarantine)
 from sluice.plans.catalog import (FEED_ORDER, FEED_URL_TEMPLATES, example_base_url, feed_catalog,
                                   feed_columns)
-from sluice.plans.requests import plan_requests
+from sluice.plans.requests import plan_requests, plan_requests_sql
 from sluice.session import default_parallelism, scratch_path
 from sluice.sinks.tables import append_table
 from sluice.sources.fetch import fetch_payloads
-from sluice.sources.landing import export_documents, land_payloads, read_landed
+from sluice.sources.landing import export_documents, land_payloads, read_landed, read_landed_files
 from sluice.sources.split import split_documents
 from sluice.sources.transport import FileTransport
 from sluice.streaming.incremental import incremental_load, read_incremental
@@ -287,6 +288,37 @@ def q_json_pages(spark, d):
     return parsed.select("page_id", "j.url", "j.html")
 
 
+def q_json_files_events(spark, d):
+    """O-04 from files: events' JSON written as files, read back with an inferred schema."""
+    path = scratch_path(spark, "json-files")
+    (table(spark, d, "events").select(F.to_json(F.struct("event_id", "event_type", F.col("props").alias("props")))
+                                      .alias("value"))
+        .write.text(path))
+    df = read_json_files(spark, path)
+    return df.select("event_id", "event_type", F.col("props").alias("props"))
+
+
+def q_xml_file_drops(spark, d):
+    """O-03/O-30 from files: listings-3.0 documents dropped one file each, read whole, parsed."""
+    drop = scratch_path(spark, "xml-drop")
+    docs = listing_payloads(spark, d).select(
+        "endpoint", F.concat(F.col("request_id"), F.lit(".xml")).alias("landing_name"), "body")
+    export_documents(docs, drop).agg(F.sum("bytes")).collect()
+    files = read_landed_files(spark, drop)
+    return parse_records(files, feed_columns(LISTINGS))
+
+
+def q_request_plan_sql(spark, d):
+    """O-10: the request plan as SQL with named parameter markers."""
+    s = table(spark, d, "supplier")
+    env = F.when(F.col("s_nationkey") < 13, F.lit("dev")).otherwise(F.lit("uat"))
+    sources = s.select(env.alias("env"), F.col("s_suppkey").alias("mlsSid"), F.lit(0).alias("id_ordinal"))
+    parts = [plan_requests_sql(spark, feed_catalog(spark), sources, env=e, from_date="06-16-2022",
+                               as_of=AS_OF) for e in ("dev", "uat")]
+    return parts[0].unionByName(parts[1]).select("request_id", "env", "endpoint", "mlsSid", "fromDate",
+                                                 "toDate", "url")
+
+
 def q_union_all_names(spark, d):
     """O-21: UNION ALL by position, duplicates kept."""
     c = table(spark, d, "customer").select(F.lit("customer").alias("source"), F.col("c_name").alias("name"))
@@ -528,6 +560,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_project_events": q_json_project_events,
     "json_inferred_events": q_json_inferred_events,
     "json_pages": q_json_pages,
+    "json_files_events": q_json_files_events,
+    "xml_file_drops": q_xml_file_drops,
+    "request_plan_sql": q_request_plan_sql,
     "union_all_names": q_union_all_names,
     "concat_by_name": q_concat_by_name,
     "request_plan": q_request_plan,
@@ -566,7 +601,7 @@ _SOURCES_SQL = """(SELECT CASE WHEN s_nationkey < 13 THEN 'dev' ELSE 'uat' END A
  SELECT CASE WHEN s_nationkey < 13 THEN 'dev' ELSE 'uat' END, s_suppkey, 1 FROM supplier WHERE s_acctbal > 9000) s"""
 
 _PLAN_SQL = f"""SELECT concat_ws(':', s.env, f.endpoint, CAST(s.mlsSid AS VARCHAR), CAST(s.id_ordinal AS VARCHAR),
-  '1', '06-16-2022', '06-17-2022') AS request_id, s.env, f.endpoint, s.mlsSid,
+  '1', '06-16-2022', '06-17-2022') AS request_id, s.id_ordinal, s.env, f.endpoint, s.mlsSid,
   '06-16-2022' AS fromDate, '06-17-2022' AS toDate,
   replace(replace(f.endpoint, '-', ''), '.', '') AS table_name,
   concat_ws('.', f.endpoint, CAST(s.mlsSid AS VARCHAR), '06172022', 'xml') AS landing_name,
@@ -613,6 +648,10 @@ ORACLE_SQL: dict[str, str] = {
                             "'' AS vld_status, '' AS vld_status_reason FROM events"),
     "json_inferred_events": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "json_pages": "SELECT page_id, url, html FROM pages",
+    "json_files_events": "SELECT event_id, event_type, props FROM events",
+    "xml_file_drops": listing_oracle(),
+    "request_plan_sql": ("SELECT request_id, env, endpoint, mlsSid, fromDate, toDate, url FROM ("
+                         + _PLAN_SQL + ") WHERE id_ordinal = 0"),
     "union_all_names": ("SELECT 'customer' AS source, c_name AS name FROM customer UNION ALL "
                         "SELECT 'supplier', s_name FROM supplier UNION ALL SELECT 'customer', c_name FROM customer"),
     "concat_by_name": ("SELECT 'customer' AS source, c_custkey AS key, c_name AS name, c_nationkey AS nationkey, "
