@@ -80,15 +80,16 @@ LISTING_FIELDS_SQL = {
 }
 
 
-def listing_payloads(spark: SparkSession, d: str) -> DataFrame:
-    """listings-3.0 documents: one request per (source id = nation, order-key range)."""
+def listing_payloads(spark: SparkSession, d: str, key_range: int = DOC_ROWS) -> DataFrame:
+    """listings-3.0 documents: one request per (source id = nation, order-key range);
+    a document holds the source's orders among ``key_range`` consecutive keys."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     n = table(spark, d, "nation").select("n_nationkey", "n_name")
     rows = (o.join(c, o.o_custkey == c.c_custkey)
              .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
              .select(F.col("c_nationkey").cast("bigint").alias("src"),
-                     F.expr(f"o_orderkey div {DOC_ROWS}").alias("chunk"),
+                     F.expr(f"o_orderkey div {int(key_range)}").alias("chunk"),
                      *[F.expr(e).alias(k) for k, e in _listing_order()]))
     docs = build_documents(rows, ["src", "chunk"], [k for k, _ in _listing_order()])
     return docs.select(
@@ -301,7 +302,8 @@ def q_json_files_events(spark, d):
 def q_xml_file_drops(spark, d):
     """O-03/O-30 from files: listings-3.0 documents dropped one file each, read whole, parsed."""
     drop = scratch_path(spark, "xml-drop")
-    docs = listing_payloads(spark, d).select(
+    # one file per (source, 2048 order keys): file drops are few and large
+    docs = listing_payloads(spark, d, key_range=2048).select(
         "endpoint", F.concat(F.col("request_id"), F.lit(".xml")).alias("landing_name"), "body")
     export_documents(docs, drop).agg(F.sum("bytes")).collect()
     files = read_landed_files(spark, drop)
