@@ -263,7 +263,7 @@ def feed_summary(run_log: DataFrame) -> DataFrame:
 
 def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None = None, *,
                   path: str | None = None, fmt: str | None = None,
-                  run_id: str | None = None) -> tuple[str, str, DataFrame]:
+                  run_id: str | None = None, quarantine_path: str | None = None) -> tuple[str, str, DataFrame]:
     """O-35: API payloads -> projection -> one append; (status, message, run log).
 
     All or nothing, like one API job: any failed fetch, malformed payload or
@@ -281,6 +281,10 @@ def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None =
                     .when(F.col("malformed"), F.lit("malformed payload"))
                     .when(F.size("missing") > 0, F.concat(F.lit("missing field "), F.array_join("missing", ", "))))
         first = parsed.where(problem.isNotNull()).select(problem.alias("p")).first()
+        if first is not None and quarantine_path:
+            _write(parsed.where(problem.isNotNull())
+                         .select(F.lit(run_id).alias("run_id"), F.lit("api").alias("endpoint"), "request_id",
+                                 problem.alias("reason")), None, quarantine_path, "parquet")
         if first is None:
             err = _write(project_api_result(parsed), table, path, fmt)
             status = SUCCESS if err is None else FAILED

@@ -63,10 +63,11 @@ def test_json_api_all_or_nothing(spark, scratch):
     assert status == "success" and spark.read.parquet(path).count() == 2
     broken = spark.createDataFrame([("1", ok), ("2", '{"status": 200, "result": {"country": "c"}}')],
                                    "request_id string, body string")
-    path2 = scratch("api")
-    status, msg, log = load_json_api(spark, broken, path=path2)
+    path2, q = scratch("api"), scratch("q")
+    status, msg, log = load_json_api(spark, broken, path=path2, quarantine_path=q)
     assert status == "failed" and "missing field result.european_electoral_region" in msg
     assert not os.path.exists(path2.replace("file:", ""))
+    assert [r.request_id for r in spark.read.parquet(q).collect()] == ["2"]
 
 
 def test_fetch_land_parse_through_files(spark, scratch):
