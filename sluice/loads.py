@@ -183,7 +183,8 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
         info = spark.createDataFrame(
             [(e, o, err, fin) for e, o, err, fin in feeds],
             "endpoint string, feed_ordinal int, write_error string, finished_at timestamp")
-        status = status.join(broadcast_if_small(info), "endpoint")
+        # one row per request: cheap to keep while the quarantine and the log read it
+        status = status.join(broadcast_if_small(info), "endpoint").persist(StorageLevel.MEMORY_AND_DISK)
         quarantine_note = ""
         if quarantine_path:
             bad = (status.where(~F.col("fetched") | F.col("malformed"))
@@ -213,6 +214,8 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
     for more in parts[1:]:
         log = log.unionByName(more)
     log = _materialise(spark, log, log_path, run_id)
+    if feeds:
+        status.unpersist()
     if cached is not None:
         cached.unpersist()
     return log
