@@ -101,3 +101,21 @@ def test_schema_rows_listing(spark):
     assert rows.count() == sum(len(C.feed_columns(e)) for e in C.FEED_ORDER) == 161
     first = rows.where("ordinal = 0").select("column").distinct().collect()
     assert [r.column for r in first] == ["mlsSid"]
+
+
+def test_text_and_date_helpers(spark, scratch):
+    from sluice.functions.dates import parse_mdy, previous_day
+    from sluice.functions.names import fill_template, xml_text
+    from sluice.sinks.tables import append_table, read_table
+    df = spark.createDataFrame([("06-17-2022", "a&b<c>", "{0}/x?y={2}&z={9}")], "d string, t string, tpl string")
+    r = df.select(parse_mdy("d").alias("p"), previous_day("2022-01-01").alias("y"), xml_text("t").alias("x"),
+                  fill_template(F.col("tpl"), {0: F.lit("https://h"), 2: F.lit(5), 4: F.lit("unused")})
+                  .alias("u")).first()
+    assert r.p == dt.date(2022, 6, 17) and r.y == dt.date(2021, 12, 31)
+    assert r.x == "a&amp;b&lt;c&gt;" and r.u == "https://h/x?y=5&z={9}"
+    assert df.select(parse_mdy(F.lit("2022-06-17")).alias("bad")).first().bad is None
+    name = "sluice_t_" + dt.datetime.now().strftime("%H%M%S%f")
+    where = scratch("t")
+    append_table(df, name, fmt="parquet", path=where)
+    append_table(df, name, fmt="parquet", path=where)
+    assert read_table(spark, name).count() == 2
