@@ -1,10 +1,11 @@
 """O-01 / O-02 as a Python Data Source: ``spark.read.format("sluice_payloads")``.
 
 The request plan is first written as a parquet table (it is then durable
-and replayable).  The driver only lists that table's files and row
-groups -- one input partition per row group -- and each partition fetches
-its requests inside an executor task with the transport bound to the
-source class (so the token never appears in options or plans).
+and replayable).  The driver only lists that table's files -- one input
+partition per file, so ``requests.repartition(n).write`` sets the number of
+requests in flight -- and each partition fetches its requests inside an
+executor task with the transport bound to the source class (so the token
+never appears in options or plans).
 
     requests.write.parquet(plan_path)
     payloads = read_payloads(spark, plan_path, HttpTransport(token=...))
@@ -28,30 +29,22 @@ from sluice.sources.split import DEFAULT_SPLIT_BYTES, split_document
 
 
 class RequestSlice(InputPartition):
-    """One row group of one file of the request table."""
+    """One file of the request table."""
 
-    def __init__(self, path: str, row_group: int):
-        super().__init__((path, row_group))
+    def __init__(self, path: str):
+        super().__init__(path)
         self.path = path
-        self.row_group = row_group
 
 
 def _list_slices(root: str) -> list[RequestSlice]:
-    import pyarrow.parquet as pq
     from pyarrow import fs as pafs
 
     from sluice.sources.transport import _filesystem
     filesystem, base = _filesystem(root)
     infos = filesystem.get_file_info(pafs.FileSelector(base, recursive=True))
-    out = []
-    for info in sorted(infos, key=lambda i: i.path):
-        name = info.path.rsplit("/", 1)[-1]
-        if info.type != pafs.FileType.File or not name.endswith(".parquet") or name.startswith(("_", ".")):
-            continue
-        with filesystem.open_input_file(info.path) as f:
-            n = pq.ParquetFile(f).metadata.num_row_groups
-        out.extend(RequestSlice(info.path, g) for g in range(n))
-    return out
+    names = sorted(i.path for i in infos if i.type == pafs.FileType.File)
+    return [RequestSlice(p) for p in names
+            if p.endswith(".parquet") and not p.rsplit("/", 1)[-1].startswith(("_", "."))]
 
 
 PUSHABLE = {"endpoint", "mlsSid", "request_id"}
@@ -78,7 +71,7 @@ class _Reader(DataSourceReader):
         from sluice.sources.transport import _filesystem
         filesystem, _ = _filesystem(self.root)
         with filesystem.open_input_file(partition.path) as f:
-            table = pq.ParquetFile(f).read_row_group(partition.row_group, columns=FETCH_INPUT)
+            table = pq.ParquetFile(f).read(columns=FETCH_INPUT)
         for req in table.to_pylist():
             if self.allowed and not self._wanted(req):
                 continue
