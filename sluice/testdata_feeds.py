@@ -139,16 +139,16 @@ def _roundtrip(spark: SparkSession, d: str, name: str, key: str | None) -> DataF
     return cast_back(parse_records(docs, src.columns), src)
 
 
-def q_xml_roundtrip_orders(spark, d):
+def q_xml_roundtrip_orders(spark: SparkSession, d: str) -> DataFrame:
     """O-03/O-05/O-16: orders -> XML documents -> records equal to orders."""
     return _roundtrip(spark, d, "orders", "o_orderkey")
 
 
-def q_xml_roundtrip_lineitem(spark, d):
+def q_xml_roundtrip_lineitem(spark: SparkSession, d: str) -> DataFrame:
     return _roundtrip(spark, d, "lineitem", None)
 
 
-def q_xml_split_lineitem(spark, d):
+def q_xml_split_lineitem(spark: SparkSession, d: str) -> DataFrame:
     """Hot-source documents: lineitem in documents of 4096 records, split at
     record boundaries into ~256 KB parts, parsed part by part."""
     src = table(spark, d, "lineitem")
@@ -157,19 +157,19 @@ def q_xml_split_lineitem(spark, d):
     return cast_back(parse_records(parts, src.columns), src)
 
 
-def q_xml_documents_text(spark, d):
+def q_xml_documents_text(spark: SparkSession, d: str) -> DataFrame:
     """Whole texts (up to ~130k chars) through XML escaping and back."""
     return _roundtrip(spark, d, "documents", "doc_id")
 
 
-def q_xml_missing_fields(spark, d):
+def q_xml_missing_fields(spark: SparkSession, d: str) -> DataFrame:
     """O-16: a field left out of a record reads back as null."""
     c = table(spark, d, "customer")
     src = c.withColumn("c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_name")))
     return cast_back(parse_records(row_documents(src, "c_custkey"), c.columns), c)
 
 
-def _customer_docs_with_damage(spark, d, rows=8):
+def _customer_docs_with_damage(spark: SparkSession, d: str, rows: int = 8) -> tuple[DataFrame, DataFrame]:
     c = table(spark, d, "customer")
     docs = build_documents(c.withColumn("doc", F.expr(f"c_custkey div {rows}")), "doc", c.columns,
                            extra=[F.max(F.col("c_acctbal") < 0).alias("has_negative"),
@@ -179,20 +179,20 @@ def _customer_docs_with_damage(spark, d, rows=8):
     return c, docs.select("doc", "has_negative", "has_high", body.alias("body"))
 
 
-def q_xml_bad_payloads(spark, d):
+def q_xml_bad_payloads(spark: SparkSession, d: str) -> DataFrame:
     """O-20: malformed documents are rejected whole; the others load."""
     c, docs = _customer_docs_with_damage(spark, d)
     return cast_back(parse_records(docs, c.columns), c)
 
 
-def q_xml_quarantine(spark, d):
+def q_xml_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """O-20: which documents were rejected and why."""
     c, docs = _customer_docs_with_damage(spark, d)
     parsed = parse_documents(docs, c.columns, keep=["doc"])
     return quarantine(parsed, keep=["doc"]).withColumnRenamed("doc", "doc_key")
 
 
-def q_xml_first_duplicate(spark, d):
+def q_xml_first_duplicate(spark: SparkSession, d: str) -> DataFrame:
     """O-03: repeated element -> first one; empty first element -> null."""
     p = table(spark, d, "part")
     recs = p.select(
@@ -210,7 +210,7 @@ def q_xml_first_duplicate(spark, d):
 ORDER_TAGS = {"O": "open", "F": "closed", "P": "partial"}
 
 
-def q_xml_row_tags(spark, d):
+def q_xml_row_tags(spark: SparkSession, d: str) -> DataFrame:
     """O-03: records under several row tags in one document."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     tag = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in ORDER_TAGS.items()])
@@ -223,7 +223,7 @@ def q_xml_row_tags(spark, d):
                       F.col("o_totalprice").cast("double"), "row_tag")
 
 
-def q_cap_records(spark, d):
+def q_cap_records(spark: SparkSession, d: str) -> DataFrame:
     """O-23 within a payload: the first 10 records of each document."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     docs = row_documents(o, "o_orderkey")
@@ -232,13 +232,13 @@ def q_cap_records(spark, d):
                       F.col("o_custkey").cast("bigint"))
 
 
-def q_cap_per_request(spark, d):
+def q_cap_per_request(spark: SparkSession, d: str) -> DataFrame:
     """O-23 across payloads: two orders per customer, lowest keys first."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
     return FL.cap_records_per_key(o, "o_custkey", "o_orderkey", 2)
 
 
-def _api_payloads(spark, d):
+def _api_payloads(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
@@ -258,14 +258,14 @@ def _api_typed(df: DataFrame, keep=()) -> DataFrame:
                      "parliamentary_constituency", "region", "vld_status", "vld_status_reason")
 
 
-def q_json_api_payloads(spark, d):
+def q_json_api_payloads(spark: SparkSession, d: str) -> DataFrame:
     """O-04/O-17/O-18/O-19: API payloads -> the flat all-string projection."""
     parsed = parse_json(_api_payloads(spark, d), API_SCHEMA, keep=["request_id"])
     out = project_api_result(parsed, keep=["request_id"])
     return _api_typed(out, keep=[F.col("request_id").cast("bigint").alias("c_custkey")])
 
 
-def q_json_project_events(spark, d):
+def q_json_project_events(spark: SparkSession, d: str) -> DataFrame:
     """O-04/O-17/O-18/O-19 on the events' JSON properties."""
     e = table(spark, d, "events").select("event_id", "event_type", F.col("props").alias("body"))
     parsed = parse_json(e, "k bigint", keep=["event_id", "event_type"])
@@ -273,7 +273,7 @@ def q_json_project_events(spark, d):
                          F.lit("").alias("vld_status"), F.lit("").alias("vld_status_reason"))
 
 
-def q_json_inferred_events(spark, d):
+def q_json_inferred_events(spark: SparkSession, d: str) -> DataFrame:
     """O-04 with an inferred schema (merged over all payloads on executors)."""
     e = table(spark, d, "events").select("event_id", F.col("props").alias("body"))
     ddl = infer_json_schema(e)
@@ -281,7 +281,7 @@ def q_json_inferred_events(spark, d):
     return parsed.select("event_id", F.col("j.k").cast("bigint").alias("k"))
 
 
-def q_json_pages(spark, d):
+def q_json_pages(spark: SparkSession, d: str) -> DataFrame:
     """O-04 on large text payloads: whole HTML pages inside JSON bodies."""
     p = table(spark, d, "pages")
     payload = p.select("page_id", F.to_json(F.struct("url", "html")).alias("body"))
@@ -289,7 +289,7 @@ def q_json_pages(spark, d):
     return parsed.select("page_id", "j.url", "j.html")
 
 
-def q_json_files_events(spark, d):
+def q_json_files_events(spark: SparkSession, d: str) -> DataFrame:
     """O-04 from files: events' JSON written as files, read back with an inferred schema."""
     path = scratch_path(spark, "json-files")
     (table(spark, d, "events").select(F.to_json(F.struct("event_id", "event_type", F.col("props").alias("props")))
@@ -299,7 +299,7 @@ def q_json_files_events(spark, d):
     return df.select("event_id", "event_type", F.col("props").alias("props"))
 
 
-def q_xml_file_drops(spark, d):
+def q_xml_file_drops(spark: SparkSession, d: str) -> DataFrame:
     """O-03/O-30 from files: listings-3.0 documents dropped one file each, read whole, parsed."""
     drop = scratch_path(spark, "xml-drop")
     # one file per (source, 2048 order keys): file drops are few and large
@@ -310,7 +310,7 @@ def q_xml_file_drops(spark, d):
     return parse_records(files, feed_columns(LISTINGS))
 
 
-def q_request_plan_sql(spark, d):
+def q_request_plan_sql(spark: SparkSession, d: str) -> DataFrame:
     """O-10: the request plan as SQL with named parameter markers."""
     s = table(spark, d, "supplier")
     env = F.when(F.col("s_nationkey") < 13, F.lit("dev")).otherwise(F.lit("uat"))
@@ -321,14 +321,14 @@ def q_request_plan_sql(spark, d):
                                                  "toDate", "url")
 
 
-def q_union_all_names(spark, d):
+def q_union_all_names(spark: SparkSession, d: str) -> DataFrame:
     """O-21: UNION ALL by position, duplicates kept."""
     c = table(spark, d, "customer").select(F.lit("customer").alias("source"), F.col("c_name").alias("name"))
     s = table(spark, d, "supplier").select(F.lit("supplier").alias("source"), F.col("s_name").alias("name"))
     return union_all(c, s, c)
 
 
-def q_concat_by_name(spark, d):
+def q_concat_by_name(spark: SparkSession, d: str) -> DataFrame:
     """O-22: concat by column name; missing columns are null."""
     c = table(spark, d, "customer").select(
         F.lit("customer").alias("source"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
@@ -341,7 +341,7 @@ def q_concat_by_name(spark, d):
     return concat_by_name(c, s)
 
 
-def _supplier_sources(spark, d):
+def _supplier_sources(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     env = F.when(F.col("s_nationkey") < 13, F.lit("dev")).otherwise(F.lit("uat"))
     base = s.select(env.alias("env"), F.col("s_suppkey").alias("mlsSid"), F.lit(0).alias("id_ordinal"))
@@ -351,23 +351,23 @@ def _supplier_sources(spark, d):
     return base.unionByName(twice)
 
 
-def _supplier_plan(spark, d):
+def _supplier_plan(spark: SparkSession, d: str) -> DataFrame:
     return plan_requests(feed_catalog(spark), _supplier_sources(spark, d),
                          from_date="06-16-2022", to_date="", as_of=AS_OF)
 
 
-def q_request_plan(spark, d):
+def q_request_plan(spark: SparkSession, d: str) -> DataFrame:
     """O-06/O-07/O-09: feeds x source ids x window, duplicates kept."""
     return _supplier_plan(spark, d).select("request_id", "env", "endpoint", "mlsSid", "fromDate", "toDate",
                                            "table_name", "landing_name")
 
 
-def q_request_urls(spark, d):
+def q_request_urls(spark: SparkSession, d: str) -> DataFrame:
     """O-08/O-10: request URLs from the templates; the token slot stays unfilled."""
     return _supplier_plan(spark, d).select("request_id", "url")
 
 
-def q_default_window(spark, d):
+def q_default_window(spark: SparkSession, d: str) -> DataFrame:
     """O-09/O-24/O-27: blank dates default to the day before / the day of as_of."""
     o = table(spark, d, "orders")
     frm_in = (F.when(F.col("o_orderstatus") == "O", F.lit("01-01-1990"))
@@ -379,25 +379,25 @@ def q_default_window(spark, d):
                     .alias("landing_name"))
 
 
-def q_filter_status(spark, d):
+def q_filter_status(spark: SparkSession, d: str) -> DataFrame:
     """O-11: status=F (status=All would keep every row)."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return FL.filter_status(o, "o_orderstatus", "F")
 
 
-def q_filter_dates(spark, d):
+def q_filter_dates(spark: SparkSession, d: str) -> DataFrame:
     """O-12: inclusive MM-dd-yyyy window on a timestamp column."""
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
     return FL.filter_dates(o, "o_orderdate", "01-01-1995", "12-31-1995")
 
 
-def q_filter_search(spark, d):
+def q_filter_search(spark: SparkSession, d: str) -> DataFrame:
     """O-13: searchBy=c_mktsegment, searchStr=BUILDING."""
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
     return FL.filter_search(c, "c_mktsegment", "BUILDING")
 
 
-def q_filter_feed_records(spark, d):
+def q_filter_feed_records(spark: SparkSession, d: str) -> DataFrame:
     """O-11..O-13 on loaded, all-text feed records."""
     recs = q_feed_listings30(spark, d)
     recs = FL.filter_status(recs, "statusCode", "F")
@@ -406,7 +406,7 @@ def q_filter_feed_records(spark, d):
     return recs.select("mlsSid", "listAgentId", "listPrice", "dateList", "statusCode", "bank")
 
 
-def q_table_names(spark, d):
+def q_table_names(spark: SparkSession, d: str) -> DataFrame:
     """O-25/O-26: sanitised names and landing file names."""
     p = table(spark, d, "part")
     raw = F.concat(F.col("p_type"), F.lit("-"), F.col("p_brand"), F.lit("."), F.col("p_size").cast("string"))
@@ -414,7 +414,7 @@ def q_table_names(spark, d):
                     landing_name(F.lit("part-1.0"), F.col("p_partkey"), AS_OF).alias("landing_name"))
 
 
-def q_append_twice(spark, d):
+def q_append_twice(spark: SparkSession, d: str) -> DataFrame:
     """O-28/O-29: two appends to one table; re-running a range duplicates it."""
     o = table(spark, d, "orders")
     recs = parse_records(row_documents(o, "o_orderkey"), o.columns).persist()
@@ -427,7 +427,7 @@ def q_append_twice(spark, d):
     return cast_back(spark.table(name), o)
 
 
-def q_raw_landing(spark, d):
+def q_raw_landing(spark: SparkSession, d: str) -> DataFrame:
     """O-01/O-30: documents dropped as files -> fetched by request -> landed -> parsed."""
     o = table(spark, d, "orders")
     docs = row_documents(o, "o_orderkey")
@@ -449,7 +449,7 @@ def q_raw_landing(spark, d):
                          "http_status")
 
 
-def _agent_payloads(spark, d):
+def _agent_payloads(spark: SparkSession, d: str) -> DataFrame:
     """agents-all-1.0 payloads from customer; some truncated, some not fetched."""
     c2 = table(spark, d, "customer").select(
         F.expr(f"c_custkey div 8").alias("doc"),
@@ -469,7 +469,7 @@ def _agent_payloads(spark, d):
                          F.when(F.col("has_high"), F.lit("HTTP 503")).alias("error"), body.alias("body"))
 
 
-def _landed_agent_payloads(spark, d):
+def _landed_agent_payloads(spark: SparkSession, d: str) -> DataFrame:
     """The agents-all-1.0 payloads landed first, then read back: the load
     reads the landing table, as in production."""
     landing = scratch_path(spark, "landing")
@@ -477,21 +477,21 @@ def _landed_agent_payloads(spark, d):
     return read_landed(spark, landing, endpoint=AGENTS_ALL, load_date=AS_OF)
 
 
-def q_feed_load_log(spark, d):
+def q_feed_load_log(spark: SparkSession, d: str) -> DataFrame:
     """O-31..O-34/O-36: one feed load; run log per request (time columns left out)."""
     path = scratch_path(spark, "feed")
     log = load_feed(spark, _landed_agent_payloads(spark, d), AGENTS_ALL, path=path)
     return log.select("request_id", "endpoint", "status", "rows", "message")
 
 
-def q_feed_load_rows(spark, d):
+def q_feed_load_rows(spark: SparkSession, d: str) -> DataFrame:
     """O-31/O-28: what the feed load appended (the agents-all-1.0 table)."""
     path = scratch_path(spark, "feed")
     load_feed(spark, _landed_agent_payloads(spark, d), AGENTS_ALL, path=path)
     return spark.read.parquet(path)
 
 
-def q_json_load_log(spark, d):
+def q_json_load_log(spark: SparkSession, d: str) -> DataFrame:
     """O-02/O-35: each API request fetched twice, unioned, appended once."""
     payloads = _api_payloads(spark, d).withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(2))))
     path = scratch_path(spark, "api")
@@ -500,7 +500,7 @@ def q_json_load_log(spark, d):
     return _api_typed(out.withColumn("run_status", F.lit(status)), keep=["run_status"])
 
 
-def q_incremental_load(spark, d):
+def q_incremental_load(spark: SparkSession, d: str) -> DataFrame:
     """O-37: two landings, three availableNow runs; every record exactly once."""
     payloads = listing_payloads(spark, d).select(
         "request_id", F.lit(0).alias("feed_ordinal"), "endpoint", "mlsSid", F.lit("").alias("fromDate"),
@@ -518,7 +518,7 @@ def q_incremental_load(spark, d):
     return read_incremental(spark, out, LISTINGS)
 
 
-def q_all_feeds_run(spark, d):
+def q_all_feeds_run(spark: SparkSession, d: str) -> DataFrame:
     """O-01/O-06..O-08/O-30..O-34/O-36 end to end: every feed x every supplier
     id (as 'dev' sources) is planned, fetched from dropped files, landed and
     loaded; suppliers with a negative balance have no file (404).  One
