@@ -8,7 +8,7 @@ whole, records are appended to catalog tables and every request leaves a
 row in a run log.
 """
 
-from sluice.loads import feed_summary, load_feed, load_feeds, load_json_api, run_feeds
+from sluice.loads import feed_results, feed_summary, load_feed, load_feeds, load_json_api, run_feeds
 from sluice.operators.jsonapi import parse_json, project_api_result
 from sluice.operators.xml import document_status, parse_documents, parse_records, quarantine
 from sluice.plans.catalog import feed_catalog, feed_columns, feed_schema, source_ids
@@ -25,6 +25,6 @@ __all__ = [
     "fetch_payloads", "land_payloads", "read_landed",
     "parse_documents", "parse_records", "document_status", "quarantine",
     "parse_json", "project_api_result",
-    "load_feed", "load_feeds", "load_json_api", "run_feeds", "feed_summary",
+    "load_feed", "load_feeds", "load_json_api", "run_feeds", "feed_summary", "feed_results",
     "incremental_load", "read_incremental",
 ]

@@ -264,6 +264,12 @@ def feed_summary(run_log: DataFrame) -> DataFrame:
                    .orderBy("feed_ordinal"))
 
 
+def feed_results(run_log: DataFrame) -> list[str]:
+    """O-32: one result per feed, in run order: 'success' or 'ERROR: ...'
+    (one short string per feed reaches the driver)."""
+    return [r.result for r in feed_summary(run_log).select("feed_ordinal", "result").collect()]
+
+
 def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None = None, *,
                   path: str | None = None, fmt: str | None = None,
                   run_id: str | None = None, quarantine_path: str | None = None) -> tuple[str, str, DataFrame]:

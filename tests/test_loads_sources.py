@@ -52,6 +52,8 @@ def test_load_feeds_isolated_and_ordered(spark, scratch):
     log = load_feeds(spark, p, ["office-2.0", "agents-all-1.0"], paths=paths)
     summary = [(r.endpoint, r.result, r.rows) for r in feed_summary(log).collect()]
     assert summary == [("office-2.0", "ERROR: 1 of 1 requests failed", 0), ("agents-all-1.0", "success", 2)]
+    from sluice.loads import feed_results
+    assert feed_results(log) == ["ERROR: 1 of 1 requests failed", "success"]
 
 
 def test_json_api_all_or_nothing(spark, scratch):
