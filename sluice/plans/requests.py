@@ -27,13 +27,20 @@ REQUEST_COLUMNS = [
 
 def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = None,
                   endpoints: list[str] | None = None, from_date=None, to_date=None,
-                  as_of=None, passes: int = 1, distinct_ids: bool = False) -> DataFrame:
+                  as_of=None, passes: int = 1, distinct_ids: bool = False,
+                  window_days: int | None = None) -> DataFrame:
     """Expand feeds x source ids into requests.
 
     ``feeds`` is the catalog (``plans.catalog.feed_catalog``); ``sources``
     has (env, mlsSid[, id_ordinal]).  Duplicate ids give duplicate
     requests unless ``distinct_ids``.  ``passes`` > 1 repeats every request
     (a JSON API answering with a different sample per call).
+
+    ``window_days`` splits the window of feeds whose template takes a
+    ``toDate`` into consecutive sub-windows of that many days, each written
+    like the default window (``fromDate`` = the previous boundary, ``toDate``
+    = the next): a hot source's long window becomes several smaller
+    responses fetched in parallel.  Feeds without ``toDate`` keep one request.
     """
     if env is not None:
         feeds = feeds.where(F.col("env") == env)
@@ -53,6 +60,7 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
         req = req.withColumn("pass", F.lit(1))
     req = (req.withColumn("fromDate", frm).withColumn("toDate", to)
               .withColumn("load_date", run_day))
+    req = _split_window(req, int(window_days)) if window_days else req.withColumn("_split", F.lit(False))
     url = fill_template(F.col("template"), {0: F.col("base_url"), 2: F.col("mlsSid"),
                                              3: F.col("fromDate"), 4: F.col("toDate")})
     return req.select(
@@ -61,12 +69,28 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
                     "fromDate", "toDate").alias("request_id"),
         "feed_ordinal", "id_ordinal", "pass", "env", "endpoint", "mlsSid", "fromDate", "toDate",
         url.alias("url"),
-        landing_name(F.col("endpoint"), F.col("mlsSid"), run_day).alias("landing_name"),
+        # a sub-window of a split request gets its own landing file
+        F.when(F.col("_split"), F.regexp_replace(landing_name(F.col("endpoint"), F.col("mlsSid"), run_day),
+                                                 r"\.xml$", F.concat(F.lit("."), F.translate("fromDate", "-", ""),
+                                                                      F.lit(".xml"))))
+         .otherwise(landing_name(F.col("endpoint"), F.col("mlsSid"), run_day)).alias("landing_name"),
         table_name(F.col("endpoint")).alias("table_name"),
         "row_tags", "load_date",
     )
 
 
+def _split_window(req: DataFrame, days: int) -> DataFrame:
+    lo, hi = F.to_date("fromDate", "MM-dd-yyyy"), F.to_date("toDate", "MM-dd-yyyy")
+    starts = F.sequence(lo, F.date_sub(hi, 1), F.expr(f"INTERVAL {days} DAYS"))
+    splittable = F.col("template").contains("{4}") & (F.datediff(hi, lo) > days)
+    req = (req.withColumn("_split", splittable)
+              .withColumn("_start", F.explode(F.when(F.col("_split"), starts).otherwise(F.array(lo)))))
+    end = F.when(F.col("_split"), F.least(F.date_add("_start", days), hi)).otherwise(hi)
+    return (req.withColumn("toDate", F.date_format(end, "MM-dd-yyyy"))
+               .withColumn("fromDate", F.date_format("_start", "MM-dd-yyyy"))
+               .drop("_start"))
+
+
 def plan_api_requests(spark: SparkSession, url: str, passes: int = 2, endpoint: str = "api",
                       as_of=None) -> DataFrame:
     """O-02: one API URL fetched ``passes`` times (each call may answer with a

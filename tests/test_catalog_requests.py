@@ -119,3 +119,18 @@ def test_text_and_date_helpers(spark, scratch):
     append_table(df, name, fmt="parquet", path=where)
     append_table(df, name, fmt="parquet", path=where)
     assert read_table(spark, name).count() == 2
+
+
+def test_window_split_for_hot_sources(spark):
+    p = _plan(spark, env="uat", endpoints=["listings-3.0", "agent-2.0"], from_date="06-01-2022",
+              to_date="06-08-2022", window_days=3).where("mlsSid = 278")
+    got = sorted((r.endpoint, r.fromDate, r.toDate) for r in p.collect())
+    assert got == [("agent-2.0", "06-01-2022", "06-08-2022"),
+                   ("listings-3.0", "06-01-2022", "06-04-2022"),
+                   ("listings-3.0", "06-04-2022", "06-07-2022"),
+                   ("listings-3.0", "06-07-2022", "06-08-2022")]
+    assert p.select("request_id").distinct().count() == 4
+    assert all("toDate=" + r.toDate in r.url for r in p.where("endpoint = 'listings-3.0'").collect())
+    names = sorted(r.landing_name for r in p.collect())
+    assert len(set(names)) == 4 and "listings-3.0.278.06172022.06042022.xml" in names
+    assert "agent-2.0.278.06172022.xml" in names
