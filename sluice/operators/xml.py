@@ -11,10 +11,13 @@ Semantics kept from the feed protocol:
 
 The parse is Spark's built-in ``from_xml`` on executors.  Every declared
 field is read as ``array<string>`` so that the first of repeated elements
-wins and an empty element is visible as ''.  A document is parsed exactly
-once: malformed documents come back with null records, so records are
-taken with ``explode_outer`` + ``IS NOT NULL`` rather than with a filter on
-the parse result, which the optimizer would duplicate into a second parse.
+wins and an empty element is visible as ''.  Records come from one full
+parse per document: malformed documents come back with null records, so
+records are taken with ``explode_outer`` + ``IS NOT NULL`` rather than
+with a filter on the parse result, which the optimizer would duplicate
+into a second parse.  Per-document status (well-formed? how many
+records?) comes from ``document_status``, a light parse that builds no
+fields, so loads never cache parsed documents.
 """
 
 from __future__ import annotations
