@@ -510,6 +510,7 @@ def q_incremental_load(spark: SparkSession, d: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     out = scratch_path(spark, "incr")
     ckpt = scratch_path(spark, "incr-ckpt")
+    # Two landings that together hold every payload: sources 0-11, then 12-24.
     land_payloads(payloads.where(F.col("mlsSid") < 12), landing)
     incremental_load(spark, landing, LISTINGS, out, ckpt)
     land_payloads(payloads.where(F.col("mlsSid") >= 12), landing)
