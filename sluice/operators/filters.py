@@ -83,7 +83,8 @@ def cap_records_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequenc
     rn = rank_column or "_rn"
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > threshold:
-        salt = F.pmod(F.xxhash64(*order_cols), F.lit(int(salt_buckets)))
+        # salt by row identity, so rows that tie on the order still spread out
+        salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(int(salt_buckets)))
         pre = Window.partitionBy(*keys, "_salt").orderBy(*order_cols)
         df = (df.withColumn("_salt", salt).withColumn(rn, F.row_number().over(pre))
                 .where(F.col(rn) <= int(n)).drop("_salt", rn))

@@ -102,3 +102,14 @@ def test_cap_above_threshold_uses_salted_phases(spark):
         assert sorted(tuple(r) for r in capped.collect()) == want
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_cap_above_threshold_with_ties(spark):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+    try:
+        rows = [(1, 0)] * 200 + [(1, 1)] * 5 + [(2, 3)]
+        df = spark.createDataFrame(rows, "k int, v int").repartition(4)
+        capped = FL.cap_records_per_key(df, "k", "v", 3, salt_buckets=8)
+        assert sorted(tuple(r) for r in capped.collect()) == [(1, 0), (1, 0), (1, 0), (2, 3)]
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
