@@ -228,7 +228,8 @@ def _materialise(spark: SparkSession, log: DataFrame, log_path: str | None,
 
     Appended to ``log_path`` and read back when given; else cached and
     counted: if its blocks are lost it is recomputed from the landed
-    payloads, which stay on durable storage.
+    payloads, which stay on durable storage.  A long-lived application
+    releases a cached log with ``log.unpersist()`` once it has used it.
     """
     if log_path:
         append_path(log, log_path)
