@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.xml import document_status, explode_records, parse_documents
+from sluice.session import default_parallelism
+from sluice.sources.split import split_documents
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
 from sluice.sources.fetch import PAYLOAD_SCHEMA
 from sluice.sources.landing import LANDING_PARTITIONS
@@ -31,7 +33,8 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
                      checkpoint: str, *, quarantine_path: str | None = None,
                      row_tags: Sequence[str] | None = None,
                      max_files_per_trigger: int | None = 1000, files: bool = False,
-                     glob: str = "*.xml", every: str | None = None):
+                     glob: str = "*.xml", every: str | None = None,
+                     split_bytes: int | None = None):
     """Run one availableNow pass; returns the number of micro-batches run.
 
     ``landing_path`` is the landing table (parquet, see ``sources.landing``),
@@ -40,6 +43,10 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     off in micro-batches of at most ``max_files_per_trigger`` files, each
     committed on its own.  With ``every`` (e.g. ``"5 minutes"``) the query
     keeps running on a processing-time trigger and is returned instead.
+    With ``split_bytes``, dropped files above it are split at record
+    boundaries and the parts spread over tasks before parsing (a shuffle of
+    the batch's bodies, so it is opt-in for feeds that drop large files;
+    landed payloads were already split when fetched).
     """
     cols = feed_columns(endpoint)
     tags = row_tags or DEFAULT_ROW_TAGS
@@ -64,6 +71,9 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if files and split_bytes:
+            batch = split_documents(batch, split_bytes)
+            batch = batch.repartition(default_parallelism(batch.sparkSession), "request_id", "part")
         # A micro-batch reads a fixed list of files, so the records (full
         # parse) and the quarantine (light status pass) read it separately
         # instead of caching the parsed documents.

@@ -118,3 +118,17 @@ def test_replayed_batch_does_not_duplicate(spark, scratch, tmp_path):
     got = sorted(r.agentId for r in read_incremental(spark, out, "agents-all-1.0").collect())
     assert got == ["a31", "a32"]
     assert spark.read.parquet(good_q).count() == 1
+
+
+def test_file_drop_stream_splits_large_files(spark, scratch):
+    import os
+    drop = scratch("drop").replace("file:", "")
+    os.makedirs(drop)
+    big = "<r>" + "".join(f"<row><mlsSid>{i}</mlsSid><agentId>b{i}</agentId></row>" for i in range(300)) + "</r>"
+    with open(f"{drop}/big.xml", "w") as f:
+        f.write(big)
+    out, ckpt, q = scratch("out"), scratch("ckpt"), scratch("q")
+    assert incremental_load(spark, drop, "agents-all-1.0", out, ckpt, files=True, split_bytes=1000,
+                            quarantine_path=q) == 1
+    got = read_incremental(spark, out, "agents-all-1.0")
+    assert got.count() == 300 and got.select("agentId").distinct().count() == 300
