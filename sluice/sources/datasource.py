@@ -11,8 +11,9 @@ never appears in options or plans).
     payloads = read_payloads(spark, plan_path, HttpTransport(token=...))
     payloads.where("endpoint = 'listings-3.0'")   # other requests are never fetched
 
-Equality and IN predicates on ``endpoint``, ``mlsSid`` and ``request_id``
-are pushed into the reader (``pushFilters``) when the session enables
+Equality and IN predicates on ``endpoint``, ``mlsSid``, ``request_id``,
+``fromDate``, ``toDate``, ``load_date`` and ``feed_ordinal`` are pushed into
+the reader (``pushFilters``) when the session enables
 Python filter pushdown: the requests they exclude are skipped before any
 network call.
 """
@@ -47,7 +48,7 @@ def _list_slices(root: str) -> list[RequestSlice]:
             if p.endswith(".parquet") and not p.rsplit("/", 1)[-1].startswith(("_", "."))]
 
 
-PUSHABLE = {"endpoint", "mlsSid", "request_id"}
+PUSHABLE = {"endpoint", "mlsSid", "request_id", "fromDate", "toDate", "load_date", "feed_ordinal"}
 
 
 class _Reader(DataSourceReader):

@@ -184,6 +184,9 @@ def test_data_source_pushdown_skips_fetches(spark, scratch):
     got = payloads.where((F.col("endpoint") == "office-2.0") & F.col("mlsSid").isin(14, 36, 99)).collect()
     assert sorted(r.mlsSid for r in got) == [14, 36]
     assert len(os.listdir(calls)) == 2
+    # the window and load date prune too: no request has this window, nothing is fetched
+    none = payloads.where((F.col("fromDate") == "01-01-1999") & (F.col("load_date") == F.lit("2022-06-17").cast("date")))
+    assert none.count() == 0 and len(os.listdir(calls)) == 2
 
 
 def test_unconfigured_tags_are_reported(spark, scratch):
