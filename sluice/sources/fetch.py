@@ -89,7 +89,10 @@ def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = Non
                    run_id: str | None = None, split_bytes: int | None = DEFAULT_SPLIT_BYTES) -> DataFrame:
     """One payload row per request, fetched by ``transport`` inside tasks.
 
-    A body above ``split_bytes`` is split at record boundaries into parts
+    Filter the request plan before calling this: predicates cannot pass
+    through the fetch, so a filter on its output still fetches everything
+    (the request source in ``sources.datasource`` takes them as pushed
+    filters instead).  A body above ``split_bytes`` is split at record boundaries into parts
     (``part`` 0, 1, ...) so that its parse spreads over several tasks
     (``sources.split``); None keeps every body whole.
     """
