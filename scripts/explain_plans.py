@@ -22,10 +22,11 @@ from sluice.testdata_feeds import listing_payloads, table  # noqa: E402
 
 
 def formatted(df) -> str:
-    df.write.format("noop").mode("overwrite").save()   # final (adaptive) plan
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()            # run this very plan, so the adaptive plan is final
     jvm = df.sparkSession._jvm
     mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    text = df._jdf.queryExecution().explainString(mode)
+    text = qe.explainString(mode)
     # keep plans readable: long expression lists are cut
     return "\n".join(line if len(line) < 400 else line[:400] + " ..." for line in text.splitlines())
 
