@@ -74,16 +74,23 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
         recs = F.slice(recs, 1, int(max_records))
     fetched = F.col("_body").isNotNull()
     malformed = fetched & F.col(f"_x.{BAD}").isNotNull()
+    n_recs = _count(recs)
     out = [*keep, recs.alias("records"), fetched.alias("fetched"), malformed.alias("malformed"),
-           F.coalesce(F.size(recs), F.lit(0)).alias("n_records")]
+           n_recs.alias("n_records")]
     if check_tags:
         # Direct children of the root that no configured tag picked up; the
         # XPath count runs only on documents that parsed.
         total = F.when(fetched & ~malformed, F.expr("xpath_int(_body, 'count(/*/*)')"))
-        out.append((total - F.coalesce(F.size(recs), F.lit(0))).alias("untagged"))
+        out.append((total - n_recs).alias("untagged"))
     return parsed.select(*out)
 
 
+def _count(arr: Column) -> Column:
+    """Elements of an array column, 0 for null (``size(null)`` is -1 when
+    ANSI mode is off)."""
+    return F.when(arr.isNotNull(), F.size(arr)).otherwise(F.lit(0))
+
+
 def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_TAGS, *,
                     body: str = "body", keep: Sequence[str] | None = None,
                     max_records: int | None = None, check_tags: bool = False,
@@ -101,9 +108,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     ddl = ", ".join(f"{_q(t)} array<{rec}>" for t in row_tags) + f", {BAD} string"
     x = F.from_xml(F.col(body), ddl, XML_OPTIONS)
     parsed = payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x"))
-    n = sum((F.coalesce(F.size(F.col(f"_x.{_q(t)}")), F.lit(0)) for t in row_tags[1:]),
-            F.coalesce(F.size(F.col(f"_x.{_q(row_tags[0])}")), F.lit(0)))
-    n = F.greatest(n, F.lit(0))
+    n = sum((_count(F.col(f"_x.{_q(t)}")) for t in row_tags[1:]), _count(F.col(f"_x.{_q(row_tags[0])}")))
     if max_records is not None:
         n = F.least(n, F.lit(int(max_records)))
     fetched = F.col("_body").isNotNull()

@@ -109,3 +109,16 @@ def test_external_entities_are_never_resolved(spark, tmp_path):
     assert parse_records(df, COLS).count() == 0        # documents with a DTD are rejected whole
     q = quarantine(parse_documents(df, COLS, keep=["id"]), keep=["id"])
     assert _rows(q) == [(1, "malformed document")]
+
+
+def test_counts_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(1, "<r/>"), (2, "<r><row><a>1</a></row></r>")], "id int, body string")
+        got = sorted((r.id, r.n_records) for r in parse_documents(df, COLS, keep=["id"]).collect())
+        assert got == [(1, 0), (2, 1)]
+        from sluice.operators.xml import document_status
+        got = sorted((r.id, r.n_records) for r in document_status(df, keep=["id"], probe="a").collect())
+        assert got == [(1, 0), (2, 1)]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
