@@ -5,7 +5,7 @@
         --landing <shared path> [--transport http|file --root <dir>]
 
 ``python -m sluice.cli api --url ... --table ...`` runs the JSON API job
-instead.  ``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
+instead, ``python -m sluice.cli incremental ...`` the incremental load.  ``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
 file with the real hosts and record tags::
 
     {"base_urls": {"dev": {"listings-3.0": "https://..."}},
@@ -52,11 +52,35 @@ def api_main(argv: list[str]) -> int:
     return 0 if status == "success" else 1
 
 
+def incremental_main(argv: list[str]) -> int:
+    """``sluice incremental``: load what was landed since the last run, each file once (O-37)."""
+    from sluice.streaming.incremental import incremental_load
+
+    ap = argparse.ArgumentParser(prog="sluice incremental")
+    ap.add_argument("--endpoint", required=True)
+    ap.add_argument("--landing", required=True, help="landing table, or a folder of dropped files with --files")
+    ap.add_argument("--table-path", required=True)
+    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("--quarantine", default=None)
+    ap.add_argument("--files", action="store_true", help="landing is a folder of one-document files")
+    ap.add_argument("--max-files-per-trigger", type=int, default=1000)
+    ap.add_argument("--split-bytes", type=int, default=None)
+    args = ap.parse_args(argv)
+    spark = build_session()
+    batches = incremental_load(spark, args.landing, args.endpoint, args.table_path, args.checkpoint,
+                               quarantine_path=args.quarantine, files=args.files,
+                               max_files_per_trigger=args.max_files_per_trigger, split_bytes=args.split_bytes)
+    print(f"{args.endpoint}\tbatches={batches}")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     import sys
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv[:1] == ["api"]:
         return api_main(argv[1:])
+    if argv[:1] == ["incremental"]:
+        return incremental_main(argv[1:])
     ap = argparse.ArgumentParser(prog="sluice")
     ap.add_argument("--env", required=True)
     ap.add_argument("--endpoint", default="All")

@@ -132,3 +132,14 @@ def test_file_drop_stream_splits_large_files(spark, scratch):
                             quarantine_path=q) == 1
     got = read_incremental(spark, out, "agents-all-1.0")
     assert got.count() == 300 and got.select("agentId").distinct().count() == 300
+
+
+def test_cli_incremental(spark, scratch, capsys):
+    from sluice.cli import main
+    landing, out, ckpt = scratch("landing"), scratch("out"), scratch("ckpt")
+    land_payloads(_landed(spark, [(41, doc(41)), (42, doc(42))]), landing)
+    args = ["incremental", "--endpoint", "agents-all-1.0", "--landing", landing, "--table-path", out,
+            "--checkpoint", ckpt]
+    assert main(args) == 0 and "batches=1" in capsys.readouterr().out
+    assert main(args) == 0 and "batches=0" in capsys.readouterr().out
+    assert read_incremental(spark, out, "agents-all-1.0").count() == 2
