@@ -33,6 +33,7 @@ def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES) -> list[str]
     if len(data) <= max_bytes:
         return None
     parser = expat.ParserCreate(encoding="utf-8")
+    parser.ordered_attributes = True      # attributes are not needed: skip building dicts
     depth = 0
     starts: list[int] = []
     root_end = [-1]
