@@ -62,3 +62,16 @@ def test_landing_reads_list_only_selected_partitions(spark, scratch):
     assert sorted(r.request_id for r in day.collect()) == ["r1", "r2"]
     assert read_landed(spark, landing, endpoint="zzz-1.0").count() == 0
     assert partition_path("/x", "we:ird", None) == "/x"
+
+
+def test_status_pass_is_one_stage(spark, scratch):
+    from sluice.operators.xml import document_status
+    p = listing_payloads(spark, SF).select("request_id", "endpoint", "mlsSid", "body",
+                                           F.to_date(F.lit("2022-06-17")).alias("load_date"))
+    landing = scratch("landing")
+    land_payloads(p, landing)
+    landed = read_landed(spark, landing, endpoint="listings-3.0", load_date="2022-06-17")
+    status = document_status(landed.select("request_id", "body"), keep=["request_id"])
+    plan = _plan(status)
+    assert "Exchange" not in plan and plan.count("from_xml(") == 1
+    assert status.where("n_records > 0").count() == p.count()
