@@ -5,7 +5,8 @@
         --landing <shared path> [--transport http|file --root <dir>]
 
 ``python -m sluice.cli api --url ... --table ...`` runs the JSON API job
-instead, ``python -m sluice.cli incremental ...`` the incremental load.  ``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
+instead, ``python -m sluice.cli incremental ...`` the incremental load.
+``--endpoint All`` runs every configured feed.  ``--catalog`` names a JSON
 file with the real hosts and record tags::
 
     {"base_urls": {"dev": {"listings-3.0": "https://..."}},
