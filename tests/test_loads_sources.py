@@ -313,3 +313,16 @@ def test_cli_api_job(spark, scratch, capsys):
     assert main(["api", "--url", url, "--path", path]) == 0
     assert capsys.readouterr().out.startswith("success\t")
     assert spark.read.parquet(path).count() == 2
+
+
+def test_xml_quarantine_and_log_table(spark, scratch):
+    p = _payloads(spark, [("r1", "agents-all-1.0", 7, None, GOOD), ("r2", "agents-all-1.0", 8, None, BAD),
+                          ("r3", "agents-all-1.0", 9, "HTTP 500", None)])
+    q, logs = scratch("q"), scratch("logs")
+    log = load_feed(spark, p, "agents-all-1.0", path=scratch("t"), quarantine_path=q, log_path=logs,
+                    run_id="run-q")
+    assert sorted((r.request_id, r.reason) for r in spark.read.parquet(q).collect()) == [
+        ("r2", "malformed document"), ("r3", "fetch failed")]
+    assert sorted((r.request_id, r.status) for r in log.collect()) == [
+        ("r1", "success"), ("r2", "failed"), ("r3", "failed")]
+    assert spark.read.parquet(logs).where("run_id = 'run-q'").count() == 3
