@@ -97,6 +97,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--log-table", default=None)
     ap.add_argument("--quarantine", default=None)
     ap.add_argument("--catalog", default=None, help="JSON file: base_urls by env/feed, row_tags by feed")
+    ap.add_argument("--discover-tags", action="store_true",
+                    help="read records under every tag the payloads use as root children")
     ap.add_argument("--check-tags", action="store_true",
                     help="report records under row tags the catalog does not configure")
     ap.add_argument("--split-bytes", type=int, default=None,
@@ -118,7 +120,8 @@ def main(argv: list[str] | None = None) -> int:
                     to_date=args.to_date, as_of=args.as_of, transport=transport,
                     landing_path=args.landing, concurrency=args.concurrency,
                     quarantine_path=args.quarantine, log_table=args.log_table,
-                    check_tags=args.check_tags, split_bytes=args.split_bytes)
+                    check_tags=args.check_tags, split_bytes=args.split_bytes,
+                    discover_tags=args.discover_tags)
     summary = feed_summary(log).collect()
     for r in summary:
         print(f"{r.endpoint}\t{r.result}\trows={r.rows}\t{r.elapsed_sec:.1f}s")

@@ -325,7 +325,7 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
               row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
               run_id: str | None = None, quarantine_path: str | None = None,
               log_table: str | None = None, check_tags: bool = False,
-              split_bytes: int | None = None) -> DataFrame:
+              split_bytes: int | None = None, discover_tags: bool = False) -> DataFrame:
     """The all-feed job: plan -> fetch on executors -> land -> load each feed.
 
     Returns the run log (one row per request, plus one failed row per asked
@@ -361,6 +361,13 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
               .select("endpoint", "row_tags", "table_name").collect()}
     if row_tags is None:
         row_tags = {e: list(c.row_tags) for e, c in config.items() if c.row_tags}
+    row_tags = dict(row_tags)
+    if discover_tags:
+        # records are any direct child of the root: add the tags the payloads use
+        from sluice.sources.tags import discover_row_tags
+        for e, found in discover_row_tags(landed).items():
+            if e in config:
+                row_tags[e] = list(dict.fromkeys([*row_tags.get(e, []), *found]))
     if tables is None and paths is None:
         tables = {e: c.table_name for e, c in config.items()}
     log = load_feeds(spark, landed, known, payloads_replayable=True,

@@ -36,6 +36,7 @@ from sluice.sinks.tables import append_table
 from sluice.sources.fetch import fetch_payloads
 from sluice.sources.landing import export_documents, land_payloads, read_landed, read_landed_files
 from sluice.sources.split import split_documents
+from sluice.sources.tags import discover_row_tags
 from sluice.sources.transport import FileTransport
 from sluice.streaming.incremental import incremental_load, read_incremental
 
@@ -223,6 +224,20 @@ def q_xml_row_tags(spark: SparkSession, d: str) -> DataFrame:
                       F.col("o_totalprice").cast("double"), "row_tag")
 
 
+def q_xml_discovered_tags(spark: SparkSession, d: str) -> DataFrame:
+    """O-03 'any child of the root is a record': the row tags are discovered
+    from the documents (distributed scan), then every record is read."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    tag = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.lit(v)) for k, v in ORDER_TAGS.items()])
+    docs = build_documents(o.withColumn("doc", F.expr(f"o_orderkey div {DOC_ROWS}")).withColumn("tag", tag),
+                           "doc", ["o_orderkey", "o_orderstatus", "o_totalprice"],
+                           tag_col="tag", tags=list(ORDER_TAGS.values()))
+    docs = docs.withColumn("endpoint", F.lit("orders-1.0"))
+    tags = discover_row_tags(docs)["orders-1.0"]
+    out = parse_records(docs, ["o_orderkey", "o_orderstatus", "o_totalprice"], tags)
+    return cast_back(out, o)
+
+
 def q_cap_records(spark: SparkSession, d: str) -> DataFrame:
     """O-23 within a payload: the first 10 records of each document."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
@@ -557,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_quarantine": q_xml_quarantine,
     "xml_first_duplicate": q_xml_first_duplicate,
     "xml_row_tags": q_xml_row_tags,
+    "xml_discovered_tags": q_xml_discovered_tags,
     "cap_records": q_cap_records,
     "cap_per_request": q_cap_per_request,
     "json_api_payloads": q_json_api_payloads,
@@ -641,6 +657,7 @@ ORACLE_SQL: dict[str, str] = {
     "xml_row_tags": ("SELECT o_orderkey, o_orderstatus, o_totalprice, CASE o_orderstatus "
                      + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ORDER_TAGS.items())
                      + " END AS row_tag FROM orders"),
+    "xml_discovered_tags": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "cap_records": (f"SELECT doc_key, o_orderkey, o_custkey FROM (SELECT o_orderkey // {DOC_ROWS} AS doc_key, "
                     f"o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_orderkey // {DOC_ROWS} "
                     f"ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 10"),

@@ -326,3 +326,18 @@ def test_xml_quarantine_and_log_table(spark, scratch):
     assert sorted((r.request_id, r.status) for r in log.collect()) == [
         ("r1", "success"), ("r2", "failed"), ("r3", "failed")]
     assert spark.read.parquet(logs).where("run_id = 'run-q'").count() == 3
+
+
+def test_run_feeds_discovers_tags(spark, scratch):
+    from sluice.loads import run_feeds
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", endpoints=["agents-all-1.0"],
+                         as_of="2022-06-17")
+    drop = scratch("drop")
+    export_documents(reqs.select("endpoint", "landing_name",
+                                 F.format_string("<r><agent><agentId>%d</agentId></agent></r>", "mlsSid")
+                                 .alias("body")), drop).count()
+    out = scratch("t")
+    log = run_feeds(spark, env="uat", endpoints=["agents-all-1.0"], as_of="2022-06-17",
+                    transport=FileTransport(drop), landing_path=scratch("landing"),
+                    paths={"agents-all-1.0": out}, discover_tags=True)
+    assert sum(r.rows for r in log.collect()) == 7 and spark.read.parquet(out).count() == 7
