@@ -41,10 +41,52 @@ def build_session(master: str | None = None, app: str = "sluice",
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime settings to a session built elsewhere."""
+    """Apply the runtime settings to a session built elsewhere, and make the
+    package importable in its Python workers."""
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Ship ``sluice`` to the executors' Python workers (``addPyFile``), once
+    per application.
+
+    Python-side steps (fetching, splitting, tag scans, file drops) run in
+    worker processes that import ``sluice``; on a cluster the package is
+    either installed on every node or shipped like this.  The zip is written
+    to the shared folder and distributed by Spark.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # no driver-side context (Spark Connect): install the package instead
+        return
+    if app in _SHIPPED:
+        return
+    import io
+    import os
+    import zipfile
+
+    from sluice.sources.transport import _filesystem
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = f"{shared_dir(spark)}/sluice-pkg-{uuid.uuid4().hex[:8]}.zip"
+    filesystem, path = _filesystem(target)
+    with filesystem.open_output_stream(path) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -126,6 +126,8 @@ def read_payloads(spark: SparkSession, requests_path: str, transport, run_id: st
                   name: str = "sluice_payloads") -> DataFrame:
     """Register the source for ``transport`` and read the request table at
     ``requests_path`` through it (filters pushed when the session allows)."""
+    from sluice.session import ship_package
+    ship_package(spark)
     spark.dataSource.register(payload_source(transport, name))
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower() == "true"
     reader = spark.read.format(name).option("requests", requests_path).option("pushdown", str(pushdown).lower())

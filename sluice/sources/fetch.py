@@ -16,6 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sluice.session import ship_package
 from sluice.sources.split import DEFAULT_SPLIT_BYTES, split_rows
 
 FETCH_INPUT = ["request_id", "feed_ordinal", "endpoint", "mlsSid", "fromDate", "toDate", "url",
@@ -96,6 +97,7 @@ def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = Non
     (``part`` 0, 1, ...) so that its parse spreads over several tasks
     (``sources.split``); None keeps every body whole.
     """
+    ship_package(requests.sparkSession)
     reqs = requests.select(*FETCH_INPUT)
     if concurrency:
         reqs = reqs.repartition(int(concurrency), "request_id")

@@ -105,6 +105,8 @@ def export_documents(payloads: DataFrame, root: str) -> DataFrame:
     (the name made safe with ``transport.safe_file_name``)
     (what a file-drop feed delivers).  Lazy: returns (endpoint, landing_name,
     bytes) and writes when that frame is evaluated."""
+    from sluice.session import ship_package
+    ship_package(payloads.sparkSession)
     return (payloads.where(F.col("body").isNotNull())
                     .select("endpoint", "landing_name", "body")
                     .mapInPandas(_writer(root), "endpoint string, landing_name string, bytes long"))

@@ -89,6 +89,8 @@ def split_rows(rows: list[dict], max_bytes: int) -> list[dict]:
 
 def split_documents(payloads: DataFrame, max_bytes: int = DEFAULT_SPLIT_BYTES) -> DataFrame:
     """Payload rows with large bodies split into parts (adds ``part``)."""
+    from sluice.session import ship_package
+    ship_package(payloads.sparkSession)
     schema = T.StructType([f for f in payloads.schema.fields if f.name != "part"]
                           + [T.StructField("part", T.IntegerType())])
     names = schema.fieldNames()

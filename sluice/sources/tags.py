@@ -45,6 +45,8 @@ def root_child_tags(body: str) -> Counter | None:
 
 def tag_counts(payloads: DataFrame) -> DataFrame:
     """(endpoint, tag, records) over all well-formed payload bodies."""
+    from sluice.session import ship_package
+    ship_package(payloads.sparkSession)
     src = payloads.select(F.col("endpoint").cast("string"), "body") if "endpoint" in payloads.columns \
         else payloads.select(F.lit(None).cast("string").alias("endpoint"), "body")
 
