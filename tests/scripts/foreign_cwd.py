@@ -1,13 +1,15 @@
-"""Run registered queries that use Python workers with the repo only on the driver's sys.path."""
+"""Load the entry file by path from another directory and run queries that use Python workers."""
 
+import importlib.util
 import json
+import os
 import sys
 
-sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
 
-from pyspark.sql import SparkSession  # noqa: E402
-
-import __spark_entry__ as E  # noqa: E402
+spec = importlib.util.spec_from_file_location("entry_under_test", os.path.join(sys.argv[1], "__spark_entry__.py"))
+E = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(E)
 
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "4").getOrCreate())
