@@ -38,6 +38,19 @@ XML_OPTIONS = {
 }
 
 
+# A DOCTYPE that only names an external DTD (no internal subset) is dropped
+# before parsing: the DTD is never loaded either way, and Spark's reader
+# rejects any DOCTYPE.  Internal subsets (entity declarations) stay, and such
+# documents are rejected whole.
+_EXTERNAL_DOCTYPE = r"^(\s*(?:<\?xml[^>]*\?>)?\s*)<!DOCTYPE\s[^\[>]*>"
+
+
+def parse_ready(body: Column) -> Column:
+    """The body as handed to the XML reader (external-only DOCTYPE removed)."""
+    head = F.substring(body, 1, 4096)
+    return F.when(F.instr(head, "<!DOCTYPE") > 0, F.regexp_replace(body, _EXTERNAL_DOCTYPE, "$1")).otherwise(body)
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -62,7 +75,7 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
     """
     apply_conf(payloads.sparkSession)
     keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
-    x = F.from_xml(F.col(body), document_schema(columns, row_tags), XML_OPTIONS)
+    x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
     parsed = payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x"))
     tags = list(row_tags)
     if len(tags) == 1:
@@ -80,7 +93,7 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
     if check_tags:
         # Direct children of the root that no configured tag picked up; the
         # XPath count runs only on documents that parsed.
-        total = F.when(fetched & ~malformed, F.expr("xpath_int(_body, 'count(/*/*)')"))
+        total = F.when(fetched & ~malformed, F.xpath_int(parse_ready(F.col("_body")), F.lit("count(/*/*)")))
         out.append((total - n_recs).alias("untagged"))
     return parsed.select(*out)
 
@@ -106,7 +119,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
     rec = f"struct<{_q(probe)}: string>"
     ddl = ", ".join(f"{_q(t)} array<{rec}>" for t in row_tags) + f", {BAD} string"
-    x = F.from_xml(F.col(body), ddl, XML_OPTIONS)
+    x = F.from_xml(parse_ready(F.col(body)), ddl, XML_OPTIONS)
     parsed = payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x"))
     n = sum((_count(F.col(f"_x.{_q(t)}")) for t in row_tags[1:]), _count(F.col(f"_x.{_q(row_tags[0])}")))
     if max_records is not None:
@@ -116,7 +129,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     out = [*keep, fetched.alias("fetched"), malformed.alias("malformed"),
            F.when(fetched & ~malformed, n).otherwise(F.lit(0)).alias("n_records")]
     if check_tags:
-        total = F.when(fetched & ~malformed, F.expr("xpath_int(_body, 'count(/*/*)')"))
+        total = F.when(fetched & ~malformed, F.xpath_int(parse_ready(F.col("_body")), F.lit("count(/*/*)")))
         out.append((total - n).alias("untagged"))
     return parsed.select(*out)
 
@@ -148,7 +161,7 @@ def parse_tagged_records(payloads: DataFrame, columns: Sequence[str], row_tags:
                          tag_column: str = "row_tag") -> DataFrame:
     """Records of several row tags with the tag they came from."""
     apply_conf(payloads.sparkSession)
-    x = F.from_xml(F.col(body), document_schema(columns, row_tags), XML_OPTIONS)
+    x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
     parts = F.concat(*[
         F.coalesce(F.transform(F.col(f"_x.{_q(t)}"), _tagger(t)),
                    F.array().cast(f"array<struct<tag:string, rec:{_rec_ddl(columns)}>>"))
