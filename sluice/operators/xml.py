@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
 from sluice.session import apply_conf
+from sluice.sources.tags import root_children_count
 
 BAD = "_bad"
 XML_OPTIONS = {
@@ -46,11 +47,16 @@ _EXTERNAL_DOCTYPE = r"^(\s*(?:<\?xml[^>]*\?>)?\s*)<!DOCTYPE\s[^\[>]*>"
 
 
 def parse_ready(body: Column) -> Column:
-    """The body as handed to the XML reader (external-only DOCTYPE removed)."""
+    """The body as handed to the XML reader: no leading byte-order mark, no
+    external-only DOCTYPE."""
+    body = F.when(body.startswith(BOM), F.substring(body, 2, 2 ** 31 - 1)).otherwise(body)
     head = F.substring(body, 1, 4096)
     return F.when(F.instr(head, "<!DOCTYPE") > 0, F.regexp_replace(body, _EXTERNAL_DOCTYPE, "$1")).otherwise(body)
 
 
+BOM = "\ufeff"
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -93,7 +99,7 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
     if check_tags:
         # Direct children of the root that no configured tag picked up; the
         # XPath count runs only on documents that parsed.
-        total = F.when(fetched & ~malformed, F.xpath_int(parse_ready(F.col("_body")), F.lit("count(/*/*)")))
+        total = F.when(fetched & ~malformed, root_children_count(F.col("_body")))
         out.append((total - n_recs).alias("untagged"))
     return parsed.select(*out)
 
@@ -129,7 +135,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     out = [*keep, fetched.alias("fetched"), malformed.alias("malformed"),
            F.when(fetched & ~malformed, n).otherwise(F.lit(0)).alias("n_records")]
     if check_tags:
-        total = F.when(fetched & ~malformed, F.xpath_int(parse_ready(F.col("_body")), F.lit("count(/*/*)")))
+        total = F.when(fetched & ~malformed, root_children_count(F.col("_body")))
         out.append((total - n).alias("untagged"))
     return parsed.select(*out)
 

@@ -13,8 +13,11 @@ from __future__ import annotations
 from collections import Counter
 from xml.parsers import expat
 
+import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def root_child_tags(body: str) -> Counter | None:
@@ -43,6 +46,20 @@ def root_child_tags(body: str) -> Counter | None:
     return tags
 
 
+def root_children(body: str | None) -> int | None:
+    """Number of the root's direct children; None when not well-formed."""
+    if not isinstance(body, str):
+        return None
+    found = root_child_tags(body)
+    return None if found is None else sum(found.values())
+
+
+@F.pandas_udf(T.IntegerType())
+def root_children_count(bodies: pd.Series) -> pd.Series:
+    """Arrow-batched ``root_children``: never raises on a bad document."""
+    return bodies.map(root_children).astype("Int32")
+
+
 def tag_counts(payloads: DataFrame) -> DataFrame:
     """(endpoint, tag, records) over all well-formed payload bodies."""
     from sluice.session import ship_package

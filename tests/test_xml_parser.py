@@ -127,9 +127,10 @@ def test_counts_without_ansi(spark):
 def test_external_doctype_is_ignored_internal_subset_rejected(spark):
     docs = [(1, '<?xml version="1.0"?>\n<!DOCTYPE r SYSTEM "http://feeds.example.com/r.dtd">\n<r><row><a>1</a></row></r>'),
             (2, '<!DOCTYPE r PUBLIC "-//x//y" "r.dtd"><r><row><a>2</a></row></r>'),
-            (3, '<!DOCTYPE r [<!ENTITY e "x">]><r><row><a>&e;</a></row></r>')]
+            (3, '<!DOCTYPE r [<!ENTITY e "x">]><r><row><a>&e;</a></row></r>'),
+            (4, '\ufeff<?xml version="1.0"?><!DOCTYPE r SYSTEM "r.dtd"><r><row><a>4</a></row></r>')]
     df = spark.createDataFrame(docs, "id int, body string")
-    assert _rows(parse_records(df, COLS, keep=["id"])) == [(1, N, "1", N), (2, N, "2", N)]
+    assert _rows(parse_records(df, COLS, keep=["id"])) == [(1, N, "1", N), (2, N, "2", N), (4, N, "4", N)]
     status = {r.id: (r.malformed, r.n_records, r.untagged)
               for r in parse_documents(df, COLS, keep=["id"], check_tags=True).collect()}
     assert status[1] == (False, 1, 0) and status[2] == (False, 1, 0) and status[3][0]
