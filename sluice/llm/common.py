@@ -52,3 +52,42 @@ def with_row_index(df: DataFrame, *order: Column, index: str = "row_index") -> D
     return (part.join(F.broadcast(before), F.col("__pid") == F.col("__of"))
             .withColumn(index, F.col("__before") + F.col("__at"))
             .drop("__pid", "__at", "__of", "__before"))
+
+
+def keep_rows(docs: DataFrame, id_col: str, digest: Column, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (key, digest, twin), with their own columns.
+
+    A row is found by its id and the digest of its text.  ``twin`` marks those
+    that may fit several rows, of which any one stays; there are none unless
+    the table repeats rows.
+    """
+    rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"), digest.alias("__digest"))
+    kept = kept.select(F.col("key").alias("__key"), F.col("digest").alias("__of"), F.col("twin").alias("__twin"))
+    same = F.col("__id").eqNullSafe(F.col("__key")) & (F.col("__digest") == F.col("__of"))
+    twins = kept.where("__twin")
+    if twins.isEmpty():
+        return rows.join(kept, same, "left_semi").select("__row.*")
+    one = rows.join(twins, same, "left_semi").groupBy("__id", "__digest").agg(F.first("__row").alias("__row"))
+    return (rows.join(kept.where("not __twin"), same, "left_semi").select("__row")
+            .unionAll(one.select("__row")).select("__row.*"))
+
+
+def byte_slices(batch, column: int, limit: int = 4 << 20):
+    """Cut an Arrow batch into slices of about ``limit`` bytes of the given text column (a row is never cut)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at, n = 0, batch.num_rows
+    while at < n:
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right"))
+        to = max(to, at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def texts_as_bytes(column) -> list[bytes]:
+    """A string column's values as UTF-8 bytes; null counts as empty."""
+    import pyarrow as pa
+
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import ascii_lower, materialise, read_table, shuffle_partitions
+from sluice.llm.common import ascii_lower, keep_rows, materialise, read_table, shuffle_partitions
 
 LEAD = 64
 
@@ -142,16 +142,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows equal in id and text any one stays.
     """
     kept = materialise(duplicate_groups(docs, id_col, text_col, keep).where("kept")
-                       .select(F.col(id_col).alias("__k"), F.col("text_sha256").alias("__d"), "twin"), "exact-kept")
-    rows = docs.select(F.struct("*").alias("__row"), F.col(id_col).alias("__id"),
-                       F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256).alias("__sha"))
-    same = F.col("__id").eqNullSafe(F.col("__k")) & (F.col("__sha") == F.col("__d"))
-    twins = kept.where("twin")
-    if twins.isEmpty():
-        return rows.join(kept, same, "left_semi").select("__row.*")
-    one = rows.join(twins, same, "left_semi").groupBy("__id", "__sha").agg(F.first("__row").alias("__row"))
-    return (rows.join(kept.where("not twin"), same, "left_semi").select("__row")
-            .unionAll(one.select("__row")).select("__row.*"))
+                       .select(F.col(id_col).alias("key"), F.col("text_sha256").alias("digest"), "twin"), "exact-kept")
+    return keep_rows(docs, id_col, F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256), kept)
 
 
 def op5_query(spark, sf_dir: str) -> DataFrame:

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import exact, mixing
+from sluice.llm import bpe, exact, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_dedup": simhash.op2_query,
     "op5_exact_dedup": exact.op5_query,
+    "op6_byte_bpe": bpe.op6_query,
     "op9_source_mixing": mixing.op9_query,
 }
 
