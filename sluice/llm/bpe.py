@@ -180,12 +180,16 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
             .select(F.col("key").alias(id_col), F.col("ids").alias(ids_col), "bytes", "text"))
 
 
+def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 (of the decimal ids, joined by blanks), decoded_sha256 (of the decoded bytes)."""
+    return decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path, id_col).select(
+        id_col, F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op6_query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
-    path = public.path("byte_bpe_50k.tiktoken")
-    encoded = encode(read_table(spark, sf_dir, "documents"), path, public.PATTERN)
-    return decode(encoded, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"))
+    return token_digests(read_table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, mixing, simhash
+from sluice.llm import bpe, exact, langid, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.op2_query,
     "op5_exact_dedup": exact.op5_query,
     "op6_byte_bpe": bpe.op6_query,
+    "op7_language_id": langid.op7_query,
     "op9_source_mixing": mixing.op9_query,
 }
 
