@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, exact, langid, mixing, simhash
+from sluice.llm import ann, bpe, exact, langid, lines, mixing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.op2_query,
+    "op3_nearest_neighbours": ann.op3_query,
     "op5_exact_dedup": exact.op5_query,
     "op6_byte_bpe": bpe.op6_query,
     "op7_language_id": langid.op7_query,
+    "op8_line_dedup": lines.op8_query,
     "op9_source_mixing": mixing.op9_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_nearest_neighbours": ann.ORACLE_SQL,
     "op5_exact_dedup": exact.ORACLE_SQL,
+    "op8_line_dedup": lines.ORACLE_SQL,
     "op9_source_mixing": mixing.ORACLE_SQL,
 }
