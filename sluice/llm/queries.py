@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import ann, bpe, exact, langid, lines, mixing, simhash
+from sluice.llm import ann, bpe, exact, langid, lines, mixing, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": suffix.op1_query,
     "op2_simhash_dedup": simhash.op2_query,
     "op3_nearest_neighbours": ann.op3_query,
     "op5_exact_dedup": exact.op5_query,
