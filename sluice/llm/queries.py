@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import ann, bpe, exact, langid, lines, mixing, simhash, suffix
+from sluice.llm import ann, bpe, exact, langid, licenses, lines, mixing, secret_scan, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix.op1_query,
     "op2_simhash_dedup": simhash.op2_query,
     "op3_nearest_neighbours": ann.op3_query,
+    "op4_secret_scan": secret_scan.op4_query,
     "op5_exact_dedup": exact.op5_query,
     "op6_byte_bpe": bpe.op6_query,
     "op7_language_id": langid.op7_query,
     "op8_line_dedup": lines.op8_query,
     "op9_source_mixing": mixing.op9_query,
+    "op10_license_scan": licenses.op10_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
