@@ -62,6 +62,18 @@ def test_split_characters_decode(spark):
     assert bytes(rows[2]["bytes"]) == b"" == bytes(rows[3]["bytes"])
 
 
+def test_latin_texts_are_cut_alike():
+    enc = bpe._Encoder(bpe.load_vocabulary(PATH)[0], public.PATTERN)
+    assert enc.latin is not None and bpe.latin_pattern(r"\p{Han}+") is None
+    chars = [chr(c) for c in range(0x2100) if bpe._LATIN.fullmatch(chr(c))]
+    assert len(chars) > 500
+    rnd = random.Random(2)
+    texts = ["".join(f"a{c}{c} {c}1 {c}'s \n{c}" for c in chars[i::40]) for i in range(40)]
+    texts += ["".join(rnd.choices(chars + list(" \n'st9") * 30, k=400)) for _ in range(200)]
+    for t in texts:
+        assert bpe._LATIN.fullmatch(t) and enc.latin.findall(t) == [p for p, _ in enc.split.pre_tokenize_str(t)]
+
+
 def test_bounded_cache_gives_the_same_ids(spark, reference, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 10)
     model, _ = bpe.load_vocabulary(PATH)
