@@ -25,6 +25,7 @@ import os
 from sluice.loads import feed_summary, run_feeds
 from sluice.plans.catalog import FEED_ORDER, feed_catalog
 from sluice.session import build_session
+from sluice.sources.storage import qualified
 from sluice.sources.transport import FileTransport, HttpTransport
 
 
@@ -40,13 +41,16 @@ def api_main(argv: list[str]) -> int:
     ap.add_argument("--path", default=None)
     ap.add_argument("--format", default=None)
     ap.add_argument("--passes", type=int, default=2)
+    ap.add_argument("--transport", choices=["http", "file"], default="http")
+    ap.add_argument("--root", help="directory of answer files for --transport file")
     ap.add_argument("--token-env", default="SLUICE_API_TOKEN")
     ap.add_argument("--timeout", type=float, default=600.0)
     args = ap.parse_args(argv)
     if not args.table and not args.path:
         ap.error("one of --table / --path is required")
     spark = build_session()
-    transport = HttpTransport(token=os.environ.get(args.token_env), timeout=args.timeout)
+    transport = (FileTransport(qualified(spark, args.root)) if args.transport == "file"
+                 else HttpTransport(token=os.environ.get(args.token_env), timeout=args.timeout))
     payloads = fetch_payloads(plan_api_requests(spark, args.url, passes=args.passes), transport)
     status, message, _log = load_json_api(spark, payloads, args.table, path=args.path, fmt=args.format)
     print(f"{status}\t{message}")

@@ -6,8 +6,12 @@ failed fetch, a malformed document or a failed write marks the affected
 requests ``failed`` with an ``ERROR: ...`` message, and the other requests
 and feeds go on.  An all-feed run writes each feed's records in its own
 job over the same landed payloads (partition pruning reads each feed's
-part), and takes the run log of all feeds from one light status pass;
-Spark runs the parsing in parallel inside each job.
+part); a few of these jobs are submitted at a time, so the tail of one does not
+idle the cluster.  The run log of all feeds comes from one light status pass.
+Every asked feed is in the log, also one without requests.
+
+Payloads are landed before they are loaded: loads read them more than once, and
+a fetch must not run again.
 """
 
 from __future__ import annotations
@@ -15,17 +19,17 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.jsonapi import API_REQUIRED, API_SCHEMA, parse_json, project_api_result
-from sluice.operators.xml import document_status, explode_records, parse_documents
+from sluice.operators.jsonapi import parse_api, project_api_result
+from sluice.operators.xml import document_status, explode_records, parse_documents, quarantine
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, UnknownFeed, feed_columns, table_name_of
-from sluice.operators.broadcast import broadcast_if_small
-from sluice.session import default_parallelism
+from sluice.session import scratch_path
 from sluice.sinks.tables import append_path, append_table
 
 RUN_LOG_SCHEMA = T.StructType([
@@ -37,11 +41,15 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("message", T.StringType()),
+    T.StructField("fetch_started_at", T.TimestampType()),
+    T.StructField("fetched_at", T.TimestampType()),
     T.StructField("started_at", T.TimestampType()),
     T.StructField("finished_at", T.TimestampType()),
 ])
 
 SUCCESS, FAILED = "success", "failed"
+#: Append jobs of different feeds submitted at a time.
+JOBS = 4
 
 
 def _now() -> _dt.datetime:
@@ -64,34 +72,27 @@ def _write(records: DataFrame, table: str | None, path: str | None, fmt: str | N
         return f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
 
 
-_PYTHON_NODES = ("MapInPandas", "MapInArrow", "InPandas", "EvalPython", "PythonUDF")
-
-
-def replayable(df: DataFrame) -> bool:
-    """True when reading ``df`` twice gives the same rows without side
-    effects: no Python-evaluated node and no Python data source in the plan
-    (a fetch would run again).  Landed payloads (file scans) are replayable."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        if any(k in plan.toString() for k in _PYTHON_NODES):
-            return False
-        leaves = plan.collectLeaves()
-        for i in range(leaves.size()):
-            leaf = leaves.apply(i)
-            if leaf.getClass().getSimpleName() == "DataSourceV2Relation" and \
-                    "python" in leaf.table().getClass().getName().lower():
-                return False
-        return True
-    except Exception:  # plan not inspectable: assume the worst
-        return False
+def _landed(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own, unless it is one: only a scan of files (with projections and
+    filters) can be read again without running anything else again."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    names, todo = set(), [plan]
+    while todo:
+        node = todo.pop()
+        names.add(node.getClass().getSimpleName())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    if names <= {"Project", "Filter", "LogicalRelation", "LocalRelation", "Union"}:
+        return df
+    path = scratch_path(df.sparkSession, "landed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table: str | None = None,
               path: str | None = None, fmt: str | None = None, row_tags: Sequence[str] | None = None,
               max_records: int | None = None, run_id: str | None = None,
               feed_ordinal: int | None = None, quarantine_path: str | None = None,
-              log_path: str | None = None, check_tags: bool = False,
-              payloads_replayable: bool | None = None) -> DataFrame:
+              log_path: str | None = None, check_tags: bool = False) -> DataFrame:
     """O-31: load one feed's payloads; returns its run-log rows (materialised).
 
     ``table`` defaults to the feed id without '-' and '.'.  ``payloads``
@@ -106,8 +107,7 @@ def load_feed(spark: SparkSession, payloads: DataFrame, endpoint: str, *, table:
                       paths={endpoint: path} if path else None, fmt=fmt,
                       row_tags={endpoint: row_tags} if row_tags else None, max_records=max_records,
                       run_id=run_id, feed_ordinals={endpoint: feed_ordinal},
-                      quarantine_path=quarantine_path, log_path=log_path, check_tags=check_tags,
-                      payloads_replayable=payloads_replayable)
+                      quarantine_path=quarantine_path, log_path=log_path, check_tags=check_tags)
 
 
 def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str] | None = None, *,
@@ -116,20 +116,17 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
                max_records: int | None = None, run_id: str | None = None,
                feed_ordinals: dict[str, int | None] | None = None,
                quarantine_path: str | None = None, log_path: str | None = None,
-               check_tags: bool = False, payloads_replayable: bool | None = None) -> DataFrame:
+               check_tags: bool = False) -> DataFrame:
     """O-31..O-33: load every feed's payloads, each isolated; one run log.
 
     Per feed, the records come from the full parse of its payloads and are
     appended to its table (one job per feed: each feed has its own table).
     The run log of all feeds then comes from a single light status pass
     (``xml.document_status``) over the same payloads -- no parsed document
-    is cached.  Payloads that are not replayable (a live fetch) have their
-    raw bodies cached so that no request is fetched twice;
-    ``payloads_replayable`` states it (landed payloads are), else the plan
-    is inspected.
+    is cached.  Payloads that are not a table yet (a live fetch, a query) are
+    written to one first, so that nothing is fetched or computed twice.
     """
     run_id = run_id or uuid.uuid4().hex
-    started = _now()
     endpoints = list(endpoints or FEED_ORDER)
     if "endpoint" not in payloads.columns:
         if len(endpoints) != 1:
@@ -137,16 +134,22 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
         payloads = payloads.withColumn("endpoint", F.lit(endpoints[0]))
     # Parts of one split document share the request id; the log adds them up.
     split = "part" in payloads.columns
-    src = payloads.select(_col_or(payloads, "request_id", None, "string").alias("request_id"),
-                          F.coalesce(_col_or(payloads, "part", 0, "int"), F.lit(0)).alias("part"),
-                          _col_or(payloads, "mlsSid", None, "bigint").alias("mlsSid"),
-                          _col_or(payloads, "error", None, "string").alias("error"),
-                          F.col("endpoint").cast("string").alias("endpoint"), F.col("body"))
-    again = replayable(src) if payloads_replayable is None else payloads_replayable
-    cached = None if again else src.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached is not None:
-        src = cached
-    feeds, unknown, groups = [], [], {}
+    src = _landed(payloads.select(
+        _col_or(payloads, "request_id", None, "string").alias("request_id"),
+        F.coalesce(_col_or(payloads, "part", 0, "int"), F.lit(0)).alias("part"),
+        F.coalesce(_col_or(payloads, "first_record", 0, "bigint"), F.lit(0)).alias("first_record"),
+        _col_or(payloads, "mlsSid", None, "bigint").alias("mlsSid"),
+        _col_or(payloads, "error", None, "string").alias("error"),
+        _col_or(payloads, "fetch_started_at", None, "timestamp").alias("fetch_started_at"),
+        _col_or(payloads, "fetched_at", None, "timestamp").alias("fetched_at"),
+        F.col("endpoint").cast("string").alias("endpoint"), F.col("body")))
+    feeds, unknown, groups, jobs = [], [], {}, []
+
+    def append(endpoint: str, ordinal: int | None, records: DataFrame, table: str | None, path: str | None):
+        started = _now()
+        error = _write(records, table, path, fmt)
+        return endpoint, ordinal, error, started, _now()
+
     for n, endpoint in enumerate(endpoints):
         ordinal = (feed_ordinals or {}).get(endpoint, n)
         try:
@@ -161,36 +164,36 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             table = table_name_of(endpoint)
         mine = src.where(F.col("endpoint") == endpoint)
         records = explode_records(parse_documents(mine, cols, tags, keep=[], max_records=max_records), cols)
-        error = _write(records, table, path, fmt)
-        feeds.append((endpoint, ordinal, error, _now()))
+        jobs.append((endpoint, ordinal, records, table, path))
         groups.setdefault((tags, cols[0]), []).append(endpoint)
+    with ThreadPoolExecutor(max_workers=JOBS) as pool:
+        # Threads only submit jobs; rows stay on the executors.
+        target = inheritable_thread_target(spark)(append) if len(jobs) > 1 else append
+        feeds = list(pool.map(lambda job: target(*job), jobs))
     parts = []
     if feeds:
         # One status pass for all feeds: a union of scans, one per row-tag set.
         status = None
+        keep = ["request_id", "mlsSid", "error", "endpoint", "fetch_started_at", "fetched_at"]
         for (tags, probe), members in groups.items():
             part = document_status(src.where(F.col("endpoint").isin(members)), list(tags),
-                                   keep=["request_id", "mlsSid", "error", "endpoint"],
+                                   keep=keep,
                                    max_records=max_records, check_tags=check_tags, probe=probe)
             if not check_tags:
                 part = part.withColumn("untagged", F.lit(0))
             status = part if status is None else status.unionByName(part)
         if split:
             # a request's parts: at most (document size / split size) rows each
-            status = (status.groupBy("request_id", "mlsSid", "error", "endpoint")
+            status = (status.groupBy(*keep)
                             .agg(F.max("fetched").alias("fetched"), F.max("malformed").alias("malformed"),
                                  F.sum("n_records").alias("n_records"), F.sum("untagged").alias("untagged")))
         info = spark.createDataFrame(
-            [(e, o, err, fin) for e, o, err, fin in feeds],
-            "endpoint string, feed_ordinal int, write_error string, finished_at timestamp")
+            feeds, "endpoint string, feed_ordinal int, write_error string, started_at timestamp, finished_at timestamp")
         # one row per request: cheap to keep while the quarantine and the log read it
-        status = status.join(broadcast_if_small(info), "endpoint").persist(StorageLevel.MEMORY_AND_DISK)
+        status = status.join(info, "endpoint").persist(StorageLevel.MEMORY_AND_DISK)
         quarantine_note = ""
         if quarantine_path:
-            bad = (status.where(~F.col("fetched") | F.col("malformed"))
-                         .select(F.lit(run_id).alias("run_id"), "endpoint", "request_id", "mlsSid",
-                                 F.when(~F.col("fetched"), F.lit("fetch failed"))
-                                  .otherwise(F.lit("malformed document")).alias("reason")))
+            bad = quarantine(status.withColumn("run_id", F.lit(run_id)), ["run_id", "endpoint", "request_id", "mlsSid"])
             q_error = _write(bad, None, quarantine_path, "parquet")
             quarantine_note = f" (quarantine not written: {q_error})" if q_error else ""
         failed = F.col("write_error").isNotNull() | ~F.col("fetched") | F.col("malformed")
@@ -206,9 +209,19 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             "request_id", "endpoint", "mlsSid",
             F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCESS)).alias("status"),
             F.when(failed, F.lit(0)).otherwise(F.col("n_records")).cast("bigint").alias("rows"),
-            message.alias("message"), F.lit(started).alias("started_at"), "finished_at"))
+            message.alias("message"), "fetch_started_at", "fetched_at", "started_at", "finished_at"))
+        # A feed nobody asked a request of has its result, too.
+        idle = info.join(status.select("endpoint").distinct(), "endpoint", "left_anti")
+        parts.append(idle.select(
+            F.lit(run_id).alias("run_id"), "feed_ordinal", F.lit(None).cast("string").alias("request_id"), "endpoint",
+            F.lit(None).cast("bigint").alias("mlsSid"),
+            F.when(F.col("write_error").isNull(), F.lit(SUCCESS)).otherwise(F.lit(FAILED)).alias("status"),
+            F.lit(0).cast("bigint").alias("rows"),
+            F.coalesce(F.concat(F.lit("ERROR: write: "), "write_error"), F.lit("no requests")).alias("message"),
+            F.lit(None).cast("timestamp").alias("fetch_started_at"), F.lit(None).cast("timestamp").alias("fetched_at"),
+            "started_at", "finished_at"))
     for endpoint, ordinal in unknown:
-        parts.append(_failed_log(src.where(F.col("part") == 0), endpoint, run_id, ordinal, started,
+        parts.append(_failed_log(src.where(F.col("part") == 0), endpoint, run_id, ordinal, _now(),
                                  "ERROR: unknown feed"))
     log = parts[0]
     for more in parts[1:]:
@@ -216,8 +229,6 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
     log = _materialise(spark, log, log_path, run_id)
     if feeds:
         status.unpersist()
-    if cached is not None:
-        cached.unpersist()
     return log
 
 
@@ -247,21 +258,30 @@ def _failed_log(payloads: DataFrame, endpoint: str, run_id: str, feed_ordinal: i
         _col_or(mine, "request_id", None, "string").alias("request_id"), F.lit(endpoint).alias("endpoint"),
         _col_or(mine, "mlsSid", None, "bigint").alias("mlsSid"), F.lit(FAILED).alias("status"),
         F.lit(0).cast("bigint").alias("rows"), F.lit(message).alias("message"),
+        F.lit(None).cast("timestamp").alias("fetch_started_at"), F.lit(None).cast("timestamp").alias("fetched_at"),
         F.lit(started).alias("started_at"), F.lit(_now()).alias("finished_at"))
 
 
 def feed_summary(run_log: DataFrame) -> DataFrame:
-    """One row per feed in run order: 'success' or 'ERROR: <n> of <m> requests failed'."""
+    """One row per asked feed in run order: 'success' or 'ERROR: <n> of <m> requests failed'.
+
+    ``elapsed_sec`` is the feed's own time: from its first request to its last
+    answer, and its own append; not the time it waited for other feeds.
+    """
     failed = F.sum(F.when(F.col("status") == FAILED, 1).otherwise(0))
-    n = F.count(F.lit(1))
+    # A failed feed without a request counts as one; an idle feed has none.
+    asked = F.sum(F.when(F.col("request_id").isNotNull() | (F.col("status") == FAILED), 1).otherwise(0))
+    seconds = lambda c: F.col(c).cast("double")
+    fetch = F.coalesce(F.max(seconds("fetched_at")) - F.min(seconds("fetch_started_at")), F.lit(0.0))
+    load = F.max(seconds("finished_at")) - F.min(seconds("started_at"))
     return (run_log.groupBy("run_id", "feed_ordinal", "endpoint")
-                   .agg(n.alias("requests"), failed.alias("failed_requests"),
+                   .agg(asked.alias("requests"), failed.alias("failed_requests"),
                         F.sum("rows").alias("rows"),
-                        F.min("started_at").alias("started_at"), F.max("finished_at").alias("finished_at"))
+                        F.min(F.coalesce("fetch_started_at", "started_at")).alias("started_at"),
+                        F.max("finished_at").alias("finished_at"), (fetch + load).alias("elapsed_sec"))
                    .withColumn("result", F.when(F.col("failed_requests") == 0, F.lit(SUCCESS))
                                .otherwise(F.format_string("ERROR: %d of %d requests failed",
                                                           F.col("failed_requests"), F.col("requests"))))
-                   .withColumn("elapsed_sec", F.col("finished_at").cast("double") - F.col("started_at").cast("double"))
                    .orderBy("feed_ordinal"))
 
 
@@ -277,43 +297,41 @@ def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None =
     """O-35: API payloads -> projection -> one append; (status, message, run log).
 
     All or nothing, like one API job: any failed fetch, malformed payload or
-    missing field fails the run and nothing is written.
+    missing field fails the run and nothing is written.  The check and the write
+    both read the landed payloads (a fetch is landed first), one parse each.
     """
     run_id = run_id or uuid.uuid4().hex
     started = _now()
-    keep = ["request_id"]
-    src = payloads.select(_col_or(payloads, "request_id", None, "string").alias("request_id"),
-                          _col_or(payloads, "error", None, "string").alias("error"), "body")
-    parsed = parse_json(src, API_SCHEMA, keep=["request_id", "error"], required=API_REQUIRED)
-    parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    src = _landed(payloads.select(_col_or(payloads, "request_id", None, "string").alias("request_id"),
+                                  _col_or(payloads, "error", None, "string").alias("error"),
+                                  _col_or(payloads, "fetch_started_at", None, "timestamp").alias("fetch_started_at"),
+                                  _col_or(payloads, "fetched_at", None, "timestamp").alias("fetched_at"), "body"))
+    parsed = parse_api(src)
+    problem = (F.when(~F.col("fetched"), F.concat(F.lit("fetch: "), F.coalesce("error", F.lit("no payload"))))
+                .when(F.col("malformed"), F.lit("malformed payload"))
+                .when(F.size("missing") > 0, F.concat(F.lit("missing field "), F.array_join("missing", ", "))))
+    # One row per payload, without the parsed values: the check, the quarantine and the log read it.
+    seen = parsed.select("request_id", "fetch_started_at", "fetched_at", problem.alias("problem"))
+    seen = seen.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        problem = (F.when(~F.col("fetched"), F.concat(F.lit("fetch: "), F.coalesce("error", F.lit("no payload"))))
-                    .when(F.col("malformed"), F.lit("malformed payload"))
-                    .when(F.size("missing") > 0, F.concat(F.lit("missing field "), F.array_join("missing", ", "))))
-        first = parsed.where(problem.isNotNull()).select(problem.alias("p")).first()
+        bad = seen.where(F.col("problem").isNotNull())
+        first = bad.orderBy("request_id", "problem").select("problem").first()
         if first is not None and quarantine_path:
-            _write(parsed.where(problem.isNotNull())
-                         .select(F.lit(run_id).alias("run_id"), F.lit("api").alias("endpoint"), "request_id",
-                                 problem.alias("reason")), None, quarantine_path, "parquet")
-        if first is None:
-            err = _write(project_api_result(parsed), table, path, fmt)
-            status = SUCCESS if err is None else FAILED
-            message = "load - success - created successfully" if err is None else f"load - failed - with error {err}"
-        else:
-            status, message = FAILED, f"load - failed - with error {first['p']}"
-        finished = _now()
-        log = parsed.select(
+            _write(bad.select(F.lit(run_id).alias("run_id"), F.lit("api").alias("endpoint"), "request_id",
+                              F.col("problem").alias("reason")), None, quarantine_path, "parquet")
+        err = _write(project_api_result(parsed), table, path, fmt) if first is None else first["problem"]
+        status = SUCCESS if err is None else FAILED
+        message = f"{seen.count()} payloads appended" if err is None else f"nothing appended: {err}"
+        log = seen.select(
             F.lit(run_id).alias("run_id"), F.lit(0).cast("int").alias("feed_ordinal"),
-            *keep, F.lit("api").alias("endpoint"), F.lit(None).cast("bigint").alias("mlsSid"),
-            F.lit(status).alias("status"),
-            F.when(F.lit(status == SUCCESS), F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("rows"),
-            F.when(problem.isNotNull(), F.concat(F.lit("ERROR: "), problem))
-             .otherwise(F.lit("" if status == SUCCESS else f"ERROR: {message}")).alias("message"),
-            F.lit(started).alias("started_at"), F.lit(finished).alias("finished_at"),
-        )
+            "request_id", F.lit("api").alias("endpoint"), F.lit(None).cast("bigint").alias("mlsSid"),
+            F.lit(status).alias("status"), F.lit(1 if err is None else 0).cast("bigint").alias("rows"),
+            F.when(F.col("problem").isNotNull(), F.concat(F.lit("ERROR: "), "problem"))
+             .otherwise(F.lit("" if err is None else f"ERROR: {message}")).alias("message"),
+            "fetch_started_at", "fetched_at", F.lit(started).alias("started_at"), F.lit(_now()).alias("finished_at"))
         log = _materialise(spark, log, None)
     finally:
-        parsed.unpersist()
+        seen.unpersist()
     return status, message, log
 
 
@@ -325,11 +343,12 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
               row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
               run_id: str | None = None, quarantine_path: str | None = None,
               log_table: str | None = None, check_tags: bool = False,
-              split_bytes: int | None = None, discover_tags: bool = False) -> DataFrame:
+              split_bytes: int | None = None, discover_tags: bool = False,
+              max_records: int | None = None) -> DataFrame:
     """The all-feed job: plan -> fetch on executors -> land -> load each feed.
 
-    Returns the run log (one row per request, plus one failed row per asked
-    feed that the catalog does not know).  With ``log_table`` the log is
+    Returns the run log: one row per request, one for each asked feed without
+    requests and a failed one for each that the catalog does not know.  With ``log_table`` the log is
     also appended there.
     """
     from sluice.plans.catalog import feed_catalog, source_ids
@@ -347,9 +366,6 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
     sources = sources if sources is not None else source_ids(spark)
     requests = plan_requests(feeds, sources, env=env, endpoints=wanted, from_date=from_date,
                              to_date=to_date, as_of=as_of)
-    # Requests in flight = tasks; by default one per task slot (bound it to
-    # what the feed server accepts with ``concurrency``).
-    concurrency = concurrency or default_parallelism(spark)
     split = DEFAULT_SPLIT_BYTES if split_bytes is None else (split_bytes or None)
     land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id,
                                  split_bytes=split), landing_path)
@@ -370,8 +386,8 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
                 row_tags[e] = list(dict.fromkeys([*row_tags.get(e, []), *found]))
     if tables is None and paths is None:
         tables = {e: c.table_name for e, c in config.items()}
-    log = load_feeds(spark, landed, known, payloads_replayable=True,
-                     tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
+    log = load_feeds(spark, landed, known, tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
+                     feed_ordinals={e: wanted.index(e) for e in known}, max_records=max_records,
                      quarantine_path=quarantine_path, check_tags=check_tags) if known else None
     asked = spark.createDataFrame([(env, e, i) for i, e in enumerate(wanted)],
                                   "env string, endpoint string, feed_ordinal int")
@@ -379,6 +395,7 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
         F.lit(run_id).alias("run_id"), "feed_ordinal", F.lit(None).cast("string").alias("request_id"),
         "endpoint", F.lit(None).cast("bigint").alias("mlsSid"), F.lit(FAILED).alias("status"),
         F.lit(0).cast("bigint").alias("rows"), F.lit("ERROR: unknown feed").alias("message"),
+        F.lit(None).cast("timestamp").alias("fetch_started_at"), F.lit(None).cast("timestamp").alias("fetched_at"),
         F.lit(started).alias("started_at"), F.lit(_now()).alias("finished_at"))
     out = missing if log is None else log.unionByName(missing)
     if log_table:

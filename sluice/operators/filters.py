@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import scratch_path
+
 ALL = "All"  # fixed value: the protocol's "no filter" word
 
 
@@ -64,30 +66,42 @@ def filter_dates(df: DataFrame, column: str, from_date: str | None, to_date: str
 
 
 def cap_records_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column | str] | Column | str,
-                        n: int, rank_column: str | None = None, salt_buckets: int = 64) -> DataFrame:
-    """O-23 across payloads: at most ``n`` rows per key, first by ``order``.
+                        n: int, rank_column: str | None = None) -> DataFrame:
+    """O-23 across payloads: at most ``n`` rows per key, first by ``order``, ties by the other columns.
 
     For ``n`` up to spark.sql.optimizer.windowGroupLimitThreshold,
     ``row_number() <= n`` lets Spark plan a partial WindowGroupLimit before
     the shuffle, so a hot key sends at most ``n`` rows per map task.  Larger
-    caps run in two phases: the first ``n`` per (key, salt) over
-    ``salt_buckets`` salts, then the first ``n`` per key over those
-    candidates -- a hot key is split into ``salt_buckets`` sorts and the
-    final sort sees at most ``salt_buckets * n`` rows.
+    caps are ranked across tasks: rows are range-partitioned by key, order and
+    content, each range is ranked by itself, and a row's rank is that plus the
+    key's rows in the ranges before (one count for each key and range).  No
+    task sorts a hot key whole, and both ways give the same rows.
     Within one payload use ``parse_documents(max_records=n)``, which is a
     slice of the parsed array and needs no shuffle.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, (str, Column)) else list(order)
-    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    names = df.columns
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    ties = [F.col(f"`{f.name}`") for f in df.schema.fields
+            if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     rn = rank_column or "_rn"
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n > threshold:
-        # salt by row identity, so rows that tie on the order still spread out
-        salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(int(salt_buckets)))
-        pre = Window.partitionBy(*keys, "_salt").orderBy(*order_cols)
-        df = (df.withColumn("_salt", salt).withColumn(rn, F.row_number().over(pre))
-                .where(F.col(rn) <= int(n)).drop("_salt", rn))
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= int(n))
-    return out if rank_column else out.drop(rn)
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        ranked = df.withColumn(rn, F.row_number().over(Window.partitionBy(*keys).orderBy(*by, *ties)))
+    else:
+        spark = df.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        cut = df.repartitionByRange(parts, *keys, *by, *ties).withColumn("_range", F.spark_partition_id())
+        path = scratch_path(spark, "cap")
+        cut.write.parquet(path)  # the ranges stay as they are, also when an executor is lost
+        cut = spark.read.schema(cut.schema).parquet(path)
+        counts = cut.groupBy(*keys, "_range").count()
+        before = counts.select(*keys, "_range", (F.sum("count").over(
+            Window.partitionBy(*keys).orderBy("_range")) - F.col("count")).alias("_before"))
+        same = F.col("c._range") == F.col("b._range")
+        for k in keys:
+            same = same & F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}"))
+        ranked = (cut.alias("c").join(before.alias("b"), same).select("c.*", "b._before")
+                  .withColumn(rn, F.col("_before") + F.row_number().over(
+                      Window.partitionBy(*keys, "_range").orderBy(*by, *ties))))
+    return ranked.where(F.col(rn) <= int(n)).select(*names, *([rn] if rank_column else []))

@@ -1,9 +1,12 @@
 """JSON API payloads (O-04, O-17, O-18, O-19).
 
-The schema is pinned and parsed with ``from_json`` on executors.  The
-projection is the API's flat, all-string row.  A field the projection needs
-but the payload lacks fails the whole run, as a projection over an
-inferred schema would: ``missing`` lists those keys per payload.
+General payloads are parsed with ``from_json`` and a pinned schema.  API
+payloads are parsed once to a variant, which keeps what schema inference would
+see: a number's text follows its own type (``51`` stays ``51``, ``51.50`` is a
+double and reads ``51.5``).  The projection is the API's flat, all-string row.
+A field the projection needs but the payload lacks fails the whole run, as a
+projection over an inferred schema would: ``missing`` lists those keys per
+payload.
 """
 
 from __future__ import annotations
@@ -18,14 +21,48 @@ from pyspark.sql import types as T
 BAD = "_bad"
 
 # The API payload fields the projection reads.
-API_SCHEMA = ("status bigint, result struct<country string, european_electoral_region string, "
-              "latitude double, longitude double, parliamentary_constituency string, region string>")
 API_RESULT_FIELDS = ["country", "european_electoral_region", "latitude", "longitude",
                      "parliamentary_constituency", "region"]
-API_OUTPUT_COLUMNS = ["status", *API_RESULT_FIELDS, "vld_status", "vld_status_reason"]
+API_FIELDS = ["status", *API_RESULT_FIELDS]
+API_OUTPUT_COLUMNS = [*API_FIELDS, "vld_status", "vld_status_reason"]
 
 
-def parse_json(payloads: DataFrame, schema: str | T.StructType = API_SCHEMA, *, body: str = "body",
+def _api_paths() -> dict[str, str]:
+    return {"status": "$.status", **{c: f"$.result.{c}" for c in API_RESULT_FIELDS}}
+
+
+def parse_api(payloads: DataFrame, *, body: str = "body", keep: Sequence[str] | None = None) -> DataFrame:
+    """API payloads, parsed once: ``keep`` + ``v`` (variant) + ``fetched`` +
+    ``malformed`` (no JSON object) + ``missing`` (fields absent; a null one is there)."""
+    keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
+    parsed = payloads.select(*keep, F.col(body).isNotNull().alias("fetched"),
+                             F.try_parse_json(F.col(body)).alias("v"))
+    kind = F.schema_of_variant("v")
+    malformed = F.col("fetched") & ~F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    absent = [F.when(F.try_variant_get("v", path, "variant").isNull(), F.lit(path.removeprefix("$.")))
+              for path in ("$.status", "$.result", *list(_api_paths().values())[1:])]
+    none = F.array().cast("array<string>")
+    return parsed.select(*keep, "v", "fetched", malformed.alias("malformed"),
+                         F.when(F.col("fetched") & ~malformed, F.array_compact(F.array(*absent))).otherwise(none)
+                         .alias("missing"))
+
+
+def _text(path: str) -> Column:
+    """A field's text as schema inference would type it: fractions are doubles, all else its own text."""
+    value = F.try_variant_get("v", path, "variant")
+    # Whole numbers within 18 digits are BIGINT: a short decimal of scale 0 was written as a fraction (774.0).
+    fraction = F.schema_of_variant(value).rlike(r"^(DOUBLE|FLOAT|DECIMAL\((\d+,\s*[1-9]\d*|1?\d,\s*0)\))$")
+    return F.when(fraction, F.try_variant_get("v", path, "double").cast("string")).otherwise(
+        F.try_variant_get("v", path, "string"))
+
+
+def project_api_result(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """O-17/O-18/O-19: nested fields out, numbers to text, constant columns."""
+    return parsed.select(*keep, *[_text(path).alias(c) for c, path in _api_paths().items()],
+                         F.lit("").alias("vld_status"), F.lit("").alias("vld_status_reason"))
+
+
+def parse_json(payloads: DataFrame, schema: str | T.StructType, *, body: str = "body",
                keep: Sequence[str] | None = None,
                required: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Payload level: ``keep`` + ``j`` (parsed struct) + ``fetched`` +
@@ -62,26 +99,6 @@ def parse_json(payloads: DataFrame, schema: str | T.StructType = API_SCHEMA, *,
                       .alias("missing"))
 
 
-API_REQUIRED = {"$": ["status", "result"], "$.result": API_RESULT_FIELDS}
-
-
-def project_api_result(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """O-17/O-18/O-19: nested fields out, numbers to text, constant columns."""
-    r = F.col("j.result")
-    return parsed.select(
-        *keep,
-        F.col("j.status").cast("string").alias("status"),
-        r["country"].alias("country"),
-        r["european_electoral_region"].alias("european_electoral_region"),
-        r["latitude"].cast("string").alias("latitude"),
-        r["longitude"].cast("string").alias("longitude"),
-        r["parliamentary_constituency"].alias("parliamentary_constituency"),
-        r["region"].alias("region"),
-        F.lit("").alias("vld_status"),
-        F.lit("").alias("vld_status_reason"),
-    )
-
-
 def infer_json_schema(payloads: DataFrame, body: str = "body") -> T.StructType:
     """O-04 inference over a payload column, distributed: the merged schema
     of all bodies (a partial aggregate per task; one small value reaches the

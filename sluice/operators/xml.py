@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
-from sluice.session import apply_conf
+from sluice.session import require_conf
 from sluice.sources.tags import root_children_count
 
 BAD = "_bad"
@@ -39,22 +39,52 @@ XML_OPTIONS = {
 }
 
 
-# A DOCTYPE that only names an external DTD (no internal subset) is dropped
-# before parsing: the DTD is never loaded either way, and Spark's reader
-# rejects any DOCTYPE.  Internal subsets (entity declarations) stay, and such
-# documents are rejected whole.
-_EXTERNAL_DOCTYPE = r"^(\s*(?:<\?xml[^>]*\?>)?\s*)<!DOCTYPE\s[^\[>]*>"
+BOM = "\ufeff"
+
+# Markup that cannot hold an element (comments, CDATA, processing instructions, DOCTYPE).
+_NO_ELEMENT = (r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>"
+               r"|<!DOCTYPE[^\[>]*(?:\[.*?\]\s*)?>")
+_QUOTED = r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*"""
 
 
 def parse_ready(body: Column) -> Column:
-    """The body as handed to the XML reader: no leading byte-order mark, no
-    external-only DOCTYPE."""
-    body = F.when(body.startswith(BOM), F.substring(body, 2, 2 ** 31 - 1)).otherwise(body)
-    head = F.substring(body, 1, 4096)
-    return F.when(F.instr(head, "<!DOCTYPE") > 0, F.regexp_replace(body, _EXTERNAL_DOCTYPE, "$1")).otherwise(body)
+    """The body as handed to the XML reader: no leading byte-order mark."""
+    return F.when(body.startswith(BOM), F.substring(body, 2, 2 ** 31 - 1)).otherwise(body)
 
 
-BOM = "\ufeff"
+def with_whole(docs: DataFrame, body: str = "_body", as_col: str = "_whole") -> DataFrame:
+    """Add whether a body that the reader accepts is one whole document.
+
+    The reader stops at the end of the root element and takes undeclared
+    prefixes.  So: nothing but blanks, comments and processing instructions
+    may follow the root, and every element prefix must be declared.  Only the
+    tags with the root's own name are looked at: two in nearly every document.
+    """
+    raw = F.col(body)
+    text = F.when(raw.contains("<!") | raw.contains("<?"), F.regexp_replace(raw, _NO_ELEMENT, "")).otherwise(raw)
+    docs = docs.withColumn("_text", F.trim(text, F.lit(" \t\r\n" + BOM)))
+    name = F.concat(F.lit("\\Q"), F.regexp_extract("_text", r"^<([^\s/>!?]+)", 1), F.lit("\\E"))
+    docs = docs.withColumn("_tags", F.regexp_extract_all(
+        "_text", F.concat(F.lit("</?"), name, F.lit(r"(?=[\s/>])" + _QUOTED + ">")), F.lit(0)))
+    walk = F.aggregate(
+        F.col("_tags"), F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")),
+        lambda acc, tag: F.struct(
+            (acc["depth"] + F.when(tag.startswith("</"), -1).when(tag.endswith("/>"), 0).otherwise(1)).alias("depth"),
+            # how often the root element is over: at a closing tag that leaves no open one, or an empty root
+            (acc["ends"] + F.when(tag.startswith("</") & (acc["depth"] == 1), 1)
+             .when(tag.endswith("/>") & (acc["depth"] == 0), 1).otherwise(0)).alias("ends")),
+        lambda acc: acc["ends"])
+    used = F.array_distinct(F.regexp_extract_all("_text", F.lit(_PREFIX), F.lit(1)))
+    declared = F.regexp_extract_all("_text", F.lit(r"xmlns:([^\s='\"]+)\s*="), F.lit(1))
+    bound = F.when(F.col("_text").rlike(_PREFIX),
+                   F.size(F.array_except(used, F.concat(declared, F.array(F.lit("xml"))))) == 0).otherwise(True)
+    simple = (F.size("_tags") == 2) & ~F.get("_tags", F.lit(0)).startswith("</") & F.get("_tags", F.lit(1)).startswith("</")
+    ends_once = F.when(simple, True).otherwise(walk == 1)
+    whole = (F.size("_tags") > 0) & ends_once & F.col("_text").endswith(F.get("_tags", F.size("_tags") - 1)) & bound
+    return docs.withColumn(as_col, F.coalesce(whole, F.lit(False))).drop("_text", "_tags")
+
+
+_PREFIX = r"</?([^\s<>/:!?='\"]+):"
 
 
 def _q(name: str) -> str:
@@ -76,13 +106,14 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
     + ``n_records`` (+ ``untagged`` with ``check_tags``).
 
     ``records`` is null for a malformed or missing body and for a document
-    without records.  ``max_records`` caps records per payload (O-23,
-    the request's record limit), in document order.
+    without records.  ``max_records`` caps records per document (O-23,
+    the request's record limit), in document order; for the parts of a split
+    document ``first_record`` tells how many are already counted.
     """
-    apply_conf(payloads.sparkSession)
+    require_conf(payloads.sparkSession)
     keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
     x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
-    parsed = payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x"))
+    parsed = with_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body"), x.alias("_x")))
     tags = list(row_tags)
     if len(tags) == 1:
         recs = F.col(f"_x.{_q(tags[0])}")
@@ -90,9 +121,10 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
         empty = F.array().cast(parsed.schema["_x"].dataType[tags[0]].dataType)
         recs = F.concat(*[F.coalesce(F.col(f"_x.{_q(t)}"), empty) for t in tags])
     if max_records is not None:
-        recs = F.slice(recs, 1, int(max_records))
+        recs = F.slice(recs, F.lit(1), _room(payloads, max_records))
     fetched = F.col("_body").isNotNull()
-    malformed = fetched & F.col(f"_x.{BAD}").isNotNull()
+    malformed = fetched & (F.col(f"_x.{BAD}").isNotNull() | ~F.col("_whole"))
+    recs = F.when(~malformed, recs)
     n_recs = _count(recs)
     out = [*keep, recs.alias("records"), fetched.alias("fetched"), malformed.alias("malformed"),
            n_recs.alias("n_records")]
@@ -104,6 +136,22 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
     return parsed.select(*out)
 
 
+FIRST = "first_record"
+
+
+def _first(payloads: DataFrame, keep: Sequence[str]) -> list[Column]:
+    """The column that says how many records stand before a part, where there is one."""
+    return [F.col(FIRST)] if FIRST in payloads.columns and FIRST not in keep else []
+
+
+def _room(payloads: DataFrame, max_records: int) -> Column:
+    """How many records of a payload the cap leaves: a part counts those of the parts before it."""
+    cap = F.lit(int(max_records))
+    if FIRST not in payloads.columns:
+        return cap
+    return F.greatest(cap - F.coalesce(F.col(FIRST), F.lit(0)), F.lit(0)).cast("int")
+
+
 def _count(arr: Column) -> Column:
     """Elements of an array column, 0 for null (``size(null)`` is -1 when
     ANSI mode is off)."""
@@ -121,17 +169,17 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     records from the full parse and its run log from this pass instead of
     caching the parsed documents.
     """
-    apply_conf(payloads.sparkSession)
+    require_conf(payloads.sparkSession)
     keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
     rec = f"struct<{_q(probe)}: string>"
     ddl = ", ".join(f"{_q(t)} array<{rec}>" for t in row_tags) + f", {BAD} string"
     x = F.from_xml(parse_ready(F.col(body)), ddl, XML_OPTIONS)
-    parsed = payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x"))
+    parsed = with_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body"), x.alias("_x")))
     n = sum((_count(F.col(f"_x.{_q(t)}")) for t in row_tags[1:]), _count(F.col(f"_x.{_q(row_tags[0])}")))
     if max_records is not None:
-        n = F.least(n, F.lit(int(max_records)))
+        n = F.least(n, _room(payloads, max_records))
     fetched = F.col("_body").isNotNull()
-    malformed = fetched & F.col(f"_x.{BAD}").isNotNull()
+    malformed = fetched & (F.col(f"_x.{BAD}").isNotNull() | ~F.col("_whole"))
     out = [*keep, fetched.alias("fetched"), malformed.alias("malformed"),
            F.when(fetched & ~malformed, n).otherwise(F.lit(0)).alias("n_records")]
     if check_tags:
@@ -166,14 +214,14 @@ def parse_tagged_records(payloads: DataFrame, columns: Sequence[str], row_tags:
                          *, body: str = "body", keep: Sequence[str] = (),
                          tag_column: str = "row_tag") -> DataFrame:
     """Records of several row tags with the tag they came from."""
-    apply_conf(payloads.sparkSession)
+    require_conf(payloads.sparkSession)
     x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
     parts = F.concat(*[
         F.coalesce(F.transform(F.col(f"_x.{_q(t)}"), _tagger(t)),
                    F.array().cast(f"array<struct<tag:string, rec:{_rec_ddl(columns)}>>"))
         for t in row_tags])
-    rows = (payloads.select(*keep, x.alias("_x"))
-                    .select(*keep, F.explode_outer(parts).alias("_t"))
+    rows = (with_whole(payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x")))
+                    .select(*keep, F.explode_outer(F.when(F.col("_whole"), parts)).alias("_t"))
                     .where(F.col("_t").isNotNull()))
     return rows.select(*keep, F.col("_t.tag").alias(tag_column),
                        *record_fields(columns, rec="_t.rec"))
@@ -187,11 +235,16 @@ def _rec_ddl(columns: Sequence[str]) -> str:
     return "struct<" + ", ".join(f"{_q(c)}: array<string>" for c in columns) + ">"
 
 
-def quarantine(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """O-20: payloads rejected whole (missing body or malformed document)."""
-    reason = (F.when(~F.col("fetched"), F.lit("fetch failed"))
-               .when(F.col("malformed"), F.lit("malformed document")))
-    return parsed.where(~F.col("fetched") | F.col("malformed")).select(*keep, reason.alias("reason"))
+def quarantine(status: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """O-20: payloads rejected whole (missing body or malformed document), from
+    ``document_status`` (or ``parse_documents``).
+
+    Taken with ``explode_outer``, not with a filter on the status, which the
+    optimizer would push below the parse and so parse every document twice.
+    """
+    reason = (F.when(~F.col("fetched"), F.array(F.lit("fetch failed")))
+               .when(F.col("malformed"), F.array(F.lit("malformed document"))))
+    return status.select(*keep, F.explode_outer(reason).alias("reason")).where(F.col("reason").isNotNull())
 
 
 def to_declared(df: DataFrame, endpoint: str) -> DataFrame:

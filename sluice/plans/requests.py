@@ -2,10 +2,10 @@
 
 feeds (catalog, bounded) x source ids x one date window, optionally
 repeated ``passes`` times.  The expansion is an equi-join on ``env``
-against the catalog, which is broadcast after a row-count check (a few
-environments x feeds), so the source ids are never shuffled on a key with
-two values.  A catalog beyond the bound falls back to a shuffle join.  No
-cross join appears in the plan.
+against the catalog; the strategy is Spark's, from the catalog's size in
+bytes (a few environments x feeds: a broadcast, so the source ids are never
+shuffled on a key with two values; adaptive execution splits it otherwise).
+No cross join appears in the plan.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import as_of_col, default_window
 from sluice.functions.names import fill_template, landing_name, table_name
-from sluice.operators.broadcast import broadcast_if_small
 
 TOKEN_SLOT = "{1}"
 
@@ -53,7 +52,7 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
         sources = sources.dropDuplicates(["env", "mlsSid"])
     frm, to = default_window(from_date, to_date, as_of)
     run_day = as_of_col(as_of)
-    req = sources.join(broadcast_if_small(feeds), "env")
+    req = sources.join(feeds, "env")
     if passes > 1:
         req = req.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(int(passes)))))
     else:
@@ -91,19 +90,24 @@ def _split_window(req: DataFrame, days: int) -> DataFrame:
                .drop("_start"))
 
 
-def plan_api_requests(spark: SparkSession, url: str, passes: int = 2, endpoint: str = "api",
+def plan_api_requests(spark: SparkSession, url: str | DataFrame, passes: int = 2, endpoint: str = "api",
                       as_of=None) -> DataFrame:
-    """O-02: one API URL fetched ``passes`` times (each call may answer with a
-    different sample).  Same columns as ``plan_requests``."""
-    base = spark.range(1).select(F.lit(url).alias("url"))
+    """O-02: an API URL fetched ``passes`` times (each call may answer with a
+    different sample), or many: a DataFrame (name, url) gives every name its own
+    requests.  Same columns as ``plan_requests``."""
+    if isinstance(url, str):
+        base = spark.range(1).select(F.lit("").alias("_name"), F.lit(url).alias("url"))
+    else:
+        base = url.select(F.concat(F.lit("."), F.col("name").cast("string")).alias("_name"), "url")
     run_day = as_of_col(as_of)
     return (base.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(int(passes)))))
-                .select(F.concat_ws(":", F.lit(endpoint), F.col("pass").cast("string")).alias("request_id"),
+                .select(F.concat(F.lit(endpoint), F.col("_name"), F.lit(":"), F.col("pass").cast("string"))
+                        .alias("request_id"),
                         F.lit(0).alias("feed_ordinal"), F.lit(0).alias("id_ordinal"), "pass",
                         F.lit(None).cast("string").alias("env"), F.lit(endpoint).alias("endpoint"),
                         F.lit(None).cast("bigint").alias("mlsSid"), F.lit(None).cast("string").alias("fromDate"),
                         F.lit(None).cast("string").alias("toDate"), "url",
-                        F.concat(F.lit(endpoint + "."), F.col("pass").cast("string"), F.lit(".json"))
+                        F.concat(F.lit(endpoint), F.col("_name"), F.lit("."), F.col("pass").cast("string"), F.lit(".json"))
                         .alias("landing_name"),
                         table_name(F.lit(endpoint)).alias("table_name"),
                         F.array().cast("array<string>").alias("row_tags"), run_day.alias("load_date")))
@@ -111,19 +115,19 @@ def plan_api_requests(spark: SparkSession, url: str, passes: int = 2, endpoint:
 
 def unknown_requests(wanted: DataFrame, feeds: DataFrame) -> DataFrame:
     """O-07 misses: requested (env, endpoint) pairs absent from the catalog."""
-    return wanted.join(broadcast_if_small(feeds.select("env", "endpoint")), ["env", "endpoint"], "left_anti")
+    return wanted.join(feeds.select("env", "endpoint"), ["env", "endpoint"], "left_anti")
 
 
-PLAN_SQL = """
+_FROM = "coalesce(nullif(:fromDate, ''), date_format(date_sub(to_date(:asOf), 1), 'MM-dd-yyyy'))"
+_TO = "coalesce(nullif(:toDate, ''), date_format(to_date(:asOf), 'MM-dd-yyyy'))"
+PLAN_SQL = f"""
 SELECT concat_ws(':', s.env, f.endpoint, CAST(s.mlsSid AS STRING), CAST(s.id_ordinal AS STRING),
-                 '1', w.fromDate, w.toDate) AS request_id,
-       f.feed_ordinal, s.id_ordinal, 1 AS pass, s.env, f.endpoint, s.mlsSid, w.fromDate, w.toDate,
-       replace(replace(replace(replace(f.template, '{{0}}', f.base_url), '{{2}}', CAST(s.mlsSid AS STRING)),
-               '{{3}}', w.fromDate), '{{4}}', w.toDate) AS url
-FROM {sources} s
-JOIN {feeds} f ON s.env = f.env
-JOIN (SELECT coalesce(nullif(:fromDate, ''), date_format(date_sub(to_date(:asOf), 1), 'MM-dd-yyyy')) AS fromDate,
-             coalesce(nullif(:toDate, ''), date_format(to_date(:asOf), 'MM-dd-yyyy')) AS toDate) w
+                 '1', {_FROM}, {_TO}) AS request_id,
+       f.feed_ordinal, s.id_ordinal, 1 AS pass, s.env, f.endpoint, s.mlsSid, {_FROM} AS fromDate, {_TO} AS toDate,
+       replace(replace(replace(replace(f.template, '{{{{0}}}}', f.base_url), '{{{{2}}}}', CAST(s.mlsSid AS STRING)),
+               '{{{{3}}}}', {_FROM}), '{{{{4}}}}', {_TO}) AS url
+FROM {{sources}} s
+JOIN {{feeds}} f ON s.env = f.env
 WHERE s.env = :env AND (:endpoint = 'All' OR f.endpoint = :endpoint)
 """
 
@@ -136,4 +140,4 @@ def plan_requests_sql(spark: SparkSession, feeds: DataFrame, sources: DataFrame,
     return spark.sql(PLAN_SQL, args={
         "env": env, "endpoint": endpoint, "fromDate": from_date or "", "toDate": to_date or "",
         "asOf": as_of or _dt.date.today().isoformat(),
-    }, feeds=broadcast_if_small(feeds), sources=sources)
+    }, feeds=feeds, sources=sources)

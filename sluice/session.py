@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,8 +18,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Let the request source skip requests excluded by a filter (no fetch).
-    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -41,25 +40,30 @@ def build_session(master: str | None = None, app: str = "sluice",
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime settings to a session built elsewhere, and make the
-    package importable in its Python workers."""
+    """Prepare a session built elsewhere: set the runtime settings and ship the
+    package.  Call it once; operators only check (:func:`require_conf`)."""
     for k, v in SESSION_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     ship_package(spark)
 
 
+def require_conf(spark: SparkSession) -> None:
+    """Raise where the XML parser would mix up fields that differ in case only."""
+    if str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() != "true":
+        raise ValueError("set spark.sql.caseSensitive=true (sluice.session.build_session or apply_conf does): "
+                         "the XML reader would take <A> and <a> for one field")
+
+
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Ship ``sluice`` to the executors' Python workers (``addPyFile``), once
-    per application.
+    """Ship ``sluice`` to the executors' Python workers, once per application.
 
-    Python-side steps (fetching, splitting, tag scans, file drops) run in
-    worker processes that import ``sluice``; on a cluster the package is
-    either installed on every node or shipped like this.  The zip is written
-    to the shared folder and distributed by Spark.
+    Python steps run in worker processes that import ``sluice``.  The driver
+    hands the zip to Spark's own file server (``addPyFile``); no shared folder is
+    involved.
     """
     try:
         sc = spark.sparkContext
@@ -68,23 +72,18 @@ def ship_package(spark: SparkSession) -> None:
         return
     if app in _SHIPPED:
         return
-    import io
     import os
     import zipfile
 
-    from sluice.sources.transport import _filesystem
     pkg = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+    # The context's own folder on the driver: Spark serves the file from there and removes it at the end.
+    target = os.path.join(sc._temp_dir, f"sluice-pkg-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    target = f"{shared_dir(spark)}/sluice-pkg-{uuid.uuid4().hex[:8]}.zip"
-    filesystem, path = _filesystem(target)
-    with filesystem.open_output_stream(path) as out:
-        out.write(buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(app)
 
@@ -92,9 +91,9 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder the cluster names in spark.checkpoint.dir.
 
-    Only when the session has none (local tests) is a private one created
-    and registered as the checkpoint dir, so ``DataFrame.checkpoint`` and
-    sluice's scratch tables land in the same place.
+    Only a local session (one JVM, as in tests) may do without: it gets a
+    private folder, registered as the checkpoint dir.  On a cluster a folder of
+    one machine would lose data, so a missing setting is an error.
     """
     try:
         sc = spark.sparkContext
@@ -109,10 +108,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        local = tempfile.mkdtemp(prefix="sluice-ckpt-")
-        if sc is None:
-            return local
-        sc.setCheckpointDir(local)
+        if sc is None or not re.match(r"local(\[[^,]*(,\d+)?\])?$", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-ckpt-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")
 

@@ -1,7 +1,8 @@
 """O-01 / O-02: fetch payloads for a request plan on executors.
 
 The request plan is a DataFrame; ``repartition(concurrency)`` bounds how
-many requests are in flight at once (one per task), which replaces the
+many requests are in flight at once (one per task, ``DEFAULT_CONCURRENCY``
+unless the caller knows what the feed server takes), which replaces the
 thread-pool limit of a driver-side loop.  Every request yields exactly one
 payload row: a failed or non-200 fetch keeps a null body and its error,
 so it shows up in the run log instead of vanishing.  Land the result
@@ -16,7 +17,6 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sluice.session import ship_package
 from sluice.sources.split import DEFAULT_SPLIT_BYTES, split_rows
 
 FETCH_INPUT = ["request_id", "feed_ordinal", "endpoint", "mlsSid", "fromDate", "toDate", "url",
@@ -26,6 +26,7 @@ PAYLOAD_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("request_id", T.StringType()),
     T.StructField("part", T.IntegerType()),
+    T.StructField("first_record", T.LongType()),
     T.StructField("feed_ordinal", T.IntegerType()),
     T.StructField("endpoint", T.StringType()),
     T.StructField("mlsSid", T.LongType()),
@@ -35,10 +36,14 @@ PAYLOAD_SCHEMA = T.StructType([
     T.StructField("http_status", T.IntegerType()),
     T.StructField("error", T.StringType()),
     T.StructField("body", T.StringType()),
+    T.StructField("fetch_started_at", T.TimestampType()),
     T.StructField("fetched_at", T.TimestampType()),
     T.StructField("load_date", T.DateType()),
 ])
 
+#: Requests in flight unless told otherwise: a feed server is not a storage system.
+DEFAULT_CONCURRENCY = 4
+
 # Rows / body bytes handed back to Spark per Arrow batch: bodies can be large,
 # so a batch is closed at whichever bound is reached first.
 _OUT_ROWS = 16
@@ -54,16 +59,18 @@ def _fetcher(transport, run_id, split_bytes):
         for pdf in batches:
             out, size = [], 0
             for req in pdf.to_dict("records"):
+                started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
                 try:
                     status, body, error = transport(req)
                 except Exception as e:  # transport bugs must not kill the task
                     status, body, error = None, None, f"{type(e).__name__}: {e}"
                 row = {
-                    "run_id": run_id, "request_id": req["request_id"], "part": 0,
+                    "run_id": run_id, "request_id": req["request_id"], "part": 0, "first_record": 0,
                     "feed_ordinal": req["feed_ordinal"], "endpoint": req["endpoint"], "mlsSid": req["mlsSid"],
                     "fromDate": req["fromDate"], "toDate": req["toDate"],
                     "landing_name": req["landing_name"],
                     "http_status": status, "error": error, "body": body,
+                    "fetch_started_at": started,
                     "fetched_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                     "load_date": req["load_date"],
                 }
@@ -81,6 +88,7 @@ def _frame(pd, rows, names):
     df = pd.DataFrame(rows, columns=names)
     df["http_status"] = df["http_status"].astype("Int32")
     df["part"] = df["part"].astype("Int32")
+    df["first_record"] = df["first_record"].astype("Int64")
     df["feed_ordinal"] = df["feed_ordinal"].astype("Int32")
     df["mlsSid"] = df["mlsSid"].astype("Int64")
     return df
@@ -91,14 +99,13 @@ def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = Non
     """One payload row per request, fetched by ``transport`` inside tasks.
 
     Filter the request plan before calling this: predicates cannot pass
-    through the fetch, so a filter on its output still fetches everything
-    (the request source in ``sources.datasource`` takes them as pushed
-    filters instead).  A body above ``split_bytes`` is split at record boundaries into parts
+    through the fetch, so a filter on its output still fetches everything.
+    A body above ``split_bytes`` is split at record boundaries into parts
     (``part`` 0, 1, ...) so that its parse spreads over several tasks
     (``sources.split``); None keeps every body whole.
     """
-    ship_package(requests.sparkSession)
     reqs = requests.select(*FETCH_INPUT)
-    if concurrency:
-        reqs = reqs.repartition(int(concurrency), "request_id")
+    # Round robin, so no task queues several slow requests while others idle; one
+    # batch holds few requests, so a task's payloads leave it as they come.
+    reqs = reqs.repartition(int(concurrency or DEFAULT_CONCURRENCY))
     return reqs.mapInPandas(_fetcher(transport, run_id, split_bytes), PAYLOAD_SCHEMA)

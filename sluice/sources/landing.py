@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.fetch import PAYLOAD_SCHEMA
-from sluice.sources.transport import _filesystem, safe_file_name
+from sluice.sources.storage import open_filesystem, qualified
+from sluice.sources.transport import safe_file_name
 
 LANDING_PARTITIONS = ["endpoint", "load_date"]
 # Small row groups bound the parquet reader's batch (it never spans row
@@ -27,7 +28,7 @@ LANDING_ROW_GROUP_BYTES = 64 * 1024 * 1024
 def land_payloads(payloads: DataFrame, path: str) -> None:
     """Append payload rows to the landing table at ``path``."""
     have = set(payloads.columns)
-    defaults = {"part": 0}   # an unsplit payload is part 0 of its request
+    defaults = {"part": 0, "first_record": 0}   # an unsplit payload is part 0 of its request
     cols = [(F.col(f.name) if f.name in have else F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name)
             for f in PAYLOAD_SCHEMA.fields]
     (payloads.select(*cols).write.mode("append").partitionBy(*LANDING_PARTITIONS)
@@ -82,7 +83,7 @@ def _writer(root: str):
     import pandas as pd
 
     def run(batches):
-        filesystem, base = _filesystem(root)
+        filesystem, base = open_filesystem(root)
         made = set()
         for pdf in batches:
             out = []
@@ -105,8 +106,7 @@ def export_documents(payloads: DataFrame, root: str) -> DataFrame:
     (the name made safe with ``transport.safe_file_name``)
     (what a file-drop feed delivers).  Lazy: returns (endpoint, landing_name,
     bytes) and writes when that frame is evaluated."""
-    from sluice.session import ship_package
-    ship_package(payloads.sparkSession)
+    root = qualified(payloads.sparkSession, root)
     return (payloads.where(F.col("body").isNotNull())
                     .select("endpoint", "landing_name", "body")
                     .mapInPandas(_writer(root), "endpoint string, landing_name string, bytes long"))

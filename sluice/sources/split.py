@@ -3,40 +3,88 @@
 One document is one task's parse.  A hot source can answer with a very
 large document, so documents above ``max_bytes`` are cut into several
 well-formed documents, each holding whole consecutive records: the text
-before the first record (declaration, DOCTYPE, root start tag) and after
-the last (root end tag) is repeated around every slice.  Records are
+before the first child of the root (declaration, root start tag) and after the
+last (root end tag) is repeated around every slice.  Records are
 independent of each other, so parsing the slices yields exactly the
-records of the whole document, now in parallel tasks.
-
-A document that is not well-formed is never split: it stays whole and is
-rejected whole downstream.  The scan uses the standard library's expat
-parser only to find byte offsets of the root's direct children; no record
-is built here.
+records of the whole document, now in parallel tasks.  Each part knows how
+many records stand before it (``first_record``), so a record cap means the same
+for parts as for the whole document.
+
+Cuts are found by a byte search for the feed's record tags near the wanted
+sizes and proved by checking that every slice is well-formed, which it is only
+if the cut is between children of the root.  Where that fails (comments
+around tags, records of other tags) the boundaries come from a scan of all
+elements.  A document that is not well-formed is never split: it stays whole
+and is rejected whole downstream.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from xml.parsers import expat
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sluice.plans.catalog import DEFAULT_ROW_TAGS
+
 DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
+_SKIP = re.compile(rb"\s+|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^\[>]*>", re.DOTALL)
+_START = re.compile(rb"""<([^\s/>!?]+)(?:\s+[^\s=/>]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*>""")
 
 
-def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES) -> list[str] | None:
-    """Slices of ``body`` of about ``max_bytes`` each, or None to keep it whole
-    (small, malformed, or fewer than two records)."""
-    if len(body) * 4 <= max_bytes:        # at most 4 bytes per character: surely small
+def _well_formed(data: bytes) -> bool:
+    try:
+        expat.ParserCreate(encoding="utf-8").Parse(data, True)
+    except expat.ExpatError:
+        return False
+    return True
+
+
+def _root(data: bytes) -> tuple[int, int] | None:
+    """(end of the root's start tag, start of its end tag)."""
+    at = 0
+    while (m := _SKIP.match(data, at)) and m.end() > at:
+        at = m.end()
+    start = _START.match(data, at)
+    end = data.rfind(b"</")
+    if not start or end < start.end() or not re.match(rb"</" + re.escape(start.group(1)) + rb"\s*>", data[end:]):
         return None
-    data = body.encode("utf-8")
-    if len(data) <= max_bytes:
+    return start.end(), end
+
+
+def _search(data: bytes, max_bytes: int, root: tuple[int, int], records: re.Pattern) -> list[tuple[int, int, int]] | None:
+    """(start, end, records before) of the slices, by a byte search; None where it cannot be proved."""
+    begin, end = root
+    found, depth = [], 0
+    for m in records.finditer(data, begin, end):
+        if m.group(1):
+            depth -= 1
+        else:
+            if depth:
+                return None  # a record tag inside a record
+            found.append(m.start())
+            depth += not m.group(2)
+    slices, lo, k = [], begin, 0
+    while k < len(found):
+        # as many records as keep the slice within the bound, one at least
+        j = k + 1
+        while j < len(found) and (found[j + 1] if j + 1 < len(found) else end) - lo <= max_bytes:
+            j += 1
+        hi = found[j] if j < len(found) else end
+        slices.append((lo, hi, k))
+        lo, k = hi, j
+    if len(slices) < 2:
         return None
+    return slices if all(_well_formed(data[:begin] + data[x:y] + data[end:]) for x, y, _ in slices) else None
+
+
+def _scan(data: bytes, max_bytes: int) -> tuple[bytes, bytes, list[tuple[int, int, int]]] | None:
+    """The same from a scan of all elements: exact for every well-formed document."""
     parser = expat.ParserCreate(encoding="utf-8")
-    parser.ordered_attributes = True      # attributes are not needed: skip building dicts
-    depth = 0
-    starts: list[int] = []
-    root_end = [-1]
+    parser.ordered_attributes = True
+    depth, starts, root_end = 0, [], -1
 
     def start(_name, _attrs):
         nonlocal depth
@@ -45,56 +93,73 @@ def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES) -> list[str]
         depth += 1
 
     def end(_name):
-        nonlocal depth
+        nonlocal depth, root_end
         depth -= 1
         if depth == 0:
-            root_end[0] = parser.CurrentByteIndex
+            root_end = parser.CurrentByteIndex
 
-    parser.StartElementHandler = start
-    parser.EndElementHandler = end
+    parser.StartElementHandler, parser.EndElementHandler = start, end
     try:
         parser.Parse(data, True)
     except expat.ExpatError:
         return None
-    if len(starts) < 2 or root_end[0] < 0:
+    if len(starts) < 2:
         return None
-    prefix, suffix = data[:starts[0]], data[root_end[0]:]
-    # record k spans bounds[k]..bounds[k+1] (text between records included)
-    bounds = starts + [root_end[0]]
-    n = len(starts)
-    chunks, lo = [], 0
-    for k in range(1, n):
-        # close the slice before record k when adding it would pass the bound
+    bounds, slices, lo = [*starts, root_end], [], 0
+    for k in range(1, len(starts)):
         if bounds[k + 1] - bounds[lo] > max_bytes:
-            chunks.append((bounds[lo], bounds[k]))
+            slices.append((bounds[lo], bounds[k], lo))
             lo = k
-    chunks.append((bounds[lo], bounds[n]))
-    if len(chunks) < 2:
-        return None
-    return [(prefix + data[a:b] + suffix).decode("utf-8") for a, b in chunks]
+    slices.append((bounds[lo], bounds[-1], lo))
+    return data[:starts[0]], data[root_end:], slices
 
 
-def split_rows(rows: list[dict], max_bytes: int) -> list[dict]:
-    """Payload rows -> rows with a ``part`` number; large bodies become parts."""
+def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES,
+                   row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> list[tuple[str, int]] | None:
+    """(slice, records before it) of about ``max_bytes`` each, or None to keep the
+    document whole (small, malformed, or fewer than two records)."""
+    if len(body) * 4 <= max_bytes:        # at most 4 bytes per character: surely small
+        return None
+    data = body.encode("utf-8")
+    if len(data) <= max_bytes or not _well_formed(data):
+        return None
+    slices, root = None, _root(data)
+    # Comments, CDATA and nested record tags could hide or fake a boundary: those go to the scan.
+    if root is not None and data.find(b"<!", root[0]) < 0:
+        names = b"|".join(re.escape(t.encode()) for t in row_tags)
+        records = re.compile(rb"<(/?)(?:" + names + rb""")(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*?(/?)>""")
+        slices = _search(data, max_bytes, root, records)
+        prefix, suffix = data[:root[0]], data[root[1]:]
+    if slices is None:
+        scanned = _scan(data, max_bytes)
+        if scanned is None or len(scanned[2]) < 2:
+            return None
+        prefix, suffix, slices = scanned
+    return [((prefix + data[x:y] + suffix).decode("utf-8"), n) for x, y, n in slices]
+
+
+def split_rows(rows: list[dict], max_bytes: int, row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> list[dict]:
+    """Payload rows -> rows with ``part`` and ``first_record``; large bodies become parts."""
     out = []
     for row in rows:
         body = row.get("body")
-        parts = split_document(body, max_bytes) if body else None
+        parts = split_document(body, max_bytes, row_tags) if body else None
         if parts is None:
-            out.append({**row, "part": 0})
+            out.append({**row, "part": 0, "first_record": 0})
         else:
-            out.extend({**row, "body": p, "part": i} for i, p in enumerate(parts))
+            out.extend({**row, "body": p, "part": i, "first_record": n} for i, (p, n) in enumerate(parts))
     return out
 
 
-def split_documents(payloads: DataFrame, max_bytes: int = DEFAULT_SPLIT_BYTES) -> DataFrame:
-    """Payload rows with large bodies split into parts (adds ``part``)."""
-    from sluice.session import ship_package
-    ship_package(payloads.sparkSession)
-    schema = T.StructType([f for f in payloads.schema.fields if f.name != "part"]
-                          + [T.StructField("part", T.IntegerType())])
+def split_documents(payloads: DataFrame, max_bytes: int = DEFAULT_SPLIT_BYTES,
+                    row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> DataFrame:
+    """Payload rows with large bodies split into parts (adds ``part`` and ``first_record``)."""
+    extra = [T.StructField("part", T.IntegerType()), T.StructField("first_record", T.LongType())]
+    added = {f.name for f in extra}
+    schema = T.StructType([f for f in payloads.schema.fields if f.name not in added] + extra)
     names = schema.fieldNames()
-    source = payloads.drop("part") if "part" in payloads.columns else payloads
+    source = payloads.drop(*added)
+    tags = list(row_tags)
 
     ints = {f.name: ("Int32" if isinstance(f.dataType, T.IntegerType) else "Int64")
             for f in schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))}
@@ -102,7 +167,7 @@ def split_documents(payloads: DataFrame, max_bytes: int = DEFAULT_SPLIT_BYTES) -
     def run(batches):
         import pandas as pd
         for pdf in batches:
-            out = pd.DataFrame(split_rows(pdf.to_dict("records"), max_bytes), columns=names)
+            out = pd.DataFrame(split_rows(pdf.to_dict("records"), max_bytes, tags), columns=names)
             for c, t in ints.items():
                 out[c] = out[c].astype(t)
             yield out

@@ -4,8 +4,11 @@ A record is any direct child of the document root, whatever its tag, but
 Spark's XML reader binds records by name.  This pass finds the names: each
 task scans its documents with the standard library's expat parser (element
 start events only; well-formed documents only) and emits partial counts per
-(endpoint, tag); Spark adds them up.  Only the distinct tags per feed reach
-the driver -- a feed's vocabulary, not its data.
+(endpoint, tag); Spark adds them up, and the counts stay a table.  Each tag
+becomes a column of the parse, so a plan can take a feed's vocabulary only while
+that is one: ``discover_row_tags`` refuses a feed with more than ``MAX_TAGS``
+(generated tag names); configure its record tags and let ``check_tags`` report
+the rest.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from xml.parsers import expat
 
 import pandas as pd
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,8 +65,6 @@ def root_children_count(bodies: pd.Series) -> pd.Series:
 
 def tag_counts(payloads: DataFrame) -> DataFrame:
     """(endpoint, tag, records) over all well-formed payload bodies."""
-    from sluice.session import ship_package
-    ship_package(payloads.sparkSession)
     src = payloads.select(F.col("endpoint").cast("string"), "body") if "endpoint" in payloads.columns \
         else payloads.select(F.lit(None).cast("string").alias("endpoint"), "body")
 
@@ -82,9 +83,18 @@ def tag_counts(payloads: DataFrame) -> DataFrame:
     return partial.groupBy("endpoint", "tag").agg(F.sum("records").alias("records"))
 
 
-def discover_row_tags(payloads: DataFrame) -> dict[str, list[str]]:
-    """Record tags per endpoint, most frequent first."""
+MAX_TAGS = 200
+
+
+def discover_row_tags(payloads: DataFrame, max_tags: int = MAX_TAGS) -> dict[str, list[str]]:
+    """Record tags per endpoint, most frequent first; an error beyond ``max_tags`` for one endpoint."""
+    counts = tag_counts(payloads)
+    place = F.row_number().over(Window.partitionBy("endpoint").orderBy(F.desc("records"), "tag"))
+    few = counts.withColumn("place", place).where(F.col("place") <= int(max_tags) + 1)
     out: dict[str, list[str]] = {}
-    for r in tag_counts(payloads).orderBy("endpoint", F.desc("records"), "tag").collect():
+    for r in few.orderBy("endpoint", "place").collect():
         out.setdefault(r.endpoint, []).append(r.tag)
+    for endpoint, tags in out.items():
+        if len(tags) > max_tags:
+            raise ValueError(f"{endpoint}: more than {max_tags} distinct tags under the root; configure its record tags")
     return out

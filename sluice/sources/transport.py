@@ -14,6 +14,8 @@ import re
 import urllib.error
 import urllib.request
 
+from sluice.sources.storage import open_filesystem, pyarrow_uri, qualify
+
 TOKEN_SLOT = "{1}"
 _UNSAFE = re.compile(r"[^A-Za-z0-9._-]")
 
@@ -24,35 +26,40 @@ def safe_file_name(name: str) -> str:
     return _UNSAFE.sub("_", name)
 
 
-def _local(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+_DECLARED = re.compile(rb"""^\s*<\?xml[^>]*?\sencoding\s*=\s*["']([A-Za-z0-9._-]+)["']""")
+_MARKS = ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16"))
+
 
+def decode_body(data: bytes) -> tuple[str | None, str | None]:
+    """(text, error): by byte-order mark, else the XML declaration's encoding, else UTF-8; always strict.
 
-def _filesystem(root: str):
-    """pyarrow filesystem + base path for a URI (local, HDFS, S3, GCS ...)."""
-    from pyarrow import fs
-    if "://" in root and not root.startswith("file:"):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), _local(root)
+    Bytes that do not fit are no payload: replaced characters would load as data.
+    """
+    declared = _DECLARED.match(data[:1024])
+    encoding = next((e for mark, e in _MARKS if data.startswith(mark)),
+                    declared.group(1).decode("ascii") if declared else "utf-8")
+    try:
+        return data.decode(encoding), None
+    except (UnicodeDecodeError, LookupError) as e:
+        return None, f"undecodable body: {type(e).__name__}: {e}"
 
 
 class FileTransport:
     """Reads landed payload files: ``<root>/<endpoint>/<landing_name>``.
 
     Used for replays and tests (no network).  A missing file is a 404.
+    ``root`` without a scheme is a local folder; on a cluster pass a full URI
+    (``storage.qualified(spark, path)``).
     """
 
     def __init__(self, root: str, by_endpoint: bool = True):
-        self.root = root.rstrip("/")
+        self.root = qualify(root.rstrip("/"))
+        pyarrow_uri(self.root)  # an unknown store is an error here, not in every task
         self.by_endpoint = by_endpoint
 
     def __call__(self, request: dict):
         from pyarrow import fs as pafs
-        filesystem, base = _filesystem(self.root)
+        filesystem, base = open_filesystem(self.root)
         parts = [base, request["endpoint"]] if self.by_endpoint else [base]
         path = "/".join([*parts, safe_file_name(request["landing_name"])])
         try:
@@ -60,7 +67,8 @@ class FileTransport:
             if info.type != pafs.FileType.File:
                 return 404, None, f"not found: {request['landing_name']}"
             with filesystem.open_input_stream(path) as f:
-                return 200, f.read().decode("utf-8", errors="replace"), None
+                body, error = decode_body(f.read())
+                return 200, body, error
         except OSError as e:  # unreadable landing file
             return None, None, f"{type(e).__name__}: {e}"
 
@@ -82,11 +90,12 @@ class HttpTransport:
 
     def __call__(self, request: dict):
         url = request["url"].replace(TOKEN_SLOT, self._token or "")
+        if not url.lower().startswith(("http://", "https://")):
+            return None, None, "ValueError: only http and https requests are sent"
         try:
             req = urllib.request.Request(url, headers=self.headers, method="GET")
             with urllib.request.urlopen(req, timeout=self.timeout) as resp:
-                # Non-HTTP schemes (file:, data:) have no status: a read is a success.
-                status = getattr(resp, "status", None) or 200
+                status = resp.status
                 data = resp.read()
         except urllib.error.HTTPError as e:
             return e.code, None, f"HTTP {e.code}"
@@ -94,4 +103,5 @@ class HttpTransport:
             return None, None, self._scrub(f"{type(e).__name__}: {e}")
         if status != 200:
             return status, None, f"HTTP {status}"
-        return status, data.decode("utf-8", errors="replace"), None
+        body, error = decode_body(data)
+        return status, body, error

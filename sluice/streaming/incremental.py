@@ -4,11 +4,13 @@ The landing table is a file stream source; its checkpoint remembers which
 files were processed, so ``trigger(availableNow=True)`` parses only what
 arrived since the last run and then stops (a scheduled daily increment).
 
-Each micro-batch's records are written to ``<table>/batch_id=<n>``
+Each micro-batch's records are written to ``<table>/query=<id>/batch_id=<n>``
 with overwrite: if a batch is replayed after a failure, it replaces its own
 output instead of appending it twice, so the table holds every record
-exactly once.  Malformed payloads go to ``<quarantine>/batch_id=<n>`` the
-same way.
+exactly once.  The id is the streaming query's own, kept in its checkpoint: a
+second query on the same table, or a lost checkpoint, starts a folder of its own
+and may read files again but never replaces what is there.  Malformed payloads
+go to the quarantine the same way.  A file counts as new whatever its age.
 """
 
 from __future__ import annotations
@@ -19,14 +21,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.xml import document_status, explode_records, parse_documents
+from sluice.operators.xml import document_status, explode_records, parse_documents, quarantine
 from sluice.session import default_parallelism
 from sluice.sources.split import split_documents
+from sluice.sources.storage import make_dir
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
 from sluice.sources.fetch import PAYLOAD_SCHEMA
 from sluice.sources.landing import LANDING_PARTITIONS
 
+QUERY_COLUMN = "query"
 BATCH_COLUMN = "batch_id"
+#: The file source forgets files older than this, counted from the newest one it has seen; its default is a week.
+NO_AGE_LIMIT = "1000000d"
 
 
 def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, table_path: str,
@@ -58,6 +64,7 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
         # its endpoint is then a constant, not a partition column.
         reader = spark.readStream.schema(
             T.StructType([f for f in PAYLOAD_SCHEMA.fields if f.name != "endpoint"]))
+    reader = reader.option("maxFileAge", NO_AGE_LIMIT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if files:
@@ -66,27 +73,26 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
             F.lit(None).cast("bigint").alias("mlsSid"), F.col("value").alias("body"))
     else:
         feed_dir = f"{landing_path.rstrip('/')}/endpoint={endpoint}"
-        _ensure_dir(feed_dir)
+        make_dir(spark, feed_dir)
         src = reader.parquet(feed_dir).withColumn("endpoint", F.lit(endpoint))
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if files and split_bytes:
-            batch = split_documents(batch, split_bytes)
+            batch = split_documents(batch, split_bytes, tags)
             batch = batch.repartition(default_parallelism(batch.sparkSession), "request_id", "part")
+        # Set by the stream for the job it runs; the same in every run on one checkpoint.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"{QUERY_COLUMN}={query}/{BATCH_COLUMN}={batch_id}"
         # A micro-batch reads a fixed list of files, so the records (full
         # parse) and the quarantine (light status pass) read it separately
         # instead of caching the parsed documents.
         (explode_records(parse_documents(batch, cols, tags, keep=[]), cols)
-            .write.mode("overwrite").parquet(f"{table_path}/{BATCH_COLUMN}={batch_id}"))
+            .write.mode("overwrite").parquet(f"{table_path}/{place}"))
         if quarantine_path:
             status = document_status(batch, tags, keep=["request_id", "mlsSid"], probe=cols[0])
-            (status.where(~F.col("fetched") | F.col("malformed"))
-                   .select("request_id", "mlsSid",
-                           F.when(~F.col("fetched"), F.lit("fetch failed"))
-                            .otherwise(F.lit("malformed document")).alias("reason"))
-                   .write.mode("overwrite")
-                   .parquet(f"{quarantine_path}/{BATCH_COLUMN}={batch_id}"))
+            (quarantine(status, keep=["request_id", "mlsSid"]).write.mode("overwrite")
+             .parquet(f"{quarantine_path}/{place}"))
         seen.append(batch_id)
 
     writer = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -97,23 +103,18 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     return len(seen)
 
 
-def _ensure_dir(path: str) -> None:
-    from sluice.sources.transport import _filesystem
-    filesystem, local = _filesystem(path)
-    filesystem.create_dir(local, recursive=True)
-
-
 def read_incremental(spark: SparkSession, table_path: str, endpoint: str,
                      with_batch: bool = False) -> DataFrame:
     """The incrementally loaded table (declared schema)."""
-    schema = T.StructType([*feed_schema(endpoint).fields, T.StructField(BATCH_COLUMN, T.LongType())])
+    schema = T.StructType([*feed_schema(endpoint).fields, T.StructField(QUERY_COLUMN, T.StringType()),
+                           T.StructField(BATCH_COLUMN, T.LongType())])
     try:
         df = spark.read.schema(schema).parquet(table_path)
     except Exception as e:  # nothing landed yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
         df = spark.createDataFrame([], schema)
-    return df if with_batch else df.drop(BATCH_COLUMN)
+    return df if with_batch else df.drop(QUERY_COLUMN, BATCH_COLUMN)
 
 
 __all__ = ["incremental_load", "read_incremental", "LANDING_PARTITIONS"]

@@ -13,6 +13,7 @@ result straight from the tables.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -21,21 +22,21 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import default_window
 from sluice.functions.names import landing_name, table_name, xml_text
-from sluice.loads import load_feed, load_json_api
+from sluice.loads import load_feed, load_feeds, load_json_api
 from sluice.operators import filters as FL
-from sluice.operators.jsonapi import (API_SCHEMA, infer_json_schema, parse_json, project_api_result,
-                                      read_json_files)
+from sluice.operators.jsonapi import infer_json_schema, parse_api, parse_json, project_api_result, read_json_files
 from sluice.operators.sets import concat_by_name, union_all
-from sluice.operators.xml import (build_documents, parse_documents, parse_records,
-                                  parse_tagged_records, quarantine)
+from sluice.operators.xml import (build_documents, document_status, empty_feed_frame, parse_documents, parse_records,
+                                  parse_tagged_records, quarantine, to_declared)
 from sluice.plans.catalog import (FEED_ORDER, FEED_URL_TEMPLATES, example_base_url, feed_catalog,
                                   feed_columns)
-from sluice.plans.requests import plan_requests, plan_requests_sql
+from sluice.plans.requests import plan_api_requests, plan_requests, plan_requests_sql, unknown_requests
 from sluice.session import default_parallelism, scratch_path
 from sluice.sinks.tables import append_table
 from sluice.sources.fetch import fetch_payloads
 from sluice.sources.landing import export_documents, land_payloads, read_landed, read_landed_files
 from sluice.sources.split import split_documents
+from sluice.sources.storage import qualified
 from sluice.sources.tags import discover_row_tags
 from sluice.sources.transport import FileTransport
 from sluice.streaming.incremental import incremental_load, read_incremental
@@ -189,8 +190,27 @@ def q_xml_bad_payloads(spark: SparkSession, d: str) -> DataFrame:
 def q_xml_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """O-20: which documents were rejected and why."""
     c, docs = _customer_docs_with_damage(spark, d)
-    parsed = parse_documents(docs, c.columns, keep=["doc"])
-    return quarantine(parsed, keep=["doc"]).withColumnRenamed("doc", "doc_key")
+    status = document_status(docs, keep=["doc"], probe="c_custkey")
+    return quarantine(status, keep=["doc"]).withColumnRenamed("doc", "doc_key")
+
+
+def q_xml_trailing_content(spark: SparkSession, d: str) -> DataFrame:
+    """O-20: a second root, text after the root or an undeclared prefix rejects a document whole;
+    comments, processing instructions and blanks after the root do not."""
+    o = table(spark, d, "orders")
+    docs = row_documents(o, "o_orderkey")
+    after = F.element_at(F.array(*[F.lit(x) for x in TRAILERS]), (F.col("doc") % len(TRAILERS)).cast("int") + 1)
+    body = F.concat(F.col("body"), after)
+    # one kind repeats the root's own name inside and stays one document
+    nested = F.regexp_replace(F.regexp_replace("body", "^(?s)(.*?<r>)", "$1<note><r>x</r></note>"), r"\s+$", "")
+    body = F.when(F.col("doc") % len(TRAILERS) == NESTED_AT, nested).otherwise(body)
+    return cast_back(parse_records(docs.select("doc", body.alias("body")), o.columns), o)
+
+
+# What follows the root, by document number; those of BAD_TRAILERS make the document malformed.
+TRAILERS = ["", "\n<!-- end </r> -->\n", "<?done now?>", "<r><row><o_orderkey>1</o_orderkey></row></r>", "junk",
+            "<q/>", "", "\n \n"]
+BAD_TRAILERS, NESTED_AT = (3, 4, 5), 6
 
 
 def q_xml_first_duplicate(spark: SparkSession, d: str) -> DataFrame:
@@ -247,37 +267,42 @@ def q_cap_records(spark: SparkSession, d: str) -> DataFrame:
                       F.col("o_custkey").cast("bigint"))
 
 
+def q_cap_split_documents(spark: SparkSession, d: str) -> DataFrame:
+    """O-23 on parts: the first 1000 records of each document, split or not."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    docs = row_documents(o, "o_orderkey", rows=4096).select("doc", "body")
+    parts = split_documents(docs, max_bytes=32 * 1024)
+    out = parse_records(parts, ["o_orderkey", "o_custkey"], keep=["doc"], max_records=1000)
+    return out.select(F.col("doc").alias("doc_key"), F.col("o_orderkey").cast("bigint"),
+                      F.col("o_custkey").cast("bigint"))
+
+
 def q_cap_per_request(spark: SparkSession, d: str) -> DataFrame:
     """O-23 across payloads: two orders per customer, lowest keys first."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
     return FL.cap_records_per_key(o, "o_custkey", "o_orderkey", 2)
 
 
-def _api_payloads(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer")
-    n = table(spark, d, "nation")
-    r = table(spark, d, "region")
-    rows = c.join(n, c.c_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-    body = F.to_json(F.struct(
+def _api_body(fraction: str, whole: str):
+    """An API answer with a fractional latitude and an integral longitude."""
+    return F.to_json(F.struct(
         F.lit(200).alias("status"),
         F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("european_electoral_region"),
-                 F.col("c_acctbal").alias("latitude"), F.col("c_nationkey").cast("double").alias("longitude"),
-                 F.col("c_mktsegment").alias("parliamentary_constituency"),
+                 F.col(fraction).alias("latitude"), F.col(whole).cast("bigint").alias("longitude"),
+                 F.col("n_name").alias("parliamentary_constituency"),
                  F.col("r_name").alias("region")).alias("result")))
-    return rows.select(F.col("c_custkey").cast("string").alias("request_id"), body.alias("body"))
 
 
-def _api_typed(df: DataFrame, keep=()) -> DataFrame:
-    return df.select(*keep, "status", "country", "european_electoral_region",
-                     F.col("latitude").cast("double"), F.col("longitude").cast("double"),
-                     "parliamentary_constituency", "region", "vld_status", "vld_status_reason")
+def _with_nation(spark: SparkSession, d: str, rows: DataFrame, key: str) -> DataFrame:
+    n, r = table(spark, d, "nation"), table(spark, d, "region")
+    return rows.join(n, F.col(key) == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
 
 
 def q_json_api_payloads(spark: SparkSession, d: str) -> DataFrame:
-    """O-04/O-17/O-18/O-19: API payloads -> the flat all-string projection."""
-    parsed = parse_json(_api_payloads(spark, d), API_SCHEMA, keep=["request_id"])
-    out = project_api_result(parsed, keep=["request_id"])
-    return _api_typed(out, keep=[F.col("request_id").cast("bigint").alias("c_custkey")])
+    """O-04/O-17/O-18/O-19: API payloads -> the flat all-string projection, numbers by their own type."""
+    rows = _with_nation(spark, d, table(spark, d, "customer"), "c_nationkey")
+    payloads = rows.select("c_custkey", _api_body("c_acctbal", "c_nationkey").alias("body"))
+    return project_api_result(parse_api(payloads), keep=["c_custkey"])
 
 
 def q_json_project_events(spark: SparkSession, d: str) -> DataFrame:
@@ -456,7 +481,7 @@ def q_raw_landing(spark: SparkSession, d: str) -> DataFrame:
         F.col("doc").alias("mlsSid"), F.lit("").alias("fromDate"), F.lit("").alias("toDate"),
         F.lit("file").alias("url"), "landing_name", F.to_date(F.lit(AS_OF)).alias("load_date"))
     landing = scratch_path(spark, "landing")
-    land_payloads(fetch_payloads(requests, FileTransport(drop), concurrency=default_parallelism(spark)),
+    land_payloads(fetch_payloads(requests, FileTransport(qualified(spark, drop)), concurrency=default_parallelism(spark)),
                   landing)
     payloads = read_landed(spark, landing, endpoint="orders-1.0", load_date=AS_OF)
     parsed = parse_documents(payloads, o.columns, keep=["mlsSid", "http_status"])
@@ -507,12 +532,71 @@ def q_feed_load_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_json_load_log(spark: SparkSession, d: str) -> DataFrame:
-    """O-02/O-35: each API request fetched twice, unioned, appended once."""
-    payloads = _api_payloads(spark, d).withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(2))))
+    """O-02/O-35: every API URL planned for two passes, fetched, landed, projected, appended once."""
+    rows = _with_nation(spark, d, table(spark, d, "supplier"), "s_nationkey")
+    urls = rows.select(F.col("s_suppkey").alias("name"), F.lit("https://api.example.com/v1").alias("url"))
+    requests = plan_api_requests(spark, urls, passes=2, as_of=AS_OF)
+    bodies = rows.select(F.col("s_suppkey").cast("string").alias("k"), _api_body("s_acctbal", "s_nationkey").alias("body"))
+    drop = scratch_path(spark, "api-drop")
+    answers = requests.join(bodies, F.regexp_extract("request_id", r"^api\.(\d+):", 1) == F.col("k"))
+    export_documents(answers.select("endpoint", "landing_name", "body"), drop).agg(F.sum("bytes")).collect()
+    landing = scratch_path(spark, "landing")
+    transport = FileTransport(qualified(spark, drop))
+    land_payloads(fetch_payloads(requests, transport, concurrency=default_parallelism(spark)), landing)
     path = scratch_path(spark, "api")
-    status, _message, _log = load_json_api(spark, payloads, path=path)
-    out = spark.read.parquet(path)
-    return _api_typed(out.withColumn("run_status", F.lit(status)), keep=["run_status"])
+    status, _message, log = load_json_api(spark, read_landed(spark, landing, endpoint="api", load_date=AS_OF), path=path)
+    done = log.where("status = 'success'").count()
+    return spark.read.parquet(path).withColumn("run_status", F.lit(status)).withColumn("logged", F.lit(done).cast("bigint"))
+
+
+def _filled_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """For every feed and supplier a document with every declared column filled with its own value."""
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    docs = None
+    for e in FEED_ORDER:
+        cols = [F.col("s_suppkey").cast("string").alias("mlsSid") if c == "mlsSid" else
+                F.concat(F.lit(f"{c}: "), "s_name", F.lit(" & "), F.col("s_suppkey").cast("string")).alias(c)
+                for c in feed_columns(e)]
+        one = s.select((F.col("s_suppkey") / DOC_ROWS).cast("bigint").alias("doc"), *cols)
+        one = build_documents(one, "doc", feed_columns(e)).select(
+            F.lit(e).alias("endpoint"), F.concat(F.lit(e + ":"), F.col("doc").cast("string")).alias("request_id"), "body",
+            F.to_date(F.lit(AS_OF)).alias("load_date"))
+        docs = one if docs is None else docs.unionAll(one)
+    return docs
+
+
+def q_feed_values(spark: SparkSession, d: str) -> DataFrame:
+    """O-14..O-16/O-31: the loaded rows of all eight feeds, every declared column filled: name and value of each."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "feeds")
+    land_payloads(_filled_payloads(spark, d), landing)
+    load_feeds(spark, read_landed(spark, landing, load_date=AS_OF), FEED_ORDER, paths={e: f"{root}/{e}" for e in FEED_ORDER})
+    out = None
+    for e in FEED_ORDER:
+        rows = spark.read.parquet(f"{root}/{e}")
+        values = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.col(c).alias("v"))
+                                     for i, c in enumerate(rows.columns)]))
+        one = rows.select(F.lit(e).alias("endpoint"), "mlsSid", values.alias("x")).select(
+            "endpoint", "mlsSid", F.col("x.i").alias("place"), F.col("x.c").alias("field"), F.col("x.v").alias("field_value"))
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+def q_feed_empty(spark: SparkSession, d: str) -> DataFrame:
+    """O-05: a feed without records has its declared columns; rows of other columns fit in by name."""
+    c = table(spark, d, "customer").select(F.col("c_name").alias("agentFirstName"), F.col("c_custkey").alias("agentId"),
+                                           F.col("c_acctbal").alias("other"))
+    return empty_feed_frame(spark, AGENTS_ALL).unionAll(to_declared(c, AGENTS_ALL))
+
+
+def q_request_misses(spark: SparkSession, d: str) -> DataFrame:
+    """O-07: asked (env, endpoint) pairs that the catalog does not have."""
+    s = table(spark, d, "supplier")
+    env = F.when(F.col("s_nationkey") < 9, F.lit("dev")).when(F.col("s_nationkey") < 18, F.lit("uat")).otherwise(F.lit("prod"))
+    known = F.array(*[F.lit(e) for e in FEED_ORDER])
+    endpoint = F.when(F.col("s_acctbal") >= 0, F.get(known, (F.col("s_suppkey") % len(FEED_ORDER)).cast("int"))) \
+        .otherwise(F.concat(F.lit("feed-"), F.col("s_suppkey").cast("string")))
+    asked = s.select("s_suppkey", env.alias("env"), endpoint.alias("endpoint"))
+    return unknown_requests(asked, feed_catalog(spark)).select("s_suppkey", "env", "endpoint")
 
 
 def q_incremental_load(spark: SparkSession, d: str) -> DataFrame:
@@ -534,11 +618,25 @@ def q_incremental_load(spark: SparkSession, d: str) -> DataFrame:
     return read_incremental(spark, out, LISTINGS)
 
 
+def q_incremental_restart(spark: SparkSession, d: str) -> DataFrame:
+    """O-37: a second checkpoint on the same table adds its own records and replaces none."""
+    payloads = listing_payloads(spark, d).select(
+        "request_id", "endpoint", "mlsSid", "body", F.to_date(F.lit(AS_OF)).alias("load_date"))
+    out = scratch_path(spark, "incr")
+    for part in (F.col("mlsSid") < 12, F.col("mlsSid") >= 12):
+        landing = scratch_path(spark, "landing")
+        land_payloads(payloads.where(part), landing)
+        incremental_load(spark, landing, LISTINGS, out, scratch_path(spark, "incr-ckpt"))
+    return read_incremental(spark, out, LISTINGS)
+
+
 def q_all_feeds_run(spark: SparkSession, d: str) -> DataFrame:
     """O-01/O-06..O-08/O-30..O-34/O-36 end to end: every feed x every supplier
     id (as 'dev' sources) is planned, fetched from dropped files, landed and
-    loaded; suppliers with a negative balance have no file (404).  One
-    summary row per feed, in run order."""
+    loaded; suppliers with a negative balance have no file (404).  One feed is
+    not in the catalog and one table cannot be written (an unknown store).  A
+    second run in an environment without source ids has its results, too.  One
+    summary row per feed, in run order; no feed's time holds the others'."""
     from sluice.loads import feed_summary, run_feeds
     s = table(spark, d, "supplier")
     sources = s.select(F.lit("dev").alias("env"), F.col("s_suppkey").alias("mlsSid"))
@@ -555,10 +653,24 @@ def q_all_feeds_run(spark: SparkSession, d: str) -> DataFrame:
         .agg(F.sum("bytes")).collect()
     root = scratch_path(spark, "feeds")
     paths = {e: f"{root}/{e}" for e in FEED_ORDER}
-    log = run_feeds(spark, env="dev", from_date="06-16-2022", as_of=AS_OF, transport=FileTransport(drop),
-                    sources=sources, landing_path=scratch_path(spark, "landing"), paths=paths,
+    paths[UNWRITABLE] = f"unknown-store://{root.rpartition('/')[2]}"
+    catalog = feed_catalog(spark)
+    catalog = catalog.where((F.col("endpoint") != UNLISTED) | (F.col("env") != "dev"))
+    began = time.time()
+    log = run_feeds(spark, env="dev", from_date="06-16-2022", as_of=AS_OF, transport=FileTransport(qualified(spark, drop)),
+                    sources=sources, landing_path=scratch_path(spark, "landing"), paths=paths, feeds=catalog,
                     concurrency=default_parallelism(spark))
-    return feed_summary(log).select("feed_ordinal", "endpoint", "requests", "failed_requests", "rows", "result")
+    idle = run_feeds(spark, env="uat", from_date="06-16-2022", as_of=AS_OF, transport=FileTransport(qualified(spark, drop)),
+                     sources=sources, landing_path=scratch_path(spark, "landing"), feeds=catalog,
+                     paths={e: f"{root}-uat/{e}" for e in FEED_ORDER})
+    took = time.time() - began
+    own = (F.col("elapsed_sec") >= 0) & (F.col("elapsed_sec") <= F.lit(took)) & (F.col("finished_at") >= F.col("started_at"))
+    runs = feed_summary(log).withColumn("env", F.lit("dev")).unionByName(feed_summary(idle).withColumn("env", F.lit("uat")))
+    return runs.select("env", "feed_ordinal", "endpoint", "requests", "failed_requests", "rows", "result",
+                       own.alias("own_time"))
+
+
+UNLISTED, UNWRITABLE = FEED_ORDER[3], FEED_ORDER[5]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -570,10 +682,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_missing_fields": q_xml_missing_fields,
     "xml_bad_payloads": q_xml_bad_payloads,
     "xml_quarantine": q_xml_quarantine,
+    "xml_trailing_content": q_xml_trailing_content,
     "xml_first_duplicate": q_xml_first_duplicate,
     "xml_row_tags": q_xml_row_tags,
     "xml_discovered_tags": q_xml_discovered_tags,
     "cap_records": q_cap_records,
+    "cap_split_documents": q_cap_split_documents,
     "cap_per_request": q_cap_per_request,
     "json_api_payloads": q_json_api_payloads,
     "json_project_events": q_json_project_events,
@@ -597,7 +711,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_load_log": q_feed_load_log,
     "feed_load_rows": q_feed_load_rows,
     "json_load_log": q_json_load_log,
+    "feed_values": q_feed_values,
+    "feed_empty": q_feed_empty,
+    "request_misses": q_request_misses,
     "incremental_load": q_incremental_load,
+    "incremental_restart": q_incremental_restart,
     "all_feeds_run": q_all_feeds_run,
 }
 
@@ -628,10 +746,16 @@ _PLAN_SQL = f"""SELECT concat_ws(':', s.env, f.endpoint, CAST(s.mlsSid AS VARCHA
           '{{3}}', '06-16-2022'), '{{4}}', '06-17-2022') AS url
 FROM {_SOURCES_SQL} JOIN {_catalog_values()} ON s.env = f.env"""
 
-_API_SQL = """SELECT c_custkey, '200' AS status, n_name AS country, r_name AS european_electoral_region,
-  c_acctbal AS latitude, CAST(c_nationkey AS DOUBLE) AS longitude, c_mktsegment AS parliamentary_constituency,
-  r_name AS region, '' AS vld_status, '' AS vld_status_reason
-FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+_API_FIELDS_SQL = """'200' AS status, n_name AS country, r_name AS european_electoral_region,
+  CAST({0} AS VARCHAR) AS latitude, CAST({1} AS VARCHAR) AS longitude, n_name AS parliamentary_constituency,
+  r_name AS region, '' AS vld_status, '' AS vld_status_reason"""
+_CUSTOMER_API_SQL = ("SELECT c_custkey, " + _API_FIELDS_SQL.format("c_acctbal", "c_nationkey")
+                     + " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+_SUPPLIER_API_SQL = ("SELECT 'success' AS run_status, (SELECT 2 * count(*) FROM supplier) AS logged, "
+                     + _API_FIELDS_SQL.format("s_acctbal", "s_nationkey")
+                     + " FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+
+_FIELDS_SQL = ", ".join(f"('{e}', {i}, '{c}')" for e in FEED_ORDER for i, c in enumerate(feed_columns(e)))
 
 _AGENT_LOG_SQL = f"""SELECT CAST(c_custkey // 8 AS VARCHAR) AS request_id, '{AGENTS_ALL}' AS endpoint,
   CASE WHEN bool_or(c_acctbal > 9900) OR bool_or(c_acctbal < 0) THEN 'failed' ELSE 'success' END AS status,
@@ -663,7 +787,7 @@ ORACLE_SQL: dict[str, str] = {
                     f"ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 10"),
     "cap_per_request": ("SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER "
                         "(PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 2"),
-    "json_api_payloads": _API_SQL,
+    "json_api_payloads": _CUSTOMER_API_SQL,
     "json_project_events": ("SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, "
                             "'' AS vld_status, '' AS vld_status_reason FROM events"),
     "json_inferred_events": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
@@ -709,16 +833,37 @@ ORACLE_SQL: dict[str, str] = {
                        "CAST(c_nationkey AS VARCHAR) AS agentOfficeId, c_mktsegment AS agentStatus FROM customer "
                        "WHERE c_custkey // 8 NOT IN (SELECT c_custkey // 8 FROM customer "
                        "WHERE c_acctbal < 0 OR c_acctbal > 9900)"),
-    "json_load_log": (f"SELECT 'success' AS run_status, * EXCLUDE (c_custkey) FROM ({_API_SQL}) "
-                      f"UNION ALL SELECT 'success' AS run_status, * EXCLUDE (c_custkey) FROM ({_API_SQL})"),
+    "json_load_log": f"{_SUPPLIER_API_SQL} UNION ALL {_SUPPLIER_API_SQL}",
+    "feed_values": ("SELECT f.endpoint, CAST(s_suppkey AS VARCHAR) AS mlsSid, CAST(f.place AS INTEGER) AS place, f.field, "
+                    "CASE f.field WHEN 'mlsSid' THEN CAST(s_suppkey AS VARCHAR) ELSE concat(f.field, ': ', s_name, ' & ', "
+                    "CAST(s_suppkey AS VARCHAR)) END AS field_value "
+                    f"FROM supplier JOIN (VALUES {_FIELDS_SQL}) AS f(endpoint, place, field) ON true"),
+    "feed_empty": ("SELECT CAST(NULL AS VARCHAR) AS mlsSid, CAST(c_custkey AS VARCHAR) AS agentId, c_name AS agentFirstName, "
+                   "CAST(NULL AS VARCHAR) AS agentLastName, CAST(NULL AS VARCHAR) AS agentOfficeId, "
+                   "CAST(NULL AS VARCHAR) AS agentStatus FROM customer"),
+    "request_misses": ("SELECT s_suppkey, CASE WHEN s_nationkey < 9 THEN 'dev' WHEN s_nationkey < 18 THEN 'uat' ELSE 'prod' END "
+                       "AS env, CASE WHEN s_acctbal >= 0 THEN list_extract([" + ", ".join(f"'{e}'" for e in FEED_ORDER)
+                       + f"], CAST(s_suppkey % {len(FEED_ORDER)} + 1 AS INTEGER)) "
+                       "ELSE concat('feed-', CAST(s_suppkey AS VARCHAR)) END AS endpoint "
+                       "FROM supplier WHERE s_nationkey >= 18 OR s_acctbal < 0"),
+    "xml_trailing_content": (f"SELECT * FROM orders WHERE (o_orderkey // {DOC_ROWS}) % {len(TRAILERS)} "
+                             f"NOT IN {BAD_TRAILERS}"),
+    "cap_split_documents": ("SELECT doc_key, o_orderkey, o_custkey FROM (SELECT o_orderkey // 4096 AS doc_key, o_orderkey, "
+                            "o_custkey, row_number() OVER (PARTITION BY o_orderkey // 4096 ORDER BY o_orderkey) AS rn "
+                            "FROM orders) WHERE rn <= 1000"),
+    "incremental_restart": listing_oracle(),
     "incremental_load": listing_oracle(),
-    "all_feeds_run": ("SELECT f.feed_ordinal, f.endpoint, count(*) AS requests, "
-                      "CAST(sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) AS BIGINT) AS failed_requests, "
-                      "CAST(sum(CASE WHEN s_acctbal < 0 THEN 0 ELSE 1 END) AS BIGINT) AS rows, "
-                      "CASE WHEN sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END) = 0 THEN 'success' "
-                      "ELSE printf('ERROR: %d of %d requests failed', "
-                      "sum(CASE WHEN s_acctbal < 0 THEN 1 ELSE 0 END), count(*)) END AS result "
-                      "FROM supplier JOIN (VALUES " + ", ".join(f"({i}, '{e}')" for i, e in enumerate(FEED_ORDER))
-                      + ") AS f(feed_ordinal, endpoint) ON true "
-                      "GROUP BY f.feed_ordinal, f.endpoint"),
+    "all_feeds_run": (
+        "SELECT 'dev' AS env, f.feed_ordinal, f.endpoint, n AS requests, bad AS failed_requests, ok AS rows, "
+        "CASE WHEN bad = 0 THEN 'success' ELSE printf('ERROR: %d of %d requests failed', bad, n) END AS result, "
+        "true AS own_time FROM (SELECT f.feed_ordinal, f.endpoint, "
+        f"CAST(CASE WHEN f.endpoint = '{UNLISTED}' THEN 1 ELSE count(*) END AS BIGINT) AS n, "
+        f"CAST(CASE WHEN f.endpoint = '{UNLISTED}' THEN 1 WHEN f.endpoint = '{UNWRITABLE}' THEN count(*) "
+        "ELSE count(*) FILTER (s_acctbal < 0) END AS BIGINT) AS bad, "
+        f"CAST(CASE WHEN f.endpoint IN ('{UNLISTED}', '{UNWRITABLE}') THEN 0 "
+        "ELSE count(*) FILTER (s_acctbal >= 0) END AS BIGINT) AS ok "
+        "FROM supplier JOIN (VALUES " + ", ".join(f"({i}, '{e}')" for i, e in enumerate(FEED_ORDER))
+        + ") AS f(feed_ordinal, endpoint) ON true GROUP BY f.feed_ordinal, f.endpoint) f "
+        "UNION ALL SELECT 'uat', feed_ordinal, endpoint, 0::BIGINT, 0::BIGINT, 0::BIGINT, 'success', true FROM (VALUES "
+        + ", ".join(f"({i}, '{e}')" for i, e in enumerate(FEED_ORDER)) + ") AS f(feed_ordinal, endpoint)"),
 }

@@ -1,11 +1,13 @@
 import datetime as dt
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sluice.operators import filters as FL
-from sluice.operators.jsonapi import (API_OUTPUT_COLUMNS, API_REQUIRED, API_SCHEMA, infer_json_schema,
-                                      parse_json, project_api_result)
+from sluice.operators.jsonapi import (API_OUTPUT_COLUMNS, infer_json_schema, parse_api, parse_json,
+                                      project_api_result)
 from sluice.operators.sets import concat_by_name, union_all
 
 GOOD = {"status": 200, "result": {"country": "England", "european_electoral_region": "London",
@@ -19,7 +21,7 @@ def _payloads(spark, bodies):
 
 def test_api_projection(spark):
     df = _payloads(spark, [json.dumps(GOOD)])
-    out = project_api_result(parse_json(df, API_SCHEMA, required=API_REQUIRED))
+    out = project_api_result(parse_api(df))
     assert out.columns == API_OUTPUT_COLUMNS
     assert tuple(out.first()) == ("200", "England", "London", "51.5", "-0.12", "Holborn", "London", "", "")
 
@@ -30,13 +32,28 @@ def test_missing_and_malformed(spark):
     null_region = json.loads(json.dumps(GOOD))
     null_region["result"]["region"] = None
     df = _payloads(spark, [json.dumps(no_region), json.dumps(null_region), "{not json", None])
-    rows = {r.request_id: r for r in parse_json(df, API_SCHEMA, required=API_REQUIRED).collect()}
+    rows = {r.request_id: r for r in parse_api(df).select("*", F.expr("try_variant_get(v, '$.result.region', 'string')").alias("region")).collect()}
     assert rows["0"].missing == ["result.region"] and not rows["0"].malformed
-    assert rows["1"].missing == [] and rows["1"].j.result.region is None
+    assert rows["1"].missing == [] and rows["1"].region is None
     assert rows["2"].malformed and rows["2"].fetched
     assert not rows["3"].fetched
 
 
+def test_number_text_follows_the_number(spark):
+    result = ('"country": "c", "european_electoral_region": "007", "parliamentary_constituency": true, "region": 1e2, '
+              '"latitude": %s, "longitude": %s')
+    rows = [("51", "-0.50", "51", "-0.5"), ("774.0", "12345678901234567890", "774.0", "12345678901234567890"),
+            ('"51.50"', "null", "51.50", None), ("0.1234567890123456789", "-7", "0.12345678901234568", "-7")]
+    df = _payloads(spark, ['{"status": 200, "result": {%s}}' % (result % r[:2]) for r in rows])
+    out = {r.request_id: r for r in project_api_result(parse_api(df), keep=["request_id"]).collect()}
+    for i, r in enumerate(rows):
+        assert (out[str(i)].latitude, out[str(i)].longitude) == r[2:], r
+        assert (out[str(i)].european_electoral_region, out[str(i)].parliamentary_constituency, out[str(i)].region) \
+            == ("007", "true", "100.0")
+    plan = project_api_result(parse_api(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") <= 2 and "from_json" not in plan
+
+
 def test_inferred_schema(spark):
     df = _payloads(spark, ['{"k": 1, "s": "x"}', '{"k": 2, "n": {"a": 1.5}}'])
     schema = infer_json_schema(df)
@@ -92,24 +109,18 @@ def test_sets(spark):
         [(1, "x", None), (None, "z", 3.0)]
 
 
-def test_cap_above_threshold_uses_salted_phases(spark):
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
-    try:
-        rows = [(k, i) for k in range(3) for i in range(10)] + [(9, i) for i in range(300)]
-        df = spark.createDataFrame(rows, "k int, v int")
-        capped = FL.cap_records_per_key(df, "k", "v", 5, salt_buckets=4)
-        want = sorted((k, v) for k in (0, 1, 2, 9) for v in range(5))
-        assert sorted(tuple(r) for r in capped.collect()) == want
-    finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-
-
-def test_cap_above_threshold_with_ties(spark):
-    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")
+@pytest.mark.parametrize("n", [1, 3, 5])
+def test_cap_is_the_same_below_and_above_the_threshold(spark, n):
+    rows = [(k, i % 4, j) for k in range(3) for i in range(10) for j in (0, 1)] + [(9, 0, i % 50) for i in range(400)]
+    rows += [(None, i, i) for i in range(7)] + [(1, 0, 0)] * 5
+    df = spark.createDataFrame(rows, "k int, v int, x int").repartition(6)
+    below = FL.cap_records_per_key(df.repartition(3, "x"), "k", "v", n)
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
     try:
-        rows = [(1, 0)] * 200 + [(1, 1)] * 5 + [(2, 3)]
-        df = spark.createDataFrame(rows, "k int, v int").repartition(4)
-        capped = FL.cap_records_per_key(df, "k", "v", 3, salt_buckets=8)
-        assert sorted(tuple(r) for r in capped.collect()) == [(1, 0), (1, 0), (1, 0), (2, 3)]
+        above = FL.cap_records_per_key(df.repartition(5, "v"), "k", "v", n)
+        assert sorted(map(str, above.collect())) == sorted(map(str, below.collect()))
+        ranked = FL.cap_records_per_key(df, "k", "v", n, rank_column="place")
+        assert ranked.columns == ["k", "v", "x", "place"] and ranked.where("k = 9").count() == n
     finally:
-        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)

@@ -123,25 +123,6 @@ def test_run_feeds_end_to_end(spark, scratch):
     assert spark.read.parquet(paths["office-2.0"]).count() == 6
 
 
-def test_python_data_source_fetch(spark, scratch):
-    from sluice.sources.datasource import payload_source
-    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", endpoints=["agents-all-1.0"],
-                         as_of="2022-06-17")
-    drop = scratch("drop")
-    export_documents(reqs.where(F.col("mlsSid") != 36).select(
-        "endpoint", "landing_name", F.format_string("<r><row><agentId>%d</agentId></row></r>", "mlsSid")
-        .alias("body")), drop).count()
-    plan_path = scratch("plan")
-    reqs.repartition(3).write.parquet(plan_path)
-    spark.dataSource.register(payload_source(FileTransport(drop)))
-    payloads = spark.read.format("sluice_payloads").option("requests", plan_path).option("run_id", "r1").load()
-    assert payloads.rdd.getNumPartitions() == 3
-    got = {r.mlsSid: (r.http_status, r.run_id) for r in payloads.collect()}
-    assert got[36] == (404, "r1") and sum(v == (200, "r1") for v in got.values()) == 6
-    log = load_feed(spark, payloads, "agents-all-1.0", path=scratch("t"))
-    assert sorted(r.status for r in log.collect()).count("success") == 6
-
-
 def test_missing_table_format_is_a_failed_load(spark):
     p = _payloads(spark, [("r1", "agents-all-1.0", 7, None, GOOD)])
     log = load_feed(spark, p, "agents-all-1.0", table="sluice_delta_" + os.urandom(3).hex(), fmt="delta")
@@ -165,30 +146,6 @@ def test_run_log_written_and_read_back(spark, scratch):
     assert spark.read.parquet(logs).where("run_id = 'run-1'").count() == 2
 
 
-def test_data_source_pushdown_skips_fetches(spark, scratch):
-    from sluice.sources.datasource import read_payloads
-
-    calls = scratch("calls").replace("file:", "")
-    os.makedirs(calls)
-
-    class Counting(FileTransport):
-        def __call__(self, request):
-            with open(f"{calls}/{request['request_id'].replace(':', '_')}", "w") as f:
-                f.write("x")
-            return super().__call__(request)
-
-    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", as_of="2022-06-17")
-    plan_path = scratch("plan")
-    reqs.repartition(2).write.parquet(plan_path)
-    payloads = read_payloads(spark, plan_path, Counting(scratch("empty")), name="sluice_counting")
-    got = payloads.where((F.col("endpoint") == "office-2.0") & F.col("mlsSid").isin(14, 36, 99)).collect()
-    assert sorted(r.mlsSid for r in got) == [14, 36]
-    assert len(os.listdir(calls)) == 2
-    # the window and load date prune too: no request has this window, nothing is fetched
-    none = payloads.where((F.col("fromDate") == "01-01-1999") & (F.col("load_date") == F.lit("2022-06-17").cast("date")))
-    assert none.count() == 0 and len(os.listdir(calls)) == 2
-
-
 def test_unconfigured_tags_are_reported(spark, scratch):
     doc = "<r><row><agentId>1</agentId></row><agent><agentId>2</agentId></agent></r>"
     p = _payloads(spark, [("r1", "agents-all-1.0", 7, None, doc)])
@@ -237,37 +194,181 @@ def test_run_feeds_uses_catalog_row_tags(spark, scratch):
     assert spark.read.parquet(out).count() == 7
 
 
-def test_http_transport_success_path(spark):
-    import base64
-    doc = "<r><row><agentId>1</agentId></row></r>"
-    url = "data:text/xml;base64," + base64.b64encode(doc.encode()).decode() + "{1}"
-    t = HttpTransport(token="", timeout=5)
-    status, body, err = t({"url": url, "landing_name": "x", "endpoint": "e"})
-    assert (status, body, err) == (200, doc, None)
+class _Answer:
+    def __init__(self, data, status=200):
+        self.data, self.status = data, status
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        return None
+
+    def read(self):
+        return self.data
+
+
+def test_http_transport_answers(monkeypatch):
+    import urllib.request
+    sent = []
+
+    def answer(data, status=200):
+        monkeypatch.setattr(urllib.request, "urlopen", lambda r, timeout: sent.append(r.full_url) or _Answer(data, status))
+        return HttpTransport(token="T", timeout=5)({"url": "https://x.example.com/{1}", "landing_name": "x", "endpoint": "e"})
+
+    text = "<r><a>Nu\u00f1ez</a></r>"
+    assert answer(text.encode()) == (200, text, None) and sent == ["https://x.example.com/T"]
+    latin = '<?xml version="1.0" encoding="ISO-8859-1"?>' + text
+    assert answer(latin.encode("latin-1")) == (200, latin, None)
+    assert answer(b"\xef\xbb\xbf" + text.encode()) == (200, text, None)
+    assert answer(text.encode("utf-16")) == (200, text, None)
+    for data in (text.encode("latin-1"), latin.replace("ISO-8859-1", "no-such").encode()):
+        status, body, error = answer(data)
+        assert status == 200 and body is None and error.startswith("undecodable body")
+    assert answer(b"", 204) == (204, None, "HTTP 204")
+
+
+def test_only_http_is_sent(tmp_path):
+    (tmp_path / "secret").write_text("x")
+    for url in (f"file://{tmp_path}/secret", "data:text/plain,x", "ftp://x.example.com/a"):
+        status, body, error = HttpTransport()({"url": url, "landing_name": "x", "endpoint": "e"})
+        assert status is None and body is None and "only http" in error
+
+
+def test_undecodable_body_fails_its_request(spark, scratch):
+    drop = scratch("drop")
+    root = drop.replace("file:", "") + "/agents-all-1.0"
+    os.makedirs(root)
+    reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", endpoints=["agents-all-1.0"], as_of="2022-06-17")
+    names = [r.landing_name for r in reqs.orderBy("mlsSid", "landing_name").collect()]
+    doc = "<r><row><agentId>Nu\u00f1ez</agentId></row></r>"
+    for i, name in enumerate(names):
+        with open(f"{root}/{name}", "wb") as f:
+            f.write([doc.encode(), ('<?xml version="1.0" encoding="ISO-8859-1"?>' + doc).encode("latin-1"),
+                     doc.encode("latin-1")][i % 3])
+    out = scratch("t")
+    log = load_feed(spark, fetch_payloads(reqs, FileTransport(drop)), "agents-all-1.0", path=out)
+    rows = log.collect()
+    bad = [r for r in rows if r.status == "failed"]
+    assert len(bad) == len(names) // 3 and all("ERROR: fetch: undecodable body" in r.message for r in bad)
+    assert {r.agentId for r in spark.read.parquet(out).collect()} == {"Nu\u00f1ez"}
+
+
+def test_paths_by_store():
+    import pytest
+
+    from sluice.sources.storage import pyarrow_uri, qualify
+    assert qualify("/data/x") == "file:///data/x" and qualify("/data/x", "hdfs://nn:8020") == "hdfs://nn:8020/data/x"
+    assert qualify("s3a://b/k", "hdfs://nn:8020") == "s3a://b/k"
+    with pytest.raises(ValueError):
+        qualify("data/x", "hdfs://nn:8020")
+    assert pyarrow_uri("file:/data/x") == "file:///data/x" == pyarrow_uri("file:///data/x")
+    assert pyarrow_uri("dbfs:/ck/x") == "file:///dbfs/ck/x"
+    assert pyarrow_uri("s3a://b/k") == "s3://b/k" and pyarrow_uri("hdfs://nn/x") == "hdfs://nn/x"
+    assert pyarrow_uri("abfss://c@a.dfs.core.windows.net/x") == "abfss://c@a.dfs.core.windows.net/x"
+    for bad in ("wasbs://c@a/x", "viewfs://store/x", "/data/x", "s3a:/b"):
+        with pytest.raises(ValueError):
+            pyarrow_uri(bad)
+    with pytest.raises(ValueError):
+        FileTransport("wasbs://c@a/x")
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    import pytest
+
+    from sluice.session import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_operators_leave_the_session_alone(spark):
+    import pytest
+
+    from sluice.operators.xml import parse_records
+    df = spark.createDataFrame([("<r><row><a>1</a></row></r>",)], "body string")
+    spark.conf.set("spark.sql.caseSensitive", "false")
+    try:
+        with pytest.raises(ValueError, match="caseSensitive"):
+            parse_records(df, ["a"])
+        assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "true")
+
+
+def test_every_asked_feed_has_a_result(spark, scratch):
+    from sluice.loads import feed_results, run_feeds
+    none = source_ids(spark).where("env = 'nowhere'")
+    log = run_feeds(spark, env="uat", endpoints=["office-2.0", "agent-2.0"], as_of="2022-06-17", sources=none,
+                    transport=FileTransport(scratch("drop")), landing_path=scratch("landing"),
+                    paths={"office-2.0": scratch("o"), "agent-2.0": scratch("a")})
+    assert feed_results(log) == ["success", "success"]
+    assert [(r.requests, r.rows) for r in feed_summary(log).collect()] == [(0, 0), (0, 0)]
+
+
+def test_cap_counts_records_across_parts(spark, scratch):
+    doc = "<r>" + "".join(f"<row><agentId>{i}</agentId></row>" for i in range(50)) + "</r>"
+    from sluice.sources.split import split_documents
+    whole = spark.createDataFrame([("r1", "agents-all-1.0", doc)], "request_id string, endpoint string, body string")
+    parts = split_documents(whole, 300)
+    assert parts.count() > 3
+    for payloads in (whole, parts):
+        out = scratch("t")
+        log = load_feed(spark, payloads, "agents-all-1.0", path=out, max_records=17)
+        assert [(r.status, r.rows) for r in log.collect()] == [("success", 17)]
+        assert sorted(int(r.agentId) for r in spark.read.parquet(out).collect()) == list(range(17))
+
+
+API_OK = ('{"status": 200, "result": {"country": "c", "european_electoral_region": "e", "latitude": 1.5, '
+          '"longitude": 2, "parliamentary_constituency": "p", "region": "r"}}')
+
+
+def _api_answers(scratch, names):
+    drop = scratch("drop")
+    root = drop.replace("file:", "") + "/api"
+    os.makedirs(root)
+    for name in names:
+        with open(f"{root}/{name}", "w") as f:
+            f.write(API_OK)
+    return drop
 
 
 def test_json_api_job_fetches_twice(spark, scratch):
-    import base64
     from sluice.plans.requests import plan_api_requests
-    ok = '{"status": 200, "result": {"country": "c", "european_electoral_region": "e", "latitude": 1.5, ' \
-         '"longitude": 2.0, "parliamentary_constituency": "p", "region": "r"}}'
-    url = "data:application/json;base64," + base64.b64encode(ok.encode()).decode()
-    reqs = plan_api_requests(spark, url, passes=2, as_of="2022-06-17")
-    payloads = fetch_payloads(reqs, HttpTransport(timeout=5))
+    reqs = plan_api_requests(spark, "https://api.example.com", passes=2, as_of="2022-06-17")
+    payloads = fetch_payloads(reqs, FileTransport(_api_answers(scratch, ["api.1.json", "api.2.json"])))
     path = scratch("api")
     status, message, log = load_json_api(spark, payloads, path=path)
     assert status == "success" and [r.status for r in log.collect()] == ["success", "success"]
     rows = spark.read.parquet(path).collect()
-    assert len(rows) == 2 and {(r.country, r.latitude) for r in rows} == {("c", "1.5")}
+    assert len(rows) == 2 and {(r.country, r.latitude, r.longitude) for r in rows} == {("c", "1.5", "2")}
+
 
 
-def test_replayable_detection(spark, scratch):
-    from sluice.loads import replayable
+def test_only_tables_are_loaded_directly(spark, scratch):
+    from sluice.loads import _landed
     reqs = plan_requests(feed_catalog(spark), source_ids(spark), env="uat", as_of="2022-06-17")
-    assert not replayable(fetch_payloads(reqs, FileTransport(scratch("x"))))
+    fetched = fetch_payloads(reqs, FileTransport(scratch("x")))
+    assert _landed(fetched) is not fetched
     landing = scratch("landing")
-    land_payloads(fetch_payloads(reqs, FileTransport(scratch("x"))), landing)
-    assert replayable(read_landed(spark, landing))
+    land_payloads(fetched, landing)
+    landed = read_landed(spark, landing, endpoint="office-2.0").select("request_id", "body")
+    assert _landed(landed) is landed
+    drawn = landed.withColumn("u", F.rand())
+    assert _landed(drawn) is not drawn or drawn.count() == _landed(drawn).count()
 
 
 def test_live_fetch_loaded_directly_fetches_once(spark, scratch):
@@ -304,17 +405,15 @@ def test_unknown_feed_rows_from_landed_payloads(spark, scratch):
 
 
 def test_cli_api_job(spark, scratch, capsys):
-    import base64
     from sluice.cli import main
-    ok = '{"status": 200, "result": {"country": "c", "european_electoral_region": "e", "latitude": 1.5, ' \
-         '"longitude": 2.0, "parliamentary_constituency": "p", "region": "r"}}'
-    url = "data:application/json;base64," + base64.b64encode(ok.encode()).decode()
     path = scratch("api")
-    assert main(["api", "--url", url, "--path", path]) == 0
+    drop = _api_answers(scratch, ["api.1.json", "api.2.json"])
+    assert main(["api", "--url", "https://api.example.com", "--path", path, "--transport", "file", "--root", drop]) == 0
     assert capsys.readouterr().out.startswith("success\t")
     assert spark.read.parquet(path).count() == 2
 
 
+
 def test_xml_quarantine_and_log_table(spark, scratch):
     p = _payloads(spark, [("r1", "agents-all-1.0", 7, None, GOOD), ("r2", "agents-all-1.0", 8, None, BAD),
                           ("r3", "agents-all-1.0", 9, "HTTP 500", None)])

@@ -64,6 +64,15 @@ def test_landing_reads_list_only_selected_partitions(spark, scratch):
     assert partition_path("/x", "we:ird", None) == "/x"
 
 
+def test_quarantine_parses_once_and_sql_plan_has_no_nested_loop(spark):
+    from sluice.plans.catalog import feed_catalog, source_ids
+    from sluice.plans.requests import plan_requests_sql
+    from sluice.testdata_feeds import QUERIES
+    assert _plan(QUERIES["xml_quarantine"](spark, SF)).count("from_xml(") == 1
+    plan = _plan(plan_requests_sql(spark, feed_catalog(spark), source_ids(spark), env="dev", as_of="2022-06-17"))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_status_pass_is_one_stage(spark, scratch):
     from sluice.operators.xml import document_status
     p = listing_payloads(spark, SF).select("request_id", "endpoint", "mlsSid", "body",

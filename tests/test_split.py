@@ -22,8 +22,9 @@ def _records(text):
 def test_split_keeps_every_record_in_order():
     parts = split_document(DOC, 120)
     assert len(parts) > 2
-    assert [r for p in parts for r in _records(p)] == _records(DOC)
-    assert all(p.startswith("<?xml version='1.0'?>\n<r xmlns:n='u' a='>'>") for p in parts)
+    assert [r for p, _ in parts for r in _records(p)] == _records(DOC)
+    assert [n for _, n in parts] == [sum(len(_records(q)) for q, _ in parts[:i]) for i in range(len(parts))]
+    assert all(p.startswith("<?xml version='1.0'?>\n<r xmlns:n='u' a='>'>") for p, _ in parts)
 
 
 def test_small_malformed_or_single_record_documents_stay_whole():
@@ -32,6 +33,20 @@ def test_small_malformed_or_single_record_documents_stay_whole():
     assert split_document("<r><row>" + "x" * 500 + "</row></r>", 50) is None
 
 
+def test_byte_search_and_scan_agree():
+    plain = "<r>\n" + "".join(f"<row><a>{i}</a><b/></row>" for i in range(40)) + "\n</r>"
+    nested = "<r>" + "".join(f"<row><row><a>{i}</a></row></row>" for i in range(20)) + "</r>"
+    mixed = "<r>" + "".join(f"<row><a>{i}</a></row><other/>" for i in range(20)) + "</r>"
+    cdata = "<r>" + "".join(f"<row><a><![CDATA[<row>{i}]]></a></row>" for i in range(20)) + "</r>"
+    for doc in (plain, nested, mixed, cdata):
+        parts = split_document(doc, 100)
+        assert len(parts) > 3, doc
+        assert [r for p, _ in parts for r in _records(p) if r[0] == "row"] == [r for r in _records(doc) if r[0] == "row"]
+        rows = [sum(r[0] == "row" for r in _records(p)) for p, _ in parts]
+        if doc is not mixed:
+            assert [n for _, n in parts] == [sum(rows[:i]) for i in range(len(parts))]
+
+
 def test_split_documents_operator(spark):
     df = spark.createDataFrame([("a", DOC), ("b", "<r><row/></r>")], "request_id string, body string")
     out = split_documents(df, 120).collect()

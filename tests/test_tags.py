@@ -19,6 +19,14 @@ def test_discover_per_endpoint(spark):
     assert counts == {("a-1.0", "p"): 2, ("a-1.0", "q"): 1, ("b-1.0", "row"): 1}
 
 
+def test_generated_tag_names_are_refused(spark):
+    import pytest
+    doc = "<r>" + "".join(f"<t{i}/>" for i in range(30)) + "</r>"
+    df = spark.createDataFrame([("a-1.0", doc)], "endpoint string, body string")
+    with pytest.raises(ValueError, match="more than 20"):
+        discover_row_tags(df, max_tags=20)
+
+
 def test_discovered_tags_load_every_record(spark, scratch):
     doc = "<r><agent><agentId>1</agentId></agent><office><agentId>2</agentId></office></r>"
     p = spark.createDataFrame([("r1", "agents-all-1.0", doc)], "request_id string, endpoint string, body string")
