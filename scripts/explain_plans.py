@@ -13,11 +13,13 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from sluice.operators import filters as FL  # noqa: E402
-from sluice.operators.xml import document_status, explode_records, parse_documents  # noqa: E402
+from sluice.operators.jsonapi import parse_api, project_api_result  # noqa: E402
+from sluice.operators.xml import document_status, explode_records, parse_documents, quarantine  # noqa: E402
 from sluice.plans.catalog import feed_catalog, feed_columns, source_ids  # noqa: E402
 from sluice.plans.requests import plan_requests  # noqa: E402
 from sluice.session import build_session, scratch_path  # noqa: E402
 from sluice.sources.landing import land_payloads, read_landed  # noqa: E402
+from sluice.sources.split import split_documents  # noqa: E402
 from sluice.testdata_feeds import listing_payloads, table  # noqa: E402
 
 
@@ -28,7 +30,7 @@ def formatted(df) -> str:
     mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     text = qe.explainString(mode)
     # keep plans readable: long expression lists are cut
-    return "\n".join(line if len(line) < 400 else line[:400] + " ..." for line in text.splitlines())
+    return "\n".join(line if len(line) < 1200 else line[:1200] + " ..." for line in text.splitlines())
 
 
 def main() -> None:
@@ -41,6 +43,8 @@ def main() -> None:
     land_payloads(p, landing)
     landed = read_landed(spark, landing, endpoint="listings-3.0", load_date="2022-06-17")
     cols = feed_columns("listings-3.0")
+    api = table(spark, d, "customer").select(F.to_json(F.struct(F.lit(200).alias("status"), F.struct(
+        F.col("c_name").alias("country"), F.col("c_acctbal").alias("latitude")).alias("result"))).alias("body"))
     sections = [
         ("Feed load: landing table -> records (listings-3.0)",
          "One stage, no exchange: the scan reads one partition directory and only `body`; `from_xml` runs once.",
@@ -50,12 +54,23 @@ def main() -> None:
          document_status(landed.select("request_id", "mlsSid", "body"), keep=["request_id", "mlsSid"],
                          probe=cols[0])),
         ("Request plan: feeds catalog x source ids",
-         "The catalog is broadcast after its exact row count is known; the ids are never shuffled.",
+         "Spark broadcasts the catalog by its size in bytes; the ids are never shuffled.",
          plan_requests(feed_catalog(spark), source_ids(spark), env="dev", as_of="2022-06-17")),
         ("Record cap across payloads: first 2 orders per customer",
          "A partial WindowGroupLimit runs before the exchange, so a hot key ships at most 2 rows per map task.",
          FL.cap_records_per_key(table(spark, d, "orders").select("o_custkey", "o_orderkey"), "o_custkey",
                                 "o_orderkey", 2)),
+        ("JSON API payloads",
+         "One parse to a variant; projection and presence of fields both read it.",
+         project_api_result(parse_api(api))),
+        ("Split documents: parts to records",
+         "The byte search runs in Arrow batches (MapInPandas); each part is parsed once, no exchange.",
+         explode_records(parse_documents(split_documents(landed.select("request_id", "body"), 256 * 1024), cols, keep=[]),
+                         cols)),
+        ("Quarantine",
+         "Rejected documents from the status pass, taken with a generator so the parse is not repeated in a filter.",
+         quarantine(document_status(landed.select("request_id", "body"), keep=["request_id"], probe=cols[0]),
+                    keep=["request_id"])),
         ("Date-window filter on a typed column",
          "The MM-dd-yyyy window becomes bare-column bounds pushed into the parquet scan.",
          FL.filter_dates(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate",
