@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm import bpe, exact, langid, mixing, simhash
 from sluice.llm.common import materialise, read_table
+from sluice.session import ship_package
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -60,6 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
