@@ -67,13 +67,14 @@ def incremental_main(argv: list[str]) -> int:
     ap.add_argument("--table-path", required=True)
     ap.add_argument("--checkpoint", required=True)
     ap.add_argument("--quarantine", default=None)
+    ap.add_argument("--log", default=None, help="where the run log is written")
     ap.add_argument("--files", action="store_true", help="landing is a folder of one-document files")
     ap.add_argument("--max-files-per-trigger", type=int, default=1000)
     ap.add_argument("--split-bytes", type=int, default=None)
     args = ap.parse_args(argv)
     spark = build_session()
     batches = incremental_load(spark, args.landing, args.endpoint, args.table_path, args.checkpoint,
-                               quarantine_path=args.quarantine, files=args.files,
+                               quarantine_path=args.quarantine, log_path=args.log, files=args.files,
                                max_files_per_trigger=args.max_files_per_trigger, split_bytes=args.split_bytes)
     print(f"{args.endpoint}\tbatches={batches}")
     return 0

@@ -36,13 +36,16 @@ NO_AGE_LIMIT = "1000000d"
 
 
 def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, table_path: str,
-                     checkpoint: str, *, quarantine_path: str | None = None,
+                     checkpoint: str, *, quarantine_path: str | None = None, log_path: str | None = None,
                      row_tags: Sequence[str] | None = None,
                      max_files_per_trigger: int | None = 1000, files: bool = False,
                      glob: str = "*.xml", every: str | None = None,
                      split_bytes: int | None = None):
     """Run one availableNow pass; returns the number of micro-batches run.
 
+    ``log_path`` gets a run log: a row for each payload with its status, record
+    count and message, in the same folders as the records.
+
     ``landing_path`` is the landing table (parquet, see ``sources.landing``),
     or with ``files=True`` a folder where each document is its own file
     (read whole; the file name becomes the request id).  A backlog is worked
@@ -89,10 +92,21 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
         # instead of caching the parsed documents.
         (explode_records(parse_documents(batch, cols, tags, keep=[]), cols)
             .write.mode("overwrite").parquet(f"{table_path}/{place}"))
+        status = document_status(batch, tags, keep=["request_id", "mlsSid"], probe=cols[0])
         if quarantine_path:
-            status = document_status(batch, tags, keep=["request_id", "mlsSid"], probe=cols[0])
             (quarantine(status, keep=["request_id", "mlsSid"]).write.mode("overwrite")
              .parquet(f"{quarantine_path}/{place}"))
+        if log_path:
+            message = (F.when(~F.col("fetched"), F.lit("ERROR: fetch: no payload"))
+                       .when(F.col("malformed"), F.lit("ERROR: malformed document")).otherwise(F.lit("")))
+            # The parts of a split document count as one payload.
+            (status.groupBy("request_id", "mlsSid")
+             .agg(F.min("fetched").alias("fetched"), F.max("malformed").alias("malformed"), F.sum("n_records").alias("n"))
+             .select("request_id", F.lit(endpoint).alias("endpoint"), "mlsSid",
+                     F.when(message == "", F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+                     F.when(message == "", F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("rows"),
+                     message.alias("message"), F.current_timestamp().alias("finished_at"))
+             .write.mode("overwrite").parquet(f"{log_path}/{place}"))
         seen.append(batch_id)
 
     writer = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

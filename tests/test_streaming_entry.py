@@ -35,6 +35,15 @@ def test_incremental_each_file_once(spark, scratch):
     assert [r.request_id for r in spark.read.parquet(bad).collect()] == ["r4"]
 
 
+def test_incremental_run_log(spark, scratch):
+    landing, out, ckpt, log = scratch("landing"), scratch("out"), scratch("ckpt"), scratch("log")
+    land_payloads(_landed(spark, [(1, doc(1)), (2, "<r><row>"), (3, doc(3) + "junk")]), landing)
+    incremental_load(spark, landing, "agents-all-1.0", out, ckpt, log_path=log)
+    rows = sorted((r.request_id, r.status, r.rows, r.message) for r in spark.read.parquet(log).collect())
+    assert rows == [("r1", "success", 1, ""), ("r2", "failed", 0, "ERROR: malformed document"),
+                    ("r3", "failed", 0, "ERROR: malformed document")]
+
+
 def test_a_second_checkpoint_keeps_what_is_there(spark, scratch):
     out = scratch("out")
     for rows in ([(1, doc(1)), (2, doc(2))], [(9, doc(9))]):
