@@ -105,7 +105,6 @@ def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = Non
     (``sources.split``); None keeps every body whole.
     """
     reqs = requests.select(*FETCH_INPUT)
-    # Round robin, so no task queues several slow requests while others idle; one
-    # batch holds few requests, so a task's payloads leave it as they come.
+    # Round robin: every task gets its even share of each feed's requests.
     reqs = reqs.repartition(int(concurrency or DEFAULT_CONCURRENCY))
     return reqs.mapInPandas(_fetcher(transport, run_id, split_bytes), PAYLOAD_SCHEMA)
