@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns what it keeps; ``run``
 writes every result as Parquet and rereads it as the next stage's documents.
 The first four return the columns of ``documents``:
 
-1. language ID: documents without a letter or of ambiguous language go;
+1. language ID: documents without a language (no letter in the text) go;
 2. exact de-duplication: of equal texts the smallest id stays;
 3. SimHash near-de-duplication: of each group of near copies the smallest id stays;
 4. mixing: each document as often as its source's target weight asks;

@@ -174,10 +174,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", as_col: str
     return docs.withColumn(as_col, predictor(model)(F.col(text_col)))
 
 
-def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a language: those without a letter and ambiguous ones go."""
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", drop_ambiguous: bool = False) -> DataFrame:
+    """The rows of ``docs`` that have a language: those without a letter go, and on demand ambiguous ones.
+
+    Ambiguous texts are mostly clean ones of a few words, so they stay by default.
+    """
     rows = docs.select(F.struct("*").alias("__row"), predictor(model)(F.col(text_col)).alias("__found"))
-    return rows.where((F.col("__found.lang") != UNKNOWN) & ~F.col("__found.ambiguous")).select("__row.*")
+    keep = F.col("__found.lang") != UNKNOWN
+    return rows.where(keep & ~F.col("__found.ambiguous") if drop_ambiguous else keep).select("__row.*")
 
 
 def op7_query(spark, sf_dir: str) -> DataFrame:

@@ -56,6 +56,7 @@ def test_edges_and_clashing_columns(spark):
     assert all(got[i, t]["lang"] == lang for i, t, lang, *_ in rows)
     kept = langid.accepted(docs, model)
     assert kept.columns == docs.columns and kept.count() == len(rows) + 3
+    assert langid.accepted(docs, model, drop_ambiguous=True).count() <= kept.count()
 
 
 def test_no_rows_and_one_language(spark):
