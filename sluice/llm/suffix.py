@@ -20,9 +20,10 @@ maximal spans.  A word is in a span if and only if it lies in a stretch of
 ``min_words`` words that occurs earlier: smaller id first, then earlier words.
 
 Large groups: rows are range-partitioned by suffix and place, so copies of a
-passage spread over partitions; only groups cut by a partition border go
-through an aggregation (combined before its shuffle) and a skew-splitting
-join.  No group is collected and copies are not paired with each other.
+passage spread over partitions, and pass through their tasks one by one.  What
+the borders between partitions cut is put together from the first suffix of
+each cut extent: two rows for each partition at most, which are broadcast.  No
+group is collected and copies are not paired with each other.
 
 Defined results: texts of fewer than ``min_words`` words (also null and empty
 ones) have no spans; rows that repeat id and text count as one document; a null
@@ -137,8 +138,9 @@ def _suffixes(docs: DataFrame, id_col: str, text_col: str, min_words: int, windo
 
 
 _SUFFIX = ["h", "e1", "e2", "key", "digest", "lo", "len"]
-#: kind 0: a later copy; 1: the only suffix of its extent among several extents; 2: not decided in this partition.
-_FOUND = ["kind", *_SUFFIX, "f_key", "f_digest", "f_lo"]
+#: kind 0: a later copy; 1: the first suffix of its extent, among several extents; 3: the first of its extent in
+#: this partition, in a suffix group that the border may cut (``cut``: its extent, too).
+_FOUND = ["kind", "cut", *_SUFFIX, "f_key", "f_digest", "f_lo"]
 
 
 def _schema(ddl: str, rows: DataFrame) -> str:
@@ -146,53 +148,51 @@ def _schema(ddl: str, rows: DataFrame) -> str:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare sorted suffixes; the partition's first and last suffix group go out undecided."""
-    rest: pa.Table | None = None
-    edge = None  # the suffix of the partition's first group
-
-    def undecided(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        none = [pa.nulls(t.num_rows, t.schema.field(c).type) for c in ("key", "digest", "lo")]
-        yield from pa.table([pa.array(np.full(t.num_rows, 2, np.int32)), *t.columns, *none], names=_FOUND).to_batches()
-
-    def decide(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        h, e1, e2, digest, lo = (t.column(c).to_numpy() for c in ("h", "e1", "e2", "digest", "lo"))
-        new_h = np.r_[True, h[1:] != h[:-1]]
-        new_e = new_h | np.r_[True, (e1[1:] != e1[:-1]) | (e2[1:] != e2[:-1])]
-        group, extent = np.cumsum(new_h) - 1, np.cumsum(new_e) - 1
-        first = np.flatnonzero(new_e)[extent]
-        extents = np.bincount(group[new_e])
-        # Rows that repeat id and text stand at the same place as the first.
-        later = ~new_e & ~((digest == digest[first]) & (lo == lo[first]) & _equal(t.column("key"), first))
-        mixed = new_e & (extents[group] > 1)
-        keep = np.flatnonzero(later | mixed)
-        if len(keep):
-            named, sources, rows = later[keep], t.take(pa.array(first[keep])), t.take(pa.array(keep))
-            source = [_masked(sources.column(c), named) for c in ("key", "digest", "lo")]
-            yield from pa.table([pa.array(np.where(named, 0, 1).astype(np.int32)), *rows.columns, *source],
-                                names=_FOUND).to_batches()
+    """Compare each sorted suffix with the first of its extent and with its suffix group.
+
+    Only the first suffixes of a group's extents wait for its end; a large group of copies passes through.
+    """
+    firsts: pa.Table | None = None  # of the open suffix group; the last one is that of the open extent
+    outer = True                    # whether the open group is the partition's first
+
+    def out(rows: pa.Table, kind: int, sources: pa.Table | None = None, cut: np.ndarray | None = None):
+        n = rows.num_rows
+        names = ("key", "digest", "lo")
+        source = [sources.column(c) if sources is not None else pa.nulls(n, rows.schema.field(c).type) for c in names]
+        flags = pa.array(cut if cut is not None else np.zeros(n, bool))
+        yield from pa.table([pa.array(np.full(n, kind, np.int32)), flags, *rows.columns, *source],
+                            names=_FOUND).combine_chunks().to_batches()
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = pa.Table.from_batches([batch])
-        if edge is None:
-            edge = new.column("h")[0].as_py()
-        table = new if rest is None else pa.concat_tables([rest, new]).combine_chunks()
-        h = table.column("h").to_numpy()
-        begin = int(np.argmax(h != edge)) if (h != edge).any() else len(h)
-        if h[0] == edge and begin:
-            yield from undecided(table.slice(0, begin))
-            table, h = table.slice(begin), h[begin:]
-        if not len(h):
-            rest = None
-            continue
-        cut = np.flatnonzero(h[1:] != h[:-1])
-        cut = int(cut[-1]) + 1 if len(cut) else 0
-        if cut:
-            yield from decide(table.slice(0, cut).combine_chunks())
-        rest = table.slice(cut)
-    if rest is not None:
-        yield from undecided(rest.combine_chunks())
+        table = pa.Table.from_batches([batch])
+        if firsts is not None:  # the open extent's first row leads, to be compared with
+            table = pa.concat_tables([firsts.slice(firsts.num_rows - 1), table]).combine_chunks()
+        h, e1, e2, digest, lo = (table.column(c).to_numpy() for c in ("h", "e1", "e2", "digest", "lo"))
+        new = np.r_[True, (h[1:] != h[:-1]) | (e1[1:] != e1[:-1]) | (e2[1:] != e2[:-1])]
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        # Rows that repeat id and text stand at the same place as the first.
+        later = np.flatnonzero(~new & ~((digest == digest[first]) & (lo == lo[first]) & _equal(table.column("key"), first)))
+        if len(later):
+            yield from out(table.take(pa.array(later)), 0, table.take(pa.array(first[later])))
+        begin = table.take(pa.array(np.flatnonzero(new)))
+        firsts = begin if firsts is None else pa.concat_tables([firsts.slice(0, firsts.num_rows - 1), begin]).combine_chunks()
+        group = firsts.column("h").to_numpy()
+        start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        if len(start) > 1:  # all groups but the last are complete
+            at = 0
+            if outer:
+                at, outer = int(start[1]), False
+                yield from out(firsts.slice(0, at), 3, cut=np.arange(at) == 0)
+            size = np.repeat(np.diff(np.r_[start, len(group)]), np.diff(np.r_[start, len(group)]))
+            several = np.flatnonzero((size > 1) & (np.arange(len(group)) >= at) & (np.arange(len(group)) < start[-1]))
+            if len(several):
+                yield from out(firsts.take(pa.array(several)), 1)
+            firsts = firsts.slice(int(start[-1]))
+    if firsts is not None:
+        place = np.arange(firsts.num_rows)
+        yield from out(firsts, 3, cut=(place == len(place) - 1) | ((place == 0) & outer))
 
 
 def _equal(column: pa.ChunkedArray, first: np.ndarray) -> np.ndarray:
@@ -202,26 +202,28 @@ def _equal(column: pa.ChunkedArray, first: np.ndarray) -> np.ndarray:
     return pc.or_(same, both).to_numpy()
 
 
-def _masked(column: pa.ChunkedArray, keep: np.ndarray) -> pa.ChunkedArray:
-    return pc.if_else(pa.array(keep), column, pa.scalar(None, column.type))
-
-
 def _place(key: str, digest: str, lo: str) -> Column:
     return F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col(digest).alias("digest"),
                     F.col(lo).alias("lo"))
 
 
-def _edges(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Groups cut by a partition border: (later copies, one suffix for each extent among several)."""
-    rows = found.where("kind = 2").withColumn("at", _place("key", "digest", "lo")).select("h", "e1", "e2", "at", "len")
-    first = materialise(rows.groupBy("h", "e1", "e2", "len").agg(F.min("at").alias("first")), "suffix-edges")
-    name = first.select(F.col("h").alias("h1"), F.col("e1").alias("x1"), F.col("e2").alias("x2"), "first")
-    later = (rows.hint("merge").join(name.hint("merge"), (F.col("h") == F.col("h1")) & (F.col("e1") == F.col("x1"))
-                                     & (F.col("e2") == F.col("x2")))
-             .where(~F.col("at").eqNullSafe(F.col("first"))).select("at", "len", "first"))
-    several = first.groupBy(F.col("h").alias("h1")).count().where("count > 1").select("h1")
-    mixed = first.join(several, F.col("h") == F.col("h1"), "left_semi").select(F.col("first").alias("at"), "len")
-    return later, mixed
+def _compared(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(later copies: at, len, first; one suffix for each extent among several: at, len)."""
+    at = _place("key", "digest", "lo").alias("at")
+    border = found.where("kind = 3").select("cut", "h", "e1", "e2", at, "len")
+    # Extents that a border may cut: two rows for each partition at most.
+    cut = border.where("cut")
+    begin = (cut.groupBy(F.col("h").alias("h1"), F.col("e1").alias("x1"), F.col("e2").alias("x2"))
+             .agg(F.min("at").alias("begin")))
+    same = (F.col("h") == F.col("h1")) & (F.col("e1") == F.col("x1")) & (F.col("e2") == F.col("x2"))
+    copies = (found.where("kind = 0").select("h", "e1", "e2", at, "len", _place("f_key", "f_digest", "f_lo").alias("near"))
+              .join(F.broadcast(begin), same, "left").select("at", "len", F.coalesce("begin", "near").alias("first")))
+    more = (cut.join(F.broadcast(begin), same).where(~F.col("at").eqNullSafe(F.col("begin")))
+            .select("at", "len", F.col("begin").alias("first")))
+    extents = materialise(border.groupBy("h", "e1", "e2", "len").agg(F.min("at").alias("at")), "suffix-border")
+    several = extents.groupBy(F.col("h").alias("h1")).count().where("count > 1").select("h1")
+    mixed = extents.join(several, F.col("h") == F.col("h1"), "left_semi").select("at", "len")
+    return copies.unionAll(more), mixed.unionAll(found.where("kind = 1").select(at, "len"))
 
 
 def _stretches(docs: DataFrame, mixed: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -264,13 +266,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = materialise(_suffixes(docs, id_col, text_col, min_words, window), "suffix-rows")
     order = [F.col("h"), F.col("e1"), F.col("e2"), F.col("key").asc_nulls_last(), F.col("digest"), F.col("lo")]
     found = materialise(rows.repartitionByRange(partitions or shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-                        .mapInArrow(_neighbours, _schema("kind int, h long, e1 long, e2 long, key {k}, digest long, lo int, "
+                        .mapInArrow(_neighbours, _schema("kind int, cut boolean, h long, e1 long, e2 long, key {k}, digest long, lo int, "
                                                          "len int, f_key {k}, f_digest long, f_lo int", rows)), "suffix-found")
-    later, mixed = _edges(found)
-    mixed = mixed.unionAll(found.where("kind = 1").select(_place("key", "digest", "lo").alias("at"), "len"))
-    copies = (found.where("kind = 0").select(_place("key", "digest", "lo").alias("at"), "len",
-                                             _place("f_key", "f_digest", "f_lo").alias("first"))
-              .unionAll(later).unionAll(_stretches(docs, mixed, id_col, text_col, min_words)))
+    copies, mixed = _compared(found)
+    copies = copies.unionAll(_stretches(docs, mixed, id_col, text_col, min_words))
     rows = copies.select("at.key", "at.digest", "at.lo", (F.col("at.lo") + F.col("len")).alias("hi"),
                          F.col("first.key").alias("f_key"), F.col("first.digest").alias("f_digest"),
                          (F.col("at.lo") - F.col("first.lo")).alias("apart")).distinct()
