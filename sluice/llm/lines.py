@@ -92,7 +92,7 @@ def _fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
 def later_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
     """(key, digest, s, first): every window of lines that occurs earlier, and the struct of its first place."""
     prints = materialise(_fingerprints(docs, id_col, text_col, min_lines), "lines-prints")
-    again = prints.groupBy(F.col("fp").alias("of")).count().where("count > 1").select("of")
+    again = materialise(prints.groupBy(F.col("fp").alias("of")).count().where("count > 1").select("of"), "lines-again")
     found = (prints.hint("merge").join(again.hint("merge"), F.col("fp") == F.col("of"), "left_semi")
              .select("key", "digest", F.explode("windows").alias("w"))
              .select("w.a", "w.b", F.struct(F.col("key").isNull().alias("none"), "key", "digest", "w.s").alias("at")))
@@ -123,7 +123,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cuts = materialise(later_windows(docs, id_col, text_col, min_lines).select("key", "digest", "s").distinct()
                        .groupBy("key", "digest").agg(F.collect_list("s").alias("cuts")), "lines-cuts")
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("of"))
-    rows = rows.join(cuts, F.col("id").eqNullSafe(F.col("key")) & (F.col("of") == F.col("digest")), "left")
+    rows = rows.hint("merge").join(cuts.hint("merge"),  # one plan at every size
+                                   F.col("id").eqNullSafe(F.col("key")) & (F.col("of") == F.col("digest")), "left")
 
     @F.arrow_udf("text string, n_lines long, n_removed long")
     def cut(texts: pa.Array, starts: pa.Array) -> pa.Array:
