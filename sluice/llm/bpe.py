@@ -26,19 +26,19 @@ import base64
 import functools
 import os
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import byte_slices, read_table, texts_as_bytes
 
-CACHE = 200_000
+CACHE = 100_000
 CHUNK = 1 << 16
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 #: Characters whose classes are the same in every Unicode version: letters, digits, white space, other signs.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _SIGNS = "¡-©«¬®-±´¶-¸»¿×÷‐-‧"
@@ -108,14 +108,14 @@ class _Encoder:
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.split = pre_tokenizers.Split(Regex(pattern), "isolated")
         self.latin = latin_pattern(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit integers: a third of what a list takes
 
     def pieces(self, text: str) -> list[str]:
         if self.latin is not None and _LATIN.fullmatch(text):
             return self.latin.findall(text)
         return [p for part in _chunks(text) for p, _ in self.split.pre_tokenize_str(part)]
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         known = self.known
         cut = [self.pieces(t) for t in texts]
         new = list({p for pieces in cut for p in pieces if p not in known})
@@ -124,9 +124,9 @@ class _Encoder:
             new = list({p for pieces in cut for p in pieces})
         for at in range(0, len(new), 1000):
             some = new[at:at + 1000]
-            known.update(zip(some, (e.ids for e in self.model.encode_batch_fast(some, add_special_tokens=False)),
-                             strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
+            known.update(zip(some, (array("i", e.ids).tobytes() for e in
+                                    self.model.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+        return [np.frombuffer(b"".join(map(known.__getitem__, pieces)), np.int32) for pieces in cut]
 
 
 def _chunks(text: str) -> Iterator[str]:
@@ -159,57 +159,84 @@ def _lists(values: list, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32), kind))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           offsets: bool = False) -> DataFrame:
-    """id, ids; with ``offsets`` also starts and ends, the characters that each token covers."""
-    model, table = load_vocabulary(ranks_path)
-    lengths = np.array([len(t) for t in table], np.int64) if offsets else None
+def _encoding(model: str, pattern: str, lengths: np.ndarray | None = None):
+    """(key, text) batches -> key, ids; with the tokens' byte lengths also starts, ends."""
+    names = ["key", "ids"] if lengths is None else ["key", "ids", "starts", "ends"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model, pattern)
         for whole in batches:
             for batch in byte_slices(whole, 1, SLICE_BYTES):
                 raw = texts_as_bytes(batch.column(1))
-                ids = [np.array(x, np.int32) for x in encoder.ids([t.decode("utf-8", "replace") for t in raw])]
+                ids = encoder.ids([t.decode("utf-8", "replace") for t in raw])
                 out = [batch.column(0), _lists(ids, pa.int32())]
-                if offsets:
+                if lengths is not None:
                     spans = [token_chars(t.decode("utf-8", "replace").encode(), lengths[x])
                              if len(x) else (x, x) for t, x in zip(raw, ids, strict=True)]
                     out += [_lists([s[k] for s in spans], pa.int32()) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(out, names=names)
+        encoder.known.clear()  # an idle worker keeps no pieces
+    return run
 
-    names = ["key", "ids", "starts", "ends"] if offsets else ["key", "ids"]
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
-    schema = f"key {kind}, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "")
-    return rows.mapInArrow(run, schema).withColumnRenamed("key", id_col)
-
-
-def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """id, ids, bytes (exactly what was encoded) and text (with U+FFFD for what is no whole character)."""
-    table = np.array(load_vocabulary(ranks_path)[1], dtype=object)
 
+def _decoding(table: tuple[bytes, ...]):
+    """(key, ids) batches -> key, ids, bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = np.array(table, dtype=object)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
                 lists = batch.column(1)
                 flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-                raw = [b"".join(table[flat[a:b]].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                raw = [b"".join(tokens[flat[a:b]].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(raw, pa.binary())],
                                                  names=["key", "ids", "bytes"])
+    return run
+
+
+def _keyed(rows: DataFrame, id_col: str, value: Column, name: str) -> tuple[DataFrame, str]:
+    rows = rows.select(F.col(id_col).alias("key"), value.alias(name))
+    return rows, rows.schema["key"].dataType.simpleString()
+
+
+def _with_text(decoded: DataFrame, id_col: str, ids_col: str = "ids") -> DataFrame:
+    return decoded.select(F.col("key").alias(id_col), F.col("ids").alias(ids_col), "bytes",
+                          F.expr("make_valid_utf8(cast(bytes as string))").alias("text"))
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           offsets: bool = False) -> DataFrame:
+    """id, ids; with ``offsets`` also starts and ends, the characters that each token covers."""
+    model, table = load_vocabulary(ranks_path)
+    lengths = np.array([len(t) for t in table], np.int64) if offsets else None
+    rows, kind = _keyed(docs, id_col, F.col(text_col), "text")
+    schema = f"key {kind}, ids array<int>" + (", starts array<int>, ends array<int>" if offsets else "")
+    return rows.mapInArrow(_encoding(model, pattern, lengths), schema).withColumnRenamed("key", id_col)
+
+
+def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """id, ids, bytes (exactly what was encoded) and text (with U+FFFD for what is no whole character)."""
+    rows, kind = _keyed(encoded, id_col, F.coalesce(F.col(ids_col), F.array().cast("array<int>")), "ids")
+    return _with_text(rows.mapInArrow(_decoding(load_vocabulary(ranks_path)[1]),
+                                      f"key {kind}, ids array<int>, bytes binary"), id_col, ids_col)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode(encode(docs))`` gives, in one Python worker for each task instead of two."""
+    model, table = load_vocabulary(ranks_path)
+    encoding, decoding = _encoding(model, pattern), _decoding(table)
+    rows, kind = _keyed(docs, id_col, F.col(text_col), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoding(encoding(batches))
 
-    rows = encoded.select(F.col(id_col).alias("key"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
-    kind = rows.schema["key"].dataType.simpleString()
-    return (rows.mapInArrow(run, f"key {kind}, ids array<int>, bytes binary")
-            .withColumn("text", F.expr("make_valid_utf8(cast(bytes as string))"))
-            .select(F.col("key").alias(id_col), F.col("ids").alias(ids_col), "bytes", "text"))
+    return _with_text(rows.mapInArrow(run, f"key {kind}, ids array<int>, bytes binary"), id_col)
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids_sha256 (of the decimal ids, joined by blanks), decoded_sha256 (of the decoded bytes)."""
-    return decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path, id_col).select(
+    return round_trip(docs, ranks_path, pattern, id_col, text_col).select(
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))

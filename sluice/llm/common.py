@@ -75,6 +75,7 @@ def keep_rows(docs: DataFrame, id_col: str, digest: Column, kept: DataFrame) ->
 def byte_slices(batch, column: int, limit: int = 4 << 20):
     """Cut an Arrow batch into slices of about ``limit`` bytes of the given text column (a row is never cut)."""
     import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -84,6 +85,7 @@ def byte_slices(batch, column: int, limit: int = 4 << 20):
         to = max(to, at + 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # else a worker holds on to the largest batch it has seen
 
 
 def texts_as_bytes(column) -> list[bytes]:
