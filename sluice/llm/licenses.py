@@ -9,8 +9,14 @@ share of the template's words that are aligned is its coverage.
 
 Stretches: every window of ``reach`` times the template's length that begins with
 one of its words and holds enough of them is aligned.  Of overlapping findings
-the one with most aligned words counts (ties: the first).  A quick test rules out most documents without
-loss: the template's longest words, together more than a share of
+the one with most aligned words counts (ties: the first).
+
+Coverage alone does not tell licenses apart whose notices differ in one word.
+So a finding also needs each word that decides (``DECIDING``, and numbers of
+versions) in its template aligned at least once, and no other such word may
+stand between the aligned words or carry the version on behind them.
+
+A quick test rules out most documents without loss: the template's longest words, together more than a share of
 ``1 - min_coverage`` of it, cannot all be missing.
 
 Defined results: words are runs of letters and digits, upper and lower case
@@ -35,6 +41,17 @@ MIN_COVERAGE = 0.85
 REACH = 1.25
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
+#: Words that tell one license from another (names, versions, terms, clauses).
+DECIDING = frozenset((
+    b"gnu apache isc mozilla creative commons cc cc0 affero agpl lesser lgpl nc sa nd noncommercial sharealike "
+    b"noderivatives noderivs endorse acknowledgement acknowledgment appear supporting unlicense").split())
+#: Those that decide only before another word.
+DECIDING_BEFORE = {b"mit": {b"license", b"licence"}, b"library": {b"general"}, b"non": {b"commercial"}, b"share": {b"alike"},
+                   b"no": {b"derivatives", b"derivs"}}
+#: Abbreviations beside the name itself.
+SAME = {b"lgpl": b"lesser", b"agpl": b"affero"}
+_LEADS = frozenset(b"version v by nc sa nd gpl lgpl agpl mpl apache attribution noncommercial sharealike noderivatives noderivs".split())
+
 #: Notices as their licenses give them, and the full text of the short ones.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -71,6 +88,26 @@ def words_of(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
+def deciding(low: bytes, spans: list[tuple[int, int]], start: int = 0, end: int | None = None) -> dict[int, bytes]:
+    """Places of the words in ``start`` to ``end`` that decide, and what they say.
+
+    Numbers count behind a word like "version", and behind such a number and a point; a zero there says nothing.
+    """
+    out, chain = {}, -1
+    word = lambda i: low[slice(*spans[i])] if 0 <= i < len(spans) else b""
+    for i in range(start, len(spans) if end is None else end):
+        w = word(i)
+        if w.isdigit() or (w[:1] == b"v" and w[1:].isdigit()):
+            more = chain == i - 1 and low[spans[i - 1][1]:spans[i][0]] == b"."
+            if more or w[:1] == b"v" or word(i - 1) in _LEADS:
+                chain = i
+                if not more or w.strip(b"0"):
+                    out[i] = w.removeprefix(b"v")
+        elif w in DECIDING or word(i + 1) in DECIDING_BEFORE.get(w, ()):
+            out[i] = SAME.get(w, w)
+    return out
+
+
 def increasing(values: list[int]) -> list[int]:
     """Places of a longest increasing subsequence, by patience sorting."""
     tops: list[int] = []
@@ -114,10 +151,15 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """Templates ready for scanning."""
+    """Templates ready for scanning; ``strict`` asks for the deciding words beside the coverage."""
 
-    def __init__(self, templates: dict[str, str], min_coverage: float = MIN_COVERAGE, reach: float = REACH) -> None:
+    def __init__(self, templates: dict[str, str], min_coverage: float = MIN_COVERAGE, reach: float = REACH,
+                 strict: bool = False) -> None:
         self.min_coverage, self.reach = min_coverage, reach
+        self.decisive = None
+        if strict:
+            lows = {name: text.encode().lower() for name, text in templates.items()}
+            self.decisive = {name: deciding(low, [m.span() for m in _WORD.finditer(low)]) for name, low in lows.items()}
         self.templates = [(name, words_of(text.encode())) for name, text in sorted(templates.items())]
         self.templates = [(name, words, Counter(words)) for name, words in self.templates if words]
         needed: set[bytes] = set()
@@ -145,7 +187,7 @@ class Scanner:
         for i, w in enumerate(text):
             if w in wanted:
                 places[w].append(i)
-        out = []
+        out, spans = [], None
         for (name, words, counts), keys in zip(self.templates, self.keys, strict=True):
             if keys.isdisjoint(places):
                 continue
@@ -155,7 +197,11 @@ class Scanner:
             found = []
             for a, b in self._windows(places, counts, need, int(len(words) * self.reach) + 2):
                 pairs = align(text[a:b], words)
-                if len(pairs) >= need:
+                if len(pairs) < need:
+                    continue
+                if self.decisive is not None and spans is None:
+                    spans = [m.span() for m in _WORD.finditer(low)]
+                if self.decisive is None or self._decided(low, spans, [(a + i, j) for i, j in pairs], self.decisive[name]):
                     found.append((-len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1))
             taken: list[tuple[int, int]] = []
             for n, a, b in sorted(set(found)):
@@ -165,6 +211,19 @@ class Scanner:
                     out.append((name, -n / len(words), a, b))
         return out
 
+    @staticmethod
+    def _decided(low: bytes, spans: list[tuple[int, int]], pairs: list[tuple[int, int]], wanted: dict[int, bytes]) -> bool:
+        """Whether all deciding words of the template are aligned, and no others stand in between or behind."""
+        if {w for _, j in pairs if (w := wanted.get(j)) is not None} != set(wanted.values()):
+            return False
+        last = pairs[-1][0]
+        aligned, end = {i for i, _ in pairs}, last + 1
+        # "version 2" is not in "version 2.1"
+        while end < len(spans) and low[spans[end - 1][1]:spans[end][0]] == b"." and low[slice(*spans[end])].isdigit():
+            end += 1
+        own = set(wanted.values())
+        return all(i in aligned or (i < last and w in own) for i, w in deciding(low, spans, pairs[0][0], end).items())
+
     @staticmethod
     def _windows(places: dict, counts: Counter, need: float, width: int) -> list[tuple[int, int]]:
         """Stretches of ``width`` words that begin with one of the template's words and hold enough of them."""
@@ -187,7 +246,7 @@ class Scanner:
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id",
                   text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per finding: id, license, coverage, start_word, end_word."""
-    scanner = Scanner(TEMPLATES if templates is None else templates, min_coverage)
+    scanner = Scanner(TEMPLATES if templates is None else templates, min_coverage, strict=True)
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
 
     def run(batches):

@@ -88,3 +88,25 @@ def test_planted_notices_are_found(spark):
     planted = {(i, k) for i, t in docs.items() for k, v in notices.items() if v.lower() in t.lower()}
     assert len(planted) > 20 and planted <= got
     assert all("licens" in docs[i].lower() for i, _ in got)
+
+
+def test_deciding_words_tell_licenses_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES, strict=True)
+    found = lambda text: {x[0] for x in scanner.scan(text.encode())}
+    gpl, header = licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["GPL-3.0 header"]
+    for text, wrong in [
+            ("Licensed under CC BY 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY-SA 4.0.", "CC-BY-NC-4.0"),
+            ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY-NC 3.0.", "CC-BY-NC-4.0"),
+            (gpl.replace("3", "2"), "GPL-3.0"), (gpl.replace("GNU", "GNU Lesser"), "GPL-3.0"),
+            (gpl.replace("GNU", "GNU Affero"), "GPL-3.0"), (gpl.replace("3.", "3.1."), "GPL-3.0"),
+            (header.replace("version 3", "version 2"), "GPL-3.0 header"),
+            (header.replace("GNU", "GNU Lesser"), "GPL-3.0 header"),
+            ("Licensed under the Academic License, Version 2.0.", "Apache-2.0"),
+            ("Licensed under the Apache License, Version 1.1.", "Apache-2.0")]:
+        assert wrong not in found(text), text
+    for name, text in licenses.TEMPLATES.items():
+        assert name in found("see below 2. " + text + " 2 more"), name
+    assert "Apache-2.0" in found("Licensed under the Apache License, Version 2")
+    assert "GPL-3.0" in found(gpl.replace("License,", "License (GPL),"))
+    assert "GPL-3.0 header" in found(header.replace("program", "library"))
+    assert "CC-BY-NC-4.0" in found("Licensed under CC BY-SA 4.0. Licensed under CC BY-NC 4.0.")
