@@ -21,7 +21,8 @@ A quick test rules out most documents without loss: the template's longest words
 
 Defined results: words are runs of letters and digits, upper and lower case
 alike; null and empty texts have no findings; a license that occurs several
-times gives a row each; rows that repeat an id are scanned each; other columns
+times gives a row each, overlapping findings of templates of one license (the name up to a blank) a single one;
+SPDX tag lines give a row per identifier, as written and with coverage 1; rows that repeat an id are scanned each; other columns
 are not read; an empty table gives an empty result.
 """
 
@@ -52,7 +53,44 @@ DECIDING_BEFORE = {b"mit": {b"license", b"licence"}, b"library": {b"general"}, b
 SAME = {b"lgpl": b"lesser", b"agpl": b"affero"}
 _LEADS = frozenset(b"version v by nc sa nd gpl lgpl agpl mpl apache attribution noncommercial sharealike noderivatives noderivs".split())
 
-#: Notices as their licenses give them, and the full text of the short ones.
+_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE ")
+_ISC = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+    "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE.")
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. ")
+_BSD_CLAUSE = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. ")
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+def _gnu_header(what: str, kind: str, version: str) -> str:
+    return (f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind} "
+            f"License as published by the Free Software Foundation; either version {version} of the License, or (at your "
+            f"option) any later version. This {what} is distributed in the hope that it will be useful, but WITHOUT ANY "
+            "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+            f"GNU {kind} License for more details.")
+
+
+#: Notices as their licenses give them, and the texts of the short ones.
+#: What follows a name ("text", "header") tells the templates of one license apart.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -81,7 +119,55 @@ TEMPLATES = {
         "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
         "conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software."),
+    "MIT full text": "",
+    "ISC text": "",
+    "0BSD text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                 "hereby granted. " + _ISC,
+    "BSD-2-Clause text": _BSD + _BSD_WARRANTY,
+    "BSD-3-Clause text": _BSD + _BSD_CLAUSE + _BSD_WARRANTY,
+    "Unlicense text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+        "author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+        "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. "
+        "We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+        "this software under copyright law. " + _WARRANTY + "AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+        "USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "GPL-2.0 header": _gnu_header("program", "General Public", "2"),
+    "LGPL-2.1 header": _gnu_header("library", "Lesser General Public", "2.1"),
+    "LGPL-3.0 header": _gnu_header("library", "Lesser General Public", "3"),
+    "AGPL-3.0 header": _gnu_header("program", "Affero General Public", "3"),
+    "CC0-1.0": "This work is dedicated to the public domain under the Creative Commons CC0 1.0 Universal Public Domain "
+               "Dedication.",
 }
+TEMPLATES["MIT full text"] = (
+    TEMPLATES["MIT text"] + " " + _WARRANTY + "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE "
+    "OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+TEMPLATES["ISC text"] = TEMPLATES["ISC"] + " " + _ISC
+for _kind, _id, _versions in (("General", "GPL", ("2", "3")), ("Lesser General", "LGPL", ("2.1", "3")),
+                              ("Affero General", "AGPL", ("3",))):
+    for _v in _versions:
+        TEMPLATES.setdefault(f"{_id}-{_v if '.' in _v else _v + '.0'}",
+                             f"This work is licensed under the GNU {_kind} Public License, version {_v}.")
+for _id, _terms in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                    ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _v, _scope in (("4.0", "International"), ("3.0", "Unported")):
+        TEMPLATES.setdefault(f"CC-{_id}-{_v}", f"Licensed under CC {_id} {_v}.")
+        if _v == "3.0":
+            _terms = _terms.replace("NoDerivatives", "NoDerivs")
+        TEMPLATES[f"CC-{_id}-{_v} notice"] = (
+            f"This work is licensed under a Creative Commons {_terms} {_v} {_scope} License.")
+#: A tag line names any license by its identifier, whether or not there is a template.
+_SPDX = re.compile(rb"spdx-license-identifier:[ \t]*([a-z0-9.+() \t-]+)")
+_SPDX_ID = re.compile(rb"[a-z0-9][a-z0-9.+-]*")
+_SPDX_MORE = re.compile(rb"(?:\s*\))*\s+(?:and|or|with)\b[\s(]*")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -150,6 +236,27 @@ def align(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def spdx_lines(raw: bytes) -> list[tuple[str, float, int, int]]:
+    """A finding per license identifier of every SPDX tag line, in the form of ``Scanner.scan``."""
+    low, out, first, seen = raw.lower(), [], 0, 0
+    for line in _SPDX.finditer(low):
+        at = line.start(1)
+        while at < line.end(1) and low[at] in b" \t(":
+            at += 1
+        while m := _SPDX_ID.match(low, at, line.end(1)):
+            start, end = m.start(), m.start() + len(m.group().rstrip(b".-"))
+            first, seen = first + len(_WORD.findall(low, seen, start)), start
+            out.append((raw[start:end].decode("ascii"), 1.0, first, first + len(_WORD.findall(low, start, end))))
+            more = _SPDX_MORE.match(low, m.end(), line.end(1))
+            if more and more.group().split()[-1].strip(b"()") == b"with":  # an exception follows, not a license
+                skip = _SPDX_ID.match(low, more.end(), line.end(1))
+                more = skip and _SPDX_MORE.match(low, skip.end(), line.end(1))
+            if not more:
+                break
+            at = more.end()
+    return out
+
+
 class Scanner:
     """Templates ready for scanning; ``strict`` asks for the deciding words beside the coverage."""
 
@@ -162,6 +269,7 @@ class Scanner:
             self.decisive = {name: deciding(low, [m.span() for m in _WORD.finditer(low)]) for name, low in lows.items()}
         self.templates = [(name, words_of(text.encode())) for name, text in sorted(templates.items())]
         self.templates = [(name, words, Counter(words)) for name, words in self.templates if words]
+        self.lengths = {name: len(words) for name, words, _ in self.templates}
         needed: set[bytes] = set()
         self.keys = []
         for _, words, counts in self.templates:
@@ -176,6 +284,16 @@ class Scanner:
             needed |= keys
         self.quick = re.compile(b"|".join(re.escape(w) for w in sorted(needed, key=lambda w: (-len(w), w))) or b"(?!)")
 
+    def findings(self, raw: bytes) -> list[tuple[str, float, int, int]]:
+        """As ``scan``, with one finding for overlapping ones of a license, and the identifiers of SPDX lines."""
+        out, taken = [], defaultdict(list)
+        for name, coverage, a, b in sorted(self.scan(raw), key=lambda x: (-x[1] * self.lengths[x[0]], x)):
+            family = taken[name.split(" ")[0]]
+            if all(b <= x or y <= a for x, y in family):
+                family.append((a, b))
+                out.append((name, coverage, a, b))
+        return sorted(out + spdx_lines(raw))
+
     def scan(self, raw: bytes) -> list[tuple[str, float, int, int]]:
         """(license, coverage, first word, end word) of every finding."""
         low = raw.lower()
@@ -252,7 +370,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     def run(batches):
         for whole in batches:
             for batch in byte_slices(whole, 1):
-                found = [(i, *x) for i, t in enumerate(texts_as_bytes(batch.column(1))) for x in scanner.scan(t)]
+                found = [(i, *x) for i, t in enumerate(texts_as_bytes(batch.column(1))) for x in scanner.findings(t)]
                 of, name, coverage, start, end = zip(*found, strict=True) if found else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(of, pa.int64())), pa.array(name, pa.string()),

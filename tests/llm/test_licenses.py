@@ -110,3 +110,23 @@ def test_deciding_words_tell_licenses_apart():
     assert "GPL-3.0" in found(gpl.replace("License,", "License (GPL),"))
     assert "GPL-3.0 header" in found(header.replace("program", "library"))
     assert "CC-BY-NC-4.0" in found("Licensed under CC BY-SA 4.0. Licensed under CC BY-NC 4.0.")
+
+
+def test_usual_licenses_have_a_row(spark):
+    scanner = licenses.Scanner(licenses.TEMPLATES, strict=True)
+    assert licenses.TEMPLATES["MIT full text"].endswith("OTHER DEALINGS IN THE SOFTWARE.")
+    assert licenses.TEMPLATES["ISC text"].endswith("PERFORMANCE OF THIS SOFTWARE.")
+    for name, text in licenses.TEMPLATES.items():
+        assert [x[0] for x in scanner.findings(("on 2. " + text + " 2 more").encode())] == [name]
+    lines = {"Licensed under CC BY 4.0.": ["CC-BY-4.0"], "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0"],
+             licenses.TEMPLATES["GPL-3.0"].replace("3", "2"): ["GPL-2.0"],
+             licenses.TEMPLATES["GPL-3.0"].replace("GNU", "GNU Lesser"): ["LGPL-3.0"],
+             "SPDX-License-Identifier: BSD-3-Clause\nor more": ["BSD-3-Clause"],
+             "// SPDX-License-Identifier: (MIT OR Zlib) AND GPL-2.0-only WITH Classpath-exception-2.0 and X11":
+                 ["GPL-2.0-only", "MIT", "X11", "Zlib"],
+             "SPDX-License-Identifier:": [], "see SPDX": []}
+    df = spark.createDataFrame([(i, t, "x", 0.0, 1) for i, t in enumerate(lines)], SCHEMA)
+    got = {(r["doc_id"], r["license"]) for r in licenses.scan_licenses(df).collect()}
+    assert got == {(i, k) for i, v in enumerate(lines.values()) for k in v}
+    raw = b"one two SPDX-License-Identifier: MIT\nthree spdx-license-identifier: ISC"
+    assert licenses.spdx_lines(raw) == [("MIT", 1.0, 5, 6), ("ISC", 1.0, 10, 11)]
