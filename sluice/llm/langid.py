@@ -7,9 +7,10 @@ loss; each bit counts for a language by how often it was right on that
 language's sample rows when those rows were left out (loss-weighted decoding).  A
 text whose two best languages are nearly level is flagged as ambiguous.
 
-Learning reads the sample only: ``MAX_ROWS`` rows at most in the mean, spread
-evenly over at most ``MAX_LANGUAGES`` languages (the most frequent ones), drawn
-by a hash.  Their n-gram counts are made on the executors; the ridge
+Learning reads the sample only: ``MAX_ROWS`` rows in the mean, spread evenly
+over all languages and drawn by a hash, but ``EACH`` in the mean and one at least
+of every language, so with more than ``MAX_ROWS / EACH`` languages it grows with
+their number.  Their n-gram counts are made on the executors; the ridge
 regressions of all bits share one kernel matrix of that size on the driver.
 Prediction is one pass over all whole texts.
 
@@ -36,7 +37,7 @@ from sluice.llm.common import read_table
 from sluice.llm.mixing import draw
 
 MAX_ROWS = 1200
-MAX_LANGUAGES = 200
+EACH = 6
 BUCKETS = 1 << 12          # for each of bigrams and trigrams
 RIDGE = 0.05
 AMBIGUOUS = 0.03           # gap between the two least losses, as a share of the second
@@ -46,6 +47,11 @@ _ASCII_LETTER = re.compile(rb"[a-z]")
 _FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
 
+def has_letter(raw: bytes | None) -> bool:
+    return bool(raw) and (bool(_ASCII_LETTER.search(raw.translate(_FOLD)))
+                          or any(c.isalpha() for c in raw.decode("utf-8", "replace")))
+
+
 def features(raw: bytes) -> np.ndarray | None:
     """Unit vector of the square roots of n-gram counts; None for a text without a letter."""
     if not raw:
@@ -117,7 +123,8 @@ def fit(labels: list[str], x: np.ndarray) -> Model:
     inverse = np.linalg.inv((x @ x.T).astype(np.float64) + RIDGE * np.eye(len(of)))
     dual = inverse @ y
     left_out = y - dual / np.diag(inverse)[:, None]
-    right = np.stack([((left_out * y)[of == k] > 0).mean(axis=0) for k in range(len(languages))])
+    hit = left_out * y > 0
+    right = np.stack([hit[of == k].mean(axis=0) for k in range(len(languages))])
     weight = np.maximum(right, 1e-3)
     return Model(languages, code, weight / weight.sum(axis=1, keepdims=True), (x.T @ dual).astype(np.float32))
 
@@ -130,12 +137,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit the model to a bounded sample of the labelled rows that are not held out."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
-                      & ~held_out(F.col("id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+                      & ~held_out(F.col("id"))).where(F.col("text").rlike(r"\p{L}"))
+    drawn = draw("langid", F.col("id"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(drawn).alias("least")).collect()
     if not counts:
         return fit([], np.zeros((0, 2 * BUCKETS), np.float32))
-    each = MAX_ROWS / len(counts)
-    share = F.create_map(*itertools.chain(*((F.lit(r["lang"]), F.lit(each / r["count"])) for r in counts)))
+    each = max(MAX_ROWS / len(counts), EACH)
+    share = F.create_map(*itertools.chain(*((F.lit(r["lang"]), F.lit(max(each / r["n"], r["least"]))) for r in counts)))
 
     @F.arrow_udf("binary")
     def sparse(texts: pa.Array) -> pa.Array:
@@ -146,8 +154,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             out.append(None if at is None else at.astype("<u4").tobytes() + x[at].astype("<f4").tobytes())
         return pa.array(out, pa.binary())
 
-    drawn = draw("langid", F.col("id"))
-    sample = (rows.where(drawn < F.element_at(share, F.col("lang")))
+    sample = (rows.where(drawn <= F.element_at(share, F.col("lang")))
               .select("lang", sparse("text").alias("x"), F.xxhash64("id", "text").alias("h"))
               .where("x is not null").toArrow().sort_by([("h", "ascending"), ("lang", "ascending")]))
     x = np.zeros((sample.num_rows, 2 * BUCKETS), np.float32)
@@ -177,8 +184,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", as_col: str
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", drop_ambiguous: bool = False) -> DataFrame:
     """The rows of ``docs`` that have a language: those without a letter go, and on demand ambiguous ones.
 
-    Ambiguous texts are mostly clean ones of a few words, so they stay by default.
+    Ambiguous texts are mostly clean ones of a few words, so they stay by default.  Where no language could be
+    learned, all texts with a letter stay: their language is unknown, not missing.
     """
+    if not model.languages:
+        @F.arrow_udf("boolean")
+        def lettered(texts: pa.Array) -> pa.Array:
+            return pa.array([has_letter(t) for t in texts.cast(pa.binary()).to_pylist()], pa.bool_())
+        return docs.where(lettered(F.col(text_col)))
     rows = docs.select(F.struct("*").alias("__row"), predictor(model)(F.col(text_col)).alias("__found"))
     keep = F.col("__found.lang") != UNKNOWN
     return rows.where(keep & ~F.col("__found.ambiguous") if drop_ambiguous else keep).select("__row.*")

@@ -66,3 +66,25 @@ def test_no_rows_and_one_language(spark):
     assert {tuple(r["language"])[:2] for r in langid.identify(one, langid.learn(one)).collect()} == {("aa", 1.0)}
     unlabelled = spark.createDataFrame([(1, "text", None, None, None)], SCHEMA)
     assert langid.identify(unlabelled, langid.learn(unlabelled)).first()["language"]["lang"] == "und"
+
+
+def test_texts_stay_where_no_language_could_be_learned(spark):
+    texts = ["plain words", "12 34 !", None, "", "漢字", "€ ¥", "Ünder"]
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 3 == 1][:len(texts)]
+    for lang in (None, "aa"):  # no labels; labels in the held-out part only
+        docs = spark.createDataFrame([(i, t, lang, None, None) for i, t in zip(held, texts, strict=True)], SCHEMA)
+        model = langid.learn(docs)
+        assert model.languages == []
+        kept = langid.accepted(docs, model)
+        assert kept.columns == docs.columns
+        assert {r["text"] for r in kept.collect()} == {"plain words", "漢字", "Ünder"}
+        assert langid.accepted(docs, model, drop_ambiguous=True).count() == 3
+
+
+def test_every_language_is_learned(spark):
+    word = lambda k: "".join(chr(97 + k // 26 ** j % 26) * 2 for j in range(3))
+    rows = [(i, f"{word(37 * (i % 230))} " * 5, f"l{i % 230:03d}", None, None) for i in range(230 * 40)]
+    docs = spark.createDataFrame(rows + [(10 ** 6 + i, "12 3", "none", None, None) for i in range(5)], SCHEMA)
+    model = langid.learn(docs)
+    assert model.languages == [f"l{k:03d}" for k in range(230)]
+    assert sum(model.predict(t.encode())[0] == lang for _, t, lang, *_ in rows[:230]) > 0.95 * 230
