@@ -1,16 +1,20 @@
 """Secret scans: candidates, features and a random forest, with DataFrame functions only.
 
 A candidate is a run of ``MIN_LENGTH`` or more letters, digits and ``+/_-`` in a
-word.  Its features: length, shares of character classes, transitions between
+word, or a value of any length and any characters but blanks that a name like
+"password" stands beside: assigned to it, or, if it has letters and digits, right
+after it.  Its features: length, shares of character classes, transitions between
 classes, spread of its characters, share covered by a dictionary, signs of a
 path around it, and the words before it (an assignment, a quote, a key word).
 A random forest trained on labelled findings tells secrets from false
 positives (identifiers, card numbers, long words, file names).
 
 Labelled findings are a parameter: (id, word_index, part, label).  Where a
-corpus brings none, :func:`known_formats` labels candidates by formats that are
-certain: provider key ids, and values assigned to a name that says what they
-are.  Training takes ``MAX_FINDINGS`` findings at most in the mean, half of them
+corpus brings none, :func:`known_formats` labels those whose status is certain:
+keys and tokens in the formats of providers and values assigned to a name that
+says what they are, and on the other side paths, values of other names, plain
+words and numbers, and placeholders.  All others are left out of the training
+and scored by the forest; provider formats are always reported then.  Training takes ``MAX_FINDINGS`` findings at most in the mean, half of them
 of each label, drawn by a hash; scanning covers all whole texts.
 
 Defined results: null and empty texts have no candidates; without a labelled
@@ -33,6 +37,17 @@ TREES, DEPTH = 30, 6
 THRESHOLD = 0.5
 _RUN = rf"[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}"
 _KEYS = r"(?i)(token|secret|passw|passphrase|pwd|api.?key|access.?key|auth|credential|bearer)"
+_NAME = (r"(?i:token|secret(?:[_\-]?access)?(?:[_\-]?key)?|passwor[dt]|passwd|passphrase|\bpass|pwd|"
+         r"(?:api|access|auth|private|secret)[_\-]?key|credentials?|bearer)")
+_ASSIGN = r"[\"'\]]*\s*(?::=|=>|[:=])\s*"
+# A quoted value goes to its quote, another to a separator before the next name or at the word's end.
+_VALUE = r"""(?:"([^"]+)|'([^']+)|((?:[^"'&;,]|[&;,](?!\w*[:=]|$))+))"""
+#: Keys and tokens as providers write them, where a candidate is the whole of it or its first run.
+FORMATS = (
+    r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}|"
+    r"[srp]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abeoprs]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{35}|npm_[A-Za-z0-9]{36}|"
+    r"pypi-[A-Za-z0-9_\-]{32,}|hf_[A-Za-z0-9]{30,}|dop_v1_[0-9a-f]{64}|sk-[A-Za-z0-9_\-]{32,}|shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32})$")
+_PLACEHOLDER = r"^(?:\$.*|[<{%\[].*[>}%\]]?|[*.xX#\-_]+)$"
 #: Frequent words and word parts of English, French, German and Spanish texts and of code.
 DICTIONARY = (
     "the and ing tion ment que ent ver ung lich keit heit sch ein der die das und los las por con ado ción mente "
@@ -41,25 +56,56 @@ DICTIONARY = (
     "http https www com org net html json image video document version license system service server client").split()
 
 
+def _values() -> Column:
+    """The values of a word that a name like "password" stands beside, as an array."""
+    word, one, two = F.col("word"), F.col("before1"), F.col("before2")
+    last = rf"{_NAME}[\"'\]]*$"
+    link = one.rlike(r"^(?::=|=>|[:=])$") & two.rlike(last)
+    after = one.rlike(_NAME + _ASSIGN + "$") | link
+    value = lambda x, lead: F.concat(*[F.regexp_extract(x, lead + _VALUE, k) for k in (1, 2, 3)])
+    inside = F.transform(F.regexp_extract_all("word", F.lit(_NAME + _ASSIGN + _VALUE), F.lit(0)),
+                         lambda x: value(x, "^" + _NAME + _ASSIGN))
+    beside = one.rlike(last) | (F.lower(one).isin("is", "was", "ist", "est", "es") & two.rlike(last))
+    mixed = word.rlike("[0-9]") & word.rlike("[A-Za-z]") & ~word.rlike(_NAME)
+    found = F.concat(inside, F.array(
+        F.when(after, value(word, "^")).when(one.rlike(last) & word.rlike(r"^(?::=|=>|[:=])."), value(word, "^(?::=|=>|[:=])"))
+        .when(beside & mixed, value(word, r"^[(\[]?"))))
+    found = F.transform(found, lambda x: F.regexp_replace(x, r"[.,;:)\]}]+$", ""))
+    # Runs are candidates already.
+    return F.array_distinct(F.filter(found, lambda x: (x != "") & ~x.rlike(f"^{_RUN}=*$") & ~x.rlike("^[:=>]+$")))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per candidate: key, word_index, part, core, prefix, suffix, before (up to three words), after."""
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).where(F.col("text").rlike(_RUN))
-    rows = rows.select("key", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
+    """One row per candidate: key, word_index, part, core, prefix, suffix, before (up to three words), after.
+
+    ``part`` counts the runs of a word from 0, and its values beside a name from -1 downwards.
+    """
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("named", F.col("text").rlike(_NAME)).where(F.col("named") | F.col("text").rlike(_RUN))
+    rows = rows.select("key", "named", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
     word = lambda i: F.get("words", i)
     hits = F.filter(F.sequence(F.lit(0), F.size("words") - 1),
-                    lambda i: (F.length(word(i)) >= MIN_LENGTH) & word(i).rlike(_RUN))
-    rows = rows.select("key", "words", F.explode(hits).alias("at"))
+                    lambda i: ((F.length(word(i)) >= MIN_LENGTH) & word(i).rlike(_RUN))
+                    | (F.col("named") & (F.coalesce(word(i).rlike(_NAME) | word(i - 1).rlike(_NAME), word(i).rlike(_NAME))
+                                         | F.coalesce(word(i - 2).rlike(_NAME), F.lit(False)))))
+    rows = rows.select("key", "named", "words", F.explode(hits).alias("at"))
     at = F.col("at")
-    before = F.concat_ws(" ", *[F.coalesce(F.when(at >= k, word(at - k)), F.lit("")) for k in (3, 2, 1)])
-    rows = rows.select("key", at.alias("word_index"), word(at).alias("word"), before.alias("before"),
-                       F.coalesce(word(at + 1), F.lit("")).alias("after"))
-    rows = rows.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(_RUN), F.lit(0))).alias("part", "core"))
-    return rows.select("key", "word_index", "part", "core", F.expr("left(word, instr(word, core) - 1)").alias("prefix"),
-                       F.expr("substring(word, instr(word, core) + length(core))").alias("suffix"), "before", "after")
+    near = [F.coalesce(F.when(at >= k, word(at - k)), F.lit("")) for k in (3, 2, 1)]
+    rows = rows.select("key", "named", at.alias("word_index"), word(at).alias("word"), F.concat_ws(" ", *near).alias("before"),
+                       near[2].alias("before1"), near[1].alias("before2"), F.coalesce(word(at + 1), F.lit("")).alias("after"))
+    runs = F.transform(F.regexp_extract_all("word", F.lit(_RUN), F.lit(0)),
+                       lambda x, i: F.struct(i.alias("part"), x.alias("core"), (F.instr("word", x) - 1).alias("left")))
+    values = F.transform(_values(), lambda x, i: F.struct(
+        (-1 - i).alias("part"), x.alias("core"), F.greatest(*[F.instr("word", F.concat(F.lit(c), x)) for c in "=:>\"'"]).alias("left")))
+    none = F.array().cast("array<struct<part:int,core:string,left:int>>")
+    rows = rows.withColumn("found", F.explode(F.concat(runs, F.when(F.col("named"), values).otherwise(none))))
+    rows = rows.select("key", "word_index", "found.*", "word", "before", "after")
+    return rows.select("key", "word_index", "part", "core", F.expr("left(word, `left`)").alias("prefix"),
+                       F.expr("substring(word, `left` + 1 + length(core))").alias("suffix"), "before", "after")
 
 
 FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "vowels", "changes", "spread", "known", "path",
-            "assigned", "quoted", "key_near", "key_before"]
+            "assigned", "quoted", "key_near", "key_before", "format"]
 
 
 def with_features(rows: DataFrame) -> DataFrame:
@@ -74,16 +120,30 @@ def with_features(rows: DataFrame) -> DataFrame:
         F.size(F.array_distinct(F.split(core, ""))) / F.least(n, F.lit(64.0)), 1 - F.length(known) / n,
         flag(core.rlike("/.*/") | F.col("prefix").rlike(r"[/\\]|^\w+:$") | F.col("suffix").rlike(r"^\.[A-Za-z0-9]{1,5}\b")),
         flag(left.rlike(r"[:=]\s*[\"']?$")), flag(F.col("prefix").rlike("[\"']$")),
-        flag(F.col("prefix").rlike(_KEYS)), flag(F.col("before").rlike(_KEYS))], strict=True)])
+        flag(F.col("prefix").rlike(_KEYS)), flag(F.col("before").rlike(_KEYS)), flag(provider_format())], strict=True)])
+
+
+def provider_format() -> Column:
+    """Whether a candidate has the format of a provider's key, or is a part of a JSON web token."""
+    head, rest = r"eyJ[A-Za-z0-9_\-]+", r"[A-Za-z0-9_\-]+"
+    core, prefix, suffix = F.col("core"), F.col("prefix"), F.col("suffix")
+    jwt = ((core.rlike(f"^{head}$") & (suffix.rlike(rf"^\.{head}\.{rest}") | (prefix.rlike(rf"{head}\.$") & suffix.rlike(rf"^\.{rest}"))))
+           | prefix.rlike(rf"{head}\.{head}\.$") | core.rlike(rf"^{head}\.{head}\.{rest}$"))
+    return core.rlike(FORMATS) | jwt
 
 
 def known_formats(rows: DataFrame) -> Column:
-    """1 for candidates of a certain format, else 0."""
-    key_id = F.col("core").rlike("^AKIA[0-9A-Z]{16}$")
+    """1 for candidates that are certainly secrets, 0 for those that certainly are none, null for the others."""
+    core = F.col("core")
     left = F.concat_ws(" ", "before", "prefix")
-    assigned = left.rlike(_KEYS + r"[A-Za-z0-9_\-\"']*\s*[:=]\s*[\"']?$")
-    mixed = F.col("core").rlike("[0-9]") & F.col("core").rlike("[A-Za-z]")
-    return (key_id | (assigned & mixed)).cast("double")
+    keyed = left.rlike(_KEYS + r"[A-Za-z0-9_\-\"']*\s*[:=]\s*[\"']?$")
+    named = left.rlike(rf"{_NAME}{_ASSIGN}[\"']?$")
+    mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
+    long = F.length(core) >= MIN_LENGTH
+    near = (F.col("key_near") > 0) | (F.col("key_before") > 0)
+    secret = provider_format() | (keyed & mixed & long) | (named & mixed & (F.length(core) >= 6) & ~core.rlike(_PLACEHOLDER))
+    other = core.rlike(_PLACEHOLDER) | (~near & ((F.col("path") > 0) | (F.col("assigned") > 0) | ~mixed))
+    return F.when(secret, 1.0).when(other, 0.0)
 
 
 def train(findings: DataFrame, max_findings: int = MAX_FINDINGS):
@@ -122,11 +182,14 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str
     """
     rows = materialise(with_features(candidates(docs, id_col, text_col)), "secrets-candidates")
     if findings is None:
-        labelled = rows.withColumn("label", known_formats(rows))
+        labelled = rows.withColumn("label", known_formats(rows)).where("label is not null")
     else:
         known = findings.select(F.col(id_col).alias("key"), "word_index", "part", F.col("label").cast("double").alias("label"))
         labelled = rows.join(known, ["key", "word_index", "part"])
-    found = score(rows, train(labelled)).where(F.col("score") >= threshold)
+    found = score(rows, train(labelled))
+    if findings is None:
+        found = found.withColumn("score", F.when(F.col("format") > 0, F.lit(1.0)).otherwise(F.col("score")))
+    found = found.where(F.col("score") >= threshold)
     return found.select(F.col("key").alias(id_col), "word_index", "part", F.col("core").alias("secret"), "score")
 
 

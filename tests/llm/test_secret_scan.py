@@ -63,3 +63,27 @@ def test_no_python_in_the_plan(spark):
     plans = [secret_scan.scan_secrets(df), secret_scan.with_features(secret_scan.candidates(df))]
     text = "".join(p._jdf.queryExecution().toString() for p in plans)
     assert not any(x in text for x in ("Python", "Pandas", "ArrowEval"))
+
+
+def test_short_and_broken_values_beside_a_name(spark):
+    texts = {"set password=hunter2abc here": "hunter2abc", "PWD: 'a.b!c@d$1=2'": "a.b!c@d$1=2", "the password is s3cr3t!x.": "s3cr3t!x",
+             'db_password = "Tr0ub4dor&3"': "Tr0ub4dor&3", "?user=ann&token=a1b2c3&page=2": "a1b2c3",
+             "password :pa55word-x": "pa55word-x", '{"api_key":"k1.k2.k3","n":1}': "k1.k2.k3", "pass=pass1": "pass1"}
+    plain = ["the author: mike99", "a token of love", "words only here", "x=hunter2abc", "password="]
+    df = spark.createDataFrame([(i, t, "c", 0.5, 1) for i, t in enumerate([*texts, *plain])], SCHEMA)
+    got = {(r["key"], r["core"]) for r in secret_scan.candidates(df).collect()}
+    assert got == {(i, v) for i, v in enumerate(texts.values())}
+
+
+def test_provider_tokens_in_prose_and_unknown_ones(spark):
+    tail = "0a1B2c3D4e5F6g7H8i9J0k1L2m3N4o5P6q7R8s9T"
+    tokens = ["ghp_" + tail[:36], "sk_" + "live_" + tail[:24], "xoxb-" + tail[:24],
+              "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV"]
+    rows = [(i, t) for i, t, _ in _rows()] + [(1000 + i, f"we saw {t} once") for i, t in enumerate(tokens)]
+    rows += [(2000, "login password=hunter2abc now"), (3000, "commit 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b")]
+    df = spark.createDataFrame([(i, t, "c", 0.5, 1) for i, t in rows], SCHEMA)
+    got = {r["doc_id"] for r in secret_scan.scan_secrets(df).collect()}
+    assert got >= {1000, 1001, 1002, 1003, 2000}
+    features = secret_scan.with_features(secret_scan.candidates(df))
+    label = {r["key"]: r["label"] for r in features.withColumn("label", secret_scan.known_formats(features)).collect()}
+    assert [label[i] for i in (1000, 1001, 1002, 1003, 2000, 3000)] == [1, 1, 1, 1, 1, None]
