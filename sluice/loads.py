@@ -367,6 +367,15 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
     requests = plan_requests(feeds, sources, env=env, endpoints=wanted, from_date=from_date,
                              to_date=to_date, as_of=as_of)
     split = DEFAULT_SPLIT_BYTES if split_bytes is None else (split_bytes or None)
+    # Parts count the records of the tags that the load takes: discovered ones are all children of the root.
+    if discover_tags:
+        requests = requests.withColumn("row_tags", F.array().cast("array<string>"))
+    elif row_tags is not None:
+        given = F.lit(None).cast("array<string>")
+        for e, tags in row_tags.items():
+            if tags:
+                given = F.when(F.col("endpoint") == e, F.array(*map(F.lit, tags))).otherwise(given)
+        requests = requests.withColumn("row_tags", given)
     land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id,
                                  split_bytes=split), landing_path)
     landed = read_landed(spark, landing_path, load_date=as_of, run_id=run_id)

@@ -17,6 +17,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sluice.plans.catalog import DEFAULT_ROW_TAGS
 from sluice.sources.split import DEFAULT_SPLIT_BYTES, split_rows
 
 FETCH_INPUT = ["request_id", "feed_ordinal", "endpoint", "mlsSid", "fromDate", "toDate", "url",
@@ -74,7 +75,9 @@ def _fetcher(transport, run_id, split_bytes):
                     "fetched_at": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                     "load_date": req["load_date"],
                 }
-                out.extend(split_rows([row], split_bytes) if split_bytes and body else [row])
+                tags = req.get("row_tags")
+                tags = DEFAULT_ROW_TAGS if tags is None else list(tags)
+                out.extend(split_rows([row], split_bytes, tags) if split_bytes and body else [row])
                 size += len(body) if body else 0
                 if len(out) >= _OUT_ROWS or size >= _OUT_BYTES:
                     yield _frame(pd, out, names)
@@ -102,9 +105,10 @@ def fetch_payloads(requests: DataFrame, transport, concurrency: int | None = Non
     through the fetch, so a filter on its output still fetches everything.
     A body above ``split_bytes`` is split at record boundaries into parts
     (``part`` 0, 1, ...) so that its parse spreads over several tasks
-    (``sources.split``); None keeps every body whole.
+    (``sources.split``); None keeps every body whole.  The parts count the
+    records of the request's ``row_tags`` (every child of the root, if empty).
     """
-    reqs = requests.select(*FETCH_INPUT)
+    reqs = requests.select(*FETCH_INPUT, *[c for c in ("row_tags",) if c in requests.columns])
     # Round robin: every task gets its even share of each feed's requests.
     reqs = reqs.repartition(int(concurrency or DEFAULT_CONCURRENCY))
     return reqs.mapInPandas(_fetcher(transport, run_id, split_bytes), PAYLOAD_SCHEMA)

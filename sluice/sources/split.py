@@ -7,8 +7,9 @@ before the first child of the root (declaration, root start tag) and after the
 last (root end tag) is repeated around every slice.  Records are
 independent of each other, so parsing the slices yields exactly the
 records of the whole document, now in parallel tasks.  Each part knows how
-many records stand before it (``first_record``), so a record cap means the same
-for parts as for the whole document.
+many records of the feed's tags stand before it (``first_record``), so a record cap
+keeps as many of the parts as of the whole document, and with one tag the same ones.
+With several tags a whole document is capped tag by tag, its parts slice by slice.
 
 Cuts are found by a byte search for the feed's record tags near the wanted
 sizes and proved by checking that every slice is well-formed, which it is only
@@ -80,16 +81,18 @@ def _search(data: bytes, max_bytes: int, root: tuple[int, int], records: re.Patt
     return slices if all(_well_formed(data[:begin] + data[x:y] + data[end:]) for x, y, _ in slices) else None
 
 
-def _scan(data: bytes, max_bytes: int) -> tuple[bytes, bytes, list[tuple[int, int, int]]] | None:
-    """The same from a scan of all elements: exact for every well-formed document."""
+def _scan(data: bytes, max_bytes: int, row_tags: Sequence[str]) -> tuple[bytes, bytes, list[tuple[int, int, int]]] | None:
+    """The same from a scan of all elements: exact for every well-formed document.  Children of other tags are no records."""
     parser = expat.ParserCreate(encoding="utf-8")
     parser.ordered_attributes = True
     depth, starts, root_end = 0, [], -1
+    wanted, before = set(row_tags), [0]    # records before each child of the root
 
-    def start(_name, _attrs):
+    def start(name, _attrs):
         nonlocal depth
         if depth == 1:
             starts.append(parser.CurrentByteIndex)
+            before.append(before[-1] + (name in wanted if wanted else 1))
         depth += 1
 
     def end(_name):
@@ -108,16 +111,17 @@ def _scan(data: bytes, max_bytes: int) -> tuple[bytes, bytes, list[tuple[int, in
     bounds, slices, lo = [*starts, root_end], [], 0
     for k in range(1, len(starts)):
         if bounds[k + 1] - bounds[lo] > max_bytes:
-            slices.append((bounds[lo], bounds[k], lo))
+            slices.append((bounds[lo], bounds[k], before[lo]))
             lo = k
-    slices.append((bounds[lo], bounds[-1], lo))
+    slices.append((bounds[lo], bounds[-1], before[lo]))
     return data[:starts[0]], data[root_end:], slices
 
 
 def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES,
                    row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> list[tuple[str, int]] | None:
     """(slice, records before it) of about ``max_bytes`` each, or None to keep the
-    document whole (small, malformed, or fewer than two records)."""
+    document whole (small, malformed, or fewer than two records).  Records are the
+    children of the root with one of ``row_tags``; every child, if that is empty."""
     if len(body) * 4 <= max_bytes:        # at most 4 bytes per character: surely small
         return None
     data = body.encode("utf-8")
@@ -125,13 +129,13 @@ def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES,
         return None
     slices, root = None, _root(data)
     # Comments, CDATA and nested record tags could hide or fake a boundary: those go to the scan.
-    if root is not None and data.find(b"<!", root[0]) < 0:
+    if row_tags and root is not None and data.find(b"<!", root[0]) < 0:
         names = b"|".join(re.escape(t.encode()) for t in row_tags)
         records = re.compile(rb"<(/?)(?:" + names + rb""")(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*?(/?)>""")
         slices = _search(data, max_bytes, root, records)
         prefix, suffix = data[:root[0]], data[root[1]:]
     if slices is None:
-        scanned = _scan(data, max_bytes)
+        scanned = _scan(data, max_bytes, row_tags)
         if scanned is None or len(scanned[2]) < 2:
             return None
         prefix, suffix, slices = scanned

@@ -75,3 +75,27 @@ def test_split_payloads_load_like_whole_ones(spark, scratch):
     assert logs["split"] == logs["whole"] and len(logs["whole"]) == 7
     assert all(rows == 200 for _, _, rows in logs["split"])
     assert logs["split_rows"] == logs["whole_rows"]
+
+
+def test_parts_count_records_of_the_feeds_tags_only(spark):
+    mixed = "<r>" + "".join(f"<note>{i}</note><listing><a>{i}</a></listing><other/><!-- c -->" for i in range(30)) + "</r>"
+    for tags in (["listing"], ["listing", "other"]):
+        parts = split_document(mixed, 150, tags)
+        rows = [sum(r[0] in tags for r in _records(p)) for p, _ in parts]
+        assert len(parts) > 3 and [n for _, n in parts] == [sum(rows[:i]) for i in range(len(parts))]
+
+
+def test_cap_means_the_same_for_split_payloads_of_other_tags(spark, scratch):
+    reqs = plan_requests(feed_catalog(spark, row_tags={"agents-all-1.0": ["agent"]}), source_ids(spark), env="uat",
+                         endpoints=["agents-all-1.0"], as_of="2022-06-17")
+    body = F.concat(F.lit("<r>"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.format_string(
+        "<row/><note/><agent><mlsSid>%d</mlsSid><agentId>%d</agentId></agent>", F.col("mlsSid"), i)), ""), F.lit("</r>"))
+    drop = scratch("drop")
+    export_documents(reqs.select("endpoint", "landing_name", body.alias("body")), drop).count()
+    rows = {}
+    for name, size in (("whole", None), ("split", 2000)):
+        landing, out = scratch(name + "-landing"), scratch(name)
+        land_payloads(fetch_payloads(reqs, FileTransport(drop), split_bytes=size), landing)
+        load_feed(spark, read_landed(spark, landing), "agents-all-1.0", path=out, row_tags=["agent"], max_records=120).collect()
+        rows[name] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert len(rows["whole"]) == 7 * 120 and rows["split"] == rows["whole"]
