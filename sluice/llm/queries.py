@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import ann, bpe, exact, langid, licenses, lines, mixing, secret_scan, simhash, suffix
+from sluice.llm import ann, bpe, exact, langid, licenses, lines, mixing, quality, secret_scan, simhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix.op1_query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": lines.op8_query,
     "op9_source_mixing": mixing.op9_query,
     "op10_license_scan": licenses.op10_query,
+    "op11_quality_classifier": quality.op11_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
