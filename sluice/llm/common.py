@@ -14,7 +14,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back.
 
     Cuts the lineage: what reads the result survives the loss of any
@@ -22,7 +22,7 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import ann, bpe, exact, hard_negatives, langid, licenses, lines, mixing, quality, secret_scan, simhash, suffix
+from sluice.llm import (ann, bpe, collocations, exact, hard_negatives, langid, licenses, lines, mixing, quality, secret_scan, simhash,
+                        suffix)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": suffix.op1_query,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": mixing.op9_query,
     "op10_license_scan": licenses.op10_query,
     "op11_quality_classifier": quality.op11_query,
+    "op12_phrase_collocations": collocations.op12_query,
     "op13_hard_negatives": hard_negatives.op13_query,
 }
 
@@ -28,5 +30,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": exact.ORACLE_SQL,
     "op8_line_dedup": lines.ORACLE_SQL,
     "op9_source_mixing": mixing.ORACLE_SQL,
+    "op12_phrase_collocations": collocations.ORACLE_SQL,
     "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
