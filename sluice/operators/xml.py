@@ -57,34 +57,78 @@ def with_whole(docs: DataFrame, body: str = "_body", as_col: str = "_whole") ->
 
     The reader stops at the end of the root element and takes undeclared
     prefixes.  So: nothing but blanks, comments and processing instructions
-    may follow the root, and every element prefix must be declared.  Only the
-    tags with the root's own name are looked at: two in nearly every document.
+    may follow the root, and every prefix must be declared where it is used.
+
+    Nearly all documents are settled by byte searches: a plain start tag, no
+    comment or CDATA, and the root's end tag once, at the very end.  Only the
+    others pay for regular expressions over their tags.
     """
     raw = F.col(body)
-    text = F.when(raw.contains("<!") | raw.contains("<?"), F.regexp_replace(raw, _NO_ELEMENT, "")).otherwise(raw)
-    docs = docs.withColumn("_text", F.trim(text, F.lit(" \t\r\n" + BOM)))
+    docs = docs.withColumn("_name", F.regexp_extract(F.substring(raw, 1, 4096), _PLAIN_START, 1))
+    end = F.concat(F.lit("</"), F.col("_name"), F.lit(">"))
+    before = lambda what, n: F.octet_length(F.call_function("substring_index", raw, what, F.lit(n)))
+    newline = F.when(raw.endswith("\r\n"), 2).when(raw.endswith("\n"), 1).otherwise(0)
+    spaced = [raw.contains(F.concat(F.lit("</"), F.col("_name"), F.lit(blank))) for blank in " \n\t\r"]
+    inner_pi = F.when(raw.startswith("<?"), before(F.lit("<?"), -1) != F.octet_length(raw) - 2).otherwise(raw.contains("<?"))
+    plain = ((F.col("_name") != "") & (before(end, 1) + F.octet_length(end) + newline == F.octet_length(raw))
+             & ~raw.contains("<!") & ~inner_pi & ~spaced[0] & ~spaced[1] & ~spaced[2] & ~spaced[3])
+    docs = docs.withColumn("_plain", F.coalesce(plain, F.lit(False)))
+    # Beyond here only what is not plain: markup that cannot hold an element goes, the root's own tags are walked.
+    # (Trimming looks at every character, so plain documents are not trimmed.)
+    cleaned = F.when(raw.contains("<!") | raw.contains("<?"), F.regexp_replace(raw, _NO_ELEMENT, "")).otherwise(raw)
+    docs = docs.withColumn("_text", F.when(~F.col("_plain"), F.trim(cleaned, F.lit(" \t\r\n" + BOM))))
     name = F.concat(F.lit("\\Q"), F.regexp_extract("_text", r"^<([^\s/>!?]+)", 1), F.lit("\\E"))
-    docs = docs.withColumn("_tags", F.regexp_extract_all(
-        "_text", F.concat(F.lit("</?"), name, F.lit(r"(?=[\s/>])" + _QUOTED + ">")), F.lit(0)))
+    own_tags = F.regexp_extract_all("_text", F.concat(F.lit("</?"), name, F.lit(r"(?=[\s/>])" + _QUOTED + ">")), F.lit(0))
+    docs = docs.withColumn("_tags", F.when(~F.col("_plain"), own_tags))
     walk = F.aggregate(
         F.col("_tags"), F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")),
         lambda acc, tag: F.struct(
             (acc["depth"] + F.when(tag.startswith("</"), -1).when(tag.endswith("/>"), 0).otherwise(1)).alias("depth"),
-            # how often the root element is over: at a closing tag that leaves no open one, or an empty root
-            (acc["ends"] + F.when(tag.startswith("</") & (acc["depth"] == 1), 1)
-             .when(tag.endswith("/>") & (acc["depth"] == 0), 1).otherwise(0)).alias("ends")),
+            # how often the root element is over: at a closing tag that leaves no open one, or an empty root,
+            # and at any of its tags behind that
+            (acc["ends"] + F.when((acc["ends"] > 0) | (tag.startswith("</") & (acc["depth"] == 1))
+                                  | (tag.endswith("/>") & (acc["depth"] == 0)), 1).otherwise(0)).alias("ends")),
         lambda acc: acc["ends"])
-    used = F.array_distinct(F.regexp_extract_all("_text", F.lit(_PREFIX), F.lit(1)))
-    declared = F.regexp_extract_all("_text", F.lit(r"xmlns:([^\s='\"]+)\s*="), F.lit(1))
-    bound = F.when(F.col("_text").rlike(_PREFIX),
-                   F.size(F.array_except(used, F.concat(declared, F.array(F.lit("xml"))))) == 0).otherwise(True)
-    simple = (F.size("_tags") == 2) & ~F.get("_tags", F.lit(0)).startswith("</") & F.get("_tags", F.lit(1)).startswith("</")
-    ends_once = F.when(simple, True).otherwise(walk == 1)
-    whole = (F.size("_tags") > 0) & ends_once & F.col("_text").endswith(F.get("_tags", F.size("_tags") - 1)) & bound
-    return docs.withColumn(as_col, F.coalesce(whole, F.lit(False))).drop("_text", "_tags")
+    ends_once = ((F.size("_tags") > 0) & (walk == 1)
+                 & F.col("_text").endswith(F.get("_tags", F.size("_tags") - 1)))
+    text = F.coalesce("_text", raw)
+    bound = F.when(raw.contains(":") & text.rlike(_PREFIXED), prefixes_bound(text)).otherwise(True)
+    whole = F.when(F.col("_plain"), True).otherwise(ends_once) & bound
+    return (docs.withColumn(as_col, F.coalesce(whole, F.lit(False)))
+            .drop("_name", "_plain", "_text", "_tags"))
+
+
+# A start tag without prefix declarations in sight is found whole; an empty root or anything before it is not plain.
+_PLAIN_START = r"""^\ufeff?(?:<\?xml\s[^<>]*\?>\s*)?<([^\s/<>!?]+)(?:\s+[^\s=/<>]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*>"""
+# A colon that may belong to a prefix: in the name of an element (of 100 characters at most before it), or of something
+# that is assigned a quoted value.  Anchored at the colon, so other text costs one look for it.
+_PREFIXED = r""":(?:(?<=</?[^\s<>:='"!?/]{1,100}:)|[^\s<>:='"/]+\s*=\s*["'])"""
+_ANY_TAG = r"""<[^<>"'!?]+(?:"[^"<]*"[^<>"']*+|'[^'<]*'[^<>"']*+)*+>"""
 
 
-_PREFIX = r"</?([^\s<>/:!?='\"]+):"
+def prefixes_bound(text: Column) -> Column:
+    """Is every prefix of a well-formed document (without comments) declared on its element or one around it?
+
+    Walks all tags with the prefixes declared so far and the depth of each
+    declaration, which ends with its element.
+    """
+    def step(acc: Column, tag: Column) -> Column:
+        bare = F.regexp_replace(tag, """"[^"]*"|'[^']*'""", "''")
+        declared = F.transform(F.regexp_extract_all(bare, F.lit(r"\sxmlns:([^\s=]+)\s*="), F.lit(1)),
+                               lambda p: F.struct((acc["depth"] + 1).alias("depth"), p.alias("prefix")))
+        inside = F.concat(acc["scopes"], declared)
+        used = F.regexp_extract_all(bare, F.lit(r"(?:^<|\s)([^\s<>/:=']+):"), F.lit(1))
+        known = F.concat(F.transform(inside, lambda s: s["prefix"]), F.array(F.lit("xml"), F.lit("xmlns")))
+        closing, empty = tag.startswith("</"), tag.endswith("/>")
+        return F.struct(
+            (acc["depth"] + F.when(closing, -1).when(empty, 0).otherwise(1)).alias("depth"),
+            F.when(closing, F.filter(acc["scopes"], lambda s: s["depth"] < acc["depth"]))
+             .when(empty, acc["scopes"]).otherwise(inside).alias("scopes"),
+            (acc["ok"] & (closing | (F.size(F.array_except(used, known)) == 0))).alias("ok"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<depth:int,prefix:string>>").alias("scopes"),
+                     F.lit(True).alias("ok"))
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_ANY_TAG), F.lit(0)), start, step, lambda acc: acc["ok"])
 
 
 def _q(name: str) -> str:
