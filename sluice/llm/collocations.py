@@ -16,9 +16,14 @@ that did not reach the threshold, so some are counted in vain, but none that
 did is ever missing, and bits are never cleared: activity is monotone.  Hence
 no activation times are needed: a shard counts the phrases that are active now
 and were not when it was scanned one cycle ago - each phrase exactly once in
-each shard.  Counts are keyed by language and the phrase itself, never by a
-hash.  Running counts are one table; of completed phrases it keeps those that
-reached the threshold.  A task's own counts are summed before they are shuffled.
+each shard.
+
+In the cycles a phrase is a 64-bit hash of its language and words, so that the
+many that fall short stay small; equal hashes can only raise a count.  One
+more scan of all shards counts, exactly and by the words themselves, what the
+filters hold: a phrase that reaches the threshold is always among it.  Running
+counts are one table; of completed phrases it keeps those that reached the
+threshold.  A task sums its own counts before they are shuffled.
 
 Defined results: null texts count as empty, null languages as ``und`` (together
 with rows that say so); repeated rows count each; a language without words or
@@ -40,14 +45,16 @@ from pyspark.sql import functions as F
 from sluice.llm.common import byte_slices, materialise, read_table, texts_as_bytes
 from sluice.operators.filters import cap_records_per_key
 
-SHARDS = 4
+SHARDS = 2
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 26
 _PART = 4 << 20
 _WORDS_KEPT = 500_000       # words that a task's dictionary holds before it starts anew
+_COUNTS_KEPT = 2_000_000    # counts that a task gathers before it hands them on
 _BREAK = b"."               # any separator of pieces stands as this byte, which no word can hold
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else _BREAK[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
                for c in range(256))
-_COUNTS = "lang string, k int, phrase string, n long"
+_HASHED = "k int, hash long, n long"
+_EXACT = "lang string, k int, phrase string, n long"
 
 
 class _Words(dict):
@@ -101,26 +108,18 @@ def _holds(table: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return out
 
 
-def _active(lang: str, ids: np.ndarray, hashes: np.ndarray, now: list[np.ndarray], then: list[np.ndarray]):
-    """For k = 2, 3, ...: places of the phrases of k words that are active now and were not then."""
+def _walk(lang: str, ids: np.ndarray, hashes: np.ndarray, tables: list[np.ndarray]):
+    """For k = 1, 2, ...: places and hashes of the phrases of k words whose subphrases the filters hold."""
     at = np.flatnonzero(ids)
     value = np.zeros(len(ids), np.uint64)
     value[at] = _begin(lang, hashes[ids[at]])
-    at_then = at
-    for k, (table, old) in enumerate(zip(now, then, strict=True), 2):
-        # Places of the phrases of k - 1 words that have reached the threshold, out of those that were active.
-        reached = np.zeros(len(ids) + 1, bool)
-        reached[at[_holds(table, value[at])]] = True
-        reached_then = np.zeros(len(ids) + 1, bool)
-        reached_then[at_then[_holds(old, value[at_then])]] = True
-        at = np.flatnonzero(reached[:-1] & reached[1:])
-        at_then = np.flatnonzero(reached_then[:-1] & reached_then[1:])
-        if not len(at):
-            return
-        was = np.zeros(len(ids), bool)
-        was[at_then] = True
-        yield k, at[~was[at]]
+    yield 1, at, value[at]
+    for k, table in enumerate(tables, 2):
+        held = np.zeros(len(ids) + 1, bool)
+        held[at[_holds(table, value[at])]] = True
+        at = np.flatnonzero(held[:-1] & held[1:])
         value[at] = _longer(value[at], hashes[ids[at + k - 1]])
+        yield k, at, value[at]
 
 
 def _distinct(ids: np.ndarray, at: np.ndarray, k: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,68 +146,95 @@ def _parts(stream: bytes):
         at = to
 
 
+def _streams(batches, most: int):
+    """Of (lang, text) batches: (dictionary, lang, tokens, how many of them were in the part before)."""
+    words = _Words()
+    for batch in batches:
+        for piece in byte_slices(batch, 1, 8 << 20):
+            langs, texts = np.array(piece.column(0).to_pylist(), object), texts_as_bytes(piece.column(1))
+            for lang in sorted(set(langs)):
+                stream = _BREAK.join(texts[i].translate(_TABLE) for i in np.flatnonzero(langs == lang))
+                carried: list[bytes] = []
+                for part in _parts(stream):
+                    tokens = carried + part.replace(_BREAK, b" . ").split()
+                    yield words, lang, tokens, len(carried)
+                    carried = tokens[-(most - 1):]
+                    if len(words) > _WORDS_KEPT:
+                        words = _Words()
+
+
 def scanner(now: list[np.ndarray], then: list[np.ndarray], words_too: bool):
-    """(lang, text) batches -> (lang, k, phrase, n): this batch's counts; k = 0 counts all words."""
+    """(lang, text) batches -> (k, hash, n): counts of the phrases that are active now and were not then."""
     most = len(now) + 1
 
+    def summed(held: list) -> pa.RecordBatch:
+        ks = sorted({k for k, _, _ in held})
+        out = []
+        for k in ks:
+            code, hashed = pd.factorize(np.concatenate([h for j, h, _ in held if j == k]))
+            n = np.bincount(code, np.concatenate([c for j, _, c in held if j == k]), len(hashed)).astype(np.int64)
+            out.append((np.full(len(hashed), k, np.int32), hashed.view(np.int64), n))
+        cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pa.record_batch([pa.array(c) for c in cols], names=["k", "hash", "n"])
+
     def scan(batches):
-        words = _Words()
-        for batch in batches:
-            for piece in byte_slices(batch, 1, 8 << 20):
-                langs, texts = np.array(piece.column(0).to_pylist(), object), texts_as_bytes(piece.column(1))
-                for lang in sorted(set(langs)):
-                    stream = _BREAK.join(texts[i].translate(_TABLE) for i in np.flatnonzero(langs == lang))
-                    carried: list[bytes] = []
-                    for part in _parts(stream):
-                        tokens = carried + part.replace(_BREAK, b" . ").split()
-                        yield from count(words, lang, tokens, len(carried))
-                        carried = tokens[-(most - 1):]
-                        if len(words) > _WORDS_KEPT:
-                            words = _Words()
-
-    def count(words: _Words, lang: str, tokens: list[bytes], known: int):
-        """Phrases that end among the first ``known`` tokens were counted with the part before."""
-        ids = words.numbers(tokens)
-        names = list(words)
-        found = [(1, np.flatnonzero(ids))] if words_too else []
-        found += list(_active(lang, ids, words.hashes, now, then))
-        if words_too:
-            yield _batch(lang, 0, [""], [int(np.count_nonzero(ids[known:]))])
-        for k, at in found:
-            at = at[at + k > known]
-            if len(at):
-                place, n = _distinct(ids, at, k, len(words))
-                rows = ids[place[:, None] + np.arange(k)].tolist()
-                yield _batch(lang, k, [b" ".join([names[w] for w in row]) for row in rows], n)
+        held, size = [], 0
+        for words, lang, tokens, known in _streams(batches, most):
+            ids = words.numbers(tokens)
+            for (k, at, value), (_, old, _) in zip(_walk(lang, ids, words.hashes, now), _walk(lang, ids, words.hashes, then),
+                                                   strict=True):
+                fresh = at + k > known          # what ends among the known tokens was counted with the part before
+                if k > 1:
+                    was = np.zeros(len(ids), bool)
+                    was[old] = True
+                    fresh &= ~was[at]
+                if (k > 1 or words_too) and fresh.any():
+                    code, hashed = pd.factorize(value[fresh])
+                    held.append((k, hashed, np.bincount(code, minlength=len(hashed))))
+                    size += len(hashed)
+            if size > _COUNTS_KEPT:
+                yield summed(held)
+                held, size = [], 0
+        if held:
+            yield summed(held)
     return scan
 
 
-def _batch(lang: str, k: int, phrases: list, n) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([lang] * len(phrases), pa.string()), pa.array([k] * len(phrases), pa.int32()),
-                            pa.array(phrases, pa.string() if k == 0 else pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
-                           names=["lang", "k", "phrase", "n"])
-
-
-def _bits_of(bits: int):
-    """(lang, k, phrase) batches -> (k, word, mask): the filter bits of these phrases, 64 to a word."""
-    def run(batches):
-        for batch in batches:
-            ks = batch.column("k").to_numpy()
-            langs, phrases = batch.column("lang").to_pylist(), texts_as_bytes(batch.column("phrase"))
-            out: dict[tuple[int, int], int] = {}
-            for k in np.unique(ks):
-                rows = np.flatnonzero(ks == k)
-                parts = [phrases[i].split(b" ") for i in rows]
-                hashed = np.concatenate([_begin(langs[i], word_hashes(p[:1])) for i, p in zip(rows, parts, strict=True)])
-                for j in range(1, int(k)):
-                    hashed = _longer(hashed, word_hashes([p[j] for p in parts]))
-                for at in _probes(hashed, bits):
-                    for x in at.tolist():
-                        out[int(k), x >> 6] = out.get((int(k), x >> 6), 0) | 1 << (x & 63)
-            masks = np.array(list(out.values()), np.uint64).astype(np.int64)
-            yield pa.record_batch([pa.array([k for k, _ in out], pa.int32()), pa.array([w for _, w in out], pa.int64()),
-                                   pa.array(masks, pa.int64())], names=["k", "word", "mask"])
-    return run
+def recounter(filters: list[np.ndarray]):
+    """(lang, text) batches -> (lang, k, phrase, n): exact counts of the phrases that the filters hold; k = 0 counts all words."""
+    def batch(lang: str, k: int, phrases: list[bytes], n) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([lang] * len(phrases), pa.string()), pa.array([k] * len(phrases), pa.int32()),
+                                pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+                               names=["lang", "k", "phrase", "n"])
+
+    def count(batches):
+        for words, lang, tokens, known in _streams(batches, len(filters)):
+            ids = words.numbers(tokens)
+            yield batch(lang, 0, [b""], [int(np.count_nonzero(ids[known:]))])
+            names = list(words)
+            for (k, at, value), table in zip(_walk(lang, ids, words.hashes, filters[:-1]), filters, strict=True):
+                at = at[(at + k > known) & _holds(table, value)]
+                if len(at):
+                    place, n = _distinct(ids, at, k, len(words))
+                    rows = ids[place[:, None] + np.arange(k)].tolist()
+                    yield batch(lang, k, [b" ".join([names[w] for w in row]) for row in rows], n)
+    return count
+
+
+def _filled(reached: DataFrame, filters: list[np.ndarray]) -> list[np.ndarray]:
+    """The filters with the bits of these phrases (k, hash) set.  A filter's 64-bit words at most reach the driver."""
+    mask = 8 * len(filters[0]) - 1
+    bit = F.explode(F.array(F.col("hash").bitwiseAND(mask), F.shiftrightunsigned("hash", 32).bitwiseAND(mask)))
+    words = (reached.select("k", bit.alias("bit"))
+             .groupBy("k", F.shiftright("bit", 6).alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask")).toArrow())
+    if not words.num_rows:
+        return filters
+    filters = [x.copy() for x in filters]
+    ks, at, masks = (words.column(c).to_numpy() for c in ("k", "word", "mask"))
+    for k, table in enumerate(filters, 1):
+        table.view(np.int64)[at[ks == k]] |= masks[ks == k]
+    return filters
 
 
 def frequent_phrases(docs: DataFrame, threshold: int, most: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -221,40 +247,35 @@ def frequent_phrases(docs: DataFrame, threshold: int, most: int, text_col: str =
     size = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # At most (words / threshold) phrases of a length can reach it; about eight bits for each.
     bits = min(max(MIN_BITS, 1 << int(8 * size / 6 / threshold + 1).bit_length()), MAX_BITS)
-    empty = [np.zeros(bits // 8, np.uint8) for _ in range(most - 1)]
+    filters = empty = [np.zeros(bits // 8, np.uint8) for _ in range(most)]
     versions, ages = [empty], [0]          # the filters ahead of each step, and when they last changed
-    totals = spark.createDataFrame([], _COUNTS + ", first int, fresh boolean")
+    totals = spark.createDataFrame([], _HASHED + ", first int, fresh boolean")
     step = 0
     while step < SHARDS or ages[step] != ages[step - SHARDS]:
         then = versions[step - SHARDS] if step >= SHARDS else empty
         counts = (shards.where(F.col("shard") == step % SHARDS).select("lang", "text")
-                  .mapInArrow(scanner(versions[step], then, step < SHARDS), _COUNTS))
-        old = totals.select("lang", "k", "phrase", "n", "first", F.col("n").alias("before"))
-        new = counts.select("lang", "k", "phrase", "n", F.lit(step).alias("first"), F.lit(0).cast("long").alias("before"))
-        summed = (old.unionAll(new).groupBy("lang", "k", "phrase")
+                  .mapInArrow(scanner(filters[:-1], then[:-1], step < SHARDS), _HASHED))
+        old = totals.select("k", "hash", "n", "first", F.col("n").alias("before"))
+        new = counts.select("k", "hash", "n", F.lit(step).alias("first"), F.lit(0).cast("long").alias("before"))
+        summed = (old.unionAll(new).groupBy("k", "hash")
                   .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("before").alias("before")))
         reached = F.col("n") >= threshold
         # First met at step s, active since then or before: complete ahead of step s + SHARDS.
         running = F.col("first") + SHARDS > step + 1
-        totals = materialise(summed.where(reached | running | (F.col("k") == 0))
-                             .select("lang", "k", "phrase", "n", "first", (reached & (F.col("before") < threshold)).alias("fresh")),
+        totals = materialise(summed.where((reached & (F.col("k") < most)) | running | (reached & (F.col("before") < threshold)))
+                             .select("k", "hash", "n", "first", (reached & (F.col("before") < threshold)).alias("fresh")),
                              "phrases-counts")
-        found = (totals.where(F.col("fresh") & F.col("k").between(1, most - 1)).select("lang", "k", "phrase")
-                 .mapInArrow(_bits_of(bits), "k int, word long, mask long")
-                 .groupBy("k", "word").agg(F.expr("bit_or(mask)").alias("mask")).toArrow())   # bits / 64 rows a length at most
-        filters = versions[step]
-        if found.num_rows:
-            filters = [x.copy() for x in filters]
-            ks, at, masks = (found.column(c).to_numpy() for c in ("k", "word", "mask"))
-            for k, table in enumerate(filters, 1):
-                table.view(np.int64)[at[ks == k]] |= masks[ks == k]
-        changed = any((a != b).any() for a, b in zip(filters, versions[step], strict=True))
+        filters = _filled(totals.where("fresh").select("k", "hash"), versions[step])
+        # The longest phrases open no further length: they change nothing about the scans to come.
+        changed = any((a != b).any() for a, b in zip(filters[:-1], versions[step][:-1], strict=True))
         step += 1
         versions.append(filters)
         ages.append(step if changed else ages[-1])
         if step > SHARDS:
             versions[step - SHARDS - 1] = []      # no longer asked for
-    return totals.where((F.col("n") >= threshold) | (F.col("k") == 0)).select("lang", "k", "phrase", "n")
+    exact = (shards.select("lang", "text").mapInArrow(recounter(filters), _EXACT)
+             .groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")))
+    return materialise(exact.where((F.col("n") >= threshold) | (F.col("k") == 0)), "phrases-exact")
 
 
 def collocations(docs: DataFrame, threshold: int = 100, most: int = 5, top: int = 2000, text_col: str = "text",

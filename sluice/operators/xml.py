@@ -286,7 +286,9 @@ def quarantine(status: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     Taken with ``explode_outer``, not with a filter on the status, which the
     optimizer would push below the parse and so parse every document twice.
     """
-    reason = (F.when(~F.col("fetched"), F.array(F.lit("fetch failed")))
+    undecodable = F.col("error").startswith("undecodable") if "error" in status.columns else F.lit(False)
+    reason = (F.when(~F.col("fetched") & undecodable, F.array(F.lit("undecodable document")))
+               .when(~F.col("fetched"), F.array(F.lit("fetch failed")))
                .when(F.col("malformed"), F.array(F.lit("malformed document"))))
     return status.select(*keep, F.explode_outer(reason).alias("reason")).where(F.col("reason").isNotNull())
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.fetch import PAYLOAD_SCHEMA
+from sluice.sources.files import read_document_files
 from sluice.sources.storage import open_filesystem, qualified
 from sluice.sources.transport import safe_file_name
 
@@ -71,12 +72,8 @@ def read_landed(spark: SparkSession, path: str, endpoint: str | None = None,
 
 
 def read_landed_files(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """One row per landed document file: (file_name, file_path, body)."""
-    df = (spark.read.format("text").option("wholetext", True)
-               .option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path))
-    return df.select(F.col("_metadata.file_name").alias("file_name"),
-                     F.col("_metadata.file_path").alias("file_path"),
-                     F.col("value").alias("body"))
+    """One row per landed document file: (file_name, file_path, body, error); see ``sources.files``."""
+    return read_document_files(spark, path, glob).select("file_name", "file_path", "body", "error")
 
 
 def _writer(root: str):
@@ -87,12 +84,11 @@ def _writer(root: str):
         made = set()
         for pdf in batches:
             out = []
-            for endpoint, name, body in zip(pdf["endpoint"], pdf["landing_name"], pdf["body"]):
+            for endpoint, name, data in zip(pdf["endpoint"], pdf["landing_name"], pdf["content"]):
                 d = f"{base}/{endpoint}"
                 if d not in made:
                     filesystem.create_dir(d, recursive=True)
                     made.add(d)
-                data = body.encode("utf-8")
                 # Same name -> same bytes: a retried task rewrites the same file.
                 with filesystem.open_output_stream(f"{d}/{safe_file_name(name)}") as f:
                     f.write(data)
@@ -104,9 +100,11 @@ def _writer(root: str):
 def export_documents(payloads: DataFrame, root: str) -> DataFrame:
     """Write each payload body as its own file ``<root>/<endpoint>/<landing_name>``
     (the name made safe with ``transport.safe_file_name``)
-    (what a file-drop feed delivers).  Lazy: returns (endpoint, landing_name,
-    bytes) and writes when that frame is evaluated."""
+    (what a file-drop feed delivers): the body in UTF-8, or a binary column
+    ``content`` as it is.  Lazy: returns (endpoint, landing_name, bytes) and
+    writes when that frame is evaluated."""
     root = qualified(payloads.sparkSession, root)
-    return (payloads.where(F.col("body").isNotNull())
-                    .select("endpoint", "landing_name", "body")
+    content = F.col("content") if "content" in payloads.columns else F.col("body").cast("binary")
+    return (payloads.where(content.isNotNull())
+                    .select("endpoint", "landing_name", content.alias("content"))
                     .mapInPandas(_writer(root), "endpoint string, landing_name string, bytes long"))

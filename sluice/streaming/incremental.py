@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from sluice.operators.xml import document_status, explode_records, parse_documents, quarantine
 from sluice.session import default_parallelism
+from sluice.sources.files import decode_documents, stream_document_files
 from sluice.sources.split import split_documents
 from sluice.sources.storage import make_dir
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
@@ -48,7 +49,8 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
 
     ``landing_path`` is the landing table (parquet, see ``sources.landing``),
     or with ``files=True`` a folder where each document is its own file
-    (read whole; the file name becomes the request id).  A backlog is worked
+    (read as bytes and decoded strictly, see ``sources.files``: a file whose bytes do
+    not fit its encoding is logged as failed; the file name becomes the request id).  A backlog is worked
     off in micro-batches of at most ``max_files_per_trigger`` files, each
     committed on its own.  With ``every`` (e.g. ``"5 minutes"``) the query
     keeps running on a processing-time trigger and is returned instead.
@@ -60,8 +62,7 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     cols = feed_columns(endpoint)
     tags = row_tags or DEFAULT_ROW_TAGS
     if files:
-        reader = (spark.readStream.format("text").option("wholetext", True)
-                  .option("pathGlobFilter", glob))
+        reader = spark.readStream
     else:
         # Only this feed's subtree of the landing table is listed per trigger;
         # its endpoint is then a constant, not a partition column.
@@ -71,9 +72,8 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if files:
-        src = reader.load(landing_path).select(
-            F.col("_metadata.file_name").alias("request_id"),
-            F.lit(None).cast("bigint").alias("mlsSid"), F.col("value").alias("body"))
+        src = stream_document_files(reader, landing_path, glob).select(
+            F.col("file_name").alias("request_id"), F.lit(None).cast("bigint").alias("mlsSid"), "content")
     else:
         feed_dir = f"{landing_path.rstrip('/')}/endpoint={endpoint}"
         make_dir(spark, feed_dir)
@@ -81,6 +81,8 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if files:
+            batch = decode_documents(batch)
         if files and split_bytes:
             batch = split_documents(batch, split_bytes, tags)
             batch = batch.repartition(default_parallelism(batch.sparkSession), "request_id", "part")
@@ -92,16 +94,17 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
         # instead of caching the parsed documents.
         (explode_records(parse_documents(batch, cols, tags, keep=[]), cols)
             .write.mode("overwrite").parquet(f"{table_path}/{place}"))
-        status = document_status(batch, tags, keep=["request_id", "mlsSid"], probe=cols[0])
+        status = document_status(batch, tags, keep=["request_id", "mlsSid", "error"], probe=cols[0])
         if quarantine_path:
             (quarantine(status, keep=["request_id", "mlsSid"]).write.mode("overwrite")
              .parquet(f"{quarantine_path}/{place}"))
         if log_path:
-            message = (F.when(~F.col("fetched"), F.lit("ERROR: fetch: no payload"))
+            message = (F.when(~F.col("fetched"), F.concat(F.lit("ERROR: fetch: "), F.coalesce("error", F.lit("no payload"))))
                        .when(F.col("malformed"), F.lit("ERROR: malformed document")).otherwise(F.lit("")))
             # The parts of a split document count as one payload.
             (status.groupBy("request_id", "mlsSid")
-             .agg(F.min("fetched").alias("fetched"), F.max("malformed").alias("malformed"), F.sum("n_records").alias("n"))
+             .agg(F.min("fetched").alias("fetched"), F.max("malformed").alias("malformed"), F.sum("n_records").alias("n"),
+                  F.max("error").alias("error"))
              .select("request_id", F.lit(endpoint).alias("endpoint"), "mlsSid",
                      F.when(message == "", F.lit("success")).otherwise(F.lit("failed")).alias("status"),
                      F.when(message == "", F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("rows"),

@@ -350,6 +350,51 @@ def q_xml_file_drops(spark: SparkSession, d: str) -> DataFrame:
     return parse_records(files, feed_columns(LISTINGS))
 
 
+# How dropped files are written, by document number; those of BAD_ENCODINGS hold bytes that do not fit.
+ENCODINGS = ["utf-8", "utf-8 marked", "latin-1 declared", "utf-16 marked", "latin-1 undeclared", "utf-16 cut", "unknown declared"]
+BAD_ENCODINGS = {4: "undecodable body: not UTF-8", 5: "undecodable body: not UTF-16LE",
+                 6: "undecodable body: unknown encoding X-UNHEARD"}
+
+
+def _encoded_files(spark: SparkSession, d: str) -> DataFrame:
+    """customer documents with letters beyond ASCII, one file each, in several encodings."""
+    c = table(spark, d, "customer").select("c_custkey", F.concat("c_name", F.lit(" Núñez")).alias("c_name"), "c_mktsegment")
+    docs = row_documents(c, "c_custkey", rows=16)
+    kind = F.col("doc") % len(ENCODINGS)
+    said = lambda name: F.concat(F.lit(f'<?xml version="1.0" encoding="{name}"?>'), F.col("body"))
+    utf16 = F.concat(F.lit(bytearray(b"\xff\xfe")), F.encode(said("UTF-16"), "UTF-16LE"))
+    content = (F.when(kind == 0, F.encode("body", "UTF-8"))
+                .when(kind == 1, F.concat(F.lit(bytearray(b"\xef\xbb\xbf")), F.encode("body", "UTF-8")))
+                .when(kind == 2, F.encode(said("ISO-8859-1"), "ISO-8859-1"))
+                .when(kind == 3, utf16)
+                .when(kind == 4, F.encode("body", "ISO-8859-1"))
+                .when(kind == 5, F.expr("substring(_utf16, 1, octet_length(_utf16) - 1)"))
+                .otherwise(F.encode(said("x-unheard"), "UTF-8")))
+    return (docs.withColumn("_utf16", utf16)
+            .select(F.lit("customers").alias("endpoint"), F.concat(F.col("doc").cast("string"), F.lit(".xml")).alias("landing_name"),
+                    content.alias("content")))
+
+
+def q_xml_file_encodings(spark: SparkSession, d: str) -> DataFrame:
+    """O-03/O-30: dropped files in several encodings, read byte for byte: records of those that fit, an error for the others."""
+    drop = scratch_path(spark, "xml-drop")
+    export_documents(_encoded_files(spark, d), drop).agg(F.sum("bytes")).collect()
+    files = read_landed_files(spark, drop)
+    doc = F.regexp_extract("file_name", r"^(\d+)", 1).cast("bigint").alias("doc")
+    good = parse_records(files, ["c_custkey", "c_name", "c_mktsegment"], keep=["file_name"])
+    return (good.select(doc, F.col("c_custkey").cast("bigint"), "c_name", F.lit(None).cast("string").alias("error"))
+            .unionAll(files.where(F.col("error").isNotNull()).select(
+                doc, F.lit(None).cast("bigint"), F.lit(None).cast("string"), "error")))
+
+
+def q_incremental_file_log(spark: SparkSession, d: str) -> DataFrame:
+    """O-37: the same files as a stream: what the run log says of each."""
+    drop, out, log = scratch_path(spark, "xml-drop"), scratch_path(spark, "incr"), scratch_path(spark, "incr-log")
+    export_documents(_encoded_files(spark, d), drop).agg(F.sum("bytes")).collect()
+    incremental_load(spark, f"{drop}/customers", LISTINGS, out, scratch_path(spark, "incr-ckpt"), files=True, log_path=log)
+    return spark.read.parquet(log).select("request_id", "status", "rows", "message")
+
+
 def q_request_plan_sql(spark: SparkSession, d: str) -> DataFrame:
     """O-10: the request plan as SQL with named parameter markers."""
     s = table(spark, d, "supplier")
@@ -695,6 +740,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_pages": q_json_pages,
     "json_files_events": q_json_files_events,
     "xml_file_drops": q_xml_file_drops,
+    "xml_file_encodings": q_xml_file_encodings,
+    "incremental_file_log": q_incremental_file_log,
     "request_plan_sql": q_request_plan_sql,
     "union_all_names": q_union_all_names,
     "concat_by_name": q_concat_by_name,
@@ -794,6 +841,18 @@ ORACLE_SQL: dict[str, str] = {
     "json_pages": "SELECT page_id, url, html FROM pages",
     "json_files_events": "SELECT event_id, event_type, props FROM events",
     "xml_file_drops": listing_oracle(),
+    "xml_file_encodings": (
+        f"SELECT c_custkey // 16 AS doc, c_custkey, concat(c_name, ' Núñez') AS c_name, CAST(NULL AS VARCHAR) AS error FROM customer "
+        f"WHERE (c_custkey // 16) % {len(ENCODINGS)} NOT IN {tuple(BAD_ENCODINGS)} UNION ALL "
+        f"SELECT DISTINCT c_custkey // 16, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CASE (c_custkey // 16) % {len(ENCODINGS)} "
+        + " ".join(f"WHEN {k} THEN '{v}'" for k, v in BAD_ENCODINGS.items())
+        + f" END FROM customer WHERE (c_custkey // 16) % {len(ENCODINGS)} IN {tuple(BAD_ENCODINGS)}"),
+    "incremental_file_log": (
+        f"SELECT concat(doc, '.xml') AS request_id, CASE WHEN message = '' THEN 'success' ELSE 'failed' END AS status, "
+        f"CASE WHEN message = '' THEN n ELSE 0 END AS rows, message FROM (SELECT c_custkey // 16 AS doc, count(*) AS n, "
+        f"CASE (c_custkey // 16) % {len(ENCODINGS)} "
+        + " ".join(f"WHEN {k} THEN 'ERROR: fetch: {v}'" for k, v in BAD_ENCODINGS.items())
+        + " ELSE '' END AS message FROM customer GROUP BY c_custkey // 16)"),
     "request_plan_sql": ("SELECT request_id, env, endpoint, mlsSid, fromDate, toDate, url FROM ("
                          + _PLAN_SQL + ") WHERE id_ordinal = 0"),
     "union_all_names": ("SELECT 'customer' AS source, c_name AS name FROM customer UNION ALL "

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluice.llm import collocations as co
@@ -75,20 +77,23 @@ def test_other_cover_and_factor(spark):
     assert got == _plain(rows, 6, 4, 50, 10, 60)
 
 
-def test_a_phrase_is_counted_only_where_both_parts_reached(spark):
-    text = "a b a c"
-    ids = co._Words()
-    tokens = ids.numbers(text.encode().split())
+def test_a_phrase_is_counted_only_where_both_parts_reached():
+    words = co._Words()
+    ids = words.numbers(b"a b a c . b".split())
     hashed = co._begin("en", co.word_hashes([b"a", b"b"]))
-    table = [0] * 64
+    table, none = np.zeros(64, np.uint8), np.zeros(64, np.uint8)
     for at in co._probes(hashed, 512):
         for x in at.tolist():
             table[x >> 3] |= 1 << (x & 7)
-    import numpy as np
-    table, none = np.array(table, np.uint8), np.zeros(64, np.uint8)
-    assert {k: at.tolist() for k, at in co._active("en", tokens, ids.hashes, [table, none], [none, none])} == {2: [0, 1]}
-    assert {k: at.tolist() for k, at in co._active("en", tokens, ids.hashes, [table, none], [table, none])} == {2: []}
-    assert list(co._active("fr", tokens, ids.hashes, [table, none], [none, none])) == []
+    places = lambda lang, tables: [at.tolist() for _, at, _ in co._walk(lang, ids, words.hashes, tables)]
+    assert places("en", [table, none]) == [[0, 1, 2, 3, 5], [0, 1], []]
+    assert places("fr", [table, none])[1:] == [[], []]
+    batch = pa.record_batch([pa.array(["en", "en"]), pa.array(["A b a\tc.", "b"])], names=["lang", "text"])
+    count = lambda now, then, words_too: {(r["k"], r["hash"]): r["n"] for b in co.scanner(now, then, words_too)([batch])
+                                          for r in b.to_pylist()}
+    assert sorted(n for (k, _), n in count([table, none], [none, none], True).items() if k == 1) == [1, 2, 2]
+    assert sorted(n for _, n in count([table, none], [none, none], False).items()) == [1, 1]
+    assert count([table, none], [table, none], False) == {}
 
 
 def test_products_beyond_64_bits_are_exact(spark):
