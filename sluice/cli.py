@@ -112,7 +112,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session()
     if args.transport == "file":
-        transport = FileTransport(args.root)
+        transport = FileTransport(qualified(spark, args.root))
     else:
         transport = HttpTransport(token=os.environ.get(args.token_env), timeout=args.timeout)
     endpoints = FEED_ORDER if args.endpoint == "All" else [args.endpoint]
