@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from sluice.operators.jsonapi import parse_api, project_api_result
 from sluice.operators.xml import document_status, explode_records, parse_documents, quarantine
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, FEED_ORDER, UnknownFeed, feed_columns, table_name_of
+from sluice.plans.requests import JOB_SPEC
 from sluice.session import scratch_path
 from sluice.sinks.tables import append_path, append_table
 
@@ -50,6 +51,7 @@ RUN_LOG_SCHEMA = T.StructType([
 SUCCESS, FAILED = "success", "failed"
 #: Append jobs of different feeds submitted at a time.
 JOBS = 4
+JOB_COLUMNS = [c.split()[0] for c in JOB_SPEC.split(", ")]
 
 
 def _now() -> _dt.datetime:
@@ -126,12 +128,36 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
     is cached.  Payloads that are not a table yet (a live fetch, a query) are
     written to one first, so that nothing is fetched or computed twice.
     """
-    run_id = run_id or uuid.uuid4().hex
     endpoints = list(endpoints or FEED_ORDER)
     if "endpoint" not in payloads.columns:
         if len(endpoints) != 1:
             raise ValueError("payloads without an endpoint column can feed one endpoint only")
         payloads = payloads.withColumn("endpoint", F.lit(endpoints[0]))
+    jobs = [{"ordinal": (feed_ordinals or {}).get(e, n), "endpoint": e, "tags": (row_tags or {}).get(e),
+             "table": (tables or {}).get(e), "path": (paths or {}).get(e), "max_records": max_records}
+            for n, e in enumerate(endpoints)]
+    return _load(spark, payloads, jobs, "endpoint", fmt=fmt, run_id=run_id, quarantine_path=quarantine_path,
+                 log_path=log_path, check_tags=check_tags)
+
+
+def load_jobs(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], *, fmt: str | None = None,
+              run_id: str | None = None, quarantine_path: str | None = None, log_path: str | None = None,
+              check_tags: bool = False) -> DataFrame:
+    """O-32: load a list of jobs, each from its own payloads (``feed_ordinal`` = the job's ordinal).
+
+    A job is a dict of ``ordinal``, ``endpoint`` and, if wanted, ``tags``,
+    ``table`` or ``path`` and ``max_records``.  The same feed may be asked
+    several times; every job has its own rows in the run log.  Otherwise as
+    ``load_feeds``.
+    """
+    return _load(spark, payloads, jobs, "feed_ordinal", fmt=fmt, run_id=run_id, quarantine_path=quarantine_path,
+                 log_path=log_path, check_tags=check_tags)
+
+
+def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: str, *, fmt: str | None, run_id: str | None,
+          quarantine_path: str | None, log_path: str | None, check_tags: bool) -> DataFrame:
+    """The jobs' appends and their run log; ``key`` tells a payload's job: its endpoint or its feed_ordinal."""
+    run_id = run_id or uuid.uuid4().hex
     # Parts of one split document share the request id; the log adds them up.
     split = "part" in payloads.columns
     src = _landed(payloads.select(
@@ -142,41 +168,46 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
         _col_or(payloads, "error", None, "string").alias("error"),
         _col_or(payloads, "fetch_started_at", None, "timestamp").alias("fetch_started_at"),
         _col_or(payloads, "fetched_at", None, "timestamp").alias("fetched_at"),
+        *([F.col("feed_ordinal").cast("int").alias("feed_ordinal")] if key == "feed_ordinal" else []),
         F.col("endpoint").cast("string").alias("endpoint"), F.col("body")))
-    feeds, unknown, groups, jobs = [], [], {}, []
-
-    def append(endpoint: str, ordinal: int | None, records: DataFrame, table: str | None, path: str | None):
-        started = _now()
-        error = _write(records, table, path, fmt)
-        return endpoint, ordinal, error, started, _now()
-
-    for n, endpoint in enumerate(endpoints):
-        ordinal = (feed_ordinals or {}).get(endpoint, n)
+    unknown, groups, targets = [], {}, {}
+
+    def append(todo: list[dict]) -> list[tuple]:
+        done = []
+        for job in todo:
+            started = _now()
+            error = _write(job["records"], job["table"], job["path"], fmt)
+            done.append((job["endpoint"], job["ordinal"], error, started, _now()))
+        return done
+
+    for job in jobs:
+        job = {"tags": None, "table": None, "path": None, "max_records": None} | job
         try:
-            cols = feed_columns(endpoint)
+            cols = feed_columns(job["endpoint"])
         except UnknownFeed:
-            unknown.append((endpoint, ordinal))
+            unknown.append((job["endpoint"], job["ordinal"]))
             continue
-        tags = tuple((row_tags or {}).get(endpoint) or DEFAULT_ROW_TAGS)
-        table = (tables or {}).get(endpoint)
-        path = (paths or {}).get(endpoint)
-        if table is None and path is None:
-            table = table_name_of(endpoint)
-        mine = src.where(F.col("endpoint") == endpoint)
-        records = explode_records(parse_documents(mine, cols, tags, keep=[], max_records=max_records), cols)
-        jobs.append((endpoint, ordinal, records, table, path))
-        groups.setdefault((tags, cols[0]), []).append(endpoint)
+        tags = tuple(job["tags"] or DEFAULT_ROW_TAGS)
+        if job["table"] is None and job["path"] is None:
+            job["table"] = table_name_of(job["endpoint"])
+        of = job["endpoint"] if key == "endpoint" else job["ordinal"]
+        job["records"] = explode_records(parse_documents(src.where(F.col(key) == of), cols, tags, keep=[],
+                                                         max_records=job["max_records"]), cols)
+        # Appends to one target follow each other: their commits would clash.
+        targets.setdefault((job["table"], job["path"]), []).append(job)
+        groups.setdefault((tags, cols[0], job["max_records"]), []).append(of)
     with ThreadPoolExecutor(max_workers=JOBS) as pool:
         # Threads only submit jobs; rows stay on the executors.
-        target = inheritable_thread_target(spark)(append) if len(jobs) > 1 else append
-        feeds = list(pool.map(lambda job: target(*job), jobs))
+        target = inheritable_thread_target(spark)(append) if len(targets) > 1 else append
+        feeds = [done for part in pool.map(lambda todo: target(todo), targets.values()) for done in part]
     parts = []
     if feeds:
-        # One status pass for all feeds: a union of scans, one per row-tag set.
+        # One status pass for all jobs: a union of scans, one per row-tag set and cap.
         status = None
-        keep = ["request_id", "mlsSid", "error", "endpoint", "fetch_started_at", "fetched_at"]
-        for (tags, probe), members in groups.items():
-            part = document_status(src.where(F.col("endpoint").isin(members)), list(tags),
+        keep = ["request_id", "mlsSid", "error", "endpoint", "fetch_started_at", "fetched_at",
+                *(["feed_ordinal"] if key == "feed_ordinal" else [])]
+        for (tags, probe, max_records), members in groups.items():
+            part = document_status(src.where(F.col(key).isin(sorted(set(members)))), list(tags),
                                    keep=keep,
                                    max_records=max_records, check_tags=check_tags, probe=probe)
             if not check_tags:
@@ -190,7 +221,7 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
         info = spark.createDataFrame(
             feeds, "endpoint string, feed_ordinal int, write_error string, started_at timestamp, finished_at timestamp")
         # one row per request: cheap to keep while the quarantine and the log read it
-        status = status.join(info, "endpoint").persist(StorageLevel.MEMORY_AND_DISK)
+        status = status.join(info if key == "endpoint" else info.drop("endpoint"), key).persist(StorageLevel.MEMORY_AND_DISK)
         quarantine_note = ""
         if quarantine_path:
             bad = quarantine(status.withColumn("run_id", F.lit(run_id)), ["run_id", "endpoint", "request_id", "mlsSid"])
@@ -210,8 +241,8 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCESS)).alias("status"),
             F.when(failed, F.lit(0)).otherwise(F.col("n_records")).cast("bigint").alias("rows"),
             message.alias("message"), "fetch_started_at", "fetched_at", "started_at", "finished_at"))
-        # A feed nobody asked a request of has its result, too.
-        idle = info.join(status.select("endpoint").distinct(), "endpoint", "left_anti")
+        # A job nobody asked a request of has its result, too.
+        idle = info.join(status.select(key).distinct(), key, "left_anti")
         parts.append(idle.select(
             F.lit(run_id).alias("run_id"), "feed_ordinal", F.lit(None).cast("string").alias("request_id"), "endpoint",
             F.lit(None).cast("bigint").alias("mlsSid"),
@@ -221,8 +252,9 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
             F.lit(None).cast("timestamp").alias("fetch_started_at"), F.lit(None).cast("timestamp").alias("fetched_at"),
             "started_at", "finished_at"))
     for endpoint, ordinal in unknown:
-        parts.append(_failed_log(src.where(F.col("part") == 0), endpoint, run_id, ordinal, _now(),
-                                 "ERROR: unknown feed"))
+        own = src.where(F.col("part") == 0)
+        own = own.where(F.col("feed_ordinal") == ordinal) if key == "feed_ordinal" else own
+        parts.append(_failed_log(own, endpoint, run_id, ordinal, _now(), "ERROR: unknown feed"))
     log = parts[0]
     for more in parts[1:]:
         log = log.unionByName(more)
@@ -336,36 +368,53 @@ def load_json_api(spark: SparkSession, payloads: DataFrame, table: str | None =
 
 
 def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None = None,
-              from_date: str | None = None, to_date: str | None = None, as_of=None,
-              transport, landing_path: str, feeds: DataFrame | None = None,
-              sources: DataFrame | None = None, tables: dict[str, str] | None = None,
-              paths: dict[str, str] | None = None, fmt: str | None = None,
-              row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
-              run_id: str | None = None, quarantine_path: str | None = None,
-              log_table: str | None = None, check_tags: bool = False,
-              split_bytes: int | None = None, discover_tags: bool = False,
-              max_records: int | None = None) -> DataFrame:
-    """The all-feed job: plan -> fetch on executors -> land -> load each feed.
-
-    Returns the run log: one row per request, one for each asked feed without
-    requests and a failed one for each that the catalog does not know.  With ``log_table`` the log is
-    also appended there.
+              from_date: str | None = None, to_date: str | None = None, max_records: int | None = None, **settings) -> DataFrame:
+    """The all-feed job: plan -> fetch on executors -> land -> load each feed, in one environment and window.
+
+    One job per endpoint in the given order (an endpoint given twice is two
+    jobs); ``settings`` are those of ``run_jobs``, whose run log it returns.
+    """
+    wanted = list(endpoints or FEED_ORDER)
+    specs = spark.createDataFrame([(i, env, e, from_date or "", to_date or "", max_records) for i, e in enumerate(wanted)],
+                                  JOB_SPEC)
+    return run_jobs(spark, specs, **settings)
+
+
+def run_jobs(spark: SparkSession, specs: DataFrame, *, landing_path: str, transport=None, answers: DataFrame | None = None,
+             as_of=None, feeds: DataFrame | None = None, sources: DataFrame | None = None,
+             tables: dict[str, str] | None = None, paths: dict[str, str] | None = None, fmt: str | None = None,
+             row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
+             run_id: str | None = None, quarantine_path: str | None = None, log_table: str | None = None,
+             check_tags: bool = False, split_bytes: int | None = None, discover_tags: bool = False) -> DataFrame:
+    """O-32: a run given as a table of job specs (``plans.requests.JOB_SPEC``), each with its own result.
+
+    Every job has its environment, feed, window and record cap; jobs may ask
+    for the same feed.  Payloads come from ``transport`` or, without one, from
+    a table of ``answers`` (``sources.fetch.replay_payloads``).  Returns the
+    run log: one row per request, one for each job without requests and a
+    failed one for each that the catalog does not know.  With ``log_table``
+    the log is also appended there.  The specs (one row a job) are read by the
+    driver, as each job is an append of its own.
     """
     from sluice.plans.catalog import feed_catalog, source_ids
-    from sluice.plans.requests import plan_requests, unknown_requests
-    from sluice.sources.fetch import fetch_payloads
+    from sluice.plans.requests import plan_jobs
+    from sluice.sources.fetch import fetch_payloads, replay_payloads
     from sluice.sources.landing import land_payloads, read_landed
     from sluice.sources.split import DEFAULT_SPLIT_BYTES
 
+    if (transport is None) == (answers is None):
+        raise ValueError("give either a transport or a table of answers")
     run_id = run_id or uuid.uuid4().hex
     started = _now()
     # One run date for the plan and for reading the landing partitions back.
     as_of = str(as_of) if as_of is not None else started.date().isoformat()
-    wanted = list(endpoints or FEED_ORDER)
     feeds = feeds if feeds is not None else feed_catalog(spark)
     sources = sources if sources is not None else source_ids(spark)
-    requests = plan_requests(feeds, sources, env=env, endpoints=wanted, from_date=from_date,
-                             to_date=to_date, as_of=as_of)
+    asked = sorted(specs.collect(), key=lambda j: j["ordinal"])
+    if len({j["ordinal"] for j in asked}) < len(asked):
+        raise ValueError("job specs need distinct ordinals")
+    specs = spark.createDataFrame([tuple(j[c] for c in JOB_COLUMNS) for j in asked], JOB_SPEC)
+    requests = plan_jobs(feeds, sources, specs, as_of=as_of)
     split = DEFAULT_SPLIT_BYTES if split_bytes is None else (split_bytes or None)
     # Parts count the records of the tags that the load takes: discovered ones are all children of the root.
     if discover_tags:
@@ -376,31 +425,33 @@ def run_feeds(spark: SparkSession, *, env: str, endpoints: Sequence[str] | None
             if tags:
                 given = F.when(F.col("endpoint") == e, F.array(*map(F.lit, tags))).otherwise(given)
         requests = requests.withColumn("row_tags", given)
-    land_payloads(fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id,
-                                 split_bytes=split), landing_path)
+    payloads = (fetch_payloads(requests, transport, concurrency=concurrency, run_id=run_id, split_bytes=split)
+                if transport is not None else replay_payloads(requests, answers, run_id, split))
+    land_payloads(payloads, landing_path)
     landed = read_landed(spark, landing_path, load_date=as_of, run_id=run_id)
-    known = [e for e in wanted if e in FEED_ORDER]
     # Per-feed settings come from the catalog (configuration, bounded by
     # #environments x #feeds) unless given explicitly.
-    config = {r.endpoint: r for r in feeds.where(F.col("env") == env)
-              .select("endpoint", "row_tags", "table_name").collect()}
-    if row_tags is None:
-        row_tags = {e: list(c.row_tags) for e, c in config.items() if c.row_tags}
-    row_tags = dict(row_tags)
+    config = {(r.env, r.endpoint): r for r in feeds.select("env", "endpoint", "row_tags", "table_name").collect()}
+    found: dict[str, list[str]] = {}
     if discover_tags:
         # records are any direct child of the root: add the tags the payloads use
         from sluice.sources.tags import discover_row_tags
-        for e, found in discover_row_tags(landed).items():
-            if e in config:
-                row_tags[e] = list(dict.fromkeys([*row_tags.get(e, []), *found]))
-    if tables is None and paths is None:
-        tables = {e: c.table_name for e, c in config.items()}
-    log = load_feeds(spark, landed, known, tables=tables, paths=paths, fmt=fmt, row_tags=row_tags, run_id=run_id,
-                     feed_ordinals={e: wanted.index(e) for e in known}, max_records=max_records,
-                     quarantine_path=quarantine_path, check_tags=check_tags) if known else None
-    asked = spark.createDataFrame([(env, e, i) for i, e in enumerate(wanted)],
-                                  "env string, endpoint string, feed_ordinal int")
-    missing = unknown_requests(asked, feeds).select(
+        found = discover_row_tags(landed)
+    jobs, missed = [], []
+    for j in asked:
+        e = j["endpoint"]
+        if e not in FEED_ORDER or (j["env"], e) not in config:
+            missed.append((j["env"], e, j["ordinal"]))
+            continue
+        own = config[j["env"], e]
+        tags = (row_tags or {}).get(e) if row_tags is not None else own.row_tags
+        tags = list(dict.fromkeys([*(tags or []), *found.get(e, [])]))
+        table = ((tables or {}).get(e) if tables is not None or paths is not None else own.table_name)
+        jobs.append({"ordinal": j["ordinal"], "endpoint": e, "tags": tags, "table": table, "path": (paths or {}).get(e),
+                     "max_records": j["maxRecords"]})
+    log = load_jobs(spark, landed, jobs, fmt=fmt, run_id=run_id, quarantine_path=quarantine_path,
+                    check_tags=check_tags) if jobs else None
+    missing = spark.createDataFrame(missed, "env string, endpoint string, feed_ordinal int").select(
         F.lit(run_id).alias("run_id"), "feed_ordinal", F.lit(None).cast("string").alias("request_id"),
         "endpoint", F.lit(None).cast("bigint").alias("mlsSid"), F.lit(FAILED).alias("status"),
         F.lit(0).cast("bigint").alias("rows"), F.lit("ERROR: unknown feed").alias("message"),

@@ -99,13 +99,48 @@ def parse_json(payloads: DataFrame, schema: str | T.StructType, *, body: str = "
                       .alias("missing"))
 
 
+def json_elements(payloads: DataFrame, *, body: str = "body", keep: Sequence[str] | None = None) -> DataFrame:
+    """O-04: payloads that may hold an array at the top level: one row per element.
+
+    ``keep`` + ``place`` (0, 1, ... in the array; 0 for a payload that is one
+    object; null without an element) + ``v`` (the element, a variant) +
+    ``fetched`` + ``malformed`` (neither an array nor an object).  Missing,
+    malformed and empty payloads have one row with a null ``v``.
+    """
+    keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
+    parsed = payloads.select(*keep, F.col(body).isNotNull().alias("fetched"), F.try_parse_json(F.col(body)).alias("_v"))
+    kind = F.schema_of_variant("_v")
+    listed, single = F.coalesce(kind.startswith("ARRAY"), F.lit(False)), F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    elements = (F.when(listed, F.try_variant_get("_v", "$", "array<variant>"))
+                 .when(single, F.array(F.col("_v"))))
+    return (parsed.select(*keep, "fetched", (F.col("fetched") & ~listed & ~single).alias("malformed"),
+                          F.posexplode_outer(elements).alias("place", "v"))
+            .select(*keep, "place", "v", "fetched", "malformed"))
+
+
+def parse_json_elements(payloads: DataFrame, schema: str | T.StructType, *, body: str = "body",
+                        keep: Sequence[str] | None = None) -> DataFrame:
+    """``json_elements`` with each element as ``j``, a struct of ``schema``; an element that is no object is malformed."""
+    ddl = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    rows = json_elements(payloads, body=body, keep=keep)
+    keep = [c for c in rows.columns if c not in ("place", "v", "fetched", "malformed")]
+    other = F.col("v").isNotNull() & ~F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    fields = F.when(~other, F.try_variant_get("v", "$", f"struct<{_struct_fields(ddl)}>"))
+    return rows.select(*keep, "place", fields.alias("j"), "fetched", (F.col("malformed") | other).alias("malformed"))
+
+
+def _struct_fields(ddl: str) -> str:
+    """The fields of a DDL list as they stand inside struct<>."""
+    return T.DataType.fromDDL(ddl).simpleString().removeprefix("struct<").removesuffix(">")
+
+
 def infer_json_schema(payloads: DataFrame, body: str = "body") -> T.StructType:
     """O-04 inference over a payload column, distributed: the merged schema
     of all bodies (a partial aggregate per task; one small value reaches the
-    driver)."""
-    row = (payloads.where(F.col(body).isNotNull())
-                   .select(F.expr(f"schema_of_variant_agg(try_parse_json(`{body}`))").alias("s"))
-                   .first())
+    driver).  The elements of payloads that are arrays count one by one."""
+    row = (json_elements(payloads, body=body, keep=[]).where(F.col("v").isNotNull())
+           .select(F.expr("schema_of_variant_agg(v)").alias("s")).first())
     ddl = (row["s"] if row else None) or "OBJECT<>"
     # Variant objects print as OBJECT<...>; the DDL parser wants STRUCT<...>.
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sluice.plans.catalog import DEFAULT_ROW_TAGS, feed_columns, feed_schema
 from sluice.session import require_conf
+from sluice.sources.split import cap_documents
 from sluice.sources.tags import root_children_count
 
 BAD = "_bad"
@@ -151,20 +152,22 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
 
     ``records`` is null for a malformed or missing body and for a document
     without records.  ``max_records`` caps records per document (O-23,
-    the request's record limit), in document order; for the parts of a split
+    the request's record limit), in document order whatever their tags; for the parts of a split
     document ``first_record`` tells how many are already counted.
     """
     require_conf(payloads.sparkSession)
     keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
+    tags = list(row_tags)
+    if max_records is not None and len(tags) > 1:
+        payloads = cap_documents(payloads, _room(payloads, max_records), tags, body)
     x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
     parsed = with_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body"), x.alias("_x")))
-    tags = list(row_tags)
     if len(tags) == 1:
         recs = F.col(f"_x.{_q(tags[0])}")
     else:
         empty = F.array().cast(parsed.schema["_x"].dataType[tags[0]].dataType)
         recs = F.concat(*[F.coalesce(F.col(f"_x.{_q(t)}"), empty) for t in tags])
-    if max_records is not None:
+    if max_records is not None and len(tags) == 1:
         recs = F.slice(recs, F.lit(1), _room(payloads, max_records))
     fetched = F.col("_body").isNotNull()
     malformed = fetched & (F.col(f"_x.{BAD}").isNotNull() | ~F.col("_whole"))
@@ -220,6 +223,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     x = F.from_xml(parse_ready(F.col(body)), ddl, XML_OPTIONS)
     parsed = with_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body"), x.alias("_x")))
     n = sum((_count(F.col(f"_x.{_q(t)}")) for t in row_tags[1:]), _count(F.col(f"_x.{_q(row_tags[0])}")))
+    found = n
     if max_records is not None:
         n = F.least(n, _room(payloads, max_records))
     fetched = F.col("_body").isNotNull()
@@ -228,7 +232,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
            F.when(fetched & ~malformed, n).otherwise(F.lit(0)).alias("n_records")]
     if check_tags:
         total = F.when(fetched & ~malformed, root_children_count(F.col("_body")))
-        out.append((total - n).alias("untagged"))
+        out.append((total - found).alias("untagged"))
     return parsed.select(*out)
 
 

@@ -51,14 +51,39 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
     if distinct_ids:
         sources = sources.dropDuplicates(["env", "mlsSid"])
     frm, to = default_window(from_date, to_date, as_of)
-    run_day = as_of_col(as_of)
     req = sources.join(feeds, "env")
     if passes > 1:
         req = req.withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(int(passes)))))
     else:
         req = req.withColumn("pass", F.lit(1))
-    req = (req.withColumn("fromDate", frm).withColumn("toDate", to)
-              .withColumn("load_date", run_day))
+    return _as_requests(req.withColumn("fromDate", frm).withColumn("toDate", to), as_of, window_days)
+
+
+#: One row per job: its place in the run, what it loads, its window (blank: the day before to the run date) and record cap.
+JOB_SPEC = "ordinal int, env string, endpoint string, fromDate string, toDate string, maxRecords bigint"
+
+
+def plan_jobs(feeds: DataFrame, sources: DataFrame, specs: DataFrame, *, as_of=None, window_days: int | None = None) -> DataFrame:
+    """O-32 / O-10: the requests of a table of job specs (``JOB_SPEC``), each with its own environment, window and cap.
+
+    An equi-join with the catalog on (env, endpoint) and with the ids on env.
+    A job asked twice is planned twice: its requests differ in ``feed_ordinal``,
+    the job's ordinal.  Jobs the catalog does not know have no requests
+    (``unknown_requests`` finds them).
+    """
+    if "id_ordinal" not in sources.columns:
+        sources = sources.withColumn("id_ordinal", F.lit(0))
+    jobs = specs.select(F.col("ordinal").cast("int").alias("feed_ordinal"), "env", "endpoint", F.col("fromDate").alias("_from"),
+                        F.col("toDate").alias("_to"), F.col("maxRecords").alias("max_records"))
+    frm, to = default_window(F.col("_from"), F.col("_to"), as_of)
+    req = (jobs.join(feeds.drop("feed_ordinal"), ["env", "endpoint"]).join(sources, "env")
+           .withColumn("pass", F.lit(1)).withColumn("fromDate", frm).withColumn("toDate", to))
+    return _as_requests(req, as_of, window_days, "max_records")
+
+
+def _as_requests(req: DataFrame, as_of, window_days: int | None, *more: str) -> DataFrame:
+    run_day = as_of_col(as_of)
+    req = req.withColumn("load_date", run_day)
     req = _split_window(req, int(window_days)) if window_days else req.withColumn("_split", F.lit(False))
     url = fill_template(F.col("template"), {0: F.col("base_url"), 2: F.col("mlsSid"),
                                              3: F.col("fromDate"), 4: F.col("toDate")})
@@ -74,7 +99,7 @@ def plan_requests(feeds: DataFrame, sources: DataFrame, *, env: str | None = Non
                                                                       F.lit(".xml"))))
          .otherwise(landing_name(F.col("endpoint"), F.col("mlsSid"), run_day)).alias("landing_name"),
         table_name(F.col("endpoint")).alias("table_name"),
-        "row_tags", "load_date",
+        "row_tags", "load_date", *more,
     )
 
 

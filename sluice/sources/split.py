@@ -8,8 +8,8 @@ last (root end tag) is repeated around every slice.  Records are
 independent of each other, so parsing the slices yields exactly the
 records of the whole document, now in parallel tasks.  Each part knows how
 many records of the feed's tags stand before it (``first_record``), so a record cap
-keeps as many of the parts as of the whole document, and with one tag the same ones.
-With several tags a whole document is capped tag by tag, its parts slice by slice.
+keeps the same records of the parts as of the whole document: the first in
+document order, whatever their tags (``cap_documents``).
 
 Cuts are found by a byte search for the feed's record tags near the wanted
 sizes and proved by checking that every slice is well-formed, which it is only
@@ -25,7 +25,9 @@ import re
 from collections.abc import Sequence
 from xml.parsers import expat
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.plans.catalog import DEFAULT_ROW_TAGS
@@ -58,15 +60,18 @@ def _root(data: bytes) -> tuple[int, int] | None:
 def _search(data: bytes, max_bytes: int, root: tuple[int, int], records: re.Pattern) -> list[tuple[int, int, int]] | None:
     """(start, end, records before) of the slices, by a byte search; None where it cannot be proved."""
     begin, end = root
-    found, depth = [], 0
+    found, depth, over = [], 0, begin
     for m in records.finditer(data, begin, end):
         if m.group(1):
             depth -= 1
         else:
-            if depth:
-                return None  # a record tag inside a record
+            if depth or not data[over:m.start()].isspace() and over < m.start():
+                return None  # a record tag inside a record, or other children, which may hold some
             found.append(m.start())
             depth += not m.group(2)
+        over = m.end()
+    if over < end and not data[over:end].isspace():
+        return None
     slices, lo, k = [], begin, 0
     while k < len(found):
         # as many records as keep the slice within the bound, one at least
@@ -83,38 +88,20 @@ def _search(data: bytes, max_bytes: int, root: tuple[int, int], records: re.Patt
 
 def _scan(data: bytes, max_bytes: int, row_tags: Sequence[str]) -> tuple[bytes, bytes, list[tuple[int, int, int]]] | None:
     """The same from a scan of all elements: exact for every well-formed document.  Children of other tags are no records."""
-    parser = expat.ParserCreate(encoding="utf-8")
-    parser.ordered_attributes = True
-    depth, starts, root_end = 0, [], -1
-    wanted, before = set(row_tags), [0]    # records before each child of the root
-
-    def start(name, _attrs):
-        nonlocal depth
-        if depth == 1:
-            starts.append(parser.CurrentByteIndex)
-            before.append(before[-1] + (name in wanted if wanted else 1))
-        depth += 1
-
-    def end(_name):
-        nonlocal depth, root_end
-        depth -= 1
-        if depth == 0:
-            root_end = parser.CurrentByteIndex
-
-    parser.StartElementHandler, parser.EndElementHandler = start, end
-    try:
-        parser.Parse(data, True)
-    except expat.ExpatError:
-        return None
-    if len(starts) < 2:
+    scanned = _children(data)
+    if scanned is None or len(scanned[0]) < 2:
         return None
-    bounds, slices, lo = [*starts, root_end], [], 0
-    for k in range(1, len(starts)):
+    children, root_end = scanned
+    wanted, before = set(row_tags), [0]    # records before each child of the root
+    for _, name in children:
+        before.append(before[-1] + (name in wanted if wanted else 1))
+    bounds, slices, lo = [*(at for at, _ in children), root_end], [], 0
+    for k in range(1, len(children)):
         if bounds[k + 1] - bounds[lo] > max_bytes:
             slices.append((bounds[lo], bounds[k], before[lo]))
             lo = k
     slices.append((bounds[lo], bounds[-1], before[lo]))
-    return data[:starts[0]], data[root_end:], slices
+    return data[:bounds[0]], data[root_end:], slices
 
 
 def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES,
@@ -177,3 +164,64 @@ def split_documents(payloads: DataFrame, max_bytes: int = DEFAULT_SPLIT_BYTES,
             yield out
 
     return source.mapInPandas(run, schema)
+
+
+def cap_document(body: str, room: int, row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> str:
+    """The document without what follows its first ``room`` records of ``row_tags`` (children of the root, in document
+    order).  A document that is not well-formed stays as it is, to be rejected whole."""
+    data = body.encode("utf-8")
+    scanned = _children(data)
+    if scanned is None:
+        return body
+    children, root_end = scanned
+    wanted, left = set(row_tags), room
+    for at, name in children:
+        if not wanted or name in wanted:
+            if not left:
+                return (data[:at] + data[root_end:]).decode("utf-8")
+            left -= 1
+    return body
+
+
+def _children(data: bytes) -> tuple[list[tuple[int, str]], int] | None:
+    """(start, name) of every child of the root and the start of the root's end tag; None if not well-formed."""
+    parser = expat.ParserCreate(encoding="utf-8")
+    depth, found, root_end = 0, [], -1
+
+    def start(name, _attrs):
+        nonlocal depth
+        if depth == 1:
+            found.append((parser.CurrentByteIndex, name))
+        depth += 1
+
+    def end(_name):
+        nonlocal depth, root_end
+        depth -= 1
+        if depth == 0:
+            root_end = parser.CurrentByteIndex
+
+    parser.StartElementHandler, parser.EndElementHandler = start, end
+    try:
+        parser.Parse(data, True)
+    except expat.ExpatError:
+        return None
+    return found, root_end
+
+
+def cap_documents(payloads: DataFrame, room: Column, row_tags: Sequence[str], body: str = "body") -> DataFrame:
+    """O-23 for several record tags: ``body`` holds its first ``room`` records in document order, before it is parsed.
+
+    Spark's reader gives the records tag by tag, so their order is in the
+    document only.  Documents that hold no more tags than ``room`` (by a byte
+    search) are not scanned.
+    """
+    tags, text = list(row_tags), F.col(body)
+
+    @F.arrow_udf("string")
+    def capped(bodies: pa.Array, rooms: pa.Array) -> pa.Array:
+        return pa.array([None if b is None else cap_document(b, n, tags)
+                         for b, n in zip(bodies.to_pylist(), rooms.to_pylist(), strict=True)], pa.string())
+
+    count = sum(((F.octet_length(text) - F.octet_length(F.replace(text, F.lit("<" + t)))) / F.lit(len(t.encode()) + 1)
+                 for t in tags), F.lit(0.0))
+    return payloads.withColumn(body, F.coalesce(capped(F.when(count > room, text), room), text))

@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import default_window
 from sluice.functions.names import landing_name, table_name, xml_text
-from sluice.loads import load_feed, load_feeds, load_json_api
+from sluice.loads import feed_summary, load_feed, load_feeds, load_json_api, run_feeds, run_jobs
 from sluice.operators import filters as FL
-from sluice.operators.jsonapi import infer_json_schema, parse_api, parse_json, project_api_result, read_json_files
+from sluice.operators.jsonapi import (infer_json_schema, parse_api, parse_json, parse_json_elements, project_api_result,
+                                      read_json_files)
 from sluice.operators.sets import concat_by_name, union_all
 from sluice.operators.xml import (build_documents, document_status, empty_feed_frame, parse_documents, parse_records,
                                   parse_tagged_records, quarantine, to_declared)
@@ -33,7 +34,7 @@ from sluice.plans.catalog import (FEED_ORDER, FEED_URL_TEMPLATES, example_base_u
 from sluice.plans.requests import plan_api_requests, plan_requests, plan_requests_sql, unknown_requests
 from sluice.session import default_parallelism, scratch_path
 from sluice.sinks.tables import append_table
-from sluice.sources.fetch import fetch_payloads
+from sluice.sources.fetch import fetch_payloads, replay_payloads
 from sluice.sources.landing import export_documents, land_payloads, read_landed, read_landed_files
 from sluice.sources.split import split_documents
 from sluice.sources.storage import qualified
@@ -277,19 +278,41 @@ def q_cap_split_documents(spark: SparkSession, d: str) -> DataFrame:
                       F.col("o_custkey").cast("bigint"))
 
 
+CAP_TAGS = ["open", "closed"]
+
+
+def q_cap_split_tags(spark: SparkSession, d: str) -> DataFrame:
+    """O-23 over several tags: the first 700 records of each document in document order, whatever their tags; other
+    children do not count.  Whole documents and their parts give the same records."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    record = F.format_string("<%1$s><o_orderkey>%2$d</o_orderkey><o_custkey>%3$d</o_custkey></%1$s>",
+                             F.when(F.col("o_orderstatus") == "O", "open").when(F.col("o_orderstatus") == "F", "closed")
+                             .otherwise("note"), F.col("o_orderkey"), F.col("o_custkey"))
+    docs = (o.groupBy(F.expr("o_orderkey div 4096").alias("doc"))
+            .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", record.alias("x")))).alias("xs"))
+            .select("doc", F.concat(F.lit("<r>"), F.array_join(F.transform("xs", lambda x: x["x"]), ""), F.lit("</r>")).alias("body")))
+    out = None
+    for form, payloads in (("whole", docs), ("split", split_documents(docs, 32 * 1024, CAP_TAGS))):
+        got = parse_records(payloads, ["o_orderkey", "o_custkey"], CAP_TAGS, keep=["doc"], max_records=700).select(
+            F.lit(form).alias("form"), F.col("doc").alias("doc_key"), F.col("o_orderkey").cast("bigint"),
+            F.col("o_custkey").cast("bigint"))
+        out = got if out is None else out.unionAll(got)
+    return out
+
+
 def q_cap_per_request(spark: SparkSession, d: str) -> DataFrame:
     """O-23 across payloads: two orders per customer, lowest keys first."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
     return FL.cap_records_per_key(o, "o_custkey", "o_orderkey", 2)
 
 
-def _api_body(fraction: str, whole: str):
-    """An API answer with a fractional latitude and an integral longitude."""
+def _api_body(fraction: str, whole: str, segment: str):
+    """An API answer with a fractional latitude and an integral longitude; every field has a value of its own."""
     return F.to_json(F.struct(
         F.lit(200).alias("status"),
         F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("european_electoral_region"),
                  F.col(fraction).alias("latitude"), F.col(whole).cast("bigint").alias("longitude"),
-                 F.col("n_name").alias("parliamentary_constituency"),
+                 F.col(segment).alias("parliamentary_constituency"),
                  F.col("r_name").alias("region")).alias("result")))
 
 
@@ -301,7 +324,7 @@ def _with_nation(spark: SparkSession, d: str, rows: DataFrame, key: str) -> Data
 def q_json_api_payloads(spark: SparkSession, d: str) -> DataFrame:
     """O-04/O-17/O-18/O-19: API payloads -> the flat all-string projection, numbers by their own type."""
     rows = _with_nation(spark, d, table(spark, d, "customer"), "c_nationkey")
-    payloads = rows.select("c_custkey", _api_body("c_acctbal", "c_nationkey").alias("body"))
+    payloads = rows.select("c_custkey", _api_body("c_acctbal", "c_nationkey", "c_mktsegment").alias("body"))
     return project_api_result(parse_api(payloads), keep=["c_custkey"])
 
 
@@ -321,6 +344,16 @@ def q_json_inferred_events(spark: SparkSession, d: str) -> DataFrame:
     return parsed.select("event_id", F.col("j.k").cast("bigint").alias("k"))
 
 
+def q_json_array_events(spark: SparkSession, d: str) -> DataFrame:
+    """O-04: payloads that are arrays at the top level: a row per element, the schema inferred over the elements."""
+    e = table(spark, d, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    payloads = (e.groupBy(F.expr("event_id div 100").alias("doc"))
+                .agg(F.to_json(F.array_sort(F.collect_list(F.struct("event_id", "event_type", "k")))).alias("body")))
+    parsed = parse_json_elements(payloads, infer_json_schema(payloads), keep=["doc"])
+    return parsed.select(F.col("doc").alias("doc_key"), F.col("place").cast("bigint").alias("place"), "j.event_id", "j.event_type",
+                         "j.k", "malformed")
+
+
 def q_json_pages(spark: SparkSession, d: str) -> DataFrame:
     """O-04 on large text payloads: whole HTML pages inside JSON bodies."""
     p = table(spark, d, "pages")
@@ -577,17 +610,18 @@ def q_feed_load_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_json_load_log(spark: SparkSession, d: str) -> DataFrame:
-    """O-02/O-35: every API URL planned for two passes, fetched, landed, projected, appended once."""
-    rows = _with_nation(spark, d, table(spark, d, "supplier"), "s_nationkey")
-    urls = rows.select(F.col("s_suppkey").alias("name"), F.lit("https://api.example.com/v1").alias("url"))
+    """O-02/O-35: every API URL (one per customer) planned for two passes, answered by join from a table of landed answers
+    (no transport), landed, projected, appended once."""
+    rows = _with_nation(spark, d, table(spark, d, "customer"), "c_nationkey")
+    urls = rows.select(F.col("c_custkey").alias("name"), F.lit("https://api.example.com/v1").alias("url"))
     requests = plan_api_requests(spark, urls, passes=2, as_of=AS_OF)
-    bodies = rows.select(F.col("s_suppkey").cast("string").alias("k"), _api_body("s_acctbal", "s_nationkey").alias("body"))
-    drop = scratch_path(spark, "api-drop")
-    answers = requests.join(bodies, F.regexp_extract("request_id", r"^api\.(\d+):", 1) == F.col("k"))
-    export_documents(answers.select("endpoint", "landing_name", "body"), drop).agg(F.sum("bytes")).collect()
+    body = _api_body("c_acctbal", "c_nationkey", "c_mktsegment").alias("body")
+    name = F.format_string("api.%d.%d.json", F.col("c_custkey"), F.col("pass"))
+    answers = scratch_path(spark, "api-answers")
+    (rows.withColumn("pass", F.explode(F.array(F.lit(1), F.lit(2))))
+     .select(F.lit("api").alias("endpoint"), name.alias("landing_name"), body).write.parquet(answers))
     landing = scratch_path(spark, "landing")
-    transport = FileTransport(qualified(spark, drop))
-    land_payloads(fetch_payloads(requests, transport, concurrency=default_parallelism(spark)), landing)
+    land_payloads(replay_payloads(requests, spark.read.parquet(answers)), landing)
     path = scratch_path(spark, "api")
     status, _message, log = load_json_api(spark, read_landed(spark, landing, endpoint="api", load_date=AS_OF), path=path)
     done = log.where("status = 'success'").count()
@@ -675,6 +709,35 @@ def q_incremental_restart(spark: SparkSession, d: str) -> DataFrame:
     return read_incremental(spark, out, LISTINGS)
 
 
+def q_job_specs_run(spark: SparkSession, d: str) -> DataFrame:
+    """O-32/O-10: a run given as a table of jobs (one per nation, one of them asked twice), each with its own environment,
+    feed, window and record cap: one result for each, in order, and the window its requests asked for."""
+    n, s = table(spark, d, "nation"), table(spark, d, "supplier")
+    known = F.array(*[F.lit(e) for e in FEED_ORDER])
+    key = F.col("n_nationkey")
+    specs = n.select(
+        key.cast("int").alias("ordinal"), F.when(F.col("n_regionkey") < 3, "dev").otherwise("uat").alias("env"),
+        F.when(key % 12 == 11, F.concat(F.lit("feed-"), key.cast("string")))
+         .otherwise(F.get(known, (key % len(FEED_ORDER)).cast("int"))).alias("endpoint"),
+        F.element_at(F.array(F.lit(""), F.lit("06-01-2022"), F.lit("06-10-2022")), (key % 3).cast("int") + 1).alias("fromDate"),
+        F.when(key % 2 == 0, "").otherwise("06-15-2022").alias("toDate"),
+        F.when(key % 5 == 0, 1).cast("bigint").alias("maxRecords"))
+    specs = specs.unionAll(specs.where("ordinal = 3").withColumn("ordinal", F.lit(25)))
+    sources = s.select(F.when(F.col("s_nationkey") < 13, "dev").otherwise("uat").alias("env"), F.col("s_suppkey").alias("mlsSid"))
+    answers = scratch_path(spark, "job-answers")
+    body = F.format_string("<r><row><mlsSid>%1$d</mlsSid></row><row><mlsSid>%1$d</mlsSid></row></r>", F.col("s_suppkey"))
+    (s.where(F.col("s_acctbal") >= 0).select(F.explode(known).alias("endpoint"), F.col("s_suppkey"), body.alias("body"))
+     .select("endpoint", landing_name(F.col("endpoint"), F.col("s_suppkey"), AS_OF).alias("landing_name"), "body")
+     .write.parquet(answers))
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "jobs")
+    log = run_jobs(spark, specs, answers=spark.read.parquet(answers), landing_path=landing, as_of=AS_OF, sources=sources,
+                   paths={e: f"{root}/{e}" for e in FEED_ORDER})
+    asked = read_landed(spark, landing, load_date=AS_OF).groupBy("feed_ordinal").agg(
+        F.concat_ws(" ", F.min("fromDate"), F.max("fromDate"), F.min("toDate"), F.max("toDate")).alias("window"))
+    return (feed_summary(log).join(asked, "feed_ordinal", "left")
+            .select("feed_ordinal", "endpoint", "requests", "failed_requests", "rows", "result", "window"))
+
+
 def q_all_feeds_run(spark: SparkSession, d: str) -> DataFrame:
     """O-01/O-06..O-08/O-30..O-34/O-36 end to end: every feed x every supplier
     id (as 'dev' sources) is planned, fetched from dropped files, landed and
@@ -682,7 +745,6 @@ def q_all_feeds_run(spark: SparkSession, d: str) -> DataFrame:
     not in the catalog and one table cannot be written (an unknown store).  A
     second run in an environment without source ids has its results, too.  One
     summary row per feed, in run order; no feed's time holds the others'."""
-    from sluice.loads import feed_summary, run_feeds
     s = table(spark, d, "supplier")
     sources = s.select(F.lit("dev").alias("env"), F.col("s_suppkey").alias("mlsSid"))
     reqs = plan_requests(feed_catalog(spark), sources, env="dev", from_date="06-16-2022", as_of=AS_OF)
@@ -733,10 +795,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_discovered_tags": q_xml_discovered_tags,
     "cap_records": q_cap_records,
     "cap_split_documents": q_cap_split_documents,
+    "cap_split_tags": q_cap_split_tags,
     "cap_per_request": q_cap_per_request,
     "json_api_payloads": q_json_api_payloads,
     "json_project_events": q_json_project_events,
     "json_inferred_events": q_json_inferred_events,
+    "json_array_events": q_json_array_events,
     "json_pages": q_json_pages,
     "json_files_events": q_json_files_events,
     "xml_file_drops": q_xml_file_drops,
@@ -763,6 +827,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_misses": q_request_misses,
     "incremental_load": q_incremental_load,
     "incremental_restart": q_incremental_restart,
+    "job_specs_run": q_job_specs_run,
     "all_feeds_run": q_all_feeds_run,
 }
 
@@ -794,13 +859,13 @@ _PLAN_SQL = f"""SELECT concat_ws(':', s.env, f.endpoint, CAST(s.mlsSid AS VARCHA
 FROM {_SOURCES_SQL} JOIN {_catalog_values()} ON s.env = f.env"""
 
 _API_FIELDS_SQL = """'200' AS status, n_name AS country, r_name AS european_electoral_region,
-  CAST({0} AS VARCHAR) AS latitude, CAST({1} AS VARCHAR) AS longitude, n_name AS parliamentary_constituency,
+  CAST({0} AS VARCHAR) AS latitude, CAST({1} AS VARCHAR) AS longitude, {2} AS parliamentary_constituency,
   r_name AS region, '' AS vld_status, '' AS vld_status_reason"""
-_CUSTOMER_API_SQL = ("SELECT c_custkey, " + _API_FIELDS_SQL.format("c_acctbal", "c_nationkey")
+_CUSTOMER_API_SQL = ("SELECT c_custkey, " + _API_FIELDS_SQL.format("c_acctbal", "c_nationkey", "c_mktsegment")
                      + " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
-_SUPPLIER_API_SQL = ("SELECT 'success' AS run_status, (SELECT 2 * count(*) FROM supplier) AS logged, "
-                     + _API_FIELDS_SQL.format("s_acctbal", "s_nationkey")
-                     + " FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+_API_LOAD_SQL = ("SELECT 'success' AS run_status, (SELECT 2 * count(*) FROM customer) AS logged, "
+                 + _API_FIELDS_SQL.format("c_acctbal", "c_nationkey", "c_mktsegment")
+                 + " FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 
 _FIELDS_SQL = ", ".join(f"('{e}', {i}, '{c}')" for e in FEED_ORDER for i, c in enumerate(feed_columns(e)))
 
@@ -832,12 +897,18 @@ ORACLE_SQL: dict[str, str] = {
     "cap_records": (f"SELECT doc_key, o_orderkey, o_custkey FROM (SELECT o_orderkey // {DOC_ROWS} AS doc_key, "
                     f"o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_orderkey // {DOC_ROWS} "
                     f"ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 10"),
+    "cap_split_tags": ("WITH t AS (SELECT o_orderkey // 4096 AS doc_key, o_orderkey, o_custkey, row_number() OVER (PARTITION BY "
+                       "o_orderkey // 4096 ORDER BY o_orderkey) AS rn FROM orders WHERE o_orderstatus IN ('O', 'F')) "
+                       "SELECT form, doc_key, o_orderkey, o_custkey FROM t JOIN (VALUES ('whole'), ('split')) AS f(form) ON rn <= 700"),
     "cap_per_request": ("SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER "
                         "(PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 2"),
     "json_api_payloads": _CUSTOMER_API_SQL,
     "json_project_events": ("SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, "
                             "'' AS vld_status, '' AS vld_status_reason FROM events"),
     "json_inferred_events": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
+    "json_array_events": ("SELECT event_id // 100 AS doc_key, row_number() OVER (PARTITION BY event_id // 100 ORDER BY event_id) - 1 "
+                          "AS place, event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, false AS malformed "
+                          "FROM events"),
     "json_pages": "SELECT page_id, url, html FROM pages",
     "json_files_events": "SELECT event_id, event_type, props FROM events",
     "xml_file_drops": listing_oracle(),
@@ -892,7 +963,7 @@ ORACLE_SQL: dict[str, str] = {
                        "CAST(c_nationkey AS VARCHAR) AS agentOfficeId, c_mktsegment AS agentStatus FROM customer "
                        "WHERE c_custkey // 8 NOT IN (SELECT c_custkey // 8 FROM customer "
                        "WHERE c_acctbal < 0 OR c_acctbal > 9900)"),
-    "json_load_log": f"{_SUPPLIER_API_SQL} UNION ALL {_SUPPLIER_API_SQL}",
+    "json_load_log": f"{_API_LOAD_SQL} UNION ALL {_API_LOAD_SQL}",
     "feed_values": ("SELECT f.endpoint, CAST(s_suppkey AS VARCHAR) AS mlsSid, CAST(f.place AS INTEGER) AS place, f.field, "
                     "CASE f.field WHEN 'mlsSid' THEN CAST(s_suppkey AS VARCHAR) ELSE concat(f.field, ': ', s_name, ' & ', "
                     "CAST(s_suppkey AS VARCHAR)) END AS field_value "
@@ -912,6 +983,22 @@ ORACLE_SQL: dict[str, str] = {
                             "FROM orders) WHERE rn <= 1000"),
     "incremental_restart": listing_oracle(),
     "incremental_load": listing_oracle(),
+    "job_specs_run": (
+        "WITH j AS (SELECT n_nationkey AS o, n_nationkey AS k, CASE WHEN n_regionkey < 3 THEN 'dev' ELSE 'uat' END AS env "
+        "FROM nation UNION ALL SELECT 25, n_nationkey, CASE WHEN n_regionkey < 3 THEN 'dev' ELSE 'uat' END FROM nation "
+        "WHERE n_nationkey = 3), "
+        "s AS (SELECT CASE WHEN s_nationkey < 13 THEN 'dev' ELSE 'uat' END AS env, s_acctbal FROM supplier), "
+        "c AS (SELECT o, k, count(*) AS n, count(*) FILTER (s_acctbal < 0) AS bad FROM j JOIN s ON j.env = s.env GROUP BY o, k), "
+        "r AS (SELECT o, k, k % 12 = 11 AS unknown, CASE WHEN k % 12 = 11 THEN 1 ELSE n END AS n, "
+        "CASE WHEN k % 12 = 11 THEN 1 ELSE bad END AS bad FROM c) "
+        "SELECT CAST(o AS INTEGER) AS feed_ordinal, CASE WHEN unknown THEN concat('feed-', CAST(k AS VARCHAR)) "
+        "ELSE list_extract([" + ", ".join(f"'{e}'" for e in FEED_ORDER) + f"], CAST(k % {len(FEED_ORDER)} + 1 AS INTEGER)) END "
+        "AS endpoint, CAST(n AS BIGINT) AS requests, CAST(bad AS BIGINT) AS failed_requests, "
+        "CAST(CASE WHEN unknown THEN 0 ELSE (n - bad) * CASE WHEN k % 5 = 0 THEN 1 ELSE 2 END END AS BIGINT) AS rows, "
+        "CASE WHEN bad = 0 THEN 'success' ELSE printf('ERROR: %d of %d requests failed', bad, n) END AS result, "
+        "CASE WHEN NOT unknown THEN concat_ws(' ', f, f, t, t) END AS \"window\" FROM (SELECT *, "
+        "CASE k % 3 WHEN 0 THEN '06-16-2022' WHEN 1 THEN '06-01-2022' ELSE '06-10-2022' END AS f, "
+        "CASE WHEN k % 2 = 0 THEN '06-17-2022' ELSE '06-15-2022' END AS t FROM r)"),
     "all_feeds_run": (
         "SELECT 'dev' AS env, f.feed_ordinal, f.endpoint, n AS requests, bad AS failed_requests, ok AS rows, "
         "CASE WHEN bad = 0 THEN 'success' ELSE printf('ERROR: %d of %d requests failed', bad, n) END AS result, "
