@@ -76,15 +76,18 @@ def _write(records: DataFrame, table: str | None, path: str | None, fmt: str | N
 
 def _landed(df: DataFrame) -> DataFrame:
     """``df`` as a table of its own, unless it is one: only a scan of files (with projections and
-    filters) can be read again without running anything else again."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    names, todo = set(), [plan]
-    while todo:
-        node = todo.pop()
-        names.add(node.getClass().getSimpleName())
-        todo += [node.children().apply(i) for i in range(node.children().size())]
-    if names <= {"Project", "Filter", "LogicalRelation", "LocalRelation", "Union"}:
-        return df
+    filters that give the same again) can be read again without running anything else again."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        names, todo = set(), [plan]
+        while todo:
+            node = todo.pop()
+            names.add(node.getClass().getSimpleName())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        if plan.deterministic() and names <= {"Project", "Filter", "LogicalRelation", "LocalRelation", "Union"}:
+            return df
+    except AttributeError:  # no plan to look at (Spark Connect)
+        pass
     path = scratch_path(df.sparkSession, "landed")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -118,7 +121,7 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
                max_records: int | None = None, run_id: str | None = None,
                feed_ordinals: dict[str, int | None] | None = None,
                quarantine_path: str | None = None, log_path: str | None = None,
-               check_tags: bool = False) -> DataFrame:
+               check_tags: bool = False, journal_path: str | None = None) -> DataFrame:
     """O-31..O-33: load every feed's payloads, each isolated; one run log.
 
     Per feed, the records come from the full parse of its payloads and are
@@ -127,6 +130,10 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
     (``xml.document_status``) over the same payloads -- no parsed document
     is cached.  Payloads that are not a table yet (a live fetch, a query) are
     written to one first, so that nothing is fetched or computed twice.
+
+    With ``journal_path`` every append is noted there before it starts and after
+    it ended, so that the log of a run whose driver was lost in between can be
+    made up for (``recover_log``).
     """
     endpoints = list(endpoints or FEED_ORDER)
     if "endpoint" not in payloads.columns:
@@ -137,7 +144,7 @@ def load_feeds(spark: SparkSession, payloads: DataFrame, endpoints: Sequence[str
              "table": (tables or {}).get(e), "path": (paths or {}).get(e), "max_records": max_records}
             for n, e in enumerate(endpoints)]
     return _load(spark, payloads, jobs, "endpoint", fmt=fmt, run_id=run_id, quarantine_path=quarantine_path,
-                 log_path=log_path, check_tags=check_tags)
+                 log_path=log_path, check_tags=check_tags, journal_path=journal_path)
 
 
 def load_jobs(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], *, fmt: str | None = None,
@@ -151,16 +158,12 @@ def load_jobs(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], *,
     ``load_feeds``.
     """
     return _load(spark, payloads, jobs, "feed_ordinal", fmt=fmt, run_id=run_id, quarantine_path=quarantine_path,
-                 log_path=log_path, check_tags=check_tags)
+                 log_path=log_path, check_tags=check_tags, journal_path=journal_path)
 
 
-def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: str, *, fmt: str | None, run_id: str | None,
-          quarantine_path: str | None, log_path: str | None, check_tags: bool) -> DataFrame:
-    """The jobs' appends and their run log; ``key`` tells a payload's job: its endpoint or its feed_ordinal."""
-    run_id = run_id or uuid.uuid4().hex
-    # Parts of one split document share the request id; the log adds them up.
-    split = "part" in payloads.columns
-    src = _landed(payloads.select(
+def _source(payloads: DataFrame, key: str) -> DataFrame:
+    """The columns that a load reads, as a table."""
+    return _landed(payloads.select(
         _col_or(payloads, "request_id", None, "string").alias("request_id"),
         F.coalesce(_col_or(payloads, "part", 0, "int"), F.lit(0)).alias("part"),
         F.coalesce(_col_or(payloads, "first_record", 0, "bigint"), F.lit(0)).alias("first_record"),
@@ -170,13 +173,26 @@ def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: s
         _col_or(payloads, "fetched_at", None, "timestamp").alias("fetched_at"),
         *([F.col("feed_ordinal").cast("int").alias("feed_ordinal")] if key == "feed_ordinal" else []),
         F.col("endpoint").cast("string").alias("endpoint"), F.col("body")))
+
+
+def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: str, *, fmt: str | None, run_id: str | None,
+          quarantine_path: str | None, log_path: str | None, check_tags: bool, journal_path: str | None) -> DataFrame:
+    """The jobs' appends and their run log; ``key`` tells a payload's job: its endpoint or its feed_ordinal."""
+    run_id = run_id or uuid.uuid4().hex
+    # Parts of one split document share the request id; the log adds them up.
+    split = "part" in payloads.columns
+    src = _source(payloads, key)
     unknown, groups, targets = [], {}, {}
 
     def append(todo: list[dict]) -> list[tuple]:
         done = []
         for job in todo:
             started = _now()
+            if journal_path:
+                _note(spark, journal_path, run_id, key, job, STARTED, None)
             error = _write(job["records"], job["table"], job["path"], fmt)
+            if journal_path:
+                _note(spark, journal_path, run_id, key, job, DONE, error)
             done.append((job["endpoint"], job["ordinal"], error, started, _now()))
         return done
 
@@ -187,7 +203,7 @@ def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: s
         except UnknownFeed:
             unknown.append((job["endpoint"], job["ordinal"]))
             continue
-        tags = tuple(job["tags"] or DEFAULT_ROW_TAGS)
+        job["tags"] = tags = tuple(job["tags"] or DEFAULT_ROW_TAGS)
         if job["table"] is None and job["path"] is None:
             job["table"] = table_name_of(job["endpoint"])
         of = job["endpoint"] if key == "endpoint" else job["ordinal"]
@@ -200,6 +216,14 @@ def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: s
         # Threads only submit jobs; rows stay on the executors.
         target = inheritable_thread_target(spark)(append) if len(targets) > 1 else append
         feeds = [done for part in pool.map(lambda todo: target(todo), targets.values()) for done in part]
+    return _run_log(spark, src, feeds, groups, key, split=split, run_id=run_id, unknown=unknown, quarantine_path=quarantine_path,
+                    log_path=log_path, check_tags=check_tags)
+
+
+def _run_log(spark: SparkSession, src: DataFrame, feeds: list[tuple], groups: dict, key: str, *, split: bool, run_id: str,
+             unknown: list[tuple] = (), quarantine_path: str | None = None, log_path: str | None = None,
+             check_tags: bool = False) -> DataFrame:
+    """The run log of jobs (endpoint, ordinal, write error, started, finished) whose appends are over."""
     parts = []
     if feeds:
         # One status pass for all jobs: a union of scans, one per row-tag set and cap.
@@ -264,6 +288,54 @@ def _load(spark: SparkSession, payloads: DataFrame, jobs: Sequence[dict], key: s
     return log
 
 
+JOURNAL = ("run_id string, key string, ordinal int, endpoint string, tags array<string>, max_records bigint, state string, "
+           "error string, at timestamp")
+STARTED, DONE = "started", "done"
+INTERRUPTED = "interrupted: the append may or may not be in the table"
+
+
+def _note(spark: SparkSession, journal_path: str, run_id: str, key: str, job: dict, state: str, error: str | None) -> None:
+    row = (run_id, key, job["ordinal"], job["endpoint"], list(job["tags"]), job["max_records"], state, error, _now())
+    # A folder for each note: jobs that end at the same time do not disturb each other's commits.
+    spark.createDataFrame([row], JOURNAL).coalesce(1).write.parquet(f"{journal_path}/note={uuid.uuid4().hex}")
+
+
+def recover_log(spark: SparkSession, payloads: DataFrame, journal_path: str, log_path: str, *, run_id: str,
+                quarantine_path: str | None = None) -> DataFrame:
+    """O-34: make up for the run log of a run whose driver was lost between its appends and its log.
+
+    ``payloads`` are that run's landed payloads.  Jobs in the journal without
+    rows in the log get them now, from the same light status pass: those whose
+    append had ended as they ended, those whose append had only started as
+    failed (``INTERRUPTED``; what to do with their rows is the operator's
+    decision).  Jobs that are in the log are left alone, so a second call adds
+    nothing.  Returns the run's whole log.
+    """
+    journal = spark.read.schema(JOURNAL).parquet(journal_path).where(F.col("run_id") == run_id)
+    done = F.col("state") == DONE
+    jobs = journal.groupBy("key", "ordinal", "endpoint").agg(
+        F.first("tags").alias("tags"), F.first("max_records").alias("max_records"), F.max(done).alias("over"),
+        F.max(F.when(done, F.col("error"))).alias("error"), F.min("at").alias("started"), F.max("at").alias("finished"))
+    try:
+        logged = spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path)
+    except Exception as e:  # no log at all yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        logged = spark.createDataFrame([], RUN_LOG_SCHEMA)
+    mine = logged.where(F.col("run_id") == run_id).select(F.col("feed_ordinal").alias("ordinal")).distinct()
+    missing = jobs.join(mine, "ordinal", "left_anti").orderBy("ordinal").collect()     # one row a job
+    for key in sorted({j["key"] for j in missing}):
+        own = [j for j in missing if j["key"] == key]
+        groups: dict = {}
+        for j in own:
+            of = j["endpoint"] if key == "endpoint" else j["ordinal"]
+            groups.setdefault((tuple(j["tags"]), feed_columns(j["endpoint"])[0], j["max_records"]), []).append(of)
+        feeds = [(j["endpoint"], j["ordinal"], j["error"] if j["over"] else INTERRUPTED, j["started"], j["finished"]) for j in own]
+        _run_log(spark, _source(payloads, key), feeds, groups, key, split="part" in payloads.columns, run_id=run_id,
+                 quarantine_path=quarantine_path, log_path=log_path)
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path).where(F.col("run_id") == run_id)
+
+
 def _materialise(spark: SparkSession, log: DataFrame, log_path: str | None,
                  run_id: str | None = None) -> DataFrame:
     """Fix the (small) run log once: its timestamps and statuses describe
@@ -385,7 +457,8 @@ def run_jobs(spark: SparkSession, specs: DataFrame, *, landing_path: str, transp
              tables: dict[str, str] | None = None, paths: dict[str, str] | None = None, fmt: str | None = None,
              row_tags: dict[str, Sequence[str]] | None = None, concurrency: int | None = None,
              run_id: str | None = None, quarantine_path: str | None = None, log_table: str | None = None,
-             check_tags: bool = False, split_bytes: int | None = None, discover_tags: bool = False) -> DataFrame:
+             check_tags: bool = False, split_bytes: int | None = None, discover_tags: bool = False,
+             journal_path: str | None = None) -> DataFrame:
     """O-32: a run given as a table of job specs (``plans.requests.JOB_SPEC``), each with its own result.
 
     Every job has its environment, feed, window and record cap; jobs may ask
@@ -450,7 +523,7 @@ def run_jobs(spark: SparkSession, specs: DataFrame, *, landing_path: str, transp
         jobs.append({"ordinal": j["ordinal"], "endpoint": e, "tags": tags, "table": table, "path": (paths or {}).get(e),
                      "max_records": j["maxRecords"]})
     log = load_jobs(spark, landed, jobs, fmt=fmt, run_id=run_id, quarantine_path=quarantine_path,
-                    check_tags=check_tags) if jobs else None
+                    check_tags=check_tags, journal_path=journal_path) if jobs else None
     missing = spark.createDataFrame(missed, "env string, endpoint string, feed_ordinal int").select(
         F.lit(run_id).alias("run_id"), "feed_ordinal", F.lit(None).cast("string").alias("request_id"),
         "endpoint", F.lit(None).cast("bigint").alias("mlsSid"), F.lit(FAILED).alias("status"),

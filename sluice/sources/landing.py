@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sluice.sources.fetch import PAYLOAD_SCHEMA
 from sluice.sources.files import read_document_files
-from sluice.sources.storage import open_filesystem, qualified
+from sluice.sources.storage import open_filesystem, qualified, remove_dir
 from sluice.sources.transport import safe_file_name
 
 LANDING_PARTITIONS = ["endpoint", "load_date"]
@@ -71,6 +71,42 @@ def read_landed(spark: SparkSession, path: str, endpoint: str | None = None,
     return df
 
 
+def loaded_partitions(landed: DataFrame, run_log: DataFrame, before) -> DataFrame:
+    """(endpoint, load_date, requests) of the landing partitions from before the day ``before`` whose payloads are all loaded.
+
+    A partition is loaded if the log has each of its requests as ``success``
+    in the run that landed it; one failed, missing or unknown request keeps
+    the partition whole, to be loaded again.
+    """
+    asked = (landed.where(F.col("load_date") < F.to_date(F.lit(str(before))))
+             .select("endpoint", "load_date", "run_id", "request_id").distinct())
+    done = (run_log.groupBy(F.col("endpoint").alias("_endpoint"), F.col("run_id").alias("_run"), F.col("request_id").alias("_request"))
+            .agg(F.min(F.col("status") == "success").alias("loaded")))
+    found = asked.join(done, (F.col("endpoint") == F.col("_endpoint")) & F.col("run_id").eqNullSafe(F.col("_run"))
+                       & F.col("request_id").eqNullSafe(F.col("_request")), "left")
+    return (found.groupBy("endpoint", "load_date")
+            .agg(F.count("*").alias("requests"), F.min(F.coalesce("loaded", F.lit(False))).alias("loaded"))
+            .where("loaded").drop("loaded"))
+
+
+def drop_loaded(spark: SparkSession, path: str, run_log: DataFrame, *, keep_days: int, as_of) -> list[tuple[str, str]]:
+    """O-30: remove landing partitions older than ``keep_days`` days whose payloads are all loaded; returns those removed.
+
+    A load never reads such a partition again (the run log says it is done), so
+    removing it is safe at any time; a call that was interrupted goes on with
+    the next one.  Only whole partition folders go, one Hadoop call for each;
+    their names reach the driver, no payload does.
+    """
+    before = spark.range(1).select(F.date_sub(F.to_date(F.lit(str(as_of))), int(keep_days)).cast("string")).first()[0]
+    gone = []
+    for r in loaded_partitions(read_landed(spark, path), run_log, before).orderBy("endpoint", "load_date").collect():
+        if not _PLAIN.match(r["endpoint"]):
+            raise ValueError(f"not a partition name to remove: {r['endpoint']}")
+        if remove_dir(spark, f"{path.rstrip('/')}/endpoint={r['endpoint']}/load_date={r['load_date']}"):
+            gone.append((r["endpoint"], str(r["load_date"])))
+    return gone
+
+
 def read_landed_files(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
     """One row per landed document file: (file_name, file_path, body, error); see ``sources.files``."""
     return read_document_files(spark, path, glob).select("file_name", "file_path", "body", "error")

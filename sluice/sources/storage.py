@@ -76,3 +76,10 @@ def make_dir(spark, path: str) -> None:
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(conf).mkdirs(target)
+
+
+def remove_dir(spark, path: str) -> bool:
+    """Remove a folder and all in it, through Hadoop; False where there was none."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(conf).delete(target, True))

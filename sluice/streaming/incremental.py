@@ -9,8 +9,11 @@ with overwrite: if a batch is replayed after a failure, it replaces its own
 output instead of appending it twice, so the table holds every record
 exactly once.  The id is the streaming query's own, kept in its checkpoint: a
 second query on the same table, or a lost checkpoint, starts a folder of its own
-and may read files again but never replaces what is there.  Malformed payloads
-go to the quarantine the same way.  A file counts as new whatever its age.
+and never replaces what is there.  With a manifest it does not read files again
+either: the manifest is a table of the files (path, length, time) that each
+batch loaded, written with the batch in the same folders, and every batch
+leaves out what other folders of it name.  Malformed payloads go to the
+quarantine the same way.  A file counts as new whatever its age.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from sluice.sources.landing import LANDING_PARTITIONS
 
 QUERY_COLUMN = "query"
 BATCH_COLUMN = "batch_id"
+FILE = "_file"
 #: The file source forgets files older than this, counted from the newest one it has seen; its default is a week.
 NO_AGE_LIMIT = "1000000d"
 
@@ -41,7 +45,7 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
                      row_tags: Sequence[str] | None = None,
                      max_files_per_trigger: int | None = 1000, files: bool = False,
                      glob: str = "*.xml", every: str | None = None,
-                     split_bytes: int | None = None):
+                     split_bytes: int | None = None, manifest_path: str | None = None):
     """Run one availableNow pass; returns the number of micro-batches run.
 
     ``log_path`` gets a run log: a row for each payload with its status, record
@@ -58,6 +62,10 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     boundaries and the parts spread over tasks before parsing (a shuffle of
     the batch's bodies, so it is opt-in for feeds that drop large files;
     landed payloads were already split when fetched).
+
+    With ``manifest_path`` files that another checkpoint on it has loaded are left out: a lost
+    checkpoint doubles nothing but the one batch that was written when it was lost, if its manifest
+    was not.
     """
     cols = feed_columns(endpoint)
     tags = row_tags or DEFAULT_ROW_TAGS
@@ -73,22 +81,32 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if files:
         src = stream_document_files(reader, landing_path, glob).select(
-            F.col("file_name").alias("request_id"), F.lit(None).cast("bigint").alias("mlsSid"), "content")
+            F.col("file_name").alias("request_id"), F.lit(None).cast("bigint").alias("mlsSid"), "content",
+            F.struct(F.col("file_path").alias("path"), "length", "modified").alias(FILE))
     else:
         feed_dir = f"{landing_path.rstrip('/')}/endpoint={endpoint}"
         make_dir(spark, feed_dir)
-        src = reader.parquet(feed_dir).withColumn("endpoint", F.lit(endpoint))
+        src = reader.parquet(feed_dir)
+        if manifest_path:
+            src = src.withColumn(FILE, F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"),
+                                                F.col("_metadata.file_modification_time").alias("modified")))
+        src = src.withColumn("endpoint", F.lit(endpoint))
     seen: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # Set by the stream for the job it runs; the same in every run on one checkpoint.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"{QUERY_COLUMN}={query}/{BATCH_COLUMN}={batch_id}"
+        if manifest_path:
+            seen_before = read_manifest(batch.sparkSession, manifest_path).where(
+                ~((F.col(QUERY_COLUMN) == query) & (F.col(BATCH_COLUMN) == batch_id)))
+            batch = batch.join(seen_before.select(F.struct("path", "length", "modified").alias(FILE)).distinct(), FILE, "left_anti")
+        mine = batch.select(f"{FILE}.*").distinct() if manifest_path else None
         if files:
             batch = decode_documents(batch)
         if files and split_bytes:
             batch = split_documents(batch, split_bytes, tags)
             batch = batch.repartition(default_parallelism(batch.sparkSession), "request_id", "part")
-        # Set by the stream for the job it runs; the same in every run on one checkpoint.
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        place = f"{QUERY_COLUMN}={query}/{BATCH_COLUMN}={batch_id}"
         # A micro-batch reads a fixed list of files, so the records (full
         # parse) and the quarantine (light status pass) read it separately
         # instead of caching the parsed documents.
@@ -110,6 +128,8 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
                      F.when(message == "", F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("rows"),
                      message.alias("message"), F.current_timestamp().alias("finished_at"))
              .write.mode("overwrite").parquet(f"{log_path}/{place}"))
+        if manifest_path:
+            mine.write.mode("overwrite").parquet(f"{manifest_path}/{place}")
         seen.append(batch_id)
 
     writer = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -120,6 +140,17 @@ def incremental_load(spark: SparkSession, landing_path: str, endpoint: str, tabl
     return len(seen)
 
 
+def read_manifest(spark: SparkSession, manifest_path: str) -> DataFrame:
+    """(path, length, modified, query, batch_id) of the files that the batches loaded."""
+    schema = f"path string, length bigint, modified timestamp, {QUERY_COLUMN} string, {BATCH_COLUMN} bigint"
+    try:
+        return spark.read.schema(schema).parquet(manifest_path)
+    except Exception as e:  # nothing loaded yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_incremental(spark: SparkSession, table_path: str, endpoint: str,
                      with_batch: bool = False) -> DataFrame:
     """The incrementally loaded table (declared schema)."""

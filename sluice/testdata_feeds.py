@@ -35,7 +35,7 @@ from sluice.plans.requests import plan_api_requests, plan_requests, plan_request
 from sluice.session import default_parallelism, scratch_path
 from sluice.sinks.tables import append_table
 from sluice.sources.fetch import fetch_payloads, replay_payloads
-from sluice.sources.landing import export_documents, land_payloads, read_landed, read_landed_files
+from sluice.sources.landing import drop_loaded, export_documents, land_payloads, read_landed, read_landed_files
 from sluice.sources.split import split_documents
 from sluice.sources.storage import qualified
 from sluice.sources.tags import discover_row_tags
@@ -709,6 +709,32 @@ def q_incremental_restart(spark: SparkSession, d: str) -> DataFrame:
     return read_incremental(spark, out, LISTINGS)
 
 
+def q_incremental_lost_checkpoint(spark: SparkSession, d: str) -> DataFrame:
+    """O-37: the same landing loaded again with a new checkpoint: the manifest knows its files, nothing doubles."""
+    payloads = listing_payloads(spark, d).select(
+        "request_id", "endpoint", "mlsSid", "body", F.to_date(F.lit(AS_OF)).alias("load_date"))
+    landing, out, manifest = scratch_path(spark, "landing"), scratch_path(spark, "incr"), scratch_path(spark, "incr-manifest")
+    for part in (F.col("mlsSid") < 12, F.col("mlsSid") >= 12):
+        land_payloads(payloads.where(part), landing)
+        incremental_load(spark, landing, LISTINGS, out, scratch_path(spark, "incr-ckpt"), manifest_path=manifest)
+    return read_incremental(spark, out, LISTINGS)
+
+
+def q_landing_retention(spark: SparkSession, d: str) -> DataFrame:
+    """O-30: five days of agent payloads, damaged ones on two of them, loaded; days that are over and loaded whole are
+    dropped from the landing, the others stay: what the landing still holds."""
+    payloads = _agent_payloads(spark, d)
+    day = (F.col("mlsSid") % 5).cast("int")
+    damaged = day.isin(1, 3)
+    payloads = payloads.where(damaged | (F.col("error").isNull() & F.col("body").endswith("</r>")))
+    landing, log = scratch_path(spark, "landing"), scratch_path(spark, "run-log")
+    land_payloads(payloads.withColumn("run_id", F.lit("run-1"))
+                  .withColumn("load_date", F.date_sub(F.to_date(F.lit(AS_OF)), day)), landing)
+    load_feed(spark, read_landed(spark, landing), AGENTS_ALL, path=scratch_path(spark, "feed"), log_path=log, run_id="run-1")
+    drop_loaded(spark, landing, spark.read.parquet(log), keep_days=1, as_of=AS_OF)
+    return read_landed(spark, landing).select("request_id", "endpoint", F.datediff(F.to_date(F.lit(AS_OF)), "load_date").alias("age"))
+
+
 def q_job_specs_run(spark: SparkSession, d: str) -> DataFrame:
     """O-32/O-10: a run given as a table of jobs (one per nation, one of them asked twice), each with its own environment,
     feed, window and record cap: one result for each, in order, and the window its requests asked for."""
@@ -827,6 +853,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "request_misses": q_request_misses,
     "incremental_load": q_incremental_load,
     "incremental_restart": q_incremental_restart,
+    "incremental_lost_checkpoint": q_incremental_lost_checkpoint,
+    "landing_retention": q_landing_retention,
     "job_specs_run": q_job_specs_run,
     "all_feeds_run": q_all_feeds_run,
 }
@@ -983,6 +1011,11 @@ ORACLE_SQL: dict[str, str] = {
                             "FROM orders) WHERE rn <= 1000"),
     "incremental_restart": listing_oracle(),
     "incremental_load": listing_oracle(),
+    "incremental_lost_checkpoint": listing_oracle(),
+    "landing_retention": (
+        f"SELECT CAST(c_custkey // 8 AS VARCHAR) AS request_id, '{AGENTS_ALL}' AS endpoint, "
+        "CAST((c_custkey // 8) % 5 AS INTEGER) AS age FROM customer GROUP BY c_custkey // 8 HAVING (c_custkey // 8) % 5 IN (1, 3) OR "
+        "((c_custkey // 8) % 5 = 0 AND NOT bool_or(c_acctbal > 9900) AND NOT bool_or(c_acctbal < 0))"),
     "job_specs_run": (
         "WITH j AS (SELECT n_nationkey AS o, n_nationkey AS k, CASE WHEN n_regionkey < 3 THEN 'dev' ELSE 'uat' END AS env "
         "FROM nation UNION ALL SELECT 25, n_nationkey, CASE WHEN n_regionkey < 3 THEN 'dev' ELSE 'uat' END FROM nation "
