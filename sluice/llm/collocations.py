@@ -7,16 +7,18 @@ length: a longer phrase is active from the first shard at which both its
 subphrases (without its last, without its first word) have reached it, is
 counted through one full cycle from there, and then is complete.  So lengths
 interleave, and only phrases that can still reach the threshold are counted.
-The scan ends when a whole cycle has activated nothing new.
+The scan ends when a whole cycle has activated nothing new, or with that last cycle.
 
 What has reached the threshold goes to the scans as one filter of bits for each
-length (two probes for a phrase; at most ``MAX_BITS`` bits, less for small
+length (two bits for a phrase; at most ``MAX_BITS`` bits, less for small
 corpora): bounded, however many phrases there are.  A filter may hold phrases
 that did not reach the threshold, so some are counted in vain, but none that
 did is ever missing, and bits are never cleared: activity is monotone.  Hence
 no activation times are needed: a shard counts the phrases that are active now
 and were not when it was scanned one cycle ago - each phrase exactly once in
-each shard.
+each shard.  Two cycles in, words and pairs are complete; what is left are late
+activations of longer phrases.  The last cycle takes them all at once: there a
+phrase is active, too, if its subphrases are still being counted.
 
 In the cycles a phrase is a 64-bit hash of its language and words, so that the
 many that fall short stay small; equal hashes can only raise a count.  One
@@ -47,13 +49,14 @@ from sluice.operators.filters import cap_records_per_key
 
 SHARDS = 2
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 26
-_PART = 4 << 20
-_WORDS_KEPT = 500_000       # words that a task's dictionary holds before it starts anew
-_COUNTS_KEPT = 2_000_000    # counts that a task gathers before it hands them on
+_PART = 1 << 20
+_WORDS_KEPT = 200_000       # words that a task's dictionary holds before it starts anew
+_COUNTS_KEPT = 2_000_000    # places that a task gathers before it hands their counts on
 _BREAK = b"."               # any separator of pieces stands as this byte, which no word can hold
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else _BREAK[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
                for c in range(256))
 _HASHED = "k int, hash long, n long"
+_PHRASES_KEPT = 100_000     # phrases that a task counts before it hands them on
 _EXACT = "lang string, k int, phrase string, n long"
 
 
@@ -95,31 +98,37 @@ def _longer(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(phrase * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def _probes(hashed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(bits - 1)
-    return hashed & mask, (hashed >> np.uint64(32)) & mask
-
-
 def _holds(table: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    """Which hashes a filter (bits as bytes) holds."""
-    out = np.ones(len(hashed), bool)
-    for at in _probes(hashed, 8 * len(table)):
-        out &= (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return out
+    """Which hashes a filter holds: two bits of one 64-bit word of the table."""
+    word = table[((hashed >> np.uint64(12)) & np.uint64(len(table) - 1)).astype(np.int64)]
+    low = np.uint64(63)
+    return ((word >> (hashed & low)) & (word >> ((hashed >> np.uint64(6)) & low)) & np.uint64(1)).astype(bool)
+
 
+def _walk(lang: str, ids: np.ndarray, hashes: np.ndarray, now: list[np.ndarray], then: list[np.ndarray] | None = None,
+          done: list[np.ndarray] | None = None):
+    """For k = 1, 2, ...: places and hashes of the phrases of k words whose subphrases the filters hold, and which of
+    these were active by the filters ``then`` (all words; of longer phrases none without ``then``).
 
-def _walk(lang: str, ids: np.ndarray, hashes: np.ndarray, tables: list[np.ndarray]):
-    """For k = 1, 2, ...: places and hashes of the phrases of k words whose subphrases the filters hold."""
-    at = np.flatnonzero(ids)
+    With ``done``, the filters of one cycle ago, subphrases that were not active by them will do, too: their counts are
+    not complete.
+    """
+    at, word = np.flatnonzero(ids), hashes[ids]
     value = np.zeros(len(ids), np.uint64)
-    value[at] = _begin(lang, hashes[ids[at]])
-    yield 1, at, value[at]
-    for k, table in enumerate(tables, 2):
-        held = np.zeros(len(ids) + 1, bool)
-        held[at[_holds(table, value[at])]] = True
+    value[at] = _begin(lang, word[at])
+    marks = [np.ones(len(at), bool) for tables in (then, done) if tables is not None]
+    yield 1, at, value[at], np.ones(len(at), bool)
+    for k, table in enumerate(now, 2):
+        held, good = np.zeros(len(ids) + 1, bool), _holds(table, value[at])
+        held[at[good | ~marks[-1] if done is not None else good]] = True
+        old = []
+        for tables, mark in zip([t for t in (then, done) if t is not None], marks, strict=True):
+            old.append(np.zeros(len(ids) + 1, bool))
+            old[-1][at[mark][_holds(tables[k - 2], value[at[mark]])]] = True
         at = np.flatnonzero(held[:-1] & held[1:])
-        value[at] = _longer(value[at], hashes[ids[at + k - 1]])
-        yield k, at, value[at]
+        marks = [o[at] & o[at + 1] for o in old]
+        value[at] = _longer(value[at], word[at + k - 1])
+        yield k, at, value[at], marks[0] if marks else np.zeros(len(at), bool)
 
 
 def _distinct(ids: np.ndarray, at: np.ndarray, k: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +146,7 @@ def _distinct(ids: np.ndarray, at: np.ndarray, k: int, words: int) -> tuple[np.n
 
 
 def _parts(stream: bytes):
-    """The translated stream in parts of about 4 MB, cut between words."""
+    """The translated stream in parts of about 1 MB, cut between words."""
     at = 0
     while at < len(stream):
         ends = [x for x in (stream.find(b" ", at + _PART), stream.find(_BREAK, at + _PART)) if x >= 0]
@@ -150,7 +159,7 @@ def _streams(batches, most: int):
     """Of (lang, text) batches: (dictionary, lang, tokens, how many of them were in the part before)."""
     words = _Words()
     for batch in batches:
-        for piece in byte_slices(batch, 1, 8 << 20):
+        for piece in byte_slices(batch, 1, 4 << 20):
             langs, texts = np.array(piece.column(0).to_pylist(), object), texts_as_bytes(piece.column(1))
             for lang in sorted(set(langs)):
                 stream = _BREAK.join(texts[i].translate(_TABLE) for i in np.flatnonzero(langs == lang))
@@ -163,38 +172,33 @@ def _streams(batches, most: int):
                         words = _Words()
 
 
-def scanner(now: list[np.ndarray], then: list[np.ndarray], words_too: bool):
+def scanner(now: list[np.ndarray], then: list[np.ndarray] | None, words_too: bool,
+            done: list[np.ndarray] | None = None):
     """(lang, text) batches -> (k, hash, n): counts of the phrases that are active now and were not then."""
     most = len(now) + 1
 
-    def summed(held: list) -> pa.RecordBatch:
-        ks = sorted({k for k, _, _ in held})
+    def summed(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
         out = []
-        for k in ks:
-            code, hashed = pd.factorize(np.concatenate([h for j, h, _ in held if j == k]))
-            n = np.bincount(code, np.concatenate([c for j, _, c in held if j == k]), len(hashed)).astype(np.int64)
-            out.append((np.full(len(hashed), k, np.int32), hashed.view(np.int64), n))
+        for k, values in held.items():
+            code, hashed = pd.factorize(np.concatenate(values))
+            out.append((np.full(len(hashed), k, np.int32), hashed.view(np.int64), np.bincount(code, minlength=len(hashed))))
         cols = [np.concatenate(c) for c in zip(*out, strict=True)]
         return pa.record_batch([pa.array(c) for c in cols], names=["k", "hash", "n"])
 
     def scan(batches):
-        held, size = [], 0
+        held, size = {}, 0
         for words, lang, tokens, known in _streams(batches, most):
             ids = words.numbers(tokens)
-            for (k, at, value), (_, old, _) in zip(_walk(lang, ids, words.hashes, now), _walk(lang, ids, words.hashes, then),
-                                                   strict=True):
+            for k, at, value, was in _walk(lang, ids, words.hashes, now, then, done):
                 fresh = at + k > known          # what ends among the known tokens was counted with the part before
-                if k > 1:
-                    was = np.zeros(len(ids), bool)
-                    was[old] = True
-                    fresh &= ~was[at]
-                if (k > 1 or words_too) and fresh.any():
-                    code, hashed = pd.factorize(value[fresh])
-                    held.append((k, hashed, np.bincount(code, minlength=len(hashed))))
-                    size += len(hashed)
+                if k > 1 or not words_too:
+                    fresh &= ~was
+                if fresh.any():
+                    held.setdefault(k, []).append(value[fresh])
+                    size += len(held[k][-1])
             if size > _COUNTS_KEPT:
                 yield summed(held)
-                held, size = [], 0
+                held, size = {}, 0
         if held:
             yield summed(held)
     return scan
@@ -202,38 +206,44 @@ def scanner(now: list[np.ndarray], then: list[np.ndarray], words_too: bool):
 
 def recounter(filters: list[np.ndarray]):
     """(lang, text) batches -> (lang, k, phrase, n): exact counts of the phrases that the filters hold; k = 0 counts all words."""
-    def batch(lang: str, k: int, phrases: list[bytes], n) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([lang] * len(phrases), pa.string()), pa.array([k] * len(phrases), pa.int32()),
-                                pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+    def batch(held: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
+        langs, ks, phrases = zip(*held, strict=True)
+        return pa.record_batch([pa.array(langs, pa.string()), pa.array(ks, pa.int32()),
+                                pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())],
                                names=["lang", "k", "phrase", "n"])
 
     def count(batches):
+        held: dict[tuple[str, int, bytes], int] = {}
         for words, lang, tokens, known in _streams(batches, len(filters)):
             ids = words.numbers(tokens)
-            yield batch(lang, 0, [b""], [int(np.count_nonzero(ids[known:]))])
+            held[lang, 0, b""] = held.get((lang, 0, b""), 0) + int(np.count_nonzero(ids[known:]))
             names = list(words)
-            for (k, at, value), table in zip(_walk(lang, ids, words.hashes, filters[:-1]), filters, strict=True):
+            for (k, at, value, _), table in zip(_walk(lang, ids, words.hashes, filters[:-1]), filters, strict=True):
                 at = at[(at + k > known) & _holds(table, value)]
                 if len(at):
                     place, n = _distinct(ids, at, k, len(words))
-                    rows = ids[place[:, None] + np.arange(k)].tolist()
-                    yield batch(lang, k, [b" ".join([names[w] for w in row]) for row in rows], n)
+                    for row, m in zip(ids[place[:, None] + np.arange(k)].tolist(), n.tolist(), strict=True):
+                        key = lang, k, b" ".join([names[w] for w in row])
+                        held[key] = held.get(key, 0) + m
+            if len(held) > _PHRASES_KEPT:
+                yield batch(held)
+                held = {}
+        if held:
+            yield batch(held)
     return count
 
 
 def _filled(reached: DataFrame, filters: list[np.ndarray]) -> list[np.ndarray]:
     """The filters with the bits of these phrases (k, hash) set.  A filter's 64-bit words at most reach the driver."""
-    mask = 8 * len(filters[0]) - 1
-    bit = F.explode(F.array(F.col("hash").bitwiseAND(mask), F.shiftrightunsigned("hash", 32).bitwiseAND(mask)))
-    words = (reached.select("k", bit.alias("bit"))
-             .groupBy("k", F.shiftright("bit", 6).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask")).toArrow())
+    words = (reached.select("k", F.shiftrightunsigned("hash", 12).bitwiseAND(len(filters[0]) - 1).alias("word"),
+                            F.expr("shiftleft(1L, cast(hash & 63 as int)) | shiftleft(1L, cast((hash >> 6) & 63 as int))").alias("mask"))
+             .groupBy("k", "word").agg(F.expr("bit_or(mask)").alias("mask")).toArrow())
     if not words.num_rows:
         return filters
     filters = [x.copy() for x in filters]
     ks, at, masks = (words.column(c).to_numpy() for c in ("k", "word", "mask"))
     for k, table in enumerate(filters, 1):
-        table.view(np.int64)[at[ks == k]] |= masks[ks == k]
+        table[at[ks == k]] |= masks[ks == k].astype(np.uint64)
     return filters
 
 
@@ -247,14 +257,17 @@ def frequent_phrases(docs: DataFrame, threshold: int, most: int, text_col: str =
     size = shards.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # At most (words / threshold) phrases of a length can reach it; about eight bits for each.
     bits = min(max(MIN_BITS, 1 << int(8 * size / 6 / threshold + 1).bit_length()), MAX_BITS)
-    filters = empty = [np.zeros(bits // 8, np.uint8) for _ in range(most)]
-    versions, ages = [empty], [0]          # the filters ahead of each step, and when they last changed
+    filters = [np.zeros(bits // 64, np.uint64) for _ in range(most)]
+    versions, ages = [filters], [0]          # the filters ahead of each step, and when they last changed
     totals = spark.createDataFrame([], _HASHED + ", first int, fresh boolean")
     step = 0
-    while step < SHARDS or ages[step] != ages[step - SHARDS]:
-        then = versions[step - SHARDS] if step >= SHARDS else empty
+    closing = 2 * SHARDS                   # the step that begins the last cycle
+    while step < SHARDS or step < closing + SHARDS and (step > closing or ages[step] != ages[step - SHARDS]):
+        then = versions[step - SHARDS][:-1] if step >= SHARDS else None
+        # The last cycle reads all shards by the same filters.
+        now, done = versions[min(step, closing)][:-1], versions[closing - SHARDS][:-1] if step >= closing else None
         counts = (shards.where(F.col("shard") == step % SHARDS).select("lang", "text")
-                  .mapInArrow(scanner(filters[:-1], then[:-1], step < SHARDS), _HASHED))
+                  .mapInArrow(scanner(now, then, step < SHARDS, done), _HASHED))
         old = totals.select("k", "hash", "n", "first", F.col("n").alias("before"))
         new = counts.select("k", "hash", "n", F.lit(step).alias("first"), F.lit(0).cast("long").alias("before"))
         summed = (old.unionAll(new).groupBy("k", "hash")
@@ -271,7 +284,7 @@ def frequent_phrases(docs: DataFrame, threshold: int, most: int, text_col: str =
         step += 1
         versions.append(filters)
         ages.append(step if changed else ages[-1])
-        if step > SHARDS:
+        if SHARDS < step <= closing - 1:
             versions[step - SHARDS - 1] = []      # no longer asked for
     exact = (shards.select("lang", "text").mapInArrow(recounter(filters), _EXACT)
              .groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")))
