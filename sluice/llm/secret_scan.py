@@ -4,18 +4,21 @@ A candidate is a run of ``MIN_LENGTH`` or more letters, digits and ``+/_-`` in a
 word, or a value of any length and any characters but blanks that a name like
 "password" stands beside: assigned to it, or, if it has letters and digits, right
 after it.  Its features: length, shares of character classes, transitions between
-classes, spread of its characters, share covered by a dictionary, signs of a
-path around it, and the words before it (an assignment, a quote, a key word).
-A random forest trained on labelled findings tells secrets from false
-positives (identifiers, card numbers, long words, file names).
+classes, spread of its characters, the share covered by word parts and by a
+dictionary of the corpus (whole words by document frequency), how it begins,
+signs of a path around it, and the words before it (an assignment, a quote, a
+key word, a word for a checksum or an id, a word for an example).  A random
+forest trained on labelled findings tells secrets from false positives; its
+score alone decides.
 
 Labelled findings are a parameter: (id, word_index, part, label).  Where a
-corpus brings none, :func:`known_formats` labels those whose status is certain:
-keys and tokens in the formats of providers and values assigned to a name that
-says what they are, and on the other side paths, values of other names, plain
-words and numbers, and placeholders.  All others are left out of the training
-and scored by the forest; provider formats are always reported then.  Training takes ``MAX_FINDINGS`` findings at most in the mean, half of them
-of each label, drawn by a hash; scanning covers all whole texts.
+corpus brings none, the forest learns from ``secret_examples``: texts whose label
+is known by how they were made.  Findings name rows by id, so rows that repeat
+an id share them, and a null id names rows with a null id; where findings
+contradict each other the more frequent label counts (a tie: 1).  Training takes
+``MAX_FINDINGS`` findings at most in the mean, half of them of each label, drawn by a
+hash; the dictionary has ``DICTIONARY_WORDS`` words at most; scanning and document
+frequencies cover all whole texts.
 
 Defined results: null and empty texts have no candidates; without a labelled
 secret nothing is reported, with secrets only everything is; rows that repeat an
@@ -30,10 +33,12 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import materialise, read_table
 from sluice.llm.mixing import draw
+from sluice.llm.secret_examples import labelled_examples
 
 MIN_LENGTH = 16
 MAX_FINDINGS = 4000
-TREES, DEPTH = 30, 6
+TREES, DEPTH = 40, 9
+DICTIONARY_WORDS, LEAST_DOCS = 20_000, 3
 THRESHOLD = 0.5
 _RUN = rf"[A-Za-z0-9+/_\-]{{{MIN_LENGTH},}}"
 _KEYS = r"(?i)(token|secret|passw|passphrase|pwd|api.?key|access.?key|auth|credential|bearer)"
@@ -42,12 +47,11 @@ _NAME = (r"(?i:token|secret(?:[_\-]?access)?(?:[_\-]?key)?|passwor[dt]|passwd|pa
 _ASSIGN = r"[\"'\]]*\s*(?::=|=>|[:=])\s*"
 # A quoted value goes to its quote, another to a separator before the next name or at the word's end.
 _VALUE = r"""(?:"([^"]+)|'([^']+)|((?:[^"'&;,]|[&;,](?!\w*[:=]|$))+))"""
-#: Keys and tokens as providers write them, where a candidate is the whole of it or its first run.
-FORMATS = (
-    r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}|"
-    r"[srp]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abeoprs]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{35}|npm_[A-Za-z0-9]{36}|"
-    r"pypi-[A-Za-z0-9_\-]{32,}|hf_[A-Za-z0-9]{30,}|dop_v1_[0-9a-f]{64}|sk-[A-Za-z0-9_\-]{32,}|shp(?:at|ca|pa|ss)_[0-9a-fA-F]{32})$")
-_PLACEHOLDER = r"^(?:\$.*|[<{%\[].*[>}%\]]?|[*.xX#\-_]+)$"
+#: How the keys and tokens of providers begin.
+LEADS = (r"^(?:A[KS]IA[0-9A-Z]|gh[pousr]_|github_pat_|glpat-|[srp]k_(?:live|test)_|xox[abeoprs]-|AIza|npm_|pypi-|hf_|dop_v1_|sk-|"
+         r"shp(?:at|ca|pa|ss)_|eyJ)")
+_IDS = r"(?i)(commit|revision|sha\d*|md5|checksum|digest|hash|etag|integrity|uuid|guid|\bids?\b|tree/|object|base64|ssh-rsa|order|card|serial)"
+_SAMPLE = r"(?i)(example|sample|dummy|placeholder|your|changeme|xxxx|\*\*\*|todo|<|\$\{|\.\w+\.|environ|config|self\.|getpass)"
 #: Frequent words and word parts of English, French, German and Spanish texts and of code.
 DICTIONARY = (
     "the and ing tion ment que ent ver ung lich keit heit sch ein der die das und los las por con ado ción mente "
@@ -104,46 +108,44 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.expr("substring(word, `left` + 1 + length(core))").alias("suffix"), "before", "after")
 
 
-FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "vowels", "changes", "spread", "known", "path",
-            "assigned", "quoted", "key_near", "key_before", "format"]
+FEATURES = ["length", "digits", "uppers", "lowers", "signs", "hex", "vowels", "changes", "spread", "known", "words", "lead", "path",
+            "assigned", "quoted", "key_near", "key_before", "id_near", "sample"]
 
 
-def with_features(rows: DataFrame) -> DataFrame:
+def with_features(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Candidates with their features; ``dictionary``: a table of at most ``DICTIONARY_WORDS`` words."""
     core, n = F.col("core"), F.length("core").cast("double")
     share = lambda pattern: F.regexp_count(core, F.lit(pattern)) / n
     left = F.concat_ws(" ", "before", "prefix")
     known = F.regexp_replace(F.lower(core), "(" + "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))) + ")", "")
     flag = lambda c: c.cast("double")
-    return rows.select("*", *[c.alias(name) for name, c in zip(FEATURES, [
+    # A candidate's word parts are looked up in the dictionary, which is small enough to be sent to every task.
+    pieces = F.regexp_extract_all(F.regexp_replace(core, "([a-z])([A-Z])", "$1 $2"), F.lit("[A-Za-z]{4,}"), F.lit(0))
+    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "secrets-rows")
+    covered = (rows.select("row", F.explode(pieces).alias("piece"))
+               .join(F.broadcast(dictionary.limit(DICTIONARY_WORDS)), F.lower("piece") == F.col("word"), "left_semi")
+               .groupBy(F.col("row").alias("of")).agg(F.sum(F.length("piece")).alias("covered")))
+    rows = (rows.join(covered, F.col("row") == F.col("of"), "left")
+            .withColumn("words", F.coalesce(F.col("covered"), F.lit(0)) / n).drop("row", "of", "covered"))
+    return rows.select("*", *[c.alias(name) for name, c in zip([f for f in FEATURES if f != "words"], [
         F.log(n), share("[0-9]"), share("[A-Z]"), share("[a-z]"), share(r"[+/_\-]"), share("[0-9a-f]"),
         share("[aeiouAEIOU]"), share("[a-z](?![a-z])|[A-Z](?![A-Z])|[0-9](?![0-9])"),
         F.size(F.array_distinct(F.split(core, ""))) / F.least(n, F.lit(64.0)), 1 - F.length(known) / n,
+        flag(core.rlike(LEADS) | F.col("prefix").rlike(r"eyJ[A-Za-z0-9_\-]+\.$")),
         flag(core.rlike("/.*/") | F.col("prefix").rlike(r"[/\\]|^\w+:$") | F.col("suffix").rlike(r"^\.[A-Za-z0-9]{1,5}\b")),
         flag(left.rlike(r"[:=]\s*[\"']?$")), flag(F.col("prefix").rlike("[\"']$")),
-        flag(F.col("prefix").rlike(_KEYS)), flag(F.col("before").rlike(_KEYS)), flag(provider_format())], strict=True)])
+        flag(F.col("prefix").rlike(_KEYS)), flag(F.col("before").rlike(_KEYS)),
+        flag(left.rlike(_IDS)), flag(core.rlike(_SAMPLE) | F.col("suffix").rlike(r"^[(\[]"))], strict=True)])
 
 
-def provider_format() -> Column:
-    """Whether a candidate has the format of a provider's key, or is a part of a JSON web token."""
-    head, rest = r"eyJ[A-Za-z0-9_\-]+", r"[A-Za-z0-9_\-]+"
-    core, prefix, suffix = F.col("core"), F.col("prefix"), F.col("suffix")
-    jwt = ((core.rlike(f"^{head}$") & (suffix.rlike(rf"^\.{head}\.{rest}") | (prefix.rlike(rf"{head}\.$") & suffix.rlike(rf"^\.{rest}"))))
-           | prefix.rlike(rf"{head}\.{head}\.$") | core.rlike(rf"^{head}\.{head}\.{rest}$"))
-    return core.rlike(FORMATS) | jwt
+def corpus_dictionary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(word): the ``DICTIONARY_WORDS`` words of four or more letters that stand in the most texts, in ``LEAST_DOCS`` at least.
 
-
-def known_formats(rows: DataFrame) -> Column:
-    """1 for candidates that are certainly secrets, 0 for those that certainly are none, null for the others."""
-    core = F.col("core")
-    left = F.concat_ws(" ", "before", "prefix")
-    keyed = left.rlike(_KEYS + r"[A-Za-z0-9_\-\"']*\s*[:=]\s*[\"']?$")
-    named = left.rlike(rf"{_NAME}{_ASSIGN}[\"']?$")
-    mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
-    long = F.length(core) >= MIN_LENGTH
-    near = (F.col("key_near") > 0) | (F.col("key_before") > 0)
-    secret = provider_format() | (keyed & mixed & long) | (named & mixed & (F.length(core) >= 6) & ~core.rlike(_PLACEHOLDER))
-    other = core.rlike(_PLACEHOLDER) | (~near & ((F.col("path") > 0) | (F.col("assigned") > 0) | ~mixed))
-    return F.when(secret, 1.0).when(other, 0.0)
+    Whole words between blanks and points only, so that parts of keys do not become words.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?<![^\s.,;:!?])[a-z]{4,}(?![^\s.,;:!?])"), F.lit(0)))
+    return (docs.select(F.explode(words).alias("word")).groupBy("word").count().where(F.col("count") >= LEAST_DOCS)
+            .orderBy(F.desc("count"), "word").limit(DICTIONARY_WORDS).select("word"))
 
 
 def train(findings: DataFrame, max_findings: int = MAX_FINDINGS):
@@ -174,22 +176,31 @@ def score(rows: DataFrame, model) -> DataFrame:
     return model.transform(data).withColumn("score", vector_to_array("probability")[1])
 
 
+def example_findings(spark, dictionary: DataFrame, each: int | None = None) -> DataFrame:
+    """The labelled examples as candidates with features; candidates beside an example's value are left out."""
+    texts = materialise(labelled_examples(spark) if each is None else labelled_examples(spark, each), "secrets-texts")
+    rows = with_features(candidates(texts, "id", "text"), dictionary)
+    return (rows.join(texts.select(F.col("id").alias("of"), "value", "label"), F.col("key") == F.col("of"))
+            .where(F.col("value").contains(F.col("core"))).drop("of", "value"))
+
+
 def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD) -> DataFrame:
     """One row per secret: id, word_index, part, secret, score.
 
     ``findings``: labelled candidates (id, word_index, part, label 0 or 1).
     """
-    rows = materialise(with_features(candidates(docs, id_col, text_col)), "secrets-candidates")
+    spark = docs.sparkSession
+    dictionary = materialise(corpus_dictionary(docs, text_col), "secrets-dictionary")
+    rows = materialise(with_features(candidates(docs, id_col, text_col), dictionary), "secrets-candidates")
     if findings is None:
-        labelled = rows.withColumn("label", known_formats(rows)).where("label is not null")
+        labelled = materialise(example_findings(spark, dictionary), "secrets-examples")
     else:
-        known = findings.select(F.col(id_col).alias("key"), "word_index", "part", F.col("label").cast("double").alias("label"))
-        labelled = rows.join(known, ["key", "word_index", "part"])
-    found = score(rows, train(labelled))
-    if findings is None:
-        found = found.withColumn("score", F.when(F.col("format") > 0, F.lit(1.0)).otherwise(F.col("score")))
-    found = found.where(F.col("score") >= threshold)
+        named = (findings.groupBy(F.col(id_col).alias("of"), F.col("word_index").alias("at"), F.col("part").alias("nth"))
+                 .agg((F.avg(F.col("label").cast("double")) >= 0.5).cast("double").alias("label")))
+        labelled = rows.join(named, F.col("key").eqNullSafe(F.col("of")) & (F.col("word_index") == F.col("at"))
+                             & (F.col("part") == F.col("nth"))).drop("of", "at", "nth")
+    found = score(rows, train(labelled)).where(F.col("score") >= threshold)
     return found.select(F.col("key").alias(id_col), "word_index", "part", F.col("core").alias("secret"), "score")
 
 
