@@ -137,7 +137,4 @@ def test_provider_tokens_in_prose_and_unknown_ones(spark):
     rows += [(2000, "login password=hunter2abc now"), (3000, "commit 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b")]
     df = spark.createDataFrame([(i, t, "c", 0.5, 1) for i, t in rows], SCHEMA)
     got = {r["doc_id"] for r in secret_scan.scan_secrets(df).collect()}
-    assert got >= {1000, 1001, 1002, 1003, 2000}
-    features = secret_scan.with_features(secret_scan.candidates(df))
-    label = {r["key"]: r["label"] for r in features.withColumn("label", secret_scan.known_formats(features)).collect()}
-    assert [label[i] for i in (1000, 1001, 1002, 1003, 2000, 3000)] == [1, 1, 1, 1, 1, None]
+    assert got >= {1000, 1001, 1002, 1003, 2000} and 3000 not in got
