@@ -177,7 +177,9 @@ def predictor(model: Model):
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", as_col: str = "language") -> DataFrame:
-    """``docs`` with a column ``as_col``: struct(lang, score, gap, ambiguous)."""
+    """``docs`` with a new column ``as_col``: struct(lang, score, gap, ambiguous)."""
+    if as_col in docs.columns:
+        raise ValueError(f"the table has a column {as_col} already; name another with as_col")
     return docs.withColumn(as_col, predictor(model)(F.col(text_col)))
 
 

@@ -88,3 +88,11 @@ def test_every_language_is_learned(spark):
     model = langid.learn(docs)
     assert model.languages == [f"l{k:03d}" for k in range(230)]
     assert sum(model.predict(t.encode())[0] == lang for _, t, lang, *_ in rows[:230]) > 0.95 * 230
+
+
+def test_a_column_is_not_overwritten(spark):
+    docs = spark.createDataFrame([(1, "some text", "mine")], "doc_id long, text string, language string")
+    model = langid.learn(docs.withColumn("lang", docs["language"]))
+    with pytest.raises(ValueError, match="language"):
+        langid.identify(docs, model)
+    assert langid.identify(docs, model, as_col="found").columns == ["doc_id", "text", "language", "found"]
