@@ -51,12 +51,11 @@ SHARDS = 2
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 26
 _PART = 1 << 20
 _WORDS_KEPT = 200_000       # words that a task's dictionary holds before it starts anew
-_COUNTS_KEPT = 2_000_000    # places that a task gathers before it hands their counts on
+_COUNTS_KEPT = 500_000    # places that a task gathers before it hands their counts on
 _BREAK = b"."               # any separator of pieces stands as this byte, which no word can hold
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else _BREAK[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
                for c in range(256))
 _HASHED = "k int, hash long, n long"
-_PHRASES_KEPT = 100_000     # phrases that a task counts before it hands them on
 _EXACT = "lang string, k int, phrase string, n long"
 
 
@@ -206,30 +205,22 @@ def scanner(now: list[np.ndarray], then: list[np.ndarray] | None, words_too: boo
 
 def recounter(filters: list[np.ndarray]):
     """(lang, text) batches -> (lang, k, phrase, n): exact counts of the phrases that the filters hold; k = 0 counts all words."""
-    def batch(held: dict[tuple[str, int, bytes], int]) -> pa.RecordBatch:
-        langs, ks, phrases = zip(*held, strict=True)
-        return pa.record_batch([pa.array(langs, pa.string()), pa.array(ks, pa.int32()),
-                                pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())],
+    def batch(lang: str, k: int, phrases: list[bytes], n) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([lang] * len(phrases), pa.string()), pa.array([k] * len(phrases), pa.int32()),
+                                pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
                                names=["lang", "k", "phrase", "n"])
 
     def count(batches):
-        held: dict[tuple[str, int, bytes], int] = {}
         for words, lang, tokens, known in _streams(batches, len(filters)):
             ids = words.numbers(tokens)
-            held[lang, 0, b""] = held.get((lang, 0, b""), 0) + int(np.count_nonzero(ids[known:]))
+            yield batch(lang, 0, [b""], [int(np.count_nonzero(ids[known:]))])
             names = list(words)
             for (k, at, value, _), table in zip(_walk(lang, ids, words.hashes, filters[:-1]), filters, strict=True):
                 at = at[(at + k > known) & _holds(table, value)]
                 if len(at):
                     place, n = _distinct(ids, at, k, len(words))
-                    for row, m in zip(ids[place[:, None] + np.arange(k)].tolist(), n.tolist(), strict=True):
-                        key = lang, k, b" ".join([names[w] for w in row])
-                        held[key] = held.get(key, 0) + m
-            if len(held) > _PHRASES_KEPT:
-                yield batch(held)
-                held = {}
-        if held:
-            yield batch(held)
+                    rows = ids[place[:, None] + np.arange(k)].tolist()
+                    yield batch(lang, k, [b" ".join([names[w] for w in row]) for row in rows], n)
     return count
 
 
