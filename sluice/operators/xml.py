@@ -53,27 +53,38 @@ def parse_ready(body: Column) -> Column:
     return F.when(body.startswith(BOM), F.substring(body, 2, 2 ** 31 - 1)).otherwise(body)
 
 
-def with_whole(docs: DataFrame, body: str = "_body", as_col: str = "_whole") -> DataFrame:
-    """Add whether a body that the reader accepts is one whole document.
+#: Child that is put in before a document's last tag, and is read if that tag ends the root.
+MARK = "sluice-end"
+
+
+def read_whole(docs: DataFrame, fields: str, columns: Sequence[str], body: str = "_body", as_col: str = "_whole") -> DataFrame:
+    """Add ``_x``, the document read with the DDL ``fields`` (records of ``columns``), and whether a body that the reader accepts is one whole document.
 
     The reader stops at the end of the root element and takes undeclared
     prefixes.  So: nothing but blanks, comments and processing instructions
     may follow the root, and every prefix must be declared where it is used.
 
-    Nearly all documents are settled by byte searches: a plain start tag, no
-    comment or CDATA, and the root's end tag once, at the very end.  Only the
-    others pay for regular expressions over their tags.
+    Nearly all documents begin with a plain start tag and end with its end tag.
+    A child put in before that last tag is read as the root's last one
+    exactly if that tag ends the root, so the reader itself tells whether
+    something follows and the text is not searched.  The child holds a hash of
+    the document, so that none of its own can stand for it.  Only
+    the other documents pay for regular expressions over their tags.
     """
     raw = F.col(body)
+    # An attribute could only be read by a column that begins as the reader names attributes.
+    options = XML_OPTIONS | {"excludeAttribute": str(not any(c.startswith("_") for c in columns)).lower()}
     docs = docs.withColumn("_name", F.regexp_extract(F.substring(raw, 1, 4096), _PLAIN_START, 1))
-    end = F.concat(F.lit("</"), F.col("_name"), F.lit(">"))
-    before = lambda what, n: F.octet_length(F.call_function("substring_index", raw, what, F.lit(n)))
-    newline = F.when(raw.endswith("\r\n"), 2).when(raw.endswith("\n"), 1).otherwise(0)
-    spaced = [raw.contains(F.concat(F.lit("</"), F.col("_name"), F.lit(blank))) for blank in " \n\t\r"]
-    inner_pi = F.when(raw.startswith("<?"), before(F.lit("<?"), -1) != F.octet_length(raw) - 2).otherwise(raw.contains("<?"))
-    plain = ((F.col("_name") != "") & (before(end, 1) + F.octet_length(end) + newline == F.octet_length(raw))
-             & ~raw.contains("<!") & ~inner_pi & ~spaced[0] & ~spaced[1] & ~spaced[2] & ~spaced[3])
-    docs = docs.withColumn("_plain", F.coalesce(plain, F.lit(False)))
+    end = F.concat(F.lit("</"), F.col("_name"), F.lit(">"),
+                   F.when(raw.endswith("\r\n"), "\r\n").when(raw.endswith("\n"), "\n").otherwise(""))
+    # Cut as bytes: a string would be counted through for its characters.
+    before = F.call_function("substring", raw.cast("binary"), F.lit(1), F.octet_length(raw) - F.octet_length(end)).cast("string")
+    child = F.concat(F.lit(f"<{MARK}>"), F.xxhash64(raw).cast("string"), F.lit(f"</{MARK}>"))
+    docs = docs.withColumn("_marked", F.when((F.col("_name") != "") & raw.endswith(end), F.concat(before, child, end)))
+    docs = docs.withColumn("_x", F.from_xml(parse_ready(F.coalesce("_marked", raw)), f"{_q(MARK)} array<string>, {fields}", options))
+    last = F.col(f"_x.{_q(MARK)}")
+    seen = F.get(last, F.size(last) - 1) == F.xxhash64(raw).cast("string")
+    docs = docs.withColumn("_plain", F.col("_marked").isNotNull() & F.coalesce(seen, F.lit(False)))
     # Beyond here only what is not plain: markup that cannot hold an element goes, the root's own tags are walked.
     # (Trimming looks at every character, so plain documents are not trimmed.)
     cleaned = F.when(raw.contains("<!") | raw.contains("<?"), F.regexp_replace(raw, _NO_ELEMENT, "")).otherwise(raw)
@@ -92,21 +103,32 @@ def with_whole(docs: DataFrame, body: str = "_body", as_col: str = "_whole") ->
         lambda acc: acc["ends"])
     ends_once = ((F.size("_tags") > 0) & (walk == 1)
                  & F.col("_text").endswith(F.get("_tags", F.size("_tags") - 1)))
-    text = F.coalesce("_text", raw)
-    bound = F.when(raw.contains(":") & text.rlike(_PREFIXED), prefixes_bound(text)).otherwise(True)
+    prefixed = raw.contains(":") & (_prefixed_name(raw) | (raw.contains("=") & raw.rlike(_PREFIXED_VALUE)))
+    bound = F.when(prefixed, prefixes_bound(cleaned)).otherwise(True)
     whole = F.when(F.col("_plain"), True).otherwise(ends_once) & bound
     return (docs.withColumn(as_col, F.coalesce(whole, F.lit(False)))
-            .drop("_name", "_plain", "_text", "_tags"))
+            .drop("_name", "_marked", "_plain", "_text", "_tags"))
 
 
 # A start tag without prefix declarations in sight is found whole; an empty root or anything before it is not plain.
 _PLAIN_START = r"""^\ufeff?(?:<\?xml\s[^<>]*\?>\s*)?<([^\s/<>!?]+)(?:\s+[^\s=/<>]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*>"""
 # A colon that may belong to a prefix: in the name of an element (of 100 characters at most before it), or of something
-# that is assigned a quoted value.  Anchored at the colon, so other text costs one look for it.
-_PREFIXED = r""":(?:(?<=</?[^\s<>:='"!?/]{1,100}:)|[^\s<>:='"/]+\s*=\s*["'])"""
+# that is assigned a quoted value.
+_PREFIXED_NAME = r"""</?[^\s<>:='"!?/]{1,100}+:"""
+_NAME_ONLY = r"""^/?[^\s<>:='"!?/]{1,100}+\z"""
+_COLONS = 4096
+_PREFIXED_VALUE = r""":[^\s<>:='"/]+\s*=\s*["']"""
 _ANY_TAG = r"""<[^<>"'!?]+(?:"[^"<]*"[^<>"']*+|'[^'<]*'[^<>"']*+)*+>"""
 
 
+def _prefixed_name(text: Column) -> Column:
+    """Does ``_PREFIXED_NAME`` match?  With few colons only what stands before each is looked at; of a malformed text
+    it may say yes."""
+    pieces = F.split(text, ":", _COLONS)
+    at_name = F.exists(pieces, lambda p: F.substring_index(p, "<", -1).rlike(_NAME_ONLY) & p.contains("<"))
+    return F.when(F.size(pieces) < _COLONS, at_name).otherwise(text.rlike(_PREFIXED_NAME))
+
+
 def prefixes_bound(text: Column) -> Column:
     """Is every prefix of a well-formed document (without comments) declared on its element or one around it?
 
@@ -160,8 +182,7 @@ def parse_documents(payloads: DataFrame, columns: Sequence[str],
     tags = list(row_tags)
     if max_records is not None and len(tags) > 1:
         payloads = cap_documents(payloads, _room(payloads, max_records), tags, body)
-    x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
-    parsed = with_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body"), x.alias("_x")))
+    parsed = read_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body")), document_schema(columns, row_tags), columns)
     if len(tags) == 1:
         recs = F.col(f"_x.{_q(tags[0])}")
     else:
@@ -220,8 +241,7 @@ def document_status(payloads: DataFrame, row_tags: Sequence[str] = DEFAULT_ROW_T
     keep = [c for c in (payloads.columns if keep is None else keep) if c != body]
     rec = f"struct<{_q(probe)}: string>"
     ddl = ", ".join(f"{_q(t)} array<{rec}>" for t in row_tags) + f", {BAD} string"
-    x = F.from_xml(parse_ready(F.col(body)), ddl, XML_OPTIONS)
-    parsed = with_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body"), x.alias("_x")))
+    parsed = read_whole(payloads.select(*keep, *_first(payloads, keep), F.col(body).alias("_body")), ddl, [probe])
     n = sum((_count(F.col(f"_x.{_q(t)}")) for t in row_tags[1:]), _count(F.col(f"_x.{_q(row_tags[0])}")))
     found = n
     if max_records is not None:
@@ -263,12 +283,11 @@ def parse_tagged_records(payloads: DataFrame, columns: Sequence[str], row_tags:
                          tag_column: str = "row_tag") -> DataFrame:
     """Records of several row tags with the tag they came from."""
     require_conf(payloads.sparkSession)
-    x = F.from_xml(parse_ready(F.col(body)), document_schema(columns, row_tags), XML_OPTIONS)
     parts = F.concat(*[
         F.coalesce(F.transform(F.col(f"_x.{_q(t)}"), _tagger(t)),
                    F.array().cast(f"array<struct<tag:string, rec:{_rec_ddl(columns)}>>"))
         for t in row_tags])
-    rows = (with_whole(payloads.select(*keep, F.col(body).alias("_body"), x.alias("_x")))
+    rows = (read_whole(payloads.select(*keep, F.col(body).alias("_body")), document_schema(columns, row_tags), columns)
                     .select(*keep, F.explode_outer(F.when(F.col("_whole"), parts)).alias("_t"))
                     .where(F.col("_t").isNotNull()))
     return rows.select(*keep, F.col("_t.tag").alias(tag_column),

@@ -3,7 +3,7 @@
 import itertools
 import xml.etree.ElementTree as ET
 
-from sluice.operators.xml import document_status, parse_records
+from sluice.operators.xml import MARK, document_status, parse_records
 
 STARTS = ["<r>", "<r >", "<r/>", '<?xml version="1.0"?>\n<r>', '<!-- a --><r>', '<r xmlns:p="u">', '<r xmlns="http://u/x">',
           "<r a=\"x:y\" b='>'>", '<p:r xmlns:p="u">', '<r p:a="1">', '<r xml:lang="en">']
@@ -41,3 +41,22 @@ def test_a_prefix_ends_with_its_element(spark):
     df = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(docs)], "i int, body string")
     n = {r["i"]: r["count"] for r in parse_records(df, ["a"], keep=["i"]).groupBy("i").count().collect()}
     assert [n.get(i, 0) for i in range(3)] == [k for _, k in docs]
+
+
+def test_the_reader_itself_tells_whether_something_follows(spark):
+    mark = f"<{MARK}>1</{MARK}>"
+    row, after = "<row><a>1</a></row>", "<r><row><a>2</a></row></r>"
+    good = [f"<r>{row}</r>", f"<r>{row}</r>\r\n", f"<r>{mark}{row}</r>", f"<r><r>x</r>{row}</r>", f"<r>{row}<!-- </r> <p:x> --></r>",
+            f"<r>{row}</r><!-- <r></r>", f"<r>{row}<![CDATA[</r>]]></r>\n", f"<r xmlns:p='u'>{row}<p:x/></r>", f"<r>{row}a:b</r>"]
+    good[5] += " -->"
+    bad = [f"<r>{row}</r>{after}", f"<r>{row}{mark}</r>{after}", f"<r>{row}</r>{mark}<r></r>", f"<r>{row}</r>x</r>",
+           f"<r>{row}<p:x/></r>", f"<r>{row}<b p:y='1'/></r>", f"<r>{row}{'<c>12:30</c>' * 5000}<p:x/></r>", f"<r>{row}</r>\n\nx</r>"]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(good + bad)], "i int, body string")
+    plan = parse_records(df, ["a"], keep=["i"])
+    assert [(r.i, r.a) for r in plan.orderBy("i").collect()] == [(i, "1") for i in range(len(good))]
+    assert {r.i for r in document_status(df, keep=["i"], probe="a").where("malformed").collect()} == set(range(len(good), len(good) + len(bad)))
+
+
+def test_attributes_are_read_where_a_column_names_one(spark):
+    df = spark.createDataFrame([("<r><row id='7'><a k='x'>1</a></row></r>",)], "body string")
+    assert [tuple(r) for r in parse_records(df, ["a", "id"]).collect()] == [("1", None)]
