@@ -22,7 +22,7 @@ and is rejected whole downstream.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from xml.parsers import expat
 
 import pyarrow as pa
@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from sluice.plans.catalog import DEFAULT_ROW_TAGS
 
 DEFAULT_SPLIT_BYTES = 64 * 1024 * 1024
+_BATCH_BYTES = 4 * 1024 * 1024     # parts that a task gathers before it hands them on
 _SKIP = re.compile(rb"\s+|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^\[>]*>", re.DOTALL)
 _START = re.compile(rb"""<([^\s/>!?]+)(?:\s+[^\s=/>]+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*>""")
 
@@ -111,8 +112,13 @@ def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES,
     children of the root with one of ``row_tags``; every child, if that is empty."""
     if len(body) * 4 <= max_bytes:        # at most 4 bytes per character: surely small
         return None
-    data = body.encode("utf-8")
-    if len(data) <= max_bytes or not _well_formed(data):
+    parts = _parts(body.encode("utf-8"), max_bytes, row_tags)
+    return None if parts is None else [(p.decode("utf-8"), n) for p, n in parts]
+
+
+def _parts(data: bytes, max_bytes: int, row_tags: Sequence[str]) -> Iterator[tuple[bytes, int]] | None:
+    """``split_document`` on bytes, one slice at a time."""
+    if len(data) <= max_bytes:
         return None
     slices, root = None, _root(data)
     # Comments, CDATA and nested record tags could hide or fake a boundary: those go to the scan.
@@ -126,7 +132,7 @@ def split_document(body: str, max_bytes: int = DEFAULT_SPLIT_BYTES,
         if scanned is None or len(scanned[2]) < 2:
             return None
         prefix, suffix, slices = scanned
-    return [((prefix + data[x:y] + suffix).decode("utf-8"), n) for x, y, n in slices]
+    return ((prefix + data[x:y] + suffix, n) for x, y, n in slices)
 
 
 def split_rows(rows: list[dict], max_bytes: int, row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> list[dict]:
@@ -152,18 +158,35 @@ def split_documents(payloads: DataFrame, max_bytes: int = DEFAULT_SPLIT_BYTES,
     source = payloads.drop(*added)
     tags = list(row_tags)
 
-    ints = {f.name: ("Int32" if isinstance(f.dataType, T.IntegerType) else "Int64")
-            for f in schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))}
-
     def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            out = pd.DataFrame(split_rows(pdf.to_dict("records"), max_bytes, tags), columns=names)
-            for c, t in ints.items():
-                out[c] = out[c].astype(t)
-            yield out
-
-    return source.mapInPandas(run, schema)
+        for batch in batches:
+            bodies = batch.column("body").cast(pa.binary())
+            rows, out, size = [], ([], [], []), 0
+
+            def taken():
+                # other columns are repeated for every part of a row
+                cols = batch.take(pa.array(rows, pa.int64()))
+                made = dict(zip(["body", "part", "first_record"],
+                                [pa.array(out[0], pa.binary()).cast(pa.string()), pa.array(out[1], pa.int32()),
+                                 pa.array(out[2], pa.int64())], strict=True))
+                return pa.record_batch([made[c] if c in made else cols.column(c) for c in names], names=names)
+
+            # One document at a time, and its parts go on as soon as they fill a batch.
+            for i in range(batch.num_rows):
+                data = bodies[i].as_py()
+                parts = _parts(data, max_bytes, tags) if data else None
+                for part, (body, first) in enumerate([(data, 0)] if parts is None else parts):
+                    rows.append(i)
+                    for column, value in zip(out, (body, part, first), strict=True):
+                        column.append(value)
+                    size += len(body or b"")
+                    if size >= _BATCH_BYTES:
+                        yield taken()
+                        rows, out, size = [], ([], [], []), 0
+            if rows:
+                yield taken()
+
+    return source.mapInArrow(run, schema)
 
 
 def cap_document(body: str, room: int, row_tags: Sequence[str] = DEFAULT_ROW_TAGS) -> str:

@@ -7,6 +7,7 @@ from sluice.plans.catalog import feed_catalog, source_ids
 from sluice.plans.requests import plan_requests
 from sluice.sources.fetch import fetch_payloads
 from sluice.sources.landing import export_documents, land_payloads, read_landed
+from sluice.sources import split
 from sluice.sources.split import split_document, split_documents
 from sluice.sources.transport import FileTransport
 
@@ -99,3 +100,22 @@ def test_cap_means_the_same_for_split_payloads_of_other_tags(spark, scratch):
         load_feed(spark, read_landed(spark, landing), "agents-all-1.0", path=out, row_tags=["agent"], max_records=120).collect()
         rows[name] = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert len(rows["whole"]) == 7 * 120 and rows["split"] == rows["whole"]
+
+
+def test_parts_are_made_one_at_a_time():
+    data = ("<r>" + "<row><a>1</a></row>" * 1000 + "</r>").encode()
+    parts = split._parts(data, 400, ["row"])
+    assert iter(parts) is parts and next(parts)[1] == 0 and next(parts)[1] > 0
+
+
+def test_split_keeps_other_columns_nulls_and_order(spark):
+    body = "<r>" + "".join(f"<row><a>é{i}</a></row>" for i in range(50)) + "</r>"
+    rows = [(1, body, b"x"), (2, None, None), (None, "<r/>", b""), (4, "", b"y"), (5, body[:-3], b"z")]
+    got = split_documents(spark.createDataFrame(rows, "k long, body string, other binary").coalesce(1), 200)
+    assert got.columns == ["k", "body", "other", "part", "first_record"]
+    out = got.collect()
+    ones = [r for r in out if r.k == 1]
+    assert [r.part for r in ones] == list(range(len(ones))) and len(ones) > 5 and {bytes(r.other) for r in ones} == {b"x"}
+    assert sum(r.body.count("<row>") for r in ones) == 50
+    assert [r.first_record for r in ones] == [sum(x.body.count("<row>") for x in ones[:i]) for i in range(len(ones))]
+    assert [(r.k, r.body, r.other, r.part) for r in out if r.k != 1] == [(k, b, o, 0) for k, b, o in rows[1:]]
