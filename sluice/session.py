@@ -18,6 +18,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of documents are large: a worker takes them in by bytes, not by the thousand.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608b",
 }
 
 

@@ -17,13 +17,14 @@ from collections import Counter
 from xml.parsers import expat
 
 import pandas as pd
+import pyarrow as pa
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def root_child_tags(body: str) -> Counter | None:
+def root_child_tags(body: str | bytes) -> Counter | None:
     """Tag -> count of the root's direct children; None for a malformed document."""
     parser = expat.ParserCreate(encoding="utf-8")
     parser.ordered_attributes = True
@@ -43,7 +44,7 @@ def root_child_tags(body: str) -> Counter | None:
     parser.StartElementHandler = start
     parser.EndElementHandler = end
     try:
-        parser.Parse(body.encode("utf-8"), True)
+        parser.Parse(body.encode("utf-8") if isinstance(body, str) else body, True)
     except expat.ExpatError:
         return None
     return tags
@@ -69,17 +70,18 @@ def tag_counts(payloads: DataFrame) -> DataFrame:
         else payloads.select(F.lit(None).cast("string").alias("endpoint"), "body")
 
     def run(batches):
-        import pandas as pd
-        for pdf in batches:
+        for batch in batches:
             counts: Counter = Counter()
-            for endpoint, body in zip(pdf["endpoint"], pdf["body"]):
-                found = root_child_tags(body) if isinstance(body, str) else None
+            bodies = batch.column("body").cast(pa.binary())
+            # One body at a time leaves the batch: a copy of one document, not of all.
+            for endpoint, body in zip(batch.column("endpoint").to_pylist(), bodies):
+                found = root_child_tags(body.as_py()) if body.is_valid else None
                 for tag, n in (found or {}).items():
                     counts[(endpoint, tag)] += n
-            yield pd.DataFrame([(e, t, n) for (e, t), n in counts.items()],
-                               columns=["endpoint", "tag", "records"])
+            yield pa.record_batch([pa.array([e for e, _ in counts], pa.string()), pa.array([t for _, t in counts], pa.string()),
+                                   pa.array(list(counts.values()), pa.int64())], names=["endpoint", "tag", "records"])
 
-    partial = src.mapInPandas(run, "endpoint string, tag string, records long")
+    partial = src.mapInArrow(run, "endpoint string, tag string, records long")
     return partial.groupBy("endpoint", "tag").agg(F.sum("records").alias("records"))
 
 

@@ -33,3 +33,10 @@ def test_discovered_tags_load_every_record(spark, scratch):
     tags = discover_row_tags(p)["agents-all-1.0"]
     r = load_feed(spark, p, "agents-all-1.0", path=scratch("t"), row_tags=tags, check_tags=True).first()
     assert (r.status, r.rows, r.message) == ("success", 2, "")
+
+
+def test_tags_are_counted_from_bytes_and_null_bodies_are_left_out(spark):
+    assert dict(root_child_tags("<r><é/><b/></r>".encode())) == {"é": 1, "b": 1}
+    rows = [("e", "<r>" + "<a>x</a>" * n + "</r>") for n in range(1, 60)] + [(None, "<r><b/></r>"), ("e", None), ("e", "<r><a>")]
+    got = {(r.endpoint, r.tag): r.records for r in tag_counts(spark.createDataFrame(rows, "endpoint string, body string")).collect()}
+    assert got == {("e", "a"): 59 * 60 // 2, (None, "b"): 1}
