@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows of documents are large: a worker takes them in by bytes, not by the thousand.
     "spark.sql.execution.arrow.maxBytesPerBatch": "8388608b",
+    # A micro-batch names its files one by one: they are looked up by some tasks, not by one task each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
