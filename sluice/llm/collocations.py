@@ -44,13 +44,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import byte_slices, materialise, read_table, texts_as_bytes
+from sluice.llm.common import byte_slices, materialise, read_table, small_batches, texts_as_bytes
 from sluice.operators.filters import cap_records_per_key
 
 SHARDS = 2
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 26
 _PART = 1 << 20
 _WORDS_KEPT = 200_000       # words that a task's dictionary holds before it starts anew
+_BATCH_BYTES = 4 << 20      # texts that a task takes in at a time
 _COUNTS_KEPT = 500_000    # places that a task gathers before it hands their counts on
 _BREAK = b"."               # any separator of pieces stands as this byte, which no word can hold
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else _BREAK[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
@@ -240,6 +241,11 @@ def _filled(reached: DataFrame, filters: list[np.ndarray]) -> list[np.ndarray]:
 
 def frequent_phrases(docs: DataFrame, threshold: int, most: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, k, phrase, n): all phrases of 1 to ``most`` words that stand ``threshold`` times or more; k = 0 counts all words."""
+    with small_batches(docs.sparkSession, _BATCH_BYTES):
+        return _frequent(docs, threshold, most, text_col, lang_col)
+
+
+def _frequent(docs: DataFrame, threshold: int, most: int, text_col: str, lang_col: str) -> DataFrame:
     spark = docs.sparkSession
     shards = materialise(docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))

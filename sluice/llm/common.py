@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +74,18 @@ def keep_rows(docs: DataFrame, id_col: str, digest: Column, kept: DataFrame) ->
             .unionAll(one.select("__row")).select("__row.*"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, limit: int):
+    """Arrow batches of about ``limit`` bytes at most for the steps that run inside; the session is as before afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, f"{limit}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def byte_slices(batch, column: int, limit: int = 4 << 20):
     """Cut an Arrow batch into slices of about ``limit`` bytes of the given text column (a row is never cut)."""
     import numpy as np
